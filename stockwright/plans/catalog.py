@@ -6,14 +6,19 @@ from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockwright.operators import audit, changes, commands, ledger, rules
+from stockwright.operators.ordered import assign_ids
 from stockwright.plans import reports as R
 from stockwright.plans.report_oracles import ORACLES as REPORT_ORACLES
 from stockwright.plans.oracle_model import MODEL
-from stockwright.sources.trade import AS_OF, TradeData
+from stockwright.plans.rule_oracles import ORACLES as RULE_ORACLES
+from stockwright.sources.tables import SCHEMAS, new_folder, stage
+from stockwright.sources.trade import AS_OF, PURCHASE, SALE, TradeData, movements_of_events, prices_of_events
+from stockwright.streaming.jobs import PriceStream, StockStream, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +48,13 @@ def counted(build: Callable[..., DataFrame], *args) -> Query:
 MONTH = (date(1998, 1, 1), date(1998, 1, 31))
 DAYS = (date(1998, 1, 10), date(1998, 1, 15))
 PRICES = (Decimal(920), Decimal(980))
+# An earlier state of the ledger.
+EARLIER = date(2000, 1, 1)
+
+
+def _now() -> Column:
+    """Time at which changes are made."""
+    return F.lit(AS_OF).cast("timestamp_ntz")
 
 
 def _movements_by_document(t: TradeData) -> DataFrame:
@@ -77,7 +89,7 @@ REPORTS: dict[str, Query] = {
     "confirmed_sales_lines": over(
         lambda t: R.confirmed_sales_lines(t).select("sales_invoice_id", "product_id", "qty", "line_total")
     ),
-    "alerts_to_raise": over(lambda t: R.alerts_to_raise(t, t.low_stock_alerts_before(date(2000, 1, 1)))),
+    "alerts_to_raise": over(lambda t: R.alerts_to_raise(t, _earlier_alerts(t))),
     "price_audit_detail": over(R.price_audit_detail),
     "alerts_detail": over(R.alerts_detail),
     "latest_alerts": over(R.alerts_detail, 5),
@@ -126,5 +138,391 @@ REPORTS: dict[str, Query] = {
     "supplier_products_report": over(R.supplier_products_report, 1),
 }
 
-QUERIES: dict[str, Query] = {**REPORTS}
-ORACLES: dict[str, str] = {name: MODEL + sql for name, sql in {**REPORT_ORACLES}.items()}
+def _append(t: TradeData) -> DataFrame:
+    booked = _confirmed_purchase_movements(t)
+    return (
+        changes.append(t.inventory_movement, booked)
+        .groupBy("related_type")
+        .agg(F.count(F.lit(1)).alias("movements"), F.sum("qty").alias("qty"))
+    )
+
+
+def _confirmed(invoice: DataFrame) -> DataFrame:
+    return invoice.filter(F.col("status") == "CONFIRMED")
+
+
+def _confirmed_purchase_movements(t: TradeData) -> DataFrame:
+    return changes.movements_of_purchases(_confirmed(t.purchase_invoice), t.purchase_line, t.supplier)
+
+
+def _apply_updates(t: TradeData) -> DataFrame:
+    wanted = t.product_changes.filter("new_active")
+    columns = {"default_price": "new_price", "min_stock_level": "new_min", "max_stock_level": "new_max"}
+    return changes.apply_updates(t.product, wanted, "id", columns).select("id", "sku", *columns)
+
+
+def _refreshed(t: TradeData) -> DataFrame:
+    return changes.refresh_last_purchase_price(t.product_supplier, _confirmed(t.purchase_invoice), t.purchase_items)
+
+
+def _upserted_offers(t: TradeData) -> DataFrame:
+    return changes.upsert_product_supplier(
+        t.product_supplier, _confirmed(t.purchase_invoice), t.purchase_items
+    ).drop("supplier_sku")
+
+
+def _earlier_alerts(t: TradeData) -> DataFrame:
+    return t.low_stock_alerts_before(EARLIER)
+
+
+def _upserted_alerts(t: TradeData) -> DataFrame:
+    low = t.low_stock_alerts.filter(~F.col("is_resolved"))
+    return changes.upsert_alerts(_earlier_alerts(t), low, _now()).drop("min_stock_level", "resolved_at")
+
+
+def _deleted(t: TradeData) -> DataFrame:
+    return changes.delete_where(t.inventory_movement, F.col("note").like("sale 1%")).drop("seq", "created_at")
+
+
+def _purchase_changes(t: TradeData) -> DataFrame:
+    return rules.validate_purchase_status(t.purchase_status_changes)
+
+
+def _sales_changes(t: TradeData) -> DataFrame:
+    return rules.validate_sales_confirm(t.sales_status_changes, t.sales_line, t.inventory_movement)
+
+
+def _cancelled(t: TradeData) -> DataFrame:
+    return changes.sales_cancelled(_sales_changes(t))
+
+
+def _ids(t: TradeData) -> DataFrame:
+    numbered = assign_ids(t.purchase_items, ["seq"], after=t.product.select("id"))
+    return numbered.select("id", "product_id", "qty", "line_total")
+
+
+def _line_totals(t: TradeData) -> DataFrame:
+    priced = t.purchase_items.select("purchase_invoice_id", "product_id", "qty", "unit_price", "line_total")
+    return changes.with_defaults(priced, {"status": "DRAFT"})
+
+
+def _requested_cells(t: TradeData) -> DataFrame:
+    key = F.col("p_partkey")
+    return t.base("part").select(
+        F.when(key % 50 == 0, -1).otherwise(key).cast("bigint").alias("product_id"), (key % 7).alias("warehouse_id")
+    )
+
+
+def _stock_of(t: TradeData) -> DataFrame:
+    return ledger.stock_of(_requested_cells(t), t.inventory_movement, t.product, t.warehouse)
+
+
+def _availability(t: TradeData) -> DataFrame:
+    wanted = t.sales_line.select("product_id", "warehouse_id", F.col("qty").alias("required"))
+    return ledger.availability(wanted, t.inventory_movement, t.product, t.warehouse).drop("reason")
+
+
+def _sale_requests(t: TradeData) -> DataFrame:
+    number = F.concat_ws("-", F.lit("S"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return t.line_requests(SALE).select(
+        "seq",
+        F.concat(F.lit("Customer of order "), F.col("l_orderkey").cast("string")).alias("customer_name"),
+        number.alias("invoice_no"),
+        "product_id",
+        "warehouse_id",
+        "qty",
+        "unit_price",
+        F.lit("sales").alias("issued_by"),
+    )
+
+
+def _sales(t: TradeData) -> DataFrame:
+    return commands.process_sales(
+        _sale_requests(t), t.product, t.warehouse, t.opening_stock, t.sales_invoice.select("invoice_no")
+    )
+
+
+def _sale_outcome(t: TradeData) -> DataFrame:
+    return _sales(t).select("invoice_no", "product_id", "warehouse_id", "qty", "unit_price", "reason", "stock_after")
+
+
+def _safe_decrease(t: TradeData) -> DataFrame:
+    wanted = t.sales_line.select("seq", "sales_invoice_id", "product_id", "warehouse_id", "qty")
+    return commands.safe_decrease_stock(wanted, t.opening_stock).drop("seq")
+
+
+def _added_lines(t: TradeData, lines_only: bool = False) -> DataFrame:
+    outcome = commands.add_purchase_lines(
+        t.line_requests(PURCHASE),
+        t.purchase_invoice,
+        t.product,
+        t.warehouse,
+        ledger.current_stock(t.inventory_movement),
+        lines_only,
+    )
+    columns = ["purchase_invoice_id", "product_id", "warehouse_id", "qty", "unit_price", "reason"]
+    return outcome.select(*columns, *([] if lines_only else ["stock_after"]))
+
+
+def _adjusted(t: TradeData, active_only: bool = False) -> DataFrame:
+    wanted = t.inventory_movement.filter(F.col("movement_type") == "ADJUST").select(
+        "seq", "product_id", "warehouse_id", "qty", "related_id"
+    )
+    return commands.adjust_inventory(wanted, t.product, t.warehouse, t.opening_stock, active_only)
+
+
+def _adjust_outcome(t: TradeData, active_only: bool = False) -> DataFrame:
+    return _adjusted(t, active_only).select("product_id", "warehouse_id", "related_id", "qty", "reason", "stock_after")
+
+
+def _strict_adjust_alerts(t: TradeData) -> DataFrame:
+    return commands.adjustment_alerts(_adjusted(t, True), inclusive=True, open_alerts=_earlier_alerts(t))
+
+
+def _confirmations(t: TradeData) -> DataFrame:
+    asked = t._purchase_headers().filter(F.col("o_orderpriority") == "1-URGENT").select("id")
+    unknown = t.spark.createDataFrame([("-1/-1",)], "id string")
+    return commands.confirm_purchases(asked.unionByName(unknown), t.purchase_invoice)
+
+
+def _confirmation_movements(t: TradeData) -> DataFrame:
+    booked = t.inventory_movement.filter(F.col("created_at") < F.lit(EARLIER))
+    return commands.confirmation_movements(_confirmations(t), t.purchase_line, t.supplier, booked)
+
+
+def _checked_purchase_lines(t: TradeData) -> DataFrame:
+    return rules.validate_purchase_lines(
+        t.line_requests(PURCHASE), t.purchase_invoice, t.product, t.warehouse, t.inventory_movement
+    ).select("purchase_invoice_id", "product_id", "warehouse_id", "qty", "unit_price", "reason")
+
+
+def _checked_sales_lines(t: TradeData, drafts_only: bool = False) -> DataFrame:
+    lines = t.line_requests(SALE).withColumnRenamed("purchase_invoice_id", "sales_invoice_id")
+    return rules.validate_sales_lines(
+        lines, t.sales_invoice, t.product, t.warehouse, t.inventory_movement, drafts_only
+    ).select("sales_invoice_id", "product_id", "warehouse_id", "qty", "unit_price", "reason")
+
+
+def _checked_products(t: TradeData) -> DataFrame:
+    return rules.validate_product_updates(
+        t.product, t.product_changes, t.purchase_items, t.purchase_invoice, t.sales_items, t.sales_invoice
+    ).select("id", "old_price", "new_price", "reason", "reduction")
+
+
+def _checked_movements(t: TradeData, strict: bool = False) -> DataFrame:
+    asked = t.movement_requests.select("seq", "product_id", "warehouse_id", "movement_type", "qty", "related_id")
+    nothing = t.opening_stock.filter(F.lit(False))
+    return commands.validate_movements(asked, t.product, t.warehouse, nothing, strict).select(
+        "product_id", "warehouse_id", "movement_type", "related_id", "qty", "reason", "stock_after"
+    )
+
+
+def _checked_deletes(lines: DataFrame, invoice: DataFrame, key: str) -> DataFrame:
+    return rules.validate_line_deletes(lines.filter(F.col("qty") < 10), invoice, key).select(
+        key, "product_id", "qty", "reason"
+    )
+
+
+def _constraints(t: TradeData) -> DataFrame:
+    return rules.constraint_report(
+        [
+            ("product", "unique sku", rules.unique_violations(t.product, ["sku"])),
+            ("product", "not null name, price", rules.null_violations(t.product, ["name", "default_price"])),
+            ("product", "name up to 8 characters", rules.length_violations(t.product, "name", 8)),
+            ("product", "category exists", rules.orphan_violations(t.product, "category_id", t.category)),
+            ("product_supplier", "unique pair", rules.unique_violations(t.product_supplier, changes.OFFER)),
+            ("purchase_invoice", "unique number", rules.unique_violations(t.purchase_invoice, ["invoice_no"])),
+            (
+                "purchase_invoice",
+                "status DRAFT or CONFIRMED",
+                rules.domain_violations(t.purchase_invoice, "status", ["DRAFT", "CONFIRMED"]),
+            ),
+            (
+                "purchase_line",
+                "invoice exists",
+                rules.orphan_violations(t.purchase_items, "purchase_invoice_id", t.purchase_invoice),
+            ),
+            (
+                "purchase_line",
+                "product once per invoice",
+                rules.unique_violations(t.purchase_items, ["purchase_invoice_id", "product_id"]),
+            ),
+            (
+                "inventory_movement",
+                "movement type",
+                rules.domain_violations(t.inventory_movement, "movement_type", ["IN", "OUT", "ADJUST"]),
+            ),
+        ]
+    )
+
+
+def _confirmed_prices(t: TradeData) -> DataFrame:
+    confirmed = changes.purchases_confirmed(_purchase_changes(t))
+    return changes.refresh_last_purchase_price(t.product_supplier, confirmed, t.purchase_items).select(
+        *changes.OFFER, "last_purchase_price"
+    )
+
+
+def _resolved(alerts: DataFrame) -> DataFrame:
+    return alerts.select("product_id", "warehouse_id", "is_resolved", "resolved_at", "resolved_by")
+
+
+def _purchase_confirm_alerts(t: TradeData) -> DataFrame:
+    confirmed = changes.purchases_confirmed(_purchase_changes(t))
+    lines = changes.lines_of(t.purchase_line, confirmed, "purchase_invoice_id")
+    return _resolved(changes.resolve_by_purchase(_earlier_alerts(t), lines, _now()))
+
+
+def _sale_alerts(t: TradeData, once: bool = False) -> DataFrame:
+    confirmed = changes.sales_confirmed(_sales_changes(t))
+    return changes.alerts_of_sales(
+        confirmed, t.sales_line, t.inventory_movement, t.product, _earlier_alerts(t) if once else None
+    )
+
+
+def _deactivated(t: TradeData) -> DataFrame:
+    gone = t.product.filter("is_active").join(t.product_changes.filter("NOT new_active"), "id", "left_semi")
+    return _resolved(
+        audit.resolve_on_deactivation(_earlier_alerts(t), gone.select(F.col("id").alias("product_id")), _now())
+    )
+
+
+def _active_timeline(t: TradeData) -> audit.StockTimeline:
+    return audit.StockTimeline(t.inventory_movement, t.product)
+
+
+ALERT_COLUMNS = [
+    "product_id",
+    "warehouse_id",
+    "current_stock",
+    "min_stock_level",
+    "alert_date",
+    "is_resolved",
+    "resolved_at",
+]
+
+
+def _event_stream(t: TradeData) -> DataFrame:
+    return t.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.directory)
+
+
+def _stock_stream(t: TradeData) -> DataFrame:
+    users = t.base("events").select(F.col("user_id").alias("id")).distinct()
+    product = users.select(
+        "id", (F.col("id") % 40).cast("decimal(12,2)").alias("min_stock_level"), F.lit(True).alias("is_active")
+    )
+    stream = StockStream(t.spark, new_folder(t.spark, "stock-stream"), stage(product, "levels"))
+    run_to_end(stream.start(movements_of_events(_event_stream(t))))
+    return stream.alerts()
+
+
+def _price_stream(t: TradeData) -> DataFrame:
+    stream = PriceStream(t.spark, new_folder(t.spark, "price-stream"))
+    run_to_end(stream.start(prices_of_events(_event_stream(t))))
+    return stream.audited()
+
+
+JOBS: dict[str, Query] = {
+    # Table changes
+    "append_rows": over(_append),
+    "movements_from_confirmed_purchases": over(_confirmed_purchase_movements),
+    "movements_from_confirmed_sales": over(
+        lambda t: changes.movements_of_sales(_confirmed(t.sales_invoice), t.sales_line)
+    ),
+    "apply_updates": over(_apply_updates),
+    "refresh_last_purchase_price": over(lambda t: _refreshed(t).drop("supplier_sku", "is_preferred")),
+    "upsert_product_supplier": over(_upserted_offers),
+    "upsert_alerts": over(_upserted_alerts),
+    "delete_where": over(_deleted),
+    "cancel_sales": over(
+        lambda t: changes.drop_cancelled_movements(t.inventory_movement, _cancelled(t)).drop("seq", "created_at")
+    ),
+    "cancel_sales_alerts": over(
+        lambda t: changes.drop_cancelled_alerts(t.low_stock_alerts, _cancelled(t), t.sales_items).select(
+            "product_id", "warehouse_id", "current_stock", "is_resolved"
+        )
+    ),
+    "assign_ids": over(_ids),
+    "line_totals": over(_line_totals),
+    "invoice_totals": over(
+        lambda t: changes.invoice_totals(
+            t.purchase_invoice, t.purchase_items.filter(F.col("qty") >= 40), "purchase_invoice_id"
+        ).select("id", "invoice_no", "total_amount")
+    ),
+    "delete_cascade": over(
+        lambda t: changes.delete_parents(
+            t.product_supplier, t.product.filter("NOT is_active"), "product_id", "CASCADE"
+        ).select(*changes.OFFER, "last_purchase_price")
+    ),
+    "delete_set_null": over(
+        lambda t: changes.delete_parents(
+            t.product, t.category.filter(F.col("id") == "Brand#2"), "category_id", "SET NULL"
+        ).select("id", "sku", "category_id")
+    ),
+    "delete_restrict": over(
+        lambda t: changes.delete_parents(
+            t.purchase_invoice, t.supplier.filter("NOT is_active"), "supplier_id", "RESTRICT"
+        ).select("id", "name")
+    ),
+    # Stock functions
+    "current_stock": over(_stock_of),
+    "check_availability": over(_availability),
+    "warehouse_total_value": over(lambda t: ledger.warehouse_value(t.inventory_movement, t.product, t.warehouse)),
+    # Commands
+    "process_sales": over(_sale_outcome),
+    "process_sales_alerts": over(lambda t: commands.SaleBatch(_sales(t)).alerts()),
+    "process_sales_documents": over(
+        lambda t: commands.SaleBatch(_sales(t)).invoices().select("invoice_no", "total_amount", "status")
+    ),
+    "safe_decrease_stock": over(_safe_decrease),
+    "add_purchase_lines": over(_added_lines),
+    "add_purchase_lines_v4": over(_added_lines, lines_only=True),
+    "adjust_inventory": over(_adjust_outcome),
+    "adjust_inventory_alerts": over(lambda t: commands.adjustment_alerts(_adjusted(t))),
+    "adjust_inventory_v4": over(_adjust_outcome, active_only=True),
+    "adjust_inventory_v4_alerts": over(_strict_adjust_alerts),
+    "confirm_purchases": over(lambda t: _confirmations(t).select("id", "reason")),
+    "confirm_purchases_movements": over(_confirmation_movements),
+    # Rules
+    "validate_purchase_lines": over(_checked_purchase_lines),
+    "validate_sales_lines": over(_checked_sales_lines),
+    "validate_sales_lines_v4": over(_checked_sales_lines, drafts_only=True),
+    "validate_purchase_status": over(lambda t: _purchase_changes(t).drop("invoice_no")),
+    "validate_sales_confirm": over(lambda t: _sales_changes(t).drop("invoice_no", "customer_name")),
+    "validate_sales_confirm_v4": over(
+        lambda t: rules.validate_sales_confirm(t.sales_status_changes).drop("invoice_no", "customer_name")
+    ),
+    "validate_product_updates": over(_checked_products),
+    "validate_movements": over(_checked_movements),
+    "validate_movements_v4": over(_checked_movements, strict=True),
+    "validate_purchase_line_deletes": over(
+        lambda t: _checked_deletes(t.purchase_items, t.purchase_invoice, "purchase_invoice_id")
+    ),
+    "validate_sales_line_deletes": over(lambda t: _checked_deletes(t.sales_items, t.sales_invoice, "sales_invoice_id")),
+    "constraint_checks": over(_constraints),
+    # Effects of status changes
+    "purchase_confirm_movements": over(
+        lambda t: changes.movements_of_purchases(
+            changes.purchases_confirmed(_purchase_changes(t)), t.purchase_line, t.supplier
+        )
+    ),
+    "purchase_confirm_prices": over(_confirmed_prices),
+    "purchase_confirm_alerts": over(_purchase_confirm_alerts),
+    "sales_confirm_movements": over(
+        lambda t: changes.movements_of_sales(changes.sales_confirmed(_sales_changes(t)), t.sales_line)
+    ),
+    "sales_confirm_alerts": over(_sale_alerts),
+    "sales_confirm_alerts_v4": over(_sale_alerts, once=True),
+    # Alerts and audits
+    "low_stock_alerts": over(lambda t: _active_timeline(t).alerts().select(*ALERT_COLUMNS)),
+    "alert_episodes": over(lambda t: _active_timeline(t).episodes()),
+    "price_audit": over(lambda t: audit.price_audit(t.product, t.product_changes)),
+    "supplier_price_audit": over(lambda t: audit.supplier_price_audit(t.product_supplier, _refreshed(t))),
+    "resolve_on_deactivation": over(_deactivated),
+    # Streams
+    "stream_stock_and_alerts": over(_stock_stream),
+    "stream_price_audit": over(_price_stream),
+}
+
+QUERIES: dict[str, Query] = {**REPORTS, **JOBS}
+ORACLES: dict[str, str] = {name: MODEL + sql for name, sql in {**REPORT_ORACLES, **RULE_ORACLES}.items()}

@@ -1,0 +1,61 @@
+"""Versioned tables a streaming job keeps between micro-batches.
+
+Every micro-batch writes its own folder, named by its id, and writes it anew when it is replayed. The state
+holds one row per key and folder; the row of the latest folder counts. Now and then a batch writes all keys,
+so that a reader goes back to that folder and no further.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BATCH = "_batch"
+
+
+class BatchTable:
+    """Append-only output of a stream, one folder per micro-batch."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+
+    def read(self, first: int = 0, before: int | None = None) -> DataFrame:
+        """Rows of the batches from ``first`` up to but not including ``before``."""
+        rows = self._all().filter(F.col(BATCH) >= first)
+        return rows if before is None else rows.filter(F.col(BATCH) < before)
+
+    def _all(self) -> DataFrame:
+        if not _exists(self.spark, self.path):
+            return self.spark.createDataFrame([], f"{self.schema}, {BATCH} bigint")
+        return self.spark.read.schema(f"{self.schema}, {BATCH} bigint").parquet(self.path)
+
+
+class KeyedState:
+    """Latest values per key. ``values`` are the value columns."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str, full_every: int = 20):
+        self.keys, self.full_every = keys, full_every
+        self.table = BatchTable(spark, path, schema)
+
+    def before(self, batch_id: int) -> DataFrame:
+        """State as the batches before ``batch_id`` left it."""
+        last_full = (batch_id - 1) // self.full_every * self.full_every if batch_id else 0
+        rows = self.table.read(last_full, batch_id)
+        values = [c for c in rows.columns if c not in (*self.keys, BATCH)]
+        latest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), BATCH).alias("_latest"))
+        return latest.select(*self.keys, "_latest.*")
+
+    def write(self, changed: DataFrame, batch_id: int) -> None:
+        """Stores the changed keys, and all others with them when a full folder is due."""
+        if batch_id and batch_id % self.full_every == 0:
+            kept = self.before(batch_id).join(changed.select(*self.keys), self.keys, "left_anti")
+            changed = changed.unionByName(kept)
+        self.table.write(changed, batch_id)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
