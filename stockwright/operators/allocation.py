@@ -4,7 +4,7 @@ Requests of a key are taken in order. A guarded request is accepted if the level
 an accepted request moves the level, a rejected one does not. This is not a prefix sum, but most of it needs
 no sequence:
 
-* requests are put in chunks of (keys, order), see ``ordered``;
+* requests are put in order, a key with very many of them in several chunks, see ``ordered``;
 * a chunk whose lowest running sum keeps the level above zero is accepted whole, a chunk whose every request
   is out of reach is rejected whole; both are plain column expressions;
 * only the remaining chunks are walked row by row, each in its own task, with a level known on entry.
@@ -39,54 +39,48 @@ def allocate(
 ) -> DataFrame:
     """Requests with ``accepted`` and ``level`` (after the request).
 
-    ``delta`` is what a request adds to the level, at two decimals; ``opening`` has (keys, level), zero where
-    missing. ``order`` must be unique within a key.
+    ``delta`` is what a request adds to the level, at two decimals; a row whose delta is NULL asks for nothing
+    and is returned as not accepted. ``opening`` has (keys, level), zero where missing. ``order`` must be unique
+    within a key.
     """
-    prepared = requests.withColumns({"_delta": _cents(delta), "_guarded": F.coalesce(guarded, F.lit(True))})
-    ordered = OrderedChunks(prepared, keys, order, chunks)
-    within = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    number = F.row_number().over(within)
-    rows = ordered.rows.withColumns(
-        {"_prefix": F.sum("_delta").over(within.rowsBetween(Window.unboundedPreceding, 0)), "_n": number}
-    )
-    levels = opening.select(*keys, _cents(F.col("level")).alias("_opening"))
-    groups = stage(
-        rows.groupBy(*keys, CHUNK)
-        .agg(
-            F.sum("_delta").alias("_total"),
-            F.min(F.when(F.col("_guarded"), F.col("_prefix"))).alias("_low"),
-            F.max(F.when(F.col("_guarded"), F.col("_delta"))).alias("_best"),
-            F.bool_and("_guarded").alias("_all_guarded"),
+    wanted = _cents(delta)
+    prepared = (
+        requests.withColumns(
+            {"_delta": wanted, "_guarded": F.when(wanted.isNotNull(), F.coalesce(guarded, F.lit(True)))}
         )
-        .join(levels, keys, "left")
-        .withColumn("_enter", F.coalesce("_opening", F.lit(0)))
-        .drop("_opening"),
-        "groups",
+        .join(opening.select(*keys, _cents(F.col("level")).alias("_opening")), keys, "left")
+        .withColumn("_opening", F.coalesce("_opening", F.lit(0)))
+    )
+    ordered = OrderedChunks(prepared, keys, order, chunks)
+    chunk = Window.partitionBy(*ordered.groups)
+    number = F.row_number().over(chunk.orderBy(*order))
+    prefix = F.sum("_delta").over(chunk.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    # One shuffle: all windows share the partitioning.
+    rows = (
+        ordered.rows.withColumns({"_n": number, "_prefix": F.coalesce(prefix, F.lit(0))})
+        .withColumns({name: summary.over(chunk) for name, summary in _summary().items()})
     )
-    settled = _settle_cut_keys(ordered, number, groups)
-    if settled is not None:
-        groups = (
-            groups.withColumnRenamed("_enter", "_start")
-            .join(F.broadcast(settled), [*keys, CHUNK], "left")
-            .withColumn("_enter", F.coalesce("_enter", "_start"))
-            .drop("_start")
+    entries = _settle_cut_keys(ordered, number, prefix) if ordered.is_cut else None
+    if entries is None:
+        rows = rows.withColumn("_enter", F.col("_opening"))
+    else:
+        rows = rows.join(F.broadcast(entries), ordered.groups, "left").withColumn(
+            "_enter", F.coalesce("_enter", "_opening")
         )
     fits = F.coalesce(F.col("_enter") + F.col("_low") >= 0, F.lit(True))
     stuck = F.col("_all_guarded") & (F.col("_enter") + F.col("_best") < 0)
     judged = stage(
-        rows.join(
-            groups.select(*keys, CHUNK, "_enter", F.when(fits, "all").when(stuck, "none").otherwise("walk").alias("_how")),
-            [*keys, CHUNK],
-        ),
+        rows.withColumn("_how", F.when(fits, "all").when(stuck, "none").otherwise("walk")).drop(*_summary(), "_opening"),
         "judged",
     )
+    takes = F.col("_how") == "all"
     whole = judged.filter(F.col("_how") != "walk").withColumns(
         {
-            "accepted": F.col("_how") == "all",
-            "_level": F.when(F.col("_how") == "all", F.col("_enter") + F.col("_prefix")).otherwise(F.col("_enter")),
+            "accepted": takes & F.col("_delta").isNotNull(),
+            "_level": F.when(takes, F.col("_enter") + F.col("_prefix")).otherwise(F.col("_enter")),
         }
     )
-    walked = _walk(judged.filter(F.col("_how") == "walk"), keys)
+    walked = _walk(judged.filter(F.col("_how") == "walk"), ordered.groups)
     return (
         whole.unionByName(walked)
         .withColumn("level", (F.col("_level") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)"))
@@ -94,16 +88,27 @@ def allocate(
     )
 
 
+def _summary() -> dict[str, Column]:
+    """What decides whether a chunk must be walked: sum, lowest guarded running sum, easiest guarded request."""
+    guarded = F.col("_guarded")
+    return {
+        "_total": F.sum("_delta"),
+        "_low": F.min(F.when(guarded, F.col("_prefix"))),
+        "_best": F.max(F.when(guarded, F.col("_delta"))),
+        "_all_guarded": F.bool_and("_guarded"),
+    }
+
+
 def _cents(amount: Column) -> Column:
     return (amount * 100).cast("bigint")
 
 
-def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Takes the requests of each chunk one by one from its entry level."""
+def _walk(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Takes the requests of each group one by one from its entry level."""
     schema = T.StructType([*rows.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("_level", T.LongType())])
     return (
-        rows.repartition(*keys, CHUNK)
-        .sortWithinPartitions(*keys, CHUNK, "_n")
+        rows.repartition(*groups)
+        .sortWithinPartitions(*groups, "_n")
         .mapInArrow(_take_in_order, schema)
     )
 
@@ -116,7 +121,7 @@ def _take_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for n, enter, delta, guarded in zip(*columns):
             if n == 1:
                 level = enter
-            take = not guarded or level + delta >= 0
+            take = delta is not None and (not guarded or level + delta >= 0)
             if take:
                 level += delta
             accepted.append(take)
@@ -127,18 +132,23 @@ def _take_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _settle_cut_keys(ordered: OrderedChunks, number: Column, groups: DataFrame) -> DataFrame | None:
+def _settle_cut_keys(ordered: OrderedChunks, number: Column, prefix: Column) -> DataFrame | None:
     """Entry level of every chunk of the keys that span several chunks.
 
     What comes to the driver is one summary row per chunk of such a key, at most twice the number of chunks.
     """
-    keys = [*ordered.keys, CHUNK]
-    cut = groups.join(F.broadcast(ordered.cut_keys), ordered.keys, "left_semi")
+    keys = ordered.groups
+    cut = (
+        ordered.rows.join(F.broadcast(ordered.cut_keys), ordered.keys, "left_semi")
+        .withColumn("_prefix", F.coalesce(prefix, F.lit(0)))
+        .groupBy(*keys)
+        .agg(*[summary.alias(name) for name, summary in _summary().items()], F.first("_opening").alias("_enter"))
+    )
     parts = sorted((row.asDict() for row in cut.collect()), key=lambda p: [p[k] for k in keys])
     if not parts:
         return None
-    spark = groups.sparkSession
-    schema = T.StructType([*[groups.schema[k] for k in keys], T.StructField("_enter", T.LongType())])
+    spark = cut.sparkSession
+    schema = T.StructType([*[cut.schema[k] for k in keys], T.StructField("_enter", T.LongType())])
     results: dict[tuple, int] = {}
     while True:
         entries, open_parts = _chain(parts, ordered.keys, results)
@@ -148,7 +158,7 @@ def _settle_cut_keys(ordered: OrderedChunks, number: Column, groups: DataFrame)
         # Only the chunks to walk are read into the window that numbers their rows.
         requests = ordered.rows.select(*keys, *ordered.order, "_delta", "_guarded").join(F.broadcast(todo), keys)
         ends = (
-            _walk(requests.withColumn("_n", number), ordered.keys)
+            _walk(requests.withColumn("_n", number), keys)
             .groupBy(*keys, "_enter")
             .agg(F.max_by("_level", "_n").alias("_end"))
         )
@@ -167,7 +177,7 @@ def _chain(parts: list[dict], keys: list[str], results: dict[tuple, int]) -> tup
             entries.append(entry)
             total, low, best = part["_total"], part["_low"], part["_best"]
             if low is None or level + low >= 0:
-                level += total
+                level += total or 0
             elif part["_all_guarded"] and level + best < 0:
                 pass
             elif entry in results:

@@ -71,20 +71,22 @@ class StockTimeline:
     movement, zero where missing.
     """
 
-    def __init__(self, movement: DataFrame, product: DataFrame, opening: DataFrame | None = None, chunks: int | None = None):
-        moves = movement.select(*CELL, "created_at", "seq", signed_qty().alias("delta"))
-        self.chunks = OrderedChunks(moves, CELL, ["seq"], chunks)
-        rows = self.chunks.running_sum(self.chunks.rows, F.col("delta"), "current_stock")
-        if opening is not None:
-            before = opening.select(*CELL, F.col("stock").alias("_opening"))
-            rows = rows.join(before, CELL, "left").withColumn(
-                "current_stock", F.col("current_stock") + F.coalesce("_opening", F.lit(0))
-            ).drop("_opening")
+    def __init__(
+        self, movement: DataFrame, product: DataFrame, opening: DataFrame | None = None, chunks: int | None = None
+    ):
         levels = product.select(F.col("id").alias("product_id"), "min_stock_level", "is_active")
+        # Everything a row needs is joined before the rows are put in order, so that the windows share one shuffle.
+        moves = movement.select(*CELL, "created_at", "seq", signed_qty().alias("delta")).join(levels, "product_id")
+        before = F.lit(0).cast(MONEY)
+        if opening is not None:
+            moves = moves.join(opening.select(*CELL, F.col("stock").alias("_opening")), CELL, "left")
+            before = F.coalesce("_opening", before)
+        self.chunks = OrderedChunks(moves.withColumn("_before", before), CELL, ["seq"], chunks)
+        rows = self.chunks.running_sum(self.chunks.rows, F.col("delta"), "_moved")
         self.rows = (
-            rows.withColumn("current_stock", F.col("current_stock").cast(MONEY))
-            .join(levels, "product_id")
+            rows.withColumn("current_stock", (F.col("_before") + F.col("_moved")).cast(MONEY))
             .withColumn("is_low", F.coalesce(F.col("current_stock") <= F.col("min_stock_level"), F.lit(False)))
+            .drop("_before", "_moved")
         )
 
     def alerts(self) -> DataFrame:

@@ -35,15 +35,13 @@ def _book(
     refusal: Column | str,
     chunks: int | None = None,
 ) -> DataFrame:
-    """Runs the requests without a reason against the stock and joins the others back as they are."""
-    columns = checked.columns
-    taken = allocate(checked.filter("reason IS NULL"), CELL, ["seq"], delta, guarded, opening, chunks)
+    """Runs the requests without a reason against the stock; the others pass through as they are."""
+    open_ = F.col("reason").isNull()
+    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks)
     refusal = F.lit(refusal) if isinstance(refusal, str) else refusal
-    booked = taken.withColumn("reason", F.when(~F.col("accepted"), refusal)).select(
-        *columns, F.when(F.col("accepted"), F.col("level")).cast(MONEY).alias("stock_after")
-    )
-    refused = checked.filter("reason IS NOT NULL").withColumn("stock_after", F.lit(None).cast(MONEY))
-    return booked.unionByName(refused)
+    after = F.when(F.col("accepted"), F.col("level")).cast(MONEY)
+    reason = F.coalesce("reason", F.when(~F.col("accepted"), refusal))
+    return taken.withColumns({"stock_after": after, "reason": reason}).drop("accepted", "level")
 
 
 @dataclass

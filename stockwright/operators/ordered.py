@@ -1,9 +1,10 @@
 """Running values, ids and ranks over a total order, without putting a group or the table in one task.
 
-Rows are range-partitioned by (keys, order) into chunks, so one hot key spans as many chunks as its
-rows need. Within a chunk a window does the work; what earlier (or later) chunks contribute to a key is
-carried over from a summary. A chunk border cuts at most one key, so the carried summary never has more
-rows than there are chunks: that is the proven bound of the broadcasts below.
+Where no key has more rows than a task can sort, a window per key does the work in one shuffle. Otherwise rows
+are range-partitioned by (keys, order) into chunks, so a hot key spans as many chunks as its rows need. Within
+a chunk a window does the work; what earlier (or later) chunks contribute to a key is carried over from a
+summary. A chunk border cuts at most one key, so the carried summary never has more rows than there are
+chunks: that is the proven bound of the broadcasts below.
 """
 
 from __future__ import annotations
@@ -17,20 +18,37 @@ from stockwright.sources.tables import stage
 
 CHUNK = "_chunk"
 
+# Rows of one key that a single task sorts, with spilling; above that the key is spread over chunks.
+ROWS_PER_TASK = 5_000_000
+
 
 class OrderedChunks:
-    """Rows staged in chunks of the order (keys, order). ``order`` must be unique within a key."""
+    """Rows in the order (keys, order), cut into chunks if a key needs it. ``order`` must be unique within a key.
+
+    ``chunks`` forces a number of chunks.
+    """
 
     def __init__(self, rows: DataFrame, keys: list[str], order: list[str | Column], chunks: int | None = None):
+        self.keys, self.order = keys, order
+        self.is_cut = chunks is not None or _largest_group(rows, keys) > ROWS_PER_TASK
+        if not self.is_cut:
+            self.rows = rows
+            return
         by = [*[F.col(key) for key in keys], *[F.col(c) if isinstance(c, str) else c for c in order]]
         ranged = rows.repartitionByRange(chunks, *by) if chunks else rows.repartitionByRange(*by)
         # The partition number is only stable once written.
         self.rows = stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
-        self.keys = keys
-        self.order = order
+
+    @property
+    def groups(self) -> list[str]:
+        """Columns that name a set of rows one task may hold."""
+        return [*self.keys, CHUNK] if self.is_cut else self.keys
 
     def running_sum(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """Sum of ``value`` over the key up to and including each row. ``rows`` derives from ``self.rows``."""
+        here = F.sum(value).over(self._window().rowsBetween(Window.unboundedPreceding, 0))
+        if not self.is_cut:
+            return rows.withColumn(out, here)
         totals = (
             self._of_cut_keys(rows.withColumn("_value", value))
             .groupBy(*self.keys, CHUNK)
@@ -42,15 +60,17 @@ class OrderedChunks:
             .filter(F.col("_carried").isNotNull())
             .drop("_total")
         )
-        here = self._window().rowsBetween(Window.unboundedPreceding, 0)
         return (
             self._carry(rows, carried)
-            .withColumn(out, F.sum(value).over(here) + F.coalesce("_carried", F.lit(0)))
+            .withColumn(out, here + F.coalesce("_carried", F.lit(0)))
             .drop("_carried")
         )
 
     def previous(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """``value`` of the row before, NULL on the first row of a key."""
+        here = F.lag(F.struct(value.alias("v"))).over(self._window())
+        if not self.is_cut:
+            return rows.withColumn(out, here["v"])
         ends = (
             self._of_cut_keys(rows.withColumn("_value", F.struct(value.alias("v"))))
             .groupBy(*self.keys, CHUNK)
@@ -61,7 +81,6 @@ class OrderedChunks:
             .filter(F.col("_carried").isNotNull())
             .drop("_last")
         )
-        here = F.lag(F.struct(value.alias("v"))).over(self._window())
         return (
             self._carry(rows, carried)
             .withColumn(out, F.coalesce(here, F.col("_carried"))["v"])
@@ -70,6 +89,11 @@ class OrderedChunks:
 
     def next_known(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """First non-NULL ``value`` among the rows after each row, NULL when there is none."""
+        # Read backwards, so that the frame only grows and each row is visited once.
+        backwards = self._window(descending=True).rowsBetween(Window.unboundedPreceding, -1)
+        here = F.last(value, ignorenulls=True).over(backwards)
+        if not self.is_cut:
+            return rows.withColumn(out, here)
         position = self._position()
         firsts = (
             self._of_cut_keys(rows.withColumn("_value", value))
@@ -82,11 +106,9 @@ class OrderedChunks:
             .filter(F.col("_carried").isNotNull())
             .drop("_first")
         )
-        # Read backwards, so that the frame only grows and each row is visited once.
-        backwards = self._window(descending=True).rowsBetween(Window.unboundedPreceding, -1)
         return (
             self._carry(rows, carried)
-            .withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(backwards), F.col("_carried")))
+            .withColumn(out, F.coalesce(here, F.col("_carried")))
             .drop("_carried")
         )
 
@@ -94,7 +116,7 @@ class OrderedChunks:
     def cut_keys(self) -> DataFrame:
         """Keys that span more than one chunk (fewer than there are chunks)."""
         span = self.rows.groupBy(*self.keys).agg(F.min(CHUNK).alias("_lo"), F.max(CHUNK).alias("_hi"))
-        return stage(span.filter("_lo < _hi").select(*self.keys).coalesce(1), "cut")
+        return stage(span.filter("_lo < _hi").select(*self.keys).repartition(1), "cut")
 
     def _of_cut_keys(self, rows: DataFrame) -> DataFrame:
         return rows.join(F.broadcast(self.cut_keys), self.keys, "left_semi")
@@ -104,12 +126,17 @@ class OrderedChunks:
 
     def _window(self, descending: bool = False):
         order = [F.col(c) if isinstance(c, str) else c for c in self.order]
-        return Window.partitionBy(*self.keys, CHUNK).orderBy(*[c.desc() if descending else c for c in order])
+        return Window.partitionBy(*self.groups).orderBy(*[c.desc() if descending else c for c in order])
 
     def _position(self) -> Column:
         return F.struct(*self.order)
 
 
+def _largest_group(rows: DataFrame, keys: list[str]) -> int:
+    """Row count of the most frequent key, counted with partial sums."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+
+
 def assign_ids(rows: DataFrame, order: list[str | Column], out: str = "id", after: DataFrame | None = None) -> DataFrame:
     """Consecutive ids in the given order, starting after the largest ``out`` of the table ``after``."""
     tagged = stage(rows.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id()), "ids")
@@ -124,8 +151,8 @@ def assign_ids(rows: DataFrame, order: list[str | Column], out: str = "id", afte
     local = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order))
     numbered = tagged.join(F.broadcast(offsets), CHUNK).withColumn(out, F.col("_offset") + local)
     if after is not None:
-        last = after.agg(F.coalesce(F.max(out), F.lit(0)).alias("_last"))
-        numbered = numbered.join(F.broadcast(last)).withColumn(out, F.col(out) + F.col("_last")).drop("_last")
+        last = after.agg(F.max(out)).first()[0]
+        numbered = numbered.withColumn(out, F.col(out) + F.lit(last or 0))
     return numbered.drop(CHUNK, "_offset")
 
 
