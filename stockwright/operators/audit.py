@@ -57,10 +57,13 @@ def price_history_audit(prices: DataFrame, last_prices: DataFrame | None = None)
     ``last_prices`` (product_id, price) holds the prices before the history starts.
     """
     chunks = OrderedChunks(prices, ["product_id"], ["seq"])
-    steps = chunks.previous(chunks.rows, F.col("price"), "old_price")
+    # In a struct, so that a price that was unknown differs from a history that has only begun.
+    steps = chunks.previous(chunks.rows, F.struct("price"), "_before")
+    before = F.col("_before.price")
     if last_prices is not None:
-        known = last_prices.select("product_id", F.col("price").alias("_last"))
-        steps = steps.join(known, "product_id", "left").withColumn("old_price", F.coalesce("old_price", "_last"))
+        steps = steps.join(last_prices.select("product_id", F.col("price").alias("_last")), "product_id", "left")
+        before = F.when(F.col("_before").isNull(), F.col("_last")).otherwise(before)
+    steps = steps.withColumn("old_price", before)
     return audit_rows(steps.withColumnRenamed("price", "new_price"), "product_id", "changed_at")
 
 

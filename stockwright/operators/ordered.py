@@ -18,7 +18,7 @@ from stockwright.sources.tables import stage
 
 CHUNK = "_chunk"
 
-# Rows of one key that a single task sorts, with spilling; above that the key is spread over chunks.
+# Rows that a single task sorts, with spilling; a key with more is spread over chunks of about this size.
 ROWS_PER_TASK = 5_000_000
 
 
@@ -30,14 +30,14 @@ class OrderedChunks:
 
     def __init__(self, rows: DataFrame, keys: list[str], order: list[str | Column], chunks: int | None = None):
         self.keys, self.order = keys, order
-        self.is_cut = chunks is not None or _largest_group(rows, keys) > ROWS_PER_TASK
+        chunks = chunks or _chunks_needed(rows, keys)
+        self.is_cut = chunks is not None
         if not self.is_cut:
             self.rows = rows
             return
         by = [*[F.col(key) for key in keys], *[F.col(c) if isinstance(c, str) else c for c in order]]
-        ranged = rows.repartitionByRange(chunks, *by) if chunks else rows.repartitionByRange(*by)
         # The partition number is only stable once written.
-        self.rows = stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
+        self.rows = stage(rows.repartitionByRange(chunks, *by).withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
     @property
     def groups(self) -> list[str]:
@@ -132,9 +132,13 @@ class OrderedChunks:
         return F.struct(*self.order)
 
 
-def _largest_group(rows: DataFrame, keys: list[str]) -> int:
-    """Row count of the most frequent key, counted with partial sums."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+def _chunks_needed(rows: DataFrame, keys: list[str]) -> int | None:
+    """Number of chunks for rows with a key too large for a task, None when there is no such key."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
+    if (largest or 0) <= ROWS_PER_TASK:
+        return None
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_TASK))
 
 
 def assign_ids(rows: DataFrame, order: list[str | Column], out: str = "id", after: DataFrame | None = None) -> DataFrame:
