@@ -165,26 +165,30 @@ def product_sample_dims(t, limit: int = 3) -> DataFrame:
     )
 
 
+def known_name(table: DataFrame, id_, what: str) -> str:
+    """Name of the row with an id, looked up before a report starts; unknown ids are an error."""
+    row = table.filter(F.col("id") == id_).select("name").first()
+    if row is None:
+        raise ValueError(f"{what} not found")
+    return row["name"]
+
+
 def stock_of_products(t, product_ids: list, warehouse_id: int) -> DataFrame:
-    """Stock and status of chosen products in one warehouse, 0 where nothing moved."""
+    """Stock and status of chosen products in one active warehouse, 0 where nothing moved."""
+    site = known_name(t.warehouse.filter("is_active"), warehouse_id, "Warehouse")
     chosen = t.product.filter(F.col("id").isin(product_ids) & F.col("is_active"))
-    site = t.warehouse.filter((F.col("id") == warehouse_id) & F.col("is_active")).select(
-        F.col("id").alias("warehouse_id"), F.col("name").alias("warehouse_name")
-    )
     return (
         stock_in(chosen, t.inventory_movement, warehouse_id)
-        .withColumn("warehouse_id", F.lit(warehouse_id).cast("bigint"))
-        .join(site, "warehouse_id")
         .select(
             "sku",
             F.col("name").alias("product_name"),
-            "warehouse_name",
+            F.lit(site).alias("warehouse_name"),
             "current_stock",
             "min_stock_level",
             "max_stock_level",
             stock_status("current_stock").alias("stock_status"),
         )
-        .orderBy("product_name", "warehouse_name", "sku")
+        .orderBy("product_name", "sku")
     )
 
 
@@ -831,6 +835,7 @@ def stock_report(t, warehouse_id: int, category_id=None, low_only: bool = False,
     Filters are added only when asked for. ``by_status_text`` selects the shorter report that is ordered
     by the status text; the longer one shows low stock first.
     """
+    known_name(t.warehouse, warehouse_id, "Warehouse")
     product = t.product.filter("is_active")
     if category_id is not None:
         product = product.filter(F.col("category_id") == category_id)
@@ -882,6 +887,7 @@ def supplier_report(t, supplier_id: int | None = None, fan_out: bool = True) ->
     """
     supplier, offers, invoices = t.supplier, t.product_supplier, t.purchase_invoice
     if supplier_id is not None:
+        known_name(supplier, supplier_id, "Supplier")
         supplier = supplier.filter(F.col("id") == supplier_id)
         offers = offers.filter(F.col("supplier_id") == supplier_id)
         invoices = invoices.filter(F.col("supplier_id") == supplier_id)

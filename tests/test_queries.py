@@ -31,6 +31,7 @@ def test_query(spark, connection, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = QUERIES["purchases_by_supplier"](spark, SMALL)._jdf.queryExecution().toString()
     lines = [line for line in text.splitlines() if "FileScan" in line and "lineitem" in line]
     assert lines

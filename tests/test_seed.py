@@ -150,6 +150,13 @@ def test_stock_report(second):
     assert [row.stock_status for row in R.stock_report(second, 1, by_status_text=True).collect()][:2] == ["LOW", "LOW"]
 
 
+def test_reports_on_unknown_ids_fail(second):
+    with pytest.raises(ValueError, match="Warehouse not found"):
+        R.stock_report(second, 99)
+    with pytest.raises(ValueError, match="Supplier not found"):
+        R.supplier_report(second, 99)
+
+
 def test_ranking_without_sales_is_empty(second):
     assert rows(R.product_ranking(second)) == []
 
