@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import MONEY, changed, percent_change, signed_qty
 from stockwright.operators.ledger import CELL
 from stockwright.operators.ordered import OrderedChunks
@@ -104,7 +105,7 @@ class StockTimeline:
             F.col("created_at").alias("alert_date"),
             F.col("_recovery").isNotNull().alias("is_resolved"),
             F.col("_recovery.created_at").alias("resolved_at"),
-            F.when(F.col("_recovery").isNotNull(), "Stock replenished").alias("resolved_by"),
+            F.when(F.col("_recovery").isNotNull(), W.REPLENISHED).alias("resolved_by"),
         )
 
     def episodes(self) -> DataFrame:
@@ -133,7 +134,7 @@ def resolve_on_deactivation(alerts: DataFrame, deactivated: DataFrame, at) -> Da
     marked = alerts.join(
         deactivated.select("product_id").distinct().withColumn("_off", F.lit(True)), "product_id", "left"
     )
-    return close_alerts(marked, F.coalesce("_off", F.lit(False)), F.lit(at), "Product deactivation").drop("_off")
+    return close_alerts(marked, F.coalesce("_off", F.lit(False)), F.lit(at), W.DEACTIVATED).drop("_off")
 
 
 def close_alerts(alerts: DataFrame, condition, at, by: str) -> DataFrame:

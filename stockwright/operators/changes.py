@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import MONEY
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.ledger import CELL, current_stock
@@ -81,7 +82,7 @@ def movements_of_purchases(invoice: DataFrame, lines: DataFrame, supplier: DataF
     names = supplier.select(F.col("id").alias("supplier_id"), F.col("name").alias("_supplier"))
     header = invoice.join(names, "supplier_id").select(
         F.col("id").alias("purchase_invoice_id"),
-        F.concat(F.lit("Purchase from "), F.col("_supplier"), F.lit(", invoice "), F.col("invoice_no")).alias("note"),
+        F.concat(F.lit(W.PURCHASE_NOTE), F.col("_supplier"), F.lit(W.INVOICE_NOTE), F.col("invoice_no")).alias("note"),
     )
     return lines.join(header, "purchase_invoice_id").select(
         *CELL,
@@ -98,7 +99,7 @@ def movements_of_sales(invoice: DataFrame, lines: DataFrame) -> DataFrame:
     header = invoice.select(
         F.col("id").alias("sales_invoice_id"),
         F.concat(
-            F.lit("Sale to customer "), F.col("customer_name"), F.lit(", invoice "), F.col("invoice_no")
+            F.lit(W.SALE_NOTE), F.col("customer_name"), F.lit(W.INVOICE_NOTE), F.col("invoice_no")
         ).alias("note"),
     )
     return lines.join(header, "sales_invoice_id").select(
@@ -184,7 +185,7 @@ def upsert_alerts(alerts: DataFrame, low: DataFrame, at) -> DataFrame:
     )
 
 
-def resolve_by_purchase(alerts: DataFrame, lines: DataFrame, at, by: str = "Purchase confirmation") -> DataFrame:
+def resolve_by_purchase(alerts: DataFrame, lines: DataFrame, at, by: str = W.PURCHASE_CONFIRMED) -> DataFrame:
     """Alerts after closing the open ones of the cells that the lines fill."""
     filled = lines.select(*CELL).distinct().withColumn("_filled", F.lit(True))
     marked = alerts.join(filled, CELL, "left")

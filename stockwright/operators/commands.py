@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import MONEY, first_failure, line_total, signed_qty
 from stockwright.operators.allocation import allocate
 from stockwright.operators.audit import close_alerts
@@ -20,7 +21,6 @@ from stockwright.operators.changes import movements_of_purchases, not_yet_moved
 from stockwright.operators.ledger import CELL
 from stockwright.operators.rules import qty_and_price, with_dimensions, with_status
 
-NO_STOCK = "Insufficient stock"
 
 
 def _level(opening: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ class SaleBatch:
         )
 
     def movements(self) -> DataFrame:
-        note = F.concat(F.lit("Sale to customer "), "customer_name", F.lit(", invoice "), "invoice_no")
+        note = F.concat(F.lit(W.SALE_NOTE), "customer_name", F.lit(W.INVOICE_NOTE), "invoice_no")
         return self.accepted.select(
             *CELL,
             F.lit("OUT").alias("movement_type"),
@@ -105,8 +105,8 @@ def process_sales(
         first_failure(
             [
                 *qty_and_price(),
-                ("Product is not active", ~F.coalesce("product_active", F.lit(False))),
-                ("Warehouse is not active", ~F.coalesce("warehouse_active", F.lit(False))),
+                (W.PRODUCT_INACTIVE, ~F.coalesce("product_active", F.lit(False))),
+                (W.WAREHOUSE_INACTIVE, ~F.coalesce("warehouse_active", F.lit(False))),
             ]
         ),
     )
@@ -118,16 +118,16 @@ def process_sales(
     taken = F.coalesce(F.col("_used"), F.col("seq") != F.col("_first"))
     checked = (
         checked.join(numbers, "invoice_no", "left")
-        .withColumn("reason", F.coalesce("reason", first_failure([("Invoice number is taken", taken)])))
+        .withColumn("reason", F.coalesce("reason", first_failure([(W.NUMBER_TAKEN, taken)])))
         .drop("_first", "_used", "product_active", "warehouse_active", "max_stock_level")
     )
-    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), NO_STOCK, chunks)
+    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
 
 
 def safe_decrease_stock(requests: DataFrame, opening: DataFrame, chunks: int | None = None) -> DataFrame:
     """Takes stock out as long as it lasts: (seq, product_id, warehouse_id, qty)."""
     checked = requests.withColumn("reason", F.lit(None).cast("string"))
-    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), NO_STOCK, chunks)
+    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
 
 
 def add_purchase_lines(
@@ -145,10 +145,10 @@ def add_purchase_lines(
     stock moves.
     """
     rows = with_dimensions(with_status(requests, invoice, "purchase_invoice_id"), product, warehouse)
-    no_invoice = ("Purchase invoice not found", F.col("invoice_status").isNull())
-    no_product = ("Product not found or not active", ~F.coalesce("product_active", F.lit(False)))
-    no_warehouse = ("Warehouse not found or not active", ~F.coalesce("warehouse_active", F.lit(False)))
-    not_draft = ("Cannot add line to confirmed or cancelled invoice", F.col("invoice_status") != "DRAFT")
+    no_invoice = (W.NO_INVOICE, F.col("invoice_status").isNull())
+    no_product = (W.PRODUCT_UNUSABLE, ~F.coalesce("product_active", F.lit(False)))
+    no_warehouse = (W.WAREHOUSE_UNUSABLE, ~F.coalesce("warehouse_active", F.lit(False)))
+    not_draft = (W.LINE_CLOSED, F.col("invoice_status") != "DRAFT")
     if lines_only:
         return rows.withColumn("reason", first_failure([no_invoice, not_draft, no_product, no_warehouse]))
     checked = rows.withColumn(
@@ -172,7 +172,7 @@ def add_purchase_lines(
         -F.col("qty"),
         F.col("max_stock_level").isNotNull(),
         room.unionByName(empty),
-        "Exceeds maximum stock level",
+        W.OVER_MAX,
         chunks,
     )
     return booked.withColumn("stock_after", (limit - F.col("stock_after")).cast(MONEY))
@@ -210,13 +210,13 @@ def adjust_inventory(
         "reason",
         first_failure(
             [
-                ("Product not found", ~F.coalesce(product_ok, F.lit(False))),
-                ("Warehouse not found", ~F.coalesce(warehouse_ok, F.lit(False))),
+                (W.NO_PRODUCT, ~F.coalesce(product_ok, F.lit(False))),
+                (W.NO_WAREHOUSE, ~F.coalesce(warehouse_ok, F.lit(False))),
             ]
         ),
     )
     return _book(
-        checked, F.col("qty"), F.lit(not active_only), _level(opening), "Would result in negative stock", chunks
+        checked, F.col("qty"), F.lit(not active_only), _level(opening), W.UNDER_ZERO, chunks
     )
 
 
@@ -268,19 +268,19 @@ def validate_movements(
     rows = with_dimensions(requests, product, warehouse)
     kind, qty = F.col("movement_type"), F.col("qty")
     inactive = ~F.col("product_active")
-    closed = ("Cannot add movement to inactive warehouse", ~F.col("warehouse_active"))
+    closed = (W.MOVE_CLOSED_SITE, ~F.col("warehouse_active"))
     if strict:
         rules = [
-            ("Cannot add movement for inactive product", inactive),
+            (W.MOVE_INACTIVE, inactive),
             closed,
-            ("Invalid movement type", ~kind.isin("IN", "OUT", "ADJUST")),
-            ("Quantity must be greater than 0", qty <= 0),
+            (W.MOVE_KIND, ~kind.isin("IN", "OUT", "ADJUST")),
+            (W.NO_QTY, qty <= 0),
         ]
         guarded = kind == "OUT"
     else:
-        rules = [("Cannot add movement for inactive product", inactive & (kind != "ADJUST")), closed]
+        rules = [(W.MOVE_INACTIVE, inactive & (kind != "ADJUST")), closed]
         guarded = kind.isin("OUT", "ADJUST")
-    refusal = F.when(kind == "OUT", NO_STOCK).otherwise("Would result in negative stock")
+    refusal = F.when(kind == "OUT", W.NO_STOCK).otherwise(W.UNDER_ZERO)
     checked = rows.withColumn("reason", first_failure(rules))
     return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks)
 
@@ -292,9 +292,9 @@ def confirm_purchases(requests: DataFrame, invoice: DataFrame) -> DataFrame:
         "reason",
         first_failure(
             [
-                ("Purchase invoice not found", F.col("status").isNull()),
-                ("Invoice is already confirmed", F.col("status") == "CONFIRMED"),
-                ("Cannot confirm cancelled invoice", F.col("status") == "CANCELLED"),
+                (W.NO_INVOICE, F.col("status").isNull()),
+                (W.IS_CONFIRMED, F.col("status") == "CONFIRMED"),
+                (W.IS_CANCELLED, F.col("status") == "CANCELLED"),
             ]
         ),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import MONEY, first_failure, signed_qty
 
 CELL = ["product_id", "warehouse_id"]
@@ -21,8 +22,8 @@ def stock_of(requests: DataFrame, movement: DataFrame, product: DataFrame, wareh
     known_warehouse = warehouse.select(F.col("id").alias("warehouse_id"), F.lit(True).alias("_warehouse"))
     reason = first_failure(
         [
-            ("Product not found", F.col("_product").isNull()),
-            ("Warehouse not found", F.col("_warehouse").isNull()),
+            (W.NO_PRODUCT, F.col("_product").isNull()),
+            (W.NO_WAREHOUSE, F.col("_warehouse").isNull()),
         ]
     )
     return (

@@ -9,15 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import MONEY, changed, count_if, first_failure, percent_change
 from stockwright.operators.ledger import CELL, current_stock
 
-NO_QTY = "Quantity must be greater than 0"
-NO_PRICE = "Price must be greater than 0"
 
 
 def qty_and_price() -> list[tuple[str, Column]]:
-    return [(NO_QTY, F.col("qty") <= 0), (NO_PRICE, F.col("unit_price") <= 0)]
+    return [(W.NO_QTY, F.col("qty") <= 0), (W.NO_PRICE, F.col("unit_price") <= 0)]
 
 
 def with_status(rows: DataFrame, invoice: DataFrame, key: str) -> DataFrame:
@@ -50,11 +49,11 @@ def validate_purchase_lines(
         "reason",
         first_failure(
             [
-                ("Cannot add line to confirmed or cancelled invoice", F.col("invoice_status") != "DRAFT"),
-                ("Cannot add inactive product to purchase", ~F.col("product_active")),
-                ("Cannot add purchase to inactive warehouse", ~F.col("warehouse_active")),
+                (W.LINE_CLOSED, F.col("invoice_status") != "DRAFT"),
+                (W.BUY_INACTIVE, ~F.col("product_active")),
+                (W.BUY_CLOSED_SITE, ~F.col("warehouse_active")),
                 *qty_and_price(),
-                ("Exceeds maximum stock level", F.col("stock") + F.col("qty") > F.col("max_stock_level")),
+                (W.OVER_MAX, F.col("stock") + F.col("qty") > F.col("max_stock_level")),
             ]
         ),
     )
@@ -78,18 +77,18 @@ def validate_sales_lines(
     short = F.col("stock") < F.col("qty")
     if drafts_only:
         rules = [
-            ("Cannot add line to confirmed or cancelled invoice", not_draft),
-            ("Cannot sell inactive product", ~F.col("product_active")),
-            ("Cannot sell from inactive warehouse", ~F.col("warehouse_active")),
+            (W.LINE_CLOSED, not_draft),
+            (W.SELL_INACTIVE, ~F.col("product_active")),
+            (W.SELL_CLOSED_SITE, ~F.col("warehouse_active")),
             *qty_and_price(),
-            ("Insufficient stock", short),
-            ("Sale will bring stock below minimum level", F.col("stock") - F.col("qty") < F.col("min_stock_level")),
+            (W.NO_STOCK, short),
+            (W.UNDER_MIN, F.col("stock") - F.col("qty") < F.col("min_stock_level")),
         ]
     else:
         rules = [
-            ("Insufficient stock", not_draft & short),
-            ("Cannot sell inactive product", not_draft & ~F.col("product_active")),
-            ("Cannot sell from inactive warehouse", not_draft & ~F.col("warehouse_active")),
+            (W.NO_STOCK, not_draft & short),
+            (W.SELL_INACTIVE, not_draft & ~F.col("product_active")),
+            (W.SELL_CLOSED_SITE, not_draft & ~F.col("warehouse_active")),
             *qty_and_price(),
         ]
     return rows.withColumn("reason", first_failure(rules))
@@ -103,11 +102,11 @@ def validate_purchase_status(changes: DataFrame) -> DataFrame:
         first_failure(
             [
                 (
-                    "Cannot change status of confirmed or cancelled invoice",
+                    W.PURCHASE_FIXED,
                     fixed & (F.col("new_status") != F.col("status")),
                 ),
                 (
-                    "Cannot change supplier for confirmed or cancelled invoice",
+                    W.SUPPLIER_FIXED,
                     fixed & (F.col("new_supplier_id") != F.col("supplier_id")),
                 ),
             ]
@@ -124,7 +123,7 @@ def validate_sales_confirm(
     """
     rules = [
         (
-            "Cannot change status of confirmed, shipped or cancelled invoice",
+            W.SALE_FIXED,
             (F.col("status") != "DRAFT") & (F.col("new_status") != F.col("status")),
         )
     ]
@@ -138,7 +137,7 @@ def validate_sales_confirm(
         .groupBy(F.col("sales_invoice_id").alias("id"))
         .agg(count_if(F.col("stock") < F.col("qty")).alias("short_lines"))
     )
-    rules.append(("Cannot confirm invoice: insufficient stock for some products", F.col("short_lines") > 0))
+    rules.append((W.SALE_SHORT, F.col("short_lines") > 0))
     return changes.join(short, "id", "left").withColumn("reason", first_failure(rules))
 
 
@@ -178,17 +177,17 @@ def validate_product_updates(
             "reason",
             first_failure(
                 [
-                    ("Cannot reduce price by more than 20%", too_cheap),
-                    ("Minimum stock level cannot be negative", F.col("new_min") < 0),
+                    (W.PRICE_DROP, too_cheap),
+                    (W.MIN_NEGATIVE, F.col("new_min") < 0),
                     (
-                        "Maximum stock level must be greater than minimum stock level",
+                        W.MAX_TOO_LOW,
                         F.col("new_max") <= F.col("new_min"),
                     ),
                     (
-                        "Cannot deactivate product: it exists in draft purchase invoices",
+                        W.ON_DRAFT_PURCHASE,
                         leaving & F.col("_bought"),
                     ),
-                    ("Cannot deactivate product: it exists in draft sales invoices", leaving & F.col("_sold")),
+                    (W.ON_DRAFT_SALE, leaving & F.col("_sold")),
                 ]
             ),
         )
@@ -201,7 +200,7 @@ def validate_line_deletes(lines: DataFrame, invoice: DataFrame, key: str) -> Dat
     """Lines to delete: only those of drafts may go."""
     return with_status(lines, invoice, key).withColumn(
         "reason",
-        first_failure([("Cannot delete line from a document that is not a draft", F.col("invoice_status") != "DRAFT")]),
+        first_failure([(W.DELETE_CLOSED, F.col("invoice_status") != "DRAFT")]),
     )
 
 

@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import (
     MONEY,
     contains_text,
@@ -145,7 +146,7 @@ def sales_with_warehouse(t) -> DataFrame:
     )
 
 
-def products_with_supplier_or_default(t, default: str = "Нет поставщика") -> DataFrame:
+def products_with_supplier_or_default(t, default: str = W.NO_SUPPLIER) -> DataFrame:
     offers = t.product_supplier.select("product_id", "supplier_id", "supplier_sku", "lead_time_days")
     return (
         t.product.select(F.col("id").alias("product_id"), "sku", F.col("name").alias("product"))

@@ -1,5 +1,6 @@
 """Check queries for table changes, rules, commands, alerts and audits."""
 
+from stockwright.functions import wording as W
 from stockwright.plans.oracle_model import half_up, percent
 
 D = "CAST({} AS DOUBLE) AS {}".format
@@ -10,8 +11,8 @@ def first_failure(*rules: tuple[str, str]) -> str:
 
 
 _QTY_PRICE = (
-    ("Quantity must be greater than 0", "l.qty <= 0"),
-    ("Price must be greater than 0", "l.unit_price <= 0"),
+    (W.NO_QTY, "l.qty <= 0"),
+    (W.NO_PRICE, "l.unit_price <= 0"),
 )
 _ASKED = """
 CAST(l_quantity - 2 AS DECIMAL(12,2)) AS qty,
@@ -47,17 +48,17 @@ def _competition(level: str, delta: str, guarded: str, more: str = "") -> str:
 _SALE_BATCH = f"""
 , {_asked('m_sales_line', 'sales_invoice_id')}, sound AS (
   SELECT l.*, 'S-' || l_orderkey || '-' || l_linenumber AS invoice_no, p.min_stock_level,
-    {first_failure(*_QTY_PRICE, ("Product is not active", "NOT p.is_active"),
-                   ("Warehouse is not active", "NOT w.is_active"))} AS reason
+    {first_failure(*_QTY_PRICE, (W.PRODUCT_INACTIVE, "NOT p.is_active"),
+                   (W.WAREHOUSE_INACTIVE, "NOT w.is_active"))} AS reason
   FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
 ), checked AS MATERIALIZED (
   SELECT * EXCLUDE (reason), COALESCE(reason, CASE WHEN seq <>
-    MIN(CASE WHEN reason IS NULL THEN seq END) OVER (PARTITION BY invoice_no) THEN 'Invoice number is taken' END) AS reason
+    MIN(CASE WHEN reason IS NULL THEN seq END) OVER (PARTITION BY invoice_no) THEN '{W.NUMBER_TAKEN}' END) AS reason
   FROM sound
 ), opening AS MATERIALIZED (SELECT * FROM m_opening)
 {_competition("COALESCE(o.stock, 0)", "-l.qty", "TRUE")}
 , outcome AS (
-  SELECT l.*, COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN 'Insufficient stock' END) AS final,
+  SELECT l.*, COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN '{W.NO_STOCK}' END) AS final,
     CASE WHEN walk.accepted THEN walk.level END AS stock_after
   FROM checked l LEFT JOIN walk ON walk.seq = l.seq
 )
@@ -66,9 +67,9 @@ _SALE_BATCH = f"""
 _PURCHASE_BATCH = f"""
 , {_asked('m_purchase_line', 'purchase_invoice_id')}, checked AS MATERIALIZED (
   SELECT l.*, p.max_stock_level,
-    {first_failure(*_QTY_PRICE, ("Product not found or not active", "NOT p.is_active"),
-                   ("Warehouse not found or not active", "NOT w.is_active"),
-                   ("Cannot add line to confirmed or cancelled invoice", "i.status <> 'DRAFT'"))} AS reason
+    {first_failure(*_QTY_PRICE, (W.PRODUCT_UNUSABLE, "NOT p.is_active"),
+                   (W.WAREHOUSE_UNUSABLE, "NOT w.is_active"),
+                   (W.LINE_CLOSED, "i.status <> 'DRAFT'"))} AS reason
   FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
   JOIN m_purchase_invoice i ON i.id = l.purchase_invoice_id
 ), opening AS MATERIALIZED (SELECT * FROM m_stock)
@@ -82,7 +83,7 @@ _ADJUST_BATCH = f"""
 ), opening AS MATERIALIZED (SELECT * FROM m_opening)
 {_competition("COALESCE(o.stock, 0)", "l.qty", "TRUE")}
 , outcome AS (
-  SELECT l.*, CASE WHEN NOT walk.accepted THEN 'Would result in negative stock' END AS final,
+  SELECT l.*, CASE WHEN NOT walk.accepted THEN '{W.UNDER_ZERO}' END AS final,
     CASE WHEN walk.accepted THEN walk.level END AS stock_after
   FROM checked l LEFT JOIN walk ON walk.seq = l.seq
 )
@@ -90,7 +91,7 @@ _ADJUST_BATCH = f"""
 _ADJUST_ACTIVE = f"""
 , checked AS MATERIALIZED (
   SELECT m.*, p.min_stock_level,
-    {first_failure(("Product not found", "NOT p.is_active"), ("Warehouse not found", "NOT w.is_active"))} AS reason
+    {first_failure((W.NO_PRODUCT, "NOT p.is_active"), (W.NO_WAREHOUSE, "NOT w.is_active"))} AS reason
   FROM m_movement m JOIN m_product p ON p.id = m.product_id JOIN m_warehouse w ON w.id = m.warehouse_id
   WHERE movement_type = 'ADJUST'
 ), outcome AS (
@@ -112,8 +113,8 @@ def _movement_batch(rules: str, guarded: str) -> str:
 ), opening AS MATERIALIZED (SELECT * FROM m_stock WHERE FALSE)
 {_competition("COALESCE(o.stock, 0)", "l.delta", guarded)}
 SELECT l.product_id, l.warehouse_id, l.movement_type, l.related_id, {D('l.qty', 'qty')},
-  COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN CASE WHEN l.movement_type = 'OUT' THEN 'Insufficient stock'
-    ELSE 'Would result in negative stock' END END) AS reason,
+  COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN CASE WHEN l.movement_type = 'OUT' THEN '{W.NO_STOCK}'
+    ELSE '{W.UNDER_ZERO}' END END) AS reason,
   {D('CASE WHEN walk.accepted THEN walk.level END', 'stock_after')}
 FROM checked l LEFT JOIN walk ON walk.seq = l.seq
 """
@@ -130,8 +131,8 @@ _LATEST_PRICE = """
 _PURCHASE_CHANGES = f"""
 , judged AS (
   SELECT l.*, {first_failure(
-      ("Cannot change status of confirmed or cancelled invoice", "l.status <> 'DRAFT' AND l.new_status <> l.status"),
-      ("Cannot change supplier for confirmed or cancelled invoice",
+      (W.PURCHASE_FIXED, "l.status <> 'DRAFT' AND l.new_status <> l.status"),
+      (W.SUPPLIER_FIXED,
        "l.status <> 'DRAFT' AND l.new_supplier_id <> l.supplier_id"))} AS reason
   FROM m_purchase_change l
 ), confirmed AS (
@@ -148,9 +149,9 @@ _SALES_CHANGES = f"""
 ), judged AS (
   SELECT l.*, CASE WHEN l.status = 'DRAFT' AND l.new_status = 'CONFIRMED' THEN s.short_lines END AS short_lines,
     {first_failure(
-      ("Cannot change status of confirmed, shipped or cancelled invoice",
+      (W.SALE_FIXED,
        "l.status <> 'DRAFT' AND l.new_status <> l.status"),
-      ("Cannot confirm invoice: insufficient stock for some products",
+      (W.SALE_SHORT,
        "l.status = 'DRAFT' AND l.new_status = 'CONFIRMED' AND s.short_lines > 0"))} AS reason
   FROM m_sales_change l JOIN shortage s ON s.id = l.id
 ), confirmed AS (
@@ -182,11 +183,11 @@ _OPEN_BEFORE = """
 )
 """
 
-_CLOSED = """
-SELECT a.product_id, a.warehouse_id, a.is_resolved OR {hit} AS is_resolved,
-  CASE WHEN NOT a.is_resolved AND {hit} THEN '2001-11-04 00:00:00'
+_CLOSED = f"""
+SELECT a.product_id, a.warehouse_id, a.is_resolved OR {{hit}} AS is_resolved,
+  CASE WHEN NOT a.is_resolved AND {{hit}} THEN '2001-11-04 00:00:00'
     WHEN a.is_resolved THEN CAST(a.alert_date AS VARCHAR) END AS resolved_at,
-  CASE WHEN NOT a.is_resolved AND {hit} THEN '{by}' WHEN a.is_resolved THEN 'Stock replenished' END AS resolved_by
+  CASE WHEN NOT a.is_resolved AND {{hit}} THEN '{{by}}' WHEN a.is_resolved THEN '{W.REPLENISHED}' END AS resolved_by
 FROM earlier a
 """
 
@@ -229,12 +230,12 @@ SELECT related_type, COUNT(*) AS movements, {D('SUM(qty)', 'qty')} FROM (
   WHERE pi.status = 'CONFIRMED') GROUP BY related_type""",
     "movements_from_confirmed_purchases": f"""
 SELECT pl.product_id, pl.warehouse_id, 'IN' AS movement_type, {D('pl.qty', 'qty')}, 'purchase' AS related_type,
-  pi.id AS related_id, 'Purchase from ' || s.name || ', invoice ' || pi.invoice_no AS note
+  pi.id AS related_id, '{W.PURCHASE_NOTE}' || s.name || '{W.INVOICE_NOTE}' || pi.invoice_no AS note
 FROM m_purchase_line pl JOIN m_purchase_invoice pi ON pi.id = pl.purchase_invoice_id
 JOIN m_supplier s ON s.id = pi.supplier_id WHERE pi.status = 'CONFIRMED'""",
     "movements_from_confirmed_sales": f"""
 SELECT sl.product_id, sl.warehouse_id, 'OUT' AS movement_type, {D('sl.qty', 'qty')}, 'sale' AS related_type,
-  si.id AS related_id, 'Sale to customer ' || si.customer_name || ', invoice ' || si.invoice_no AS note
+  si.id AS related_id, '{W.SALE_NOTE}' || si.customer_name || '{W.INVOICE_NOTE}' || si.invoice_no AS note
 FROM m_sales_line sl JOIN m_sales_invoice si ON si.id = sl.sales_invoice_id WHERE si.status = 'CONFIRMED'""",
     "apply_updates": f"""
 SELECT p.id, p.sku, {D('CASE WHEN ch.new_active THEN ch.new_price ELSE p.default_price END', 'default_price')},
@@ -292,7 +293,7 @@ WHERE NOT s.is_active AND EXISTS (SELECT 1 FROM m_purchase_invoice pi WHERE pi.s
     # Stock functions
     "current_stock": f"""
 SELECT r.product_id, r.warehouse_id, {D('CASE WHEN p.id IS NOT NULL AND w.id IS NOT NULL THEN COALESCE(st.stock, 0) END', 'stock')},
-  CASE WHEN p.id IS NULL THEN 'Product not found' WHEN w.id IS NULL THEN 'Warehouse not found' END AS reason
+  CASE WHEN p.id IS NULL THEN '{W.NO_PRODUCT}' WHEN w.id IS NULL THEN '{W.NO_WAREHOUSE}' END AS reason
 FROM (SELECT CASE WHEN p_partkey % 50 = 0 THEN -1 ELSE p_partkey END AS product_id, p_partkey % 7 AS warehouse_id FROM part) r
 LEFT JOIN m_product p ON p.id = r.product_id LEFT JOIN m_warehouse w ON w.id = r.warehouse_id
 LEFT JOIN m_stock st ON st.product_id = r.product_id AND st.warehouse_id = r.warehouse_id""",
@@ -322,21 +323,21 @@ FROM outcome WHERE final IS NULL""",
 opening AS MATERIALIZED (SELECT * FROM m_opening)
 {_competition("COALESCE(o.stock, 0)", "-l.qty", "TRUE")}
 SELECT l.sales_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')},
-  CASE WHEN NOT walk.accepted THEN 'Insufficient stock' END AS reason,
+  CASE WHEN NOT walk.accepted THEN '{W.NO_STOCK}' END AS reason,
   {D('CASE WHEN walk.accepted THEN walk.level END', 'stock_after')}
 FROM checked l LEFT JOIN walk ON walk.seq = l.seq""",
     "add_purchase_lines": _PURCHASE_BATCH
     + f"""
 SELECT l.purchase_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')}, {D('l.unit_price', 'unit_price')},
-  COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN 'Exceeds maximum stock level' END) AS reason,
+  COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN '{W.OVER_MAX}' END) AS reason,
   {D('CASE WHEN walk.accepted THEN COALESCE(l.max_stock_level, 0) - walk.level END', 'stock_after')}
 FROM checked l LEFT JOIN walk ON walk.seq = l.seq""",
     "add_purchase_lines_v4": f"""
 , {_asked('m_purchase_line', 'purchase_invoice_id')}
 SELECT l.purchase_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')}, {D('l.unit_price', 'unit_price')},
-  {first_failure(("Cannot add line to confirmed or cancelled invoice", "i.status <> 'DRAFT'"),
-                 ("Product not found or not active", "NOT p.is_active"),
-                 ("Warehouse not found or not active", "NOT w.is_active"))} AS reason
+  {first_failure((W.LINE_CLOSED, "i.status <> 'DRAFT'"),
+                 (W.PRODUCT_UNUSABLE, "NOT p.is_active"),
+                 (W.WAREHOUSE_UNUSABLE, "NOT w.is_active"))} AS reason
 FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
 JOIN m_purchase_invoice i ON i.id = l.purchase_invoice_id""",
     "adjust_inventory": _ADJUST_BATCH
@@ -358,17 +359,13 @@ SELECT o.product_id, o.warehouse_id, {D('arg_min(stock_after, seq)', 'current_st
 FROM outcome o WHERE stock_after <= o.min_stock_level AND NOT EXISTS (
   SELECT 1 FROM earlier e WHERE e.product_id = o.product_id AND e.warehouse_id = o.warehouse_id AND NOT e.is_resolved)
 GROUP BY o.product_id, o.warehouse_id""",
-    "confirm_purchases": """
-SELECT pi.id, {reason} AS reason FROM m_purchase_invoice pi WHERE o_orderpriority = '1-URGENT'
-UNION ALL SELECT '-1/-1', 'Purchase invoice not found'""".format(
-        reason=first_failure(
-            ("Invoice is already confirmed", "pi.status = 'CONFIRMED'"),
-            ("Cannot confirm cancelled invoice", "pi.status = 'CANCELLED'"),
-        )
-    ),
+    "confirm_purchases": f"""
+SELECT pi.id, {first_failure((W.IS_CONFIRMED, "pi.status = 'CONFIRMED'"), (W.IS_CANCELLED, "pi.status = 'CANCELLED'"))} AS reason
+FROM m_purchase_invoice pi WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT '-1/-1', '{W.NO_INVOICE}'""",
     "confirm_purchases_movements": f"""
 SELECT pl.product_id, pl.warehouse_id, 'IN' AS movement_type, {D('pl.qty', 'qty')}, 'purchase' AS related_type,
-  pi.id AS related_id, 'Purchase from ' || s.name || ', invoice ' || pi.invoice_no AS note
+  pi.id AS related_id, '{W.PURCHASE_NOTE}' || s.name || '{W.INVOICE_NOTE}' || pi.invoice_no AS note
 FROM m_purchase_line pl JOIN m_purchase_invoice pi ON pi.id = pl.purchase_invoice_id
 JOIN m_supplier s ON s.id = pi.supplier_id
 WHERE pi.status = 'DRAFT' AND o_orderpriority = '1-URGENT' AND pl.l_shipdate >= DATE '2000-01-01'""",
@@ -376,30 +373,30 @@ WHERE pi.status = 'DRAFT' AND o_orderpriority = '1-URGENT' AND pl.l_shipdate >=
     "validate_purchase_lines": f"""
 , {_asked('m_purchase_line', 'purchase_invoice_id')}
 SELECT l.purchase_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')}, {D('l.unit_price', 'unit_price')},
-  {first_failure(("Cannot add line to confirmed or cancelled invoice", "i.status <> 'DRAFT'"),
-                 ("Cannot add inactive product to purchase", "NOT p.is_active"),
-                 ("Cannot add purchase to inactive warehouse", "NOT w.is_active"), *_QTY_PRICE,
-                 ("Exceeds maximum stock level", "COALESCE(st.stock, 0) + l.qty > p.max_stock_level"))} AS reason
+  {first_failure((W.LINE_CLOSED, "i.status <> 'DRAFT'"),
+                 (W.BUY_INACTIVE, "NOT p.is_active"),
+                 (W.BUY_CLOSED_SITE, "NOT w.is_active"), *_QTY_PRICE,
+                 (W.OVER_MAX, "COALESCE(st.stock, 0) + l.qty > p.max_stock_level"))} AS reason
 FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
 JOIN m_purchase_invoice i ON i.id = l.purchase_invoice_id
 LEFT JOIN m_stock st ON st.product_id = l.product_id AND st.warehouse_id = l.warehouse_id""",
     "validate_sales_lines": f"""
 , {_asked('m_sales_line', 'sales_invoice_id')}
 SELECT l.sales_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')}, {D('l.unit_price', 'unit_price')},
-  {first_failure(("Insufficient stock", "i.status <> 'DRAFT' AND COALESCE(st.stock, 0) < l.qty"),
-                 ("Cannot sell inactive product", "i.status <> 'DRAFT' AND NOT p.is_active"),
-                 ("Cannot sell from inactive warehouse", "i.status <> 'DRAFT' AND NOT w.is_active"), *_QTY_PRICE)} AS reason
+  {first_failure((W.NO_STOCK, "i.status <> 'DRAFT' AND COALESCE(st.stock, 0) < l.qty"),
+                 (W.SELL_INACTIVE, "i.status <> 'DRAFT' AND NOT p.is_active"),
+                 (W.SELL_CLOSED_SITE, "i.status <> 'DRAFT' AND NOT w.is_active"), *_QTY_PRICE)} AS reason
 FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
 JOIN m_sales_invoice i ON i.id = l.sales_invoice_id
 LEFT JOIN m_stock st ON st.product_id = l.product_id AND st.warehouse_id = l.warehouse_id""",
     "validate_sales_lines_v4": f"""
 , {_asked('m_sales_line', 'sales_invoice_id')}
 SELECT l.sales_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')}, {D('l.unit_price', 'unit_price')},
-  {first_failure(("Cannot add line to confirmed or cancelled invoice", "i.status <> 'DRAFT'"),
-                 ("Cannot sell inactive product", "NOT p.is_active"),
-                 ("Cannot sell from inactive warehouse", "NOT w.is_active"), *_QTY_PRICE,
-                 ("Insufficient stock", "COALESCE(st.stock, 0) < l.qty"),
-                 ("Sale will bring stock below minimum level", "COALESCE(st.stock, 0) - l.qty < p.min_stock_level"))} AS reason
+  {first_failure((W.LINE_CLOSED, "i.status <> 'DRAFT'"),
+                 (W.SELL_INACTIVE, "NOT p.is_active"),
+                 (W.SELL_CLOSED_SITE, "NOT w.is_active"), *_QTY_PRICE,
+                 (W.NO_STOCK, "COALESCE(st.stock, 0) < l.qty"),
+                 (W.UNDER_MIN, "COALESCE(st.stock, 0) - l.qty < p.min_stock_level"))} AS reason
 FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
 JOIN m_sales_invoice i ON i.id = l.sales_invoice_id
 LEFT JOIN m_stock st ON st.product_id = l.product_id AND st.warehouse_id = l.warehouse_id""",
@@ -408,44 +405,44 @@ LEFT JOIN m_stock st ON st.product_id = l.product_id AND st.warehouse_id = l.war
     "validate_sales_confirm": _SALES_CHANGES + "SELECT id, status, new_status, short_lines, reason FROM judged",
     "validate_sales_confirm_v4": f"""
 SELECT id, status, new_status, {first_failure(
-    ("Cannot change status of confirmed, shipped or cancelled invoice", "l.status <> 'DRAFT' AND l.new_status <> l.status"))} AS reason
+    (W.SALE_FIXED, "l.status <> 'DRAFT' AND l.new_status <> l.status"))} AS reason
 FROM m_sales_change l""",
     "validate_product_updates": f"""
 SELECT l.id, {D('l.old_price', 'old_price')}, {D('l.new_price', 'new_price')},
-  {first_failure(("Cannot reduce price by more than 20%", "l.new_price < l.old_price * 0.8"),
-                 ("Minimum stock level cannot be negative", "l.new_min < 0"),
-                 ("Maximum stock level must be greater than minimum stock level", "l.new_max <= l.new_min"),
-                 ("Cannot deactivate product: it exists in draft purchase invoices",
+  {first_failure((W.PRICE_DROP, "l.new_price < l.old_price * 0.8"),
+                 (W.MIN_NEGATIVE, "l.new_min < 0"),
+                 (W.MAX_TOO_LOW, "l.new_max <= l.new_min"),
+                 (W.ON_DRAFT_PURCHASE,
                   "l.old_active AND NOT l.new_active AND l.id IN (SELECT product_id FROM m_purchase_line pl "
                   "JOIN m_purchase_invoice pi ON pi.id = pl.purchase_invoice_id WHERE pi.status = 'DRAFT')"),
-                 ("Cannot deactivate product: it exists in draft sales invoices",
+                 (W.ON_DRAFT_SALE,
                   "l.old_active AND NOT l.new_active AND l.id IN (SELECT product_id FROM m_sales_line sl "
                   "JOIN m_sales_invoice si ON si.id = sl.sales_invoice_id WHERE si.status = 'DRAFT')"))} AS reason,
   CASE WHEN l.new_price < l.old_price * 0.8 THEN -({percent('l.old_price', 'l.new_price')}) END AS reduction
 FROM m_change l""",
     "validate_movements": _movement_batch(
         first_failure(
-            ("Cannot add movement for inactive product", "NOT p.is_active AND l.movement_type <> 'ADJUST'"),
-            ("Cannot add movement to inactive warehouse", "NOT w.is_active"),
+            (W.MOVE_INACTIVE, "NOT p.is_active AND l.movement_type <> 'ADJUST'"),
+            (W.MOVE_CLOSED_SITE, "NOT w.is_active"),
         ),
         "l.movement_type IN ('OUT', 'ADJUST')",
     ),
     "validate_movements_v4": _movement_batch(
         first_failure(
-            ("Cannot add movement for inactive product", "NOT p.is_active"),
-            ("Cannot add movement to inactive warehouse", "NOT w.is_active"),
-            ("Invalid movement type", "l.movement_type NOT IN ('IN', 'OUT', 'ADJUST')"),
-            ("Quantity must be greater than 0", "l.qty <= 0"),
+            (W.MOVE_INACTIVE, "NOT p.is_active"),
+            (W.MOVE_CLOSED_SITE, "NOT w.is_active"),
+            (W.MOVE_KIND, "l.movement_type NOT IN ('IN', 'OUT', 'ADJUST')"),
+            (W.NO_QTY, "l.qty <= 0"),
         ),
         "l.movement_type = 'OUT'",
     ),
     "validate_purchase_line_deletes": f"""
 SELECT pl.purchase_invoice_id, pl.product_id, {D('pl.qty', 'qty')},
-  CASE WHEN pi.status <> 'DRAFT' THEN 'Cannot delete line from a document that is not a draft' END AS reason
+  CASE WHEN pi.status <> 'DRAFT' THEN '{W.DELETE_CLOSED}' END AS reason
 FROM m_purchase_line pl JOIN m_purchase_invoice pi ON pi.id = pl.purchase_invoice_id WHERE pl.qty < 10""",
     "validate_sales_line_deletes": f"""
 SELECT sl.sales_invoice_id, sl.product_id, {D('sl.qty', 'qty')},
-  CASE WHEN si.status <> 'DRAFT' THEN 'Cannot delete line from a document that is not a draft' END AS reason
+  CASE WHEN si.status <> 'DRAFT' THEN '{W.DELETE_CLOSED}' END AS reason
 FROM m_sales_line sl JOIN m_sales_invoice si ON si.id = sl.sales_invoice_id WHERE sl.qty < 10""",
     "constraint_checks": """
 SELECT 'product' AS table_name, 'unique sku' AS rule, COUNT(*) AS violations
@@ -469,7 +466,7 @@ UNION ALL SELECT 'inventory_movement', 'movement type', COUNT(*)
     "purchase_confirm_movements": _PURCHASE_CHANGES
     + f"""
 SELECT pl.product_id, pl.warehouse_id, 'IN' AS movement_type, {D('pl.qty', 'qty')}, 'purchase' AS related_type,
-  c.id AS related_id, 'Purchase from ' || s.name || ', invoice ' || c.invoice_no AS note
+  c.id AS related_id, '{W.PURCHASE_NOTE}' || s.name || '{W.INVOICE_NOTE}' || c.invoice_no AS note
 FROM m_purchase_line pl JOIN confirmed c ON c.id = pl.purchase_invoice_id JOIN m_supplier s ON s.id = c.supplier_id""",
     "purchase_confirm_prices": _PURCHASE_CHANGES
     + f"""
@@ -484,12 +481,12 @@ FROM m_product_supplier ps LEFT JOIN latest l ON l.product_id = ps.product_id AN
     + _CLOSED.format(
         hit="EXISTS (SELECT 1 FROM m_purchase_line pl JOIN confirmed c ON c.id = pl.purchase_invoice_id "
         "WHERE pl.product_id = a.product_id AND pl.warehouse_id = a.warehouse_id)",
-        by="Purchase confirmation",
+        by=W.PURCHASE_CONFIRMED,
     ),
     "sales_confirm_movements": _SALES_CHANGES
     + f"""
 SELECT sl.product_id, sl.warehouse_id, 'OUT' AS movement_type, {D('sl.qty', 'qty')}, 'sale' AS related_type,
-  c.id AS related_id, 'Sale to customer ' || c.customer_name || ', invoice ' || c.invoice_no AS note
+  c.id AS related_id, '{W.SALE_NOTE}' || c.customer_name || '{W.INVOICE_NOTE}' || c.invoice_no AS note
 FROM m_sales_line sl JOIN confirmed c ON c.id = sl.sales_invoice_id""",
     "sales_confirm_alerts": _SALES_CHANGES + _SALE_ALERTS,
     "sales_confirm_alerts_v4": _OPEN_BEFORE
@@ -526,7 +523,7 @@ FROM audited""",
     "resolve_on_deactivation": _OPEN_BEFORE
     + _CLOSED.format(
         hit="EXISTS (SELECT 1 FROM m_change ch WHERE ch.id = a.product_id AND ch.old_active AND NOT ch.new_active)",
-        by="Product deactivation",
+        by=W.DEACTIVATED,
     ),
     # Streams
     "stream_stock_and_alerts": _timeline(

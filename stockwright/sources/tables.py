@@ -28,6 +28,8 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
+# Names what one run of the program stages, so that it can be dropped as a whole.
+_RUN = f"stockwright-{uuid.uuid4().hex}"
 _local_folder: str | None = None
 
 
@@ -67,7 +69,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{_RUN}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Deletes what this run has staged; for the end of a job, when all results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{_RUN}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:

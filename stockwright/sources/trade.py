@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockwright.functions import wording as W
 from stockwright.functions.expressions import MONEY, line_total, money, signed_qty
 from stockwright.operators.audit import price_audit
 from stockwright.operators.ledger import current_stock
@@ -190,7 +191,7 @@ class TradeData:
             "alert_date",
             resolved.alias("is_resolved"),
             F.when(resolved, F.col("alert_date")).alias("resolved_at"),
-            F.when(resolved, F.lit("Stock replenished")).alias("resolved_by"),
+            F.when(resolved, F.lit(W.REPLENISHED)).alias("resolved_by"),
         )
 
     @cached_property

@@ -45,56 +45,53 @@ def second_version(spark: SparkSession) -> SimpleNamespace:
     """The rows of the second schema version, before any scenario."""
     t = SimpleNamespace()
     t.category = spark.createDataFrame(
-        [(1, "Electronics"), (2, "Computers and Components"), (3, "Peripherals"), (4, "Clothing"),
-         (5, "Mens Clothing"), (6, "Womens Clothing")],
+        [(n, f"Category {n}") for n in range(1, 7)],
         "id bigint, name string",
     )
-    t.unit = spark.createDataFrame([(1, "Pieces"), (2, "Kilograms"), (3, "Meters")], "id bigint, name string")
+    t.unit = spark.createDataFrame([(1, "Unit 1"), (2, "Unit 2")], "id bigint, name string")
     t.supplier = spark.createDataFrame(
-        [(1, "TechSupply Ltd", "info@techsupply.com", "+1-111-222-3333", True),
-         (2, "Clothing Corp", "sales@clothing.com", "+1-444-555-6666", True),
-         (3, "Office Supplies Inc", "contact@office.com", "+1-777-888-9999", True)],
+        [(n, f"Supplier {n}", f"s{n}@example.com", f"000-{n}", True) for n in range(1, 4)],
         "id bigint, name string, contact_email string, phone string, is_active boolean",
     )
     t.warehouse = spark.createDataFrame(
-        [(1, "Main Warehouse", True), (2, "Secondary Warehouse", True), (3, "Regional Warehouse", True)],
+        [(n, f"Warehouse {n}", True) for n in range(1, 4)],
         "id bigint, name string, is_active boolean",
     )
     t.product = _table(
         spark,
         PRODUCT,
         [
-            (1, "NB-LEN-001", "Laptop Lenovo IdeaPad", 2, 1, 55000, 3, 20, True),
-            (2, "NB-ASUS-002", "Laptop Asus VivoBook", 2, 1, 65000, 2, 15, True),
-            (3, "MON-SAMS-001", 'Monitor Samsung 24"', 3, 1, 15000, 5, 30, True),
-            (4, "MON-LG-001", 'Monitor LG 27"', 3, 1, 25000, 3, 20, True),
-            (5, "TSHIRT-M-001", "T-Shirt Mens", 5, 1, 1200, 10, 100, True),
-            (6, "TSHIRT-F-001", "T-Shirt Womens", 6, 1, 1100, 10, 100, True),
-            (7, "KB-LOGI-001", "Keyboard Logitech", 3, 1, 5000, 8, 50, True),
-            (8, "MOUSE-RAZER-001", "Mouse Razer DeathAdder", 3, 1, 4500, 10, 60, True),
+            (1, "P1", "Product 1", 2, 1, 55000, 3, 20, True),
+            (2, "P2", "Product 2", 2, 1, 65000, 2, 15, True),
+            (3, "P3", "Product 3", 3, 1, 15000, 5, 30, True),
+            (4, "P4", "Product 4", 3, 1, 25000, 3, 20, True),
+            (5, "P5", "Product 5", 5, 1, 1200, 10, 100, True),
+            (6, "P6", "Product 6", 6, 1, 1100, 10, 100, True),
+            (7, "P7", "Product 7", 3, 1, 5000, 8, 50, True),
+            (8, "P8", "Product 8", 3, 1, 4500, 10, 60, True),
         ],
     )
     t.product_supplier = _table(
         spark,
         OFFER,
         [
-            (1, 1, "LEN-IPAD-15", 5, 52000, True),
-            (2, 1, "ASUS-VIVO-14", 7, 62000, True),
-            (3, 1, "SAMS-24FHD", 3, 14000, True),
-            (4, 1, "LG-27-2K", 4, 23000, True),
-            (5, 2, "TS-M-BLACK-M", 2, 1000, True),
-            (6, 2, "TS-F-WHITE-S", 2, 950, True),
-            (7, 1, "LOG-KB-MECH", 4, 4500, True),
-            (8, 1, "RAZER-DA", 5, 4000, True),
+            (1, 1, "S1-P1", 5, 52000, True),
+            (2, 1, "S1-P2", 7, 62000, True),
+            (3, 1, "S1-P3", 3, 14000, True),
+            (4, 1, "S1-P4", 4, 23000, True),
+            (5, 2, "S2-P5", 2, 1000, True),
+            (6, 2, "S2-P6", 2, 950, True),
+            (7, 1, "S1-P7", 4, 4500, True),
+            (8, 1, "S1-P8", 5, 4000, True),
         ],
     )
     t.purchase_invoice = _table(
         spark,
         PURCHASE,
         [
-            (1, 1, "PUR-2025-001", date(2025, 1, 10), "CONFIRMED", 0),
-            (2, 1, "PUR-2025-002", date(2025, 1, 12), "CONFIRMED", 0),
-            (3, 2, "PUR-2025-003", date(2025, 1, 15), "CONFIRMED", 0),
+            (1, 1, "PUR-1", date(2025, 1, 10), "CONFIRMED", 0),
+            (2, 1, "PUR-2", date(2025, 1, 12), "CONFIRMED", 0),
+            (3, 2, "PUR-3", date(2025, 1, 15), "CONFIRMED", 0),
         ],
     ).withColumn("created_at", F.col("date").cast("timestamp_ntz"))
     lines = [
@@ -112,9 +109,9 @@ def second_version(spark: SparkSession) -> SimpleNamespace:
         spark,
         SALE,
         [
-            (1, "ABC Company", "SALE-2025-001", date(2025, 1, 20), "CONFIRMED", 0),
-            (2, "XYZ Corp", "SALE-2025-002", date(2025, 1, 21), "CONFIRMED", 0),
-            (3, "Retail Store", "SALE-2025-003", date(2025, 1, 22), "CONFIRMED", 0),
+            (1, "Customer 1", "SALE-1", date(2025, 1, 20), "CONFIRMED", 0),
+            (2, "Customer 2", "SALE-2", date(2025, 1, 21), "CONFIRMED", 0),
+            (3, "Customer 3", "SALE-3", date(2025, 1, 22), "CONFIRMED", 0),
         ],
     ).withColumn("created_at", F.col("date").cast("timestamp_ntz"))
     t.sales_line = t.sales_items = _table(
@@ -139,35 +136,35 @@ def first_version(spark: SparkSession) -> SimpleNamespace:
     """The rows of the first schema version after its changes. OUT quantities are negative."""
     t = SimpleNamespace()
     t.category = spark.createDataFrame(
-        [(1, "Электроника"), (2, "Компьютеры"), (3, "Одежда")], "id bigint, name string"
+        [(n, f"Category {n}") for n in range(1, 4)], "id bigint, name string"
     )
     t.supplier = spark.createDataFrame(
-        [(1, "TechSupplier Ltd"), (2, "ClothCorp"), (3, "GeneralSup")], "id bigint, name string"
+        [(n, f"Supplier {n}") for n in range(1, 4)], "id bigint, name string"
     )
     t.warehouse = spark.createDataFrame(
-        [(1, "Главный склад"), (2, "Региональный склад"), (3, "Запасной")], "id bigint, name string"
+        [(n, f"Warehouse {n}") for n in range(1, 4)], "id bigint, name string"
     )
     t.product = _table(
         spark,
         f"id bigint, sku string, name string, category_id bigint, default_price {MONEY}",
         [
-            (1, "SKU001", "Ноутбук Lenovo", 2, 55000),
-            (2, "SKU002", "Футболка Nike", 3, 2000),
-            (3, "SKU003", "Монитор Samsung", 1, 15000),
-            (4, "SKU004", "Клавиатура Logitech", 1, 3000),
+            (1, "P1", "Product 1", 2, 55000),
+            (2, "P2", "Product 2", 3, 2000),
+            (3, "P3", "Product 3", 1, 15000),
+            (4, "P4", "Product 4", 1, 3000),
         ],
     )
     t.product_supplier = spark.createDataFrame(
-        [(1, 1, "LEN-001", 5), (2, 2, "NIK-001", 3), (3, 1, "SAM-001", 7)],
+        [(1, 1, "S1-P1", 5), (2, 2, "S2-P2", 3), (3, 1, "S1-P3", 7)],
         "product_id bigint, supplier_id bigint, supplier_sku string, lead_time_days int",
     )
     t.purchase_invoice = _table(
         spark,
         f"id bigint, supplier_id bigint, invoice_no string, date date, total_amount {MONEY}",
         [
-            (1, 1, "INV-001", date(2025, 11, 1), 65000),
-            (2, 2, "INV-002", date(2025, 11, 5), 2000),
-            (3, 1, "INV-003", date(2025, 11, 10), 15000),
+            (1, 1, "PUR-1", date(2025, 11, 1), 65000),
+            (2, 2, "PUR-2", date(2025, 11, 5), 2000),
+            (3, 1, "PUR-3", date(2025, 11, 10), 15000),
         ],
     )
     t.purchase_items = _table(
@@ -179,8 +176,8 @@ def first_version(spark: SparkSession) -> SimpleNamespace:
         spark,
         f"id bigint, customer_name string, invoice_no string, date date, total_amount {MONEY}",
         [
-            (1, "Клиент А", "SALE-001", date(2025, 12, 1), 52000),
-            (3, "Клиент В", "SALE-003", date(2025, 12, 10), 3000),
+            (1, "Customer 1", "SALE-1", date(2025, 12, 1), 52000),
+            (3, "Customer 3", "SALE-3", date(2025, 12, 10), 3000),
         ],
     )
     t.sales_items = _table(

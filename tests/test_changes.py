@@ -183,3 +183,25 @@ def test_rows_are_appended_and_versions_kept(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
     with pytest.raises(Exception, match="(?i)exist"):
         tables.write_snapshot(rows_, path)
+
+
+def test_staged_tables_live_in_the_shared_folder_and_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "shared_folder", lambda _: str(tmp_path))
+    staged = tables.stage(spark.range(5).toDF("n"))
+    assert staged.inputFiles()[0].startswith(f"file://{tmp_path}")
+    assert staged.count() == 5
+    tables.drop_staged(spark)
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_the_folder_the_cluster_names_is_used(monkeypatch):
+    class Session:
+        conf = {"spark.checkpoint.dir": "hdfs:///work/"}
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host"
+
+    assert tables.shared_folder(Session) == "hdfs:///work"
+    Session.conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        tables.shared_folder(Session)
