@@ -126,11 +126,23 @@ def not_yet_moved(movements: DataFrame, ledger: DataFrame) -> DataFrame:
         due.join(booked, same, "left")
         .withColumn("_missing", missing)
         .filter(F.col("_missing") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_missing"))))
+        .transform(repeat_rows, "_missing")
         .select(*same, "note")
     )
 
 
+def repeat_rows(rows: DataFrame, times: str, block: int = 100_000) -> DataFrame:
+    """Each row as often as ``times`` says, in blocks that are spread over the tasks."""
+    one = F.lit(1).cast("bigint")
+    blocks = rows.withColumn("_from", F.explode(F.sequence(one, F.col(times), F.lit(block).cast("bigint"))))
+    last = F.least(F.col(times), F.col("_from") + block - 1)
+    return (
+        blocks.repartition("_from", *rows.columns)
+        .withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))
+        .drop("_from", "_copy")
+    )
+
+
 # Supplier prices
 
 
@@ -235,7 +247,7 @@ def alerts_of_sales(
     ``open_alerts`` given, cells that have an open alert get no other.
     """
     sold = lines_of(lines, confirmed, "sales_invoice_id")
-    booked = sold.groupBy(*CELL).agg(F.sum("qty").alias("_sold"), F.count(F.lit(1)).alias("_lines"))
+    booked = sold.groupBy(*CELL).agg(F.sum("qty").alias("_sold"))
     levels = product.select(F.col("id").alias("product_id"), "min_stock_level")
     low = (
         booked.join(current_stock(movement), CELL, "left")
@@ -245,5 +257,5 @@ def alerts_of_sales(
     )
     if open_alerts is not None:
         low = low.join(open_alerts.filter(~F.col("is_resolved")).select(*CELL), CELL, "left_anti")
-    per_line = low.withColumn("_line", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_lines"))))
-    return per_line.select(*CELL, "current_stock", "min_stock_level")
+    # Every line of a low cell raises one, so the lines meet the cells instead of being multiplied from a count.
+    return sold.select(*CELL).join(low.select(*CELL, "current_stock", "min_stock_level"), CELL)

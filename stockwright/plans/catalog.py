@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from stockwright.plans import reports as R
 from stockwright.plans.report_oracles import ORACLES as REPORT_ORACLES
 from stockwright.plans.oracle_model import MODEL
 from stockwright.plans.rule_oracles import ORACLES as RULE_ORACLES
-from stockwright.sources.tables import SCHEMAS, new_folder, stage
+from stockwright.sources.tables import SCHEMAS, load_tables, new_folder, stage
 from stockwright.sources.trade import AS_OF, PURCHASE, SALE, TradeData, movements_of_events, prices_of_events
 from stockwright.streaming.jobs import PriceStream, StockStream, run_to_end
 
@@ -67,7 +68,17 @@ def _movements_by_document(t: TradeData) -> DataFrame:
     return R.movements_by_document(t, shipped.unionByName(cancelled)).drop("seq", "note")
 
 
+def _loaded(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows of every stored table."""
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, table in load_tables(spark, directory).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 REPORTS: dict[str, Query] = {
+    "load_tables": _loaded,
     "purchases_in_date_range": over(R.purchases_in_date_range, *DAYS),
     "purchases_in_date_range_count": counted(R.purchases_in_date_range, *DAYS),
     "products_name_contains": over(R.products_name_contains, "RING"),
@@ -449,17 +460,17 @@ JOBS: dict[str, Query] = {
             t.purchase_invoice, t.purchase_items.filter(F.col("qty") >= 40), "purchase_invoice_id"
         ).select("id", "invoice_no", "total_amount")
     ),
-    "delete_cascade": over(
+    "cascade_delete": over(
         lambda t: changes.delete_parents(
             t.product_supplier, t.product.filter("NOT is_active"), "product_id", "CASCADE"
         ).select(*changes.OFFER, "last_purchase_price")
     ),
-    "delete_set_null": over(
+    "set_null_delete": over(
         lambda t: changes.delete_parents(
             t.product, t.category.filter(F.col("id") == "Brand#2"), "category_id", "SET NULL"
         ).select("id", "sku", "category_id")
     ),
-    "delete_restrict": over(
+    "restrict_delete": over(
         lambda t: changes.delete_parents(
             t.purchase_invoice, t.supplier.filter("NOT is_active"), "supplier_id", "RESTRICT"
         ).select("id", "name")

@@ -282,12 +282,12 @@ SELECT purchase_invoice_id, product_id, {D('qty', 'qty')}, {D('unit_price', 'uni
 SELECT pi.id, pi.invoice_no, {D('COALESCE(SUM(pl.line_total), 0)', 'total_amount')}
 FROM m_purchase_invoice pi LEFT JOIN m_purchase_line pl ON pl.purchase_invoice_id = pi.id AND pl.qty >= 40
 GROUP BY pi.id, pi.invoice_no""",
-    "delete_cascade": f"""
+    "cascade_delete": f"""
 SELECT ps.product_id, ps.supplier_id, {D('ps.last_purchase_price', 'last_purchase_price')} FROM m_product_supplier ps
 WHERE ps.product_id NOT IN (SELECT id FROM m_product WHERE NOT is_active)""",
-    "delete_set_null": """
+    "set_null_delete": """
 SELECT id, sku, CASE WHEN category_id = 'Brand#2' THEN NULL ELSE category_id END AS category_id FROM m_product""",
-    "delete_restrict": """
+    "restrict_delete": """
 SELECT s.id, s.name FROM m_supplier s
 WHERE NOT s.is_active AND EXISTS (SELECT 1 FROM m_purchase_invoice pi WHERE pi.supplier_id = s.id)""",
     # Stock functions

@@ -43,8 +43,9 @@ class StockStream:
         return movement.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.folder}/progress")
 
     def process(self, movement: DataFrame, batch_id: int) -> None:
+        # The batch and the state before it are read by several actions.
         known = stage(self.stock.before(batch_id), "opening")
-        timeline = StockTimeline(movement, self.product, known)
+        timeline = StockTimeline(stage(movement, "movements"), self.product, known)
         recovery = F.min(F.when(~F.col("is_low"), F.struct("seq", "created_at")))
         cells = stage(
             timeline.rows.groupBy(*CELL)

@@ -22,16 +22,20 @@ class BatchTable:
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
-    def read(self, first: int = 0, before: int | None = None) -> DataFrame:
-        """Rows of the batches from ``first`` up to but not including ``before``."""
-        rows = self._all().filter(F.col(BATCH) >= first)
-        return rows if before is None else rows.filter(F.col(BATCH) < before)
-
-    def _all(self) -> DataFrame:
+    def read(self) -> DataFrame:
+        """Rows of all batches."""
         if not _exists(self.spark, self.path):
             return self.spark.createDataFrame([], f"{self.schema}, {BATCH} bigint")
         return self.spark.read.schema(f"{self.schema}, {BATCH} bigint").parquet(self.path)
 
+    def read_batches(self, first: int, before: int) -> DataFrame:
+        """Rows of the batches from ``first`` up to but not including ``before``; no other folder is listed."""
+        if first >= before:
+            return self.spark.createDataFrame([], f"{self.schema}, {BATCH} bigint")
+        folders = [f"{self.path}/{BATCH}={n}" for n in range(first, before)]
+        reader = self.spark.read.schema(f"{self.schema}, {BATCH} bigint").option("basePath", self.path)
+        return reader.parquet(*folders)
+
 
 class KeyedState:
     """Latest values per key. ``values`` are the value columns."""
@@ -43,7 +47,7 @@ class KeyedState:
     def before(self, batch_id: int) -> DataFrame:
         """State as the batches before ``batch_id`` left it."""
         last_full = (batch_id - 1) // self.full_every * self.full_every if batch_id else 0
-        rows = self.table.read(last_full, batch_id)
+        rows = self.table.read_batches(last_full, batch_id)
         values = [c for c in rows.columns if c not in (*self.keys, BATCH)]
         latest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), BATCH).alias("_latest"))
         return latest.select(*self.keys, "_latest.*")

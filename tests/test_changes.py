@@ -77,6 +77,13 @@ def test_equal_lines_are_booked_as_often_as_they_are_due(spark):
     assert rows(changes.not_yet_moved(due, ledger), "product_id") == [(1,), (1,), (2,)]
 
 
+def test_rows_repeat_in_blocks(spark):
+    table = spark.createDataFrame([("a", 7), ("b", 1), ("c", 10)], "name string, n bigint")
+    found = changes.repeat_rows(table, "n", block=3)
+    assert sorted(row.name for row in found.collect()) == ["a"] * 7 + ["b"] + ["c"] * 10
+    assert found.columns == ["name", "n"]
+
+
 def alerts(spark):
     return spark.createDataFrame(
         [(1, 1, D(1), D(5), False), (2, 1, D(9), D(5), True), (3, 2, D(0), D(5), False)],

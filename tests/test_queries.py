@@ -5,6 +5,8 @@ import re
 import pytest
 
 from stockwright.plans.catalog import ORACLES, QUERIES, REPORTS
+from stockwright.plans.reports import register_views
+from stockwright.sources.trade import AS_OF, TradeData
 from tests.checking import compare, oracle_connection
 
 SMALL = "/root/testdata/sf0.001"
@@ -50,3 +52,11 @@ def test_filters_and_columns_reach_the_scan(spark):
 @pytest.mark.parametrize("name", ["last_movements", "recent_confirmed_sales", "top_products_by_sales", "markup_top"])
 def test_top_lists_sort_no_whole_table(spark, name):
     assert "TakeOrderedAndProject" in plan(REPORTS[name](spark, SMALL))
+
+
+def test_views_answer_sql(spark):
+    t = TradeData(spark, SMALL)
+    register_views(t, AS_OF)
+    assert spark.sql("SELECT * FROM top_products_by_sales").count() == 10
+    assert spark.sql("SELECT SUM(product_count) FROM category_summary").first()[0] >= t.product.count()
+    assert spark.sql("SELECT name, total_in FROM warehouse_activity_last_month").columns == ["name", "total_in"]
