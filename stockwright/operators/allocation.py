@@ -36,12 +36,13 @@ def allocate(
     guarded: Column,
     opening: DataFrame,
     chunks: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Requests with ``accepted`` and ``level`` (after the request).
 
     ``delta`` is what a request adds to the level, at two decimals; a row whose delta is NULL asks for nothing
     and is returned as not accepted. ``opening`` has (keys, level), zero where missing. ``order`` must be unique
-    within a key.
+    within a key. ``chunks`` and ``counted`` are those of ``OrderedChunks``.
     """
     wanted = _cents(delta)
     prepared = (
@@ -51,7 +52,7 @@ def allocate(
         .join(opening.select(*keys, _cents(F.col("level")).alias("_opening")), keys, "left")
         .withColumn("_opening", F.coalesce("_opening", F.lit(0)))
     )
-    ordered = OrderedChunks(prepared, keys, order, chunks)
+    ordered = OrderedChunks(prepared, keys, order, chunks, requests if counted is None else counted)
     chunk = Window.partitionBy(*ordered.groups)
     number = F.row_number().over(chunk.orderBy(*order))
     prefix = F.sum("_delta").over(chunk.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))

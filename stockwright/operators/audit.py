@@ -85,11 +85,12 @@ class StockTimeline:
         if opening is not None:
             moves = moves.join(opening.select(*CELL, F.col("stock").alias("_opening")), CELL, "left")
             before = F.coalesce("_opening", before)
-        self.chunks = OrderedChunks(moves.withColumn("_before", before), CELL, ["seq"], chunks)
+        self.chunks = OrderedChunks(moves.withColumn("_before", before), CELL, ["seq"], chunks, counted=movement)
         rows = self.chunks.running_sum(self.chunks.rows, F.col("delta"), "_moved")
         self.rows = (
             rows.withColumn("current_stock", (F.col("_before") + F.col("_moved")).cast(MONEY))
             .withColumn("is_low", F.coalesce(F.col("current_stock") <= F.col("min_stock_level"), F.lit(False)))
+            .withColumn("_was_low", F.col("current_stock") - F.col("delta") <= F.col("min_stock_level"))
             .drop("_before", "_moved")
         )
 
@@ -111,15 +112,14 @@ class StockTimeline:
     def episodes(self) -> DataFrame:
         """Low periods of active products: one alert stays open until the stock recovers."""
         active = self.rows.filter("is_active")
-        numbered = self.chunks.running_sum(active, F.lit(1).cast("bigint"), "_position")
-        marked = self.chunks.previous(numbered, F.col("is_low"), "_was_low")
+        one = F.lit(1).cast("bigint")
+        numbered = self.chunks.total(self.chunks.running_sum(active, one, "_position"), one, "_size")
         recovery = F.when(~F.col("is_low"), F.struct("created_at", "_position"))
-        rows = self.chunks.next_known(marked, recovery, "_recovery")
-        starts = rows.filter(F.col("is_low") & ~F.coalesce("_was_low", F.lit(False)))
-        # An episode that never ends runs to the last movement of its cell.
-        sizes = self.chunks.rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_size"))
+        rows = self.chunks.next_known(numbered, recovery, "_recovery")
+        goes_low = F.col("is_low") & ((F.col("_position") == 1) | ~F.coalesce("_was_low", F.lit(False)))
+        # A period that never ends runs to the last movement of its cell.
         end = F.coalesce(F.col("_recovery._position"), F.col("_size") + 1)
-        return starts.join(sizes, CELL).select(
+        return rows.filter(goes_low).select(
             *CELL,
             F.col("created_at").alias("opened_at"),
             F.col("current_stock").alias("stock_at_opening"),

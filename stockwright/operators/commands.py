@@ -20,6 +20,7 @@ from stockwright.operators.audit import close_alerts
 from stockwright.operators.changes import movements_of_purchases, not_yet_moved
 from stockwright.operators.ledger import CELL
 from stockwright.operators.rules import qty_and_price, with_dimensions, with_status
+from stockwright.sources.tables import stage
 
 
 
@@ -33,11 +34,12 @@ def _book(
     guarded: Column,
     opening: DataFrame,
     refusal: Column | str,
-    chunks: int | None = None,
+    chunks: int | None,
+    asked: DataFrame,
 ) -> DataFrame:
     """Runs the requests without a reason against the stock; the others pass through as they are."""
     open_ = F.col("reason").isNull()
-    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks)
+    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks, counted=asked)
     refusal = F.lit(refusal) if isinstance(refusal, str) else refusal
     after = F.when(F.col("accepted"), F.col("level")).cast(MONEY)
     reason = F.coalesce("reason", F.when(~F.col("accepted"), refusal))
@@ -110,6 +112,8 @@ def process_sales(
             ]
         ),
     )
+    # Read for the numbers and for the stock.
+    checked = asked = stage(checked, "requests")
     first = (
         checked.filter("reason IS NULL").groupBy("invoice_no").agg(F.min("seq").alias("_first"))
     )
@@ -121,13 +125,13 @@ def process_sales(
         .withColumn("reason", F.coalesce("reason", first_failure([(W.NUMBER_TAKEN, taken)])))
         .drop("_first", "_used", "product_active", "warehouse_active", "max_stock_level")
     )
-    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
+    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks, asked)
 
 
 def safe_decrease_stock(requests: DataFrame, opening: DataFrame, chunks: int | None = None) -> DataFrame:
     """Takes stock out as long as it lasts: (seq, product_id, warehouse_id, qty)."""
     checked = requests.withColumn("reason", F.lit(None).cast("string"))
-    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
+    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks, requests)
 
 
 def add_purchase_lines(
@@ -174,6 +178,7 @@ def add_purchase_lines(
         room.unionByName(empty),
         W.OVER_MAX,
         chunks,
+        requests,
     )
     return booked.withColumn("stock_after", (limit - F.col("stock_after")).cast(MONEY))
 
@@ -216,7 +221,7 @@ def adjust_inventory(
         ),
     )
     return _book(
-        checked, F.col("qty"), F.lit(not active_only), _level(opening), W.UNDER_ZERO, chunks
+        checked, F.col("qty"), F.lit(not active_only), _level(opening), W.UNDER_ZERO, chunks, requests
     )
 
 
@@ -282,7 +287,7 @@ def validate_movements(
         guarded = kind.isin("OUT", "ADJUST")
     refusal = F.when(kind == "OUT", W.NO_STOCK).otherwise(W.UNDER_ZERO)
     checked = rows.withColumn("reason", first_failure(rules))
-    return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks)
+    return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks, requests)
 
 
 def confirm_purchases(requests: DataFrame, invoice: DataFrame) -> DataFrame:

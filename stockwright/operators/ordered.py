@@ -25,12 +25,20 @@ ROWS_PER_TASK = 5_000_000
 class OrderedChunks:
     """Rows in the order (keys, order), cut into chunks if a key needs it. ``order`` must be unique within a key.
 
-    ``chunks`` forces a number of chunks.
+    ``chunks`` forces a number of chunks. ``counted`` has at least the keys of the rows, as often as they have
+    them, and is cheaper to read.
     """
 
-    def __init__(self, rows: DataFrame, keys: list[str], order: list[str | Column], chunks: int | None = None):
+    def __init__(
+        self,
+        rows: DataFrame,
+        keys: list[str],
+        order: list[str | Column],
+        chunks: int | None = None,
+        counted: DataFrame | None = None,
+    ):
         self.keys, self.order = keys, order
-        chunks = chunks or _chunks_needed(rows, keys)
+        chunks = chunks or _chunks_needed(rows if counted is None else counted, keys)
         self.is_cut = chunks is not None
         if not self.is_cut:
             self.rows = rows
@@ -66,6 +74,17 @@ class OrderedChunks:
             .drop("_carried")
         )
 
+    def total(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
+        """Sum of ``value`` over the whole key, on each of its rows."""
+        here = F.sum(value).over(Window.partitionBy(*self.groups))
+        if not self.is_cut:
+            return rows.withColumn(out, here)
+        totals = self._of_cut_keys(rows.withColumn("_value", value)).groupBy(*self.keys).agg(
+            F.sum("_value").alias("_total")
+        )
+        joined = rows.join(F.broadcast(totals), self.keys, "left")
+        return joined.withColumn(out, F.coalesce("_total", here)).drop("_total")
+
     def previous(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """``value`` of the row before, NULL on the first row of a key."""
         here = F.lag(F.struct(value.alias("v"))).over(self._window())
