@@ -288,10 +288,15 @@ class TradeData:
         ).withColumn("line_total", line_total())
 
     def _at_warehouse(self, lines: DataFrame) -> DataFrame:
-        nation = self.base("nation").select("n_nationkey", F.col("n_regionkey").cast("bigint").alias("warehouse_id"))
+        # One join after the other: each is planned by the size of its file, which an estimate of the
+        # dimensions joined to each other would hide.
         supplier = self.base("supplier").select("s_suppkey", "s_nationkey")
-        site = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select("s_suppkey", "warehouse_id")
-        return lines.join(site, lines.l_suppkey == site.s_suppkey).drop("s_suppkey")
+        nation = self.base("nation").select("n_nationkey", F.col("n_regionkey").cast("bigint").alias("warehouse_id"))
+        return (
+            lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+            .join(nation, supplier.s_nationkey == nation.n_nationkey)
+            .drop("s_suppkey", "s_nationkey", "n_nationkey")
+        )
 
     def _purchase_headers(self) -> DataFrame:
         totals = (
