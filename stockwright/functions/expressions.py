@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
+# Sums of amounts: a busy cell outgrows the type of a single amount.
+BALANCE = "decimal(22,2)"
 # Wide enough for sums over any number of documents.
 CENTS = "decimal(30,0)"
 

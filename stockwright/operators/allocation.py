@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockwright.functions.expressions import BALANCE
 from stockwright.operators.ordered import CHUNK, OrderedChunks
 from stockwright.sources.tables import stage
 
@@ -84,7 +85,7 @@ def allocate(
     walked = _walk(judged.filter(F.col("_how") == "walk"), ordered.groups)
     return (
         whole.unionByName(walked)
-        .withColumn("level", (F.col("_level") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)"))
+        .withColumn("level", (F.col("_level") * F.lit("0.01").cast("decimal(3,2)")).cast(BALANCE))
         .select(*requests.columns, "accepted", "level")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import MONEY, changed, percent_change, signed_qty
+from stockwright.functions.expressions import BALANCE, changed, percent_change, signed_qty
 from stockwright.operators.ledger import CELL
 from stockwright.operators.ordered import OrderedChunks
 
@@ -81,14 +81,14 @@ class StockTimeline:
         levels = product.select(F.col("id").alias("product_id"), "min_stock_level", "is_active")
         # Everything a row needs is joined before the rows are put in order, so that the windows share one shuffle.
         moves = movement.select(*CELL, "created_at", "seq", signed_qty().alias("delta")).join(levels, "product_id")
-        before = F.lit(0).cast(MONEY)
+        before = F.lit(0).cast(BALANCE)
         if opening is not None:
             moves = moves.join(opening.select(*CELL, F.col("stock").alias("_opening")), CELL, "left")
             before = F.coalesce("_opening", before)
         self.chunks = OrderedChunks(moves.withColumn("_before", before), CELL, ["seq"], chunks, counted=movement)
         rows = self.chunks.running_sum(self.chunks.rows, F.col("delta"), "_moved")
         self.rows = (
-            rows.withColumn("current_stock", (F.col("_before") + F.col("_moved")).cast(MONEY))
+            rows.withColumn("current_stock", (F.col("_before") + F.col("_moved")).cast(BALANCE))
             .withColumn("is_low", F.coalesce(F.col("current_stock") <= F.col("min_stock_level"), F.lit(False)))
             .withColumn("_was_low", F.col("current_stock") - F.col("delta") <= F.col("min_stock_level"))
             .drop("_before", "_moved")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import MONEY
+from stockwright.functions.expressions import BALANCE, MONEY
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.ledger import CELL, current_stock
 from stockwright.operators.rules import cancelled_now, confirmed_now
@@ -252,7 +252,7 @@ def alerts_of_sales(
     low = (
         booked.join(current_stock(movement), CELL, "left")
         .join(levels, "product_id")
-        .withColumn("current_stock", (F.coalesce("stock", F.lit(0)) - F.col("_sold")).cast(MONEY))
+        .withColumn("current_stock", (F.coalesce("stock", F.lit(0)) - F.col("_sold")).cast(BALANCE))
         .filter(F.col("current_stock") <= F.col("min_stock_level"))
     )
     if open_alerts is not None:

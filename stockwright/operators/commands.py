@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import MONEY, first_failure, line_total, signed_qty
+from stockwright.functions.expressions import BALANCE, first_failure, line_total, signed_qty
 from stockwright.operators.allocation import allocate
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.changes import movements_of_purchases, not_yet_moved
@@ -41,17 +41,22 @@ def _book(
     open_ = F.col("reason").isNull()
     taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks, counted=asked)
     refusal = F.lit(refusal) if isinstance(refusal, str) else refusal
-    after = F.when(F.col("accepted"), F.col("level")).cast(MONEY)
+    after = F.when(F.col("accepted"), F.col("level")).cast(BALANCE)
     reason = F.coalesce("reason", F.when(~F.col("accepted"), refusal))
     return taken.withColumns({"stock_after": after, "reason": reason}).drop("accepted", "level")
 
 
 @dataclass
 class SaleBatch:
-    """What a batch of sale requests books. ``outcome`` is staged, so each part reads it once."""
+    """What a batch of sale requests books."""
 
     outcome: DataFrame
 
+    @classmethod
+    def staged(cls, outcome: DataFrame) -> SaleBatch:
+        """For writing several parts: the requests are settled once and each part reads the result."""
+        return cls(stage(outcome, "sales"))
+
     @property
     def accepted(self) -> DataFrame:
         return self.outcome.filter("reason IS NULL")
@@ -180,7 +185,7 @@ def add_purchase_lines(
         chunks,
         requests,
     )
-    return booked.withColumn("stock_after", (limit - F.col("stock_after")).cast(MONEY))
+    return booked.withColumn("stock_after", (limit - F.col("stock_after")).cast(BALANCE))
 
 
 def purchase_movements(outcome: DataFrame) -> DataFrame:

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import MONEY, first_failure, signed_qty
+from stockwright.functions.expressions import BALANCE, first_failure, signed_qty
 
 CELL = ["product_id", "warehouse_id"]
 
 
 def current_stock(movement: DataFrame) -> DataFrame:
     """Stock of every (product, warehouse) cell that ever moved. Partial sums run before the shuffle."""
-    return movement.groupBy(*CELL).agg(F.sum(signed_qty()).cast(MONEY).alias("stock"))
+    return movement.groupBy(*CELL).agg(F.sum(signed_qty()).cast(BALANCE).alias("stock"))
 
 
 def stock_of(requests: DataFrame, movement: DataFrame, product: DataFrame, warehouse: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def stock_of(requests: DataFrame, movement: DataFrame, product: DataFrame, wareh
         .join(known_warehouse, "warehouse_id", "left")
         .join(current_stock(movement), CELL, "left")
         .withColumn("reason", reason)
-        .withColumn("stock", F.when(F.col("reason").isNull(), F.coalesce("stock", F.lit(0).cast(MONEY))))
+        .withColumn("stock", F.when(F.col("reason").isNull(), F.coalesce("stock", F.lit(0).cast(BALANCE))))
         .drop("_product", "_warehouse")
     )
 
@@ -68,5 +68,5 @@ def stock_in(product: DataFrame, movement: DataFrame, warehouse_id: int) -> Data
         .withColumnRenamed("stock", "current_stock")
     )
     return product.join(stock, "id", "left").withColumn(
-        "current_stock", F.coalesce("current_stock", F.lit(0).cast(MONEY))
+        "current_stock", F.coalesce("current_stock", F.lit(0).cast(BALANCE))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import MONEY, changed, count_if, first_failure, percent_change
+from stockwright.functions.expressions import BALANCE, changed, count_if, first_failure, percent_change
 from stockwright.operators.ledger import CELL, current_stock
 
 
@@ -36,7 +36,7 @@ def with_dimensions(rows: DataFrame, product: DataFrame, warehouse: DataFrame) -
 def with_stock(rows: DataFrame, movement: DataFrame) -> DataFrame:
     """Rows with the stock of their cell, 0 where nothing moved."""
     return rows.join(current_stock(movement), CELL, "left").withColumn(
-        "stock", F.coalesce("stock", F.lit(0).cast(MONEY))
+        "stock", F.coalesce("stock", F.lit(0).cast(BALANCE))
     )
 
 

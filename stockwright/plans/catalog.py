@@ -291,9 +291,8 @@ def _strict_adjust_alerts(t: TradeData) -> DataFrame:
 
 
 def _confirmations(t: TradeData) -> DataFrame:
-    asked = t._purchase_headers().filter(F.col("o_orderpriority") == "1-URGENT").select("id")
     unknown = t.spark.createDataFrame([("-1/-1",)], "id string")
-    return commands.confirm_purchases(asked.unionByName(unknown), t.purchase_invoice)
+    return commands.confirm_purchases(t.urgent_purchases.unionByName(unknown), t.purchase_invoice)
 
 
 def _confirmation_movements(t: TradeData) -> DataFrame:

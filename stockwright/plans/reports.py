@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
 from stockwright.functions.expressions import (
+    BALANCE,
     MONEY,
     contains_text,
     count_if,
@@ -555,7 +556,7 @@ def movement_analysis(t, since: date) -> DataFrame:
             moved("IN").alias("total_in"),
             moved("OUT").alias("total_out"),
             moved("ADJUST").alias("total_adjust"),
-            F.sum(signed_qty()).cast(MONEY).alias("current_stock"),
+            F.sum(signed_qty()).cast(BALANCE).alias("current_stock"),
             count_if(recent).alias("_recent"),
         )
         .filter(F.col("_recent") > 0)

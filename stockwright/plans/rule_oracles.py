@@ -1,7 +1,7 @@
 """Check queries for table changes, rules, commands, alerts and audits."""
 
 from stockwright.functions import wording as W
-from stockwright.plans.oracle_model import half_up, percent
+from stockwright.plans.oracle_model import percent
 
 D = "CAST({} AS DOUBLE) AS {}".format
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import MONEY, line_total, money, signed_qty
+from stockwright.functions.expressions import BALANCE, MONEY, line_total, money, signed_qty
 from stockwright.operators.audit import price_audit
 from stockwright.operators.ledger import current_stock
 from stockwright.sources.tables import read_table
@@ -179,7 +179,7 @@ class TradeData:
 
     def _alerts(self, movement: DataFrame) -> DataFrame:
         latest = movement.groupBy("product_id", "warehouse_id").agg(
-            F.sum(signed_qty()).cast(MONEY).alias("current_stock"), F.max("created_at").alias("alert_date")
+            F.sum(signed_qty()).cast(BALANCE).alias("current_stock"), F.max("created_at").alias("alert_date")
         )
         product = self.product.filter("is_active").select(F.col("id").alias("product_id"), "min_stock_level")
         resolved = F.col("current_stock") > F.col("min_stock_level")
@@ -236,6 +236,11 @@ class TradeData:
             "id", "invoice_no", "customer_name", "status", _new_status().alias("new_status")
         )
 
+    @cached_property
+    def urgent_purchases(self) -> DataFrame:
+        """Ids of the purchase documents that are to be confirmed at once."""
+        return self._purchase_headers().filter(F.col("o_orderpriority") == "1-URGENT").select("id")
+
     def line_requests(self, flag: str) -> DataFrame:
         """Lines as asked for by a user: some quantities and prices break the rules."""
         price = F.when(F.col("l_tax") == 0, F.lit(0).cast(MONEY)).otherwise(_unit_price())

@@ -29,12 +29,12 @@ class StockStream:
     def __init__(self, spark: SparkSession, folder: str, product: DataFrame, full_every: int = 20):
         self.folder, self.product = folder, product
         self.stock = KeyedState(
-            spark, f"{folder}/stock", CELL, f"{_CELL}, stock decimal(12,2), period bigint", full_every
+            spark, f"{folder}/stock", CELL, f"{_CELL}, stock decimal(22,2), period bigint", full_every
         )
         self.raised = BatchTable(
             spark,
             f"{folder}/raised",
-            f"{_CELL}, current_stock decimal(12,2), min_stock_level decimal(12,2), alert_date timestamp_ntz, "
+            f"{_CELL}, current_stock decimal(22,2), min_stock_level decimal(12,2), alert_date timestamp_ntz, "
             "is_resolved boolean, resolved_at timestamp_ntz, period bigint",
         )
         self.recovered = BatchTable(spark, f"{folder}/recovered", f"{_CELL}, period bigint, recovered_at timestamp_ntz")

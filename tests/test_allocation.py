@@ -81,3 +81,10 @@ def test_exhausted_stock_needs_no_walk(spark, monkeypatch):
     monkeypatch.setattr(allocation, "_chain", spy)
     assert run(spark, rows, {1: Decimal(103)}, 30) == by_hand(rows, {1: Decimal(103)})
     assert max(walked) <= 2 and len(walked) <= 3
+
+
+def test_balances_outgrow_a_single_amount(spark):
+    """The sum of a busy key is larger than any one quantity may be."""
+    most = Decimal("9999999999.99")
+    rows = [(1, seq, most if seq < 5 else -most, True) for seq in range(8)]
+    assert run(spark, rows, {}, None) == by_hand(rows, {})
