@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from stockwright.operators import ordered
 from stockwright.plans.catalog import ORACLES, QUERIES, REPORTS
 from stockwright.plans.reports import register_views
 from stockwright.sources.trade import AS_OF, TradeData
@@ -60,3 +61,40 @@ def test_views_answer_sql(spark):
     assert spark.sql("SELECT * FROM top_products_by_sales").count() == 10
     assert spark.sql("SELECT SUM(product_count) FROM category_summary").first()[0] >= t.product.count()
     assert spark.sql("SELECT name, total_in FROM warehouse_activity_last_month").columns == ["name", "total_in"]
+
+
+@pytest.fixture(scope="module")
+def hot(tmp_path_factory):
+    """The small tables with a third of all ledger rows on one product of one supplier."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    source = oracle_connection(SMALL)
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "events"):
+        source.execute(f"COPY {name} TO '{folder}/{name}.parquet'")
+    source.execute(
+        f"""COPY (SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS l_partkey,
+        CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS l_suppkey) FROM lineitem)
+        TO '{folder}/lineitem.parquet'"""
+    )
+    return folder
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "low_stock_alerts",
+        "alert_episodes",
+        "process_sales",
+        "safe_decrease_stock",
+        "add_purchase_lines",
+        "adjust_inventory",
+        "validate_movements",
+        "assign_ids",
+        "product_ranking",
+        "sales_with_warehouse",
+        "category_summary",
+        "stream_stock_and_alerts",
+    ],
+)
+def test_hot_product_cut_into_chunks(spark, hot, monkeypatch, name):
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 300)
+    assert compare(QUERIES[name](spark, hot), oracle_connection(hot), ORACLES[name]) is None
