@@ -43,7 +43,7 @@ def allocate(
 
     ``delta`` is what a request adds to the level, at two decimals; a row whose delta is NULL asks for nothing
     and is returned as not accepted. ``opening`` has (keys, level), zero where missing. ``order`` must be unique
-    within a key. ``chunks`` and ``counted`` are those of ``OrderedChunks``.
+    within a key, and requests must have a key. ``chunks`` and ``counted`` are those of ``OrderedChunks``.
     """
     wanted = _cents(delta)
     prepared = (
@@ -146,7 +146,9 @@ def _settle_cut_keys(ordered: OrderedChunks, number: Column, prefix: Column) ->
         .groupBy(*keys)
         .agg(*[summary.alias(name) for name, summary in _summary().items()], F.first("_opening").alias("_enter"))
     )
-    parts = sorted((row.asDict() for row in cut.collect()), key=lambda p: [p[k] for k in keys])
+    # Rows without a key ask for nothing and need no level.
+    known = cut.dropna(subset=ordered.keys).collect()
+    parts = sorted((row.asDict() for row in known), key=lambda p: [p[k] for k in keys])
     if not parts:
         return None
     spark = cut.sparkSession

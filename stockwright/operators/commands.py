@@ -135,7 +135,8 @@ def process_sales(
 
 def safe_decrease_stock(requests: DataFrame, opening: DataFrame, chunks: int | None = None) -> DataFrame:
     """Takes stock out as long as it lasts: (seq, product_id, warehouse_id, qty)."""
-    checked = requests.withColumn("reason", F.lit(None).cast("string"))
+    unknown = F.col("product_id").isNull() | F.col("warehouse_id").isNull()
+    checked = requests.withColumn("reason", first_failure([(W.NO_PRODUCT, unknown)]))
     return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks, requests)
 
 
@@ -290,6 +291,12 @@ def validate_movements(
     else:
         rules = [(W.MOVE_INACTIVE, inactive & (kind != "ADJUST")), closed]
         guarded = kind.isin("OUT", "ADJUST")
+    # What the rules let through because nothing is known about it fails the key checks.
+    rules += [
+        (W.NO_PRODUCT, F.col("product_active").isNull()),
+        (W.NO_WAREHOUSE, F.col("warehouse_active").isNull()),
+        (W.NO_QTY, qty.isNull()),
+    ]
     refusal = F.when(kind == "OUT", W.NO_STOCK).otherwise(W.UNDER_ZERO)
     checked = rows.withColumn("reason", first_failure(rules))
     return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks, requests)

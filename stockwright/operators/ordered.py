@@ -9,7 +9,7 @@ chunks: that is the proven bound of the broadcasts below.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,7 +82,7 @@ class OrderedChunks:
         totals = self._of_cut_keys(rows.withColumn("_value", value)).groupBy(*self.keys).agg(
             F.sum("_value").alias("_total")
         )
-        joined = rows.join(F.broadcast(totals), self.keys, "left")
+        joined = _with_small(rows, totals, self.keys)
         return joined.withColumn(out, F.coalesce("_total", here)).drop("_total")
 
     def previous(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
@@ -138,10 +138,10 @@ class OrderedChunks:
         return stage(span.filter("_lo < _hi").select(*self.keys).repartition(1), "cut")
 
     def _of_cut_keys(self, rows: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(self.cut_keys), self.keys, "left_semi")
+        return _with_small(rows, self.cut_keys, self.keys, "left_semi")
 
     def _carry(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(carried), [*self.keys, CHUNK], "left")
+        return _with_small(rows, carried, [*self.keys, CHUNK])
 
     def _window(self, descending: bool = False):
         order = [F.col(c) if isinstance(c, str) else c for c in self.order]
@@ -151,6 +151,13 @@ class OrderedChunks:
         return F.struct(*self.order)
 
 
+def _with_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Rows with the columns of a table that has at most a few rows per chunk; NULL keys match."""
+    renamed = small.withColumnsRenamed({key: f"_small_{key}" for key in keys})
+    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_small_{key}")) for key in keys])
+    return rows.join(F.broadcast(renamed), same, how).drop(*[f"_small_{key}" for key in keys])
+
+
 def _chunks_needed(rows: DataFrame, keys: list[str]) -> int | None:
     """Number of chunks for rows with a key too large for a task, None when there is no such key."""
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

@@ -13,9 +13,9 @@ from stockwright.operators.ordered import OrderedChunks, assign_ids, global_rank
 
 @pytest.fixture(scope="module")
 def table(spark):
-    """One key with two thirds of the rows, others with a few, one with a single row."""
+    """One key with most rows, one that is unknown, others with a few rows, one with a single row."""
     source = random.Random(7)
-    keys = [1] * 400 + [source.randint(2, 40) for _ in range(200)] + [99]
+    keys = [1] * 400 + [None] * 90 + [source.randint(2, 40) for _ in range(200)] + [99]
     source.shuffle(keys)
     rows = [(key, i, source.randint(-9, 9) or None) for i, key in enumerate(keys)]
     return rows, spark.createDataFrame(rows, "k bigint, i bigint, v bigint").repartition(5)

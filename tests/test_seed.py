@@ -364,3 +364,60 @@ def test_low_stock_alert_and_recovery(second, spark):
     assert found[10] == (5, 2, False, None)
     assert found[11] == (6, 5, True, "Stock replenished")
     assert stock(moves, 6, 1) == 45
+
+
+def test_movement_rules(second, spark):
+    closed = changes.apply_updates(
+        second.warehouse, spark.createDataFrame([(3, False)], "id bigint, active boolean"), "id", {"is_active": "active"}
+    )
+    inactive = changes.apply_updates(
+        second.product, spark.createDataFrame([(7, False)], "id bigint, active boolean"), "id", {"is_active": "active"}
+    )
+    asked = seed.movements(
+        spark,
+        [
+            (1, 1, "OUT", 6),
+            (1, 1, "OUT", 5),
+            (1, 1, "OUT", 1),
+            (1, 1, "IN", 2),
+            (1, 1, "ADJUST", -2),
+            (1, 1, "ADJUST", -1),
+            (7, 2, "IN", 1),
+            (7, 2, "ADJUST", -1),
+            (2, 3, "IN", 1),
+            (99, 1, "IN", 1),
+            (None, 1, "IN", 1),
+            (2, None, "IN", 1),
+            (2, 1, "MOVE", 1),
+            (2, 1, "IN", None),
+            (2, 1, "IN", -1),
+        ],
+    )
+    opening = ledger.current_stock(second.inventory_movement)
+
+    def checked(**options):
+        outcome = commands.validate_movements(asked, inactive, closed, opening, **options)
+        return [row.reason for row in outcome.orderBy("seq").collect()]
+
+    plain = [
+        "Insufficient stock",
+        None,
+        "Insufficient stock",
+        None,
+        None,
+        "Would result in negative stock",
+        "Cannot add movement for inactive product",
+        None,
+        "Cannot add movement to inactive warehouse",
+        "Product not found",
+        "Product not found",
+        "Warehouse not found",
+        None,
+        "Quantity must be greater than 0",
+        None,
+    ]
+    assert checked() == checked(chunks=6) == plain
+    low = "Quantity must be greater than 0"
+    assert checked(strict=True) == [
+        *plain[:4], low, low, plain[6], plain[6], *plain[8:12], "Invalid movement type", low, low
+    ]
