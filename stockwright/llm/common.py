@@ -46,3 +46,15 @@ def white_table() -> bytes:
     for c in WHITE:
         out[ord(c)] = 32
     return bytes(out)
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches in pieces of at most ``rows`` rows, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def strings(column) -> list[str]:
+    """Texts of an Arrow column, null as empty."""
+    return ["" if x is None else x for x in column.to_pylist()]
