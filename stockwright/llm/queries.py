@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from stockwright.llm import chat_format, decontaminate, packing, quality_rules
+from stockwright.llm import chat_format, decontaminate, packing, quality_rules, secrets
 
 QUERIES = {
+    "op2_secrets": secrets.op2_secrets,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_packing": packing.op9_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
