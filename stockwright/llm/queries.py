@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from stockwright.llm import chat_format, decontaminate, packing, quality_rules, secrets
+from stockwright.llm import (
+    chat_format,
+    decontaminate,
+    license_scan,
+    neighbour_quality,
+    packing,
+    quality_rules,
+    secrets,
+)
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op5_neighbour_quality": neighbour_quality.op5_neighbour_quality,
     "op2_secrets": secrets.op2_secrets,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_packing": packing.op9_packing,
