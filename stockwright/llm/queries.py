@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockwright.llm import (
     chat_format,
     decontaminate,
+    jaccard_join,
     license_scan,
     neighbour_quality,
     packing,
@@ -13,6 +14,7 @@ from stockwright.llm import (
 )
 
 QUERIES = {
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op1_license_scan": license_scan.op1_license_scan,
     "op5_neighbour_quality": neighbour_quality.op5_neighbour_quality,
     "op2_secrets": secrets.op2_secrets,
