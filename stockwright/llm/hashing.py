@@ -37,16 +37,21 @@ _INVERSE = inverse(_BASE)
 
 def word_hashes(flat: bytes) -> np.ndarray:
     """Hashes of the blank-separated words of a text."""
+    return placed_words(flat)[1]
+
+
+def placed_words(flat: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte starts and hashes of the blank-separated words of a text."""
     b = np.frombuffer(flat, np.uint8)
     filled = b != 32
     edges = np.flatnonzero(np.diff(np.concatenate(([False], filled, [False])).astype(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return np.empty(0, np.uint64)
+        return starts, np.empty(0, np.uint64)
     # Sum of byte * base**place up to each place; a word's part is moved to its own start.
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(b)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(b))[starts] + (ends - starts).astype(np.uint64))
+    return starts, mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(b))[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:

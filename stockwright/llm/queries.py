@@ -11,9 +11,11 @@ from stockwright.llm import (
     packing,
     quality_rules,
     secrets,
+    suffix_tree_lm,
 )
 
 QUERIES = {
+    "op4_suffix_tree_lm": suffix_tree_lm.op4_suffix_tree_lm,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op1_license_scan": license_scan.op1_license_scan,
     "op5_neighbour_quality": neighbour_quality.op5_neighbour_quality,
