@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 from stockwright.llm.common import slices, strings, table, text_of, white_table
 from stockwright.llm.components import components
 from stockwright.llm.hashing import mix, shingles, word_hashes
+from stockwright.llm.idfilter import chosen, id_filter
 from stockwright.sources.tables import stage
 
 WIDTH = 4  # words of an n-gram
 AT_LEAST = 85  # percent
 SKETCH = 1 << 20  # counters of the frequency sketch
 CHUNK = 1 << 14  # counters that travel together
-BITS = 1 << 24  # of the filter that finds the rows to verify
 
 
 def gram_sets(texts: list[str], width: int):
@@ -229,43 +229,6 @@ def open_pairs(rows: DataFrame, at_least: int) -> DataFrame:
     return met.select(F.greatest("row", "row2").alias("a"), F.least("row", "row2").alias("b")).distinct()
 
 
-def _bits(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.view(np.uint64)) & np.uint64(BITS - 1)).astype(np.int64)
-
-
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit map of fixed size (2 MB) with the hashes of all ``id``; or-ed in Spark."""
-
-    def mark(batches):
-        bits = np.zeros(BITS, bool)
-        for batch in batches:
-            bits[_bits(batch.column(0).to_numpy())] = True
-        packed = np.packbits(bits).reshape(-1, CHUNK)
-        full = np.flatnonzero(packed.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int32()), pa.array([packed[i].tobytes() for i in full], pa.binary())],
-            names=["chunk", "bits"],
-        )
-
-    def merge(batches):
-        merged: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(bits, np.uint8)
-                merged[chunk] = merged[chunk] | part if chunk in merged else part
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(merged), pa.int32()), pa.array([b.tobytes() for b in merged.values()], pa.binary())],
-            names=["chunk", "bits"],
-        )
-
-    kind = "chunk int, bits binary"
-    found = ids.select("id").mapInArrow(mark, kind).repartition("chunk").mapInArrow(merge, kind).collect()
-    out = np.zeros((BITS // 8 // CHUNK, CHUNK), np.uint8)
-    for row in found:
-        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.ravel()
-
-
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, at_least: int) -> DataFrame:
     """``a, b`` of the pairs whose whole sets link. Sets are made anew from the texts of the rows in question only."""
     pairs = stage(pairs, "pairs")
@@ -276,14 +239,13 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
         wanted = shared.value
         for batch in slices(batches):
             ids = batch.column(0).to_numpy()
-            at = _bits(ids)
-            chosen = np.flatnonzero(wanted[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
-            if not len(chosen):
+            places = chosen(ids, wanted)
+            if not len(places):
                 continue
-            grams = list(gram_sets(strings(batch.column(1).take(pa.array(chosen))), width))
+            grams = list(gram_sets(strings(batch.column(1).take(pa.array(places))), width))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids[chosen]),
+                    pa.array(ids[places]),
                     pa.array([_signature(g) for g in grams], pa.int64()),
                     pa.array([g.tobytes() for g in grams], pa.binary()),
                 ],
@@ -303,8 +265,8 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= at_least * (len(x) + len(y) - both))
-            chosen = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], names=["a", "b"])
+            linked = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([c.take(linked) for c in batch.columns[:2]], names=["a", "b"])
 
     first = pairs.join(made.select(F.col("row").alias("a"), F.col("grams").alias("x")), "a")
     second = first.join(made.select(F.col("row").alias("b"), F.col("grams").alias("y")), "b")

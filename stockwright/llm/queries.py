@@ -11,10 +11,12 @@ from stockwright.llm import (
     packing,
     quality_rules,
     secrets,
+    substring_dedup,
     suffix_tree_lm,
 )
 
 QUERIES = {
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_suffix_tree_lm": suffix_tree_lm.op4_suffix_tree_lm,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op1_license_scan": license_scan.op1_license_scan,
