@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stockwright.llm.common import table
+from stockwright.llm.decontaminate import decontamination_stage
+from stockwright.llm.jaccard_join import near_duplicates_stage
+from stockwright.llm.packing import packing_stage
+from stockwright.llm.quality_rules import quality_stage
+from stockwright.llm.secrets import secrets_stage
 from stockwright.sources.tables import stage
 
-STAGES = []
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicates_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("packing", packing_stage),
+]
 
 # No stage is plain SQL; tests/llm/test_pipeline.py compares the stages with plain Python.
 ORACLE_SQL = None
