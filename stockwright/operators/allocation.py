@@ -4,7 +4,7 @@ Requests of a key are taken in order. A guarded request is accepted if the level
 an accepted request moves the level, a rejected one does not. This is not a prefix sum, but most of it needs
 no sequence:
 
-* requests are put in order, a key with very many of them in several chunks, see ``ordered``;
+* requests are put in order and cut into chunks, a key with very many of them into several, see ``ordered``;
 * a chunk whose lowest running sum keeps the level above zero is accepted whole, a chunk whose every request
   is out of reach is rejected whole; both are plain column expressions;
 * only the remaining chunks are walked row by row, each in its own task, with a level known on entry.
@@ -29,31 +29,36 @@ from stockwright.operators.ordered import CHUNK, OrderedChunks
 from stockwright.sources.tables import stage
 
 
+# Column of the requests with the level of their key, where there is no table of opening levels.
+ENTRY = "_entry"
+
+
 def allocate(
     requests: DataFrame,
     keys: list[str],
     order: list[str],
     delta: Column,
     guarded: Column,
-    opening: DataFrame,
+    opening: DataFrame | None,
     chunks: int | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Requests with ``accepted`` and ``level`` (after the request).
 
     ``delta`` is what a request adds to the level, at two decimals; a row whose delta is NULL asks for nothing
-    and is returned as not accepted. ``opening`` has (keys, level), zero where missing. ``order`` must be unique
-    within a key, and requests must have a key. ``chunks`` and ``counted`` are those of ``OrderedChunks``.
+    and is returned as not accepted. ``opening`` has (keys, level), zero where missing; without it the requests carry
+    the level, the same for a key, in ``ENTRY``. ``order`` must be unique
+    within a key, and requests must have a key. ``chunks`` is that of ``OrderedChunks``.
     """
     wanted = _cents(delta)
-    prepared = (
-        requests.withColumns(
-            {"_delta": wanted, "_guarded": F.when(wanted.isNotNull(), F.coalesce(guarded, F.lit(True)))}
-        )
-        .join(opening.select(*keys, _cents(F.col("level")).alias("_opening")), keys, "left")
-        .withColumn("_opening", F.coalesce("_opening", F.lit(0)))
+    prepared = requests.withColumns(
+        {"_delta": wanted, "_guarded": F.when(wanted.isNotNull(), F.coalesce(guarded, F.lit(True)))}
     )
-    ordered = OrderedChunks(prepared, keys, order, chunks, requests if counted is None else counted)
+    if opening is None:
+        prepared = prepared.withColumn("_opening", _cents(F.col(ENTRY))).drop(ENTRY)
+    else:
+        prepared = prepared.join(opening.select(*keys, _cents(F.col("level")).alias("_opening")), keys, "left")
+    prepared = prepared.withColumn("_opening", F.coalesce("_opening", F.lit(0)))
+    ordered = OrderedChunks(prepared, keys, order, chunks)
     chunk = Window.partitionBy(*ordered.groups)
     number = F.row_number().over(chunk.orderBy(*order))
     prefix = F.sum("_delta").over(chunk.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
@@ -62,7 +67,7 @@ def allocate(
         ordered.rows.withColumns({"_n": number, "_prefix": F.coalesce(prefix, F.lit(0))})
         .withColumns({name: summary.over(chunk) for name, summary in _summary().items()})
     )
-    entries = _settle_cut_keys(ordered, number, prefix) if ordered.is_cut else None
+    entries = _settle_cut_keys(ordered, number, prefix)
     if entries is None:
         rows = rows.withColumn("_enter", F.col("_opening"))
     else:
@@ -86,7 +91,7 @@ def allocate(
     return (
         whole.unionByName(walked)
         .withColumn("level", (F.col("_level") * F.lit("0.01").cast("decimal(3,2)")).cast(BALANCE))
-        .select(*requests.columns, "accepted", "level")
+        .select(*[c for c in requests.columns if c != ENTRY], "accepted", "level")
     )
 
 

@@ -9,6 +9,7 @@ from stockwright.functions import wording as W
 from stockwright.functions.expressions import BALANCE, MONEY
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.ledger import CELL, current_stock
+from stockwright.operators.ordered import OrderedChunks
 from stockwright.operators.rules import cancelled_now, confirmed_now
 
 OFFER = ["product_id", "supplier_id"]
@@ -194,6 +195,7 @@ def upsert_alerts(alerts: DataFrame, low: DataFrame, at) -> DataFrame:
         F.when(is_low, F.lit(at)).otherwise(F.col("alert_date")).alias("alert_date"),
         F.when(is_low, False).otherwise(F.col("is_resolved")).alias("is_resolved"),
         F.when(~is_low, F.col("resolved_at")).alias("resolved_at"),
+        F.when(~is_low, F.col("resolved_by")).alias("resolved_by"),
     )
 
 
@@ -242,20 +244,29 @@ def alerts_of_sales(
     product: DataFrame,
     open_alerts: DataFrame | None = None,
 ) -> DataFrame:
-    """An alert per line of the confirmed documents whose cell is low once all of them are booked.
+    """An alert per line of the confirmed documents that leaves its cell low, with the stock it leaves.
 
-    ``open_alerts`` given, cells that have an open alert get no other.
+    Lines are booked in the order of ``seq``. With ``open_alerts`` given, a cell has one open alert at most: the first
+    line that leaves it low raises it, unless one is open already.
     """
-    sold = lines_of(lines, confirmed, "sales_invoice_id")
-    booked = sold.groupBy(*CELL).agg(F.sum("qty").alias("_sold"))
+    sold = lines_of(lines, confirmed, "sales_invoice_id").select(*CELL, "seq", "qty")
     levels = product.select(F.col("id").alias("product_id"), "min_stock_level")
-    low = (
-        booked.join(current_stock(movement), CELL, "left")
+    rows = (
+        sold.join(current_stock(movement), CELL, "left")
         .join(levels, "product_id")
-        .withColumn("current_stock", (F.coalesce("stock", F.lit(0)) - F.col("_sold")).cast(BALANCE))
-        .filter(F.col("current_stock") <= F.col("min_stock_level"))
+        .withColumn("_before", F.coalesce("stock", F.lit(0)))
+        .drop("stock")
     )
+    ordered = OrderedChunks(rows, CELL, ["seq"])
+    booked = ordered.running_sum(ordered.rows, F.col("qty"), "_sold").withColumn(
+        "current_stock", (F.col("_before") - F.col("_sold")).cast(BALANCE)
+    )
+    low = booked.filter(F.col("current_stock") <= F.col("min_stock_level"))
     if open_alerts is not None:
-        low = low.join(open_alerts.filter(~F.col("is_resolved")).select(*CELL), CELL, "left_anti")
-    # Every line of a low cell raises one, so the lines meet the cells instead of being multiplied from a count.
-    return sold.select(*CELL).join(low.select(*CELL, "current_stock", "min_stock_level"), CELL)
+        first = low.groupBy(*CELL).agg(
+            F.min_by(F.struct("current_stock", "min_stock_level"), "seq").alias("_alert")
+        )
+        low = first.select(*CELL, "_alert.*").join(
+            open_alerts.filter(~F.col("is_resolved")).select(*CELL), CELL, "left_anti"
+        )
+    return low.select(*CELL, "current_stock", "min_stock_level")

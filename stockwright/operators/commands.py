@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
 from stockwright.functions.expressions import BALANCE, first_failure, line_total, signed_qty
-from stockwright.operators.allocation import allocate
+from stockwright.operators.allocation import ENTRY, allocate
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.changes import movements_of_purchases, not_yet_moved
 from stockwright.operators.ledger import CELL
@@ -32,14 +32,13 @@ def _book(
     checked: DataFrame,
     delta: Column,
     guarded: Column,
-    opening: DataFrame,
+    opening: DataFrame | None,
     refusal: Column | str,
     chunks: int | None,
-    asked: DataFrame,
 ) -> DataFrame:
     """Runs the requests without a reason against the stock; the others pass through as they are."""
     open_ = F.col("reason").isNull()
-    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks, counted=asked)
+    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks)
     refusal = F.lit(refusal) if isinstance(refusal, str) else refusal
     after = F.when(F.col("accepted"), F.col("level")).cast(BALANCE)
     reason = F.coalesce("reason", F.when(~F.col("accepted"), refusal))
@@ -104,11 +103,16 @@ def process_sales(
 ) -> DataFrame:
     """One sale per request: (seq, customer_name, invoice_no, product_id, warehouse_id, qty, unit_price, issued_by).
 
-    ``used_numbers`` has the (invoice_no) of existing documents. Within the batch the first request that is
-    otherwise sound keeps a number, whether or not the stock then covers it.
+    ``used_numbers`` has the (invoice_no) of existing documents. Within the batch a number belongs to the first request
+    that is accepted with it; a request that the stock refuses leaves its number free.
+
+    Who gets a number depends on the stock, and the stock on who got a number. Requests start with the first sound one
+    of each number trying for the stock; then those that no accepted earlier request bars try as well, in the cells that
+    this touches, until nothing changes. A decision rests on earlier ones only, so there is one such outcome, and each
+    round settles at least the earliest decision that was still wrong.
     """
     checked = with_dimensions(requests, product, warehouse).withColumn(
-        "reason",
+        "_refused",
         first_failure(
             [
                 *qty_and_price(),
@@ -117,27 +121,58 @@ def process_sales(
             ]
         ),
     )
-    # Read for the numbers and for the stock.
-    checked = asked = stage(checked, "requests")
-    first = (
-        checked.filter("reason IS NULL").groupBy("invoice_no").agg(F.min("seq").alias("_first"))
-    )
     used = used_numbers.select("invoice_no").distinct().withColumn("_used", F.lit(True))
-    numbers = first.join(used, "invoice_no", "left")
-    taken = F.coalesce(F.col("_used"), F.col("seq") != F.col("_first"))
-    checked = (
-        checked.join(numbers, "invoice_no", "left")
-        .withColumn("reason", F.coalesce("reason", first_failure([(W.NUMBER_TAKEN, taken)])))
-        .drop("_first", "_used", "product_active", "warehouse_active", "max_stock_level")
+    checked = checked.join(used, "invoice_no", "left").withColumn(
+        "_refused", F.coalesce("_refused", first_failure([(W.NUMBER_TAKEN, F.coalesce("_used", F.lit(False)))]))
+    )
+    first = checked.filter("_refused IS NULL").groupBy("invoice_no").agg(F.min("seq").alias("_holder"))
+    asked = stage(
+        checked.join(first, "invoice_no", "left")
+        .withColumn("_tries", F.col("_refused").isNull() & (F.col("seq") == F.col("_holder")))
+        .drop("_used", "_holder", "product_active", "warehouse_active", "max_stock_level"),
+        "requests",
     )
-    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks, asked)
+
+    def settled(rows: DataFrame) -> DataFrame:
+        barred = F.when(~F.col("_tries"), F.lit(W.NUMBER_TAKEN))
+        named = rows.withColumn("reason", F.coalesce("_refused", barred))
+        booked = _book(named, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
+        return stage(booked, "sales")
+
+    outcome = settled(asked)
+    while True:
+        # Only numbers asked for more than once can change hands.
+        holders = (
+            outcome.filter("_refused IS NULL")
+            .groupBy("invoice_no")
+            .agg(F.count(F.lit(1)).alias("_asked"), F.min(F.when(F.col("reason").isNull(), F.col("seq"))).alias("_holder"))
+            .filter("_asked > 1")
+        )
+        may = F.col("_holder").isNull() | (F.col("seq") <= F.col("_holder"))
+        changed = stage(
+            outcome.filter("_refused IS NULL")
+            .join(holders, "invoice_no")
+            .filter(may != F.col("_tries"))
+            .select("seq", *CELL, may.alias("_may")),
+            "changed",
+        )
+        if changed.isEmpty():
+            return outcome.drop("_refused", "_tries")
+        cells = changed.select(*CELL).distinct()
+        again = (
+            outcome.join(cells, CELL, "left_semi")
+            .join(changed.drop(*CELL), "seq", "left")
+            .withColumn("_tries", F.coalesce("_may", "_tries"))
+            .drop("_may", "reason", "stock_after")
+        )
+        outcome = stage(outcome.join(cells, CELL, "left_anti").unionByName(settled(again)), "sales")
 
 
 def safe_decrease_stock(requests: DataFrame, opening: DataFrame, chunks: int | None = None) -> DataFrame:
     """Takes stock out as long as it lasts: (seq, product_id, warehouse_id, qty)."""
     unknown = F.col("product_id").isNull() | F.col("warehouse_id").isNull()
     checked = requests.withColumn("reason", first_failure([(W.NO_PRODUCT, unknown)]))
-    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks, requests)
+    return _book(checked, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
 
 
 def add_purchase_lines(
@@ -166,25 +201,11 @@ def add_purchase_lines(
     )
     # The level is the room left below the maximum; without a maximum it is not guarded.
     limit = F.coalesce("max_stock_level", F.lit(0))
-    room = (
-        opening.join(product.select(F.col("id").alias("product_id"), "max_stock_level"), "product_id")
-        .withColumn("level", limit - F.col("stock"))
-        .select(*CELL, "level")
-    )
-    empty = (
-        checked.filter("reason IS NULL")
-        .select(*CELL, limit.alias("level"))
-        .distinct()
-        .join(opening, CELL, "left_anti")
+    entered = checked.join(opening.select(*CELL, F.col("stock").alias("_stock")), CELL, "left").withColumn(
+        ENTRY, limit - F.coalesce("_stock", F.lit(0))
     )
     booked = _book(
-        checked,
-        -F.col("qty"),
-        F.col("max_stock_level").isNotNull(),
-        room.unionByName(empty),
-        W.OVER_MAX,
-        chunks,
-        requests,
+        entered.drop("_stock"), -F.col("qty"), F.col("max_stock_level").isNotNull(), None, W.OVER_MAX, chunks
     )
     return booked.withColumn("stock_after", (limit - F.col("stock_after")).cast(BALANCE))
 
@@ -226,9 +247,7 @@ def adjust_inventory(
             ]
         ),
     )
-    return _book(
-        checked, F.col("qty"), F.lit(not active_only), _level(opening), W.UNDER_ZERO, chunks, requests
-    )
+    return _book(checked, F.col("qty"), F.lit(not active_only), _level(opening), W.UNDER_ZERO, chunks)
 
 
 def adjustment_alerts(outcome: DataFrame, inclusive: bool = False, open_alerts: DataFrame | None = None) -> DataFrame:
@@ -299,7 +318,7 @@ def validate_movements(
     ]
     refusal = F.when(kind == "OUT", W.NO_STOCK).otherwise(W.UNDER_ZERO)
     checked = rows.withColumn("reason", first_failure(rules))
-    return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks, requests)
+    return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks)
 
 
 def confirm_purchases(requests: DataFrame, invoice: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Running values, ids and ranks over a total order, without putting a group or the table in one task.
 
-Where no key has more rows than a task can sort, a window per key does the work in one shuffle. Otherwise rows
-are range-partitioned by (keys, order) into chunks, so a hot key spans as many chunks as its rows need. Within
+Rows are range-partitioned by (keys, order) into chunks, so a hot key spans as many chunks as its rows need. Within
 a chunk a window does the work; what earlier (or later) chunks contribute to a key is carried over from a
 summary. A chunk border cuts at most one key, so the carried summary never has more rows than there are
-chunks: that is the proven bound of the broadcasts below.
+chunks: that is the proven bound of the broadcasts below. Spark chooses the number of chunks by the size of the
+rows (adaptive coalescing of the range partitions).
 """
 
 from __future__ import annotations
@@ -18,45 +18,28 @@ from stockwright.sources.tables import stage
 
 CHUNK = "_chunk"
 
-# Rows that a single task sorts, with spilling; a key with more is spread over chunks of about this size.
-ROWS_PER_TASK = 5_000_000
-
 
 class OrderedChunks:
-    """Rows in the order (keys, order), cut into chunks if a key needs it. ``order`` must be unique within a key.
+    """Rows in the order (keys, order), cut into chunks. ``order`` must be unique within a key.
 
-    ``chunks`` forces a number of chunks. ``counted`` has at least the keys of the rows, as often as they have
-    them, and is cheaper to read.
+    ``chunks`` forces a number of chunks.
     """
 
-    def __init__(
-        self,
-        rows: DataFrame,
-        keys: list[str],
-        order: list[str | Column],
-        chunks: int | None = None,
-        counted: DataFrame | None = None,
-    ):
+    def __init__(self, rows: DataFrame, keys: list[str], order: list[str | Column], chunks: int | None = None):
         self.keys, self.order = keys, order
-        chunks = chunks or _chunks_needed(rows if counted is None else counted, keys)
-        self.is_cut = chunks is not None
-        if not self.is_cut:
-            self.rows = rows
-            return
         by = [*[F.col(key) for key in keys], *[F.col(c) if isinstance(c, str) else c for c in order]]
+        ranges = rows.repartitionByRange(*by) if chunks is None else rows.repartitionByRange(chunks, *by)
         # The partition number is only stable once written.
-        self.rows = stage(rows.repartitionByRange(chunks, *by).withColumn(CHUNK, F.spark_partition_id()), "chunks")
+        self.rows = stage(ranges.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
     @property
     def groups(self) -> list[str]:
         """Columns that name a set of rows one task may hold."""
-        return [*self.keys, CHUNK] if self.is_cut else self.keys
+        return [*self.keys, CHUNK]
 
     def running_sum(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """Sum of ``value`` over the key up to and including each row. ``rows`` derives from ``self.rows``."""
         here = F.sum(value).over(self._window().rowsBetween(Window.unboundedPreceding, 0))
-        if not self.is_cut:
-            return rows.withColumn(out, here)
         totals = (
             self._of_cut_keys(rows.withColumn("_value", value))
             .groupBy(*self.keys, CHUNK)
@@ -77,8 +60,6 @@ class OrderedChunks:
     def total(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """Sum of ``value`` over the whole key, on each of its rows."""
         here = F.sum(value).over(Window.partitionBy(*self.groups))
-        if not self.is_cut:
-            return rows.withColumn(out, here)
         totals = self._of_cut_keys(rows.withColumn("_value", value)).groupBy(*self.keys).agg(
             F.sum("_value").alias("_total")
         )
@@ -88,8 +69,6 @@ class OrderedChunks:
     def previous(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """``value`` of the row before, NULL on the first row of a key."""
         here = F.lag(F.struct(value.alias("v"))).over(self._window())
-        if not self.is_cut:
-            return rows.withColumn(out, here["v"])
         ends = (
             self._of_cut_keys(rows.withColumn("_value", F.struct(value.alias("v"))))
             .groupBy(*self.keys, CHUNK)
@@ -111,8 +90,6 @@ class OrderedChunks:
         # Read backwards, so that the frame only grows and each row is visited once.
         backwards = self._window(descending=True).rowsBetween(Window.unboundedPreceding, -1)
         here = F.last(value, ignorenulls=True).over(backwards)
-        if not self.is_cut:
-            return rows.withColumn(out, here)
         position = self._position()
         firsts = (
             self._of_cut_keys(rows.withColumn("_value", value))
@@ -158,15 +135,6 @@ def _with_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "
     return rows.join(F.broadcast(renamed), same, how).drop(*[f"_small_{key}" for key in keys])
 
 
-def _chunks_needed(rows: DataFrame, keys: list[str]) -> int | None:
-    """Number of chunks for rows with a key too large for a task, None when there is no such key."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
-    if (largest or 0) <= ROWS_PER_TASK:
-        return None
-    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_TASK))
-
-
 def assign_ids(rows: DataFrame, order: list[str | Column], out: str = "id", after: DataFrame | None = None) -> DataFrame:
     """Consecutive ids in the given order, starting after the largest ``out`` of the table ``after``."""
     tagged = stage(rows.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id()), "ids")

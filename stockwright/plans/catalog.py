@@ -188,7 +188,7 @@ def _earlier_alerts(t: TradeData) -> DataFrame:
 
 def _upserted_alerts(t: TradeData) -> DataFrame:
     low = t.low_stock_alerts.filter(~F.col("is_resolved"))
-    return changes.upsert_alerts(_earlier_alerts(t), low, _now()).drop("min_stock_level", "resolved_at")
+    return changes.upsert_alerts(_earlier_alerts(t), low, _now())
 
 
 def _deleted(t: TradeData) -> DataFrame:
@@ -456,7 +456,7 @@ JOBS: dict[str, Query] = {
     "line_totals": over(_line_totals),
     "invoice_totals": over(
         lambda t: changes.invoice_totals(
-            t.purchase_invoice, t.purchase_items.filter(F.col("qty") >= 40), "purchase_invoice_id"
+            t.purchase_invoice, t.purchase_items, "purchase_invoice_id"
         ).select("id", "invoice_no", "total_amount")
     ),
     "cascade_delete": over(

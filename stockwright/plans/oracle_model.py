@@ -92,7 +92,7 @@ m_offer AS (
   SELECT product_id, supplier_id, arg_max(unit_price, seq) AS last_purchase_price,
     MIN(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS lead_time_days
   FROM m_purchase_line JOIN orders ON o_orderkey = l_orderkey
-  WHERE qty >= 40 GROUP BY product_id, supplier_id
+  GROUP BY product_id, supplier_id
 ),
 m_product_supplier AS (
   SELECT product_id, supplier_id, supplier_id || '-' || product_id AS supplier_sku, lead_time_days,

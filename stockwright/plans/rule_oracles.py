@@ -26,43 +26,74 @@ def _asked(source: str, key: str) -> str:
 )"""
 
 
-def _competition(level: str, delta: str, guarded: str, more: str = "") -> str:
-    """Walks the rows of ``checked`` without a reason, cell by cell in seq order."""
+def _competition(level: str, delta: str, guarded: str, more: str = "", n: str = "") -> str:
+    """Walks the rows of ``checked`` without a reason, cell by cell in seq order; ``n`` follows the names."""
     step = f"NOT ({guarded}) OR {{level}} + ({delta}) >= 0"
     first, then = step.format(level=level), step.format(level="w.level")
     return f"""
-, runner AS MATERIALIZED (
+, runner{n} AS MATERIALIZED (
   SELECT l.*, row_number() OVER (PARTITION BY l.product_id, l.warehouse_id ORDER BY l.seq) AS rn {more}
-  FROM checked l WHERE reason IS NULL
-), walk AS (
+  FROM checked{n} l WHERE reason IS NULL
+), walk{n} AS (
   SELECT l.seq, l.product_id, l.warehouse_id, l.rn, {first} AS accepted,
     CAST({level} + CASE WHEN {first} THEN {delta} ELSE 0 END AS DECIMAL(18,2)) AS level
-  FROM runner l LEFT JOIN opening o ON o.product_id = l.product_id AND o.warehouse_id = l.warehouse_id WHERE l.rn = 1
+  FROM runner{n} l LEFT JOIN opening o ON o.product_id = l.product_id AND o.warehouse_id = l.warehouse_id WHERE l.rn = 1
   UNION ALL
   SELECT l.seq, l.product_id, l.warehouse_id, l.rn, {then} AS accepted,
     CAST(w.level + CASE WHEN {then} THEN {delta} ELSE 0 END AS DECIMAL(18,2)) AS level
-  FROM walk w JOIN runner l ON l.product_id = w.product_id AND l.warehouse_id = w.warehouse_id AND l.rn = w.rn + 1
+  FROM walk{n} w JOIN runner{n} l ON l.product_id = w.product_id AND l.warehouse_id = w.warehouse_id AND l.rn = w.rn + 1
 )"""
 
 
-_SALE_BATCH = f"""
-, {_asked('m_sales_line', 'sales_invoice_id')}, sound AS (
+def _sale_batch(rounds: int = 6) -> str:
+    """Sales in seq order: a number is taken once an earlier sale was accepted with it.
+
+    Each round walks the stock for those that may try and lets the next round try those that no accepted earlier sale
+    bars. ``outcome`` is empty unless the last round agrees with the one before: then every decision fits all earlier
+    ones, which holds for the result of a plain loop over seq and for no other.
+    """
+    parts = [
+        f"""
+, {_asked('m_sales_line', 'sales_invoice_id')}, sound AS MATERIALIZED (
   SELECT l.*, 'S-' || l_orderkey || '-' || l_linenumber AS invoice_no, p.min_stock_level,
     {first_failure(*_QTY_PRICE, (W.PRODUCT_INACTIVE, "NOT p.is_active"),
-                   (W.WAREHOUSE_INACTIVE, "NOT w.is_active"))} AS reason
+                   (W.WAREHOUSE_INACTIVE, "NOT w.is_active"))} AS refused
   FROM asked l JOIN m_product p ON p.id = l.product_id JOIN m_warehouse w ON w.id = l.warehouse_id
-), checked AS MATERIALIZED (
-  SELECT * EXCLUDE (reason), COALESCE(reason, CASE WHEN seq <>
-    MIN(CASE WHEN reason IS NULL THEN seq END) OVER (PARTITION BY invoice_no) THEN '{W.NUMBER_TAKEN}' END) AS reason
-  FROM sound
 ), opening AS MATERIALIZED (SELECT * FROM m_opening)
-{_competition("COALESCE(o.stock, 0)", "-l.qty", "TRUE")}
-, outcome AS (
-  SELECT l.*, COALESCE(l.reason, CASE WHEN NOT walk.accepted THEN '{W.NO_STOCK}' END) AS final,
-    CASE WHEN walk.accepted THEN walk.level END AS stock_after
-  FROM checked l LEFT JOIN walk ON walk.seq = l.seq
+, holder0 AS MATERIALIZED (SELECT invoice_no, MIN(seq) AS holder FROM sound WHERE refused IS NULL GROUP BY 1)
+"""
+    ]
+    for k in range(1, rounds + 1):
+        tries = "s.seq = h.holder" if k == 1 else "h.holder IS NULL OR s.seq <= h.holder"
+        parts.append(
+            f"""
+, checked{k} AS MATERIALIZED (
+  SELECT s.*, COALESCE(refused, CASE WHEN NOT ({tries}) THEN '{W.NUMBER_TAKEN}' END) AS reason
+  FROM sound s LEFT JOIN holder{k - 1} h ON h.invoice_no = s.invoice_no
+)
+{_competition("COALESCE(o.stock, 0)", "-l.qty", "TRUE", n=str(k))}
+, holder{k} AS MATERIALIZED (
+  SELECT l.invoice_no, MIN(CASE WHEN w.accepted THEN l.seq END) AS holder
+  FROM checked{k} l LEFT JOIN walk{k} w ON w.seq = l.seq WHERE l.refused IS NULL GROUP BY 1
+)
+"""
+        )
+    parts.append(
+        f"""
+, outcome AS MATERIALIZED (
+  SELECT l.*, COALESCE(l.reason, CASE WHEN NOT w.accepted THEN '{W.NO_STOCK}' END) AS final,
+    CASE WHEN w.accepted THEN w.level END AS stock_after
+  FROM checked{rounds} l LEFT JOIN walk{rounds} w ON w.seq = l.seq
+  WHERE NOT EXISTS (
+    SELECT 1 FROM holder{rounds} a JOIN holder{rounds - 1} b ON a.invoice_no = b.invoice_no
+    WHERE a.holder IS DISTINCT FROM b.holder)
 )
 """
+    )
+    return "".join(parts)
+
+
+_SALE_BATCH = _sale_batch()
 
 _PURCHASE_BATCH = f"""
 , {_asked('m_purchase_line', 'purchase_invoice_id')}, checked AS MATERIALIZED (
@@ -163,15 +194,15 @@ _SALES_CHANGES = f"""
 
 _SALE_ALERTS = f"""
 , booked AS (
-  SELECT sl.product_id, sl.warehouse_id, SUM(sl.qty) AS sold
-  FROM m_sales_line sl JOIN confirmed c ON c.id = sl.sales_invoice_id GROUP BY 1, 2
+  SELECT sl.product_id, sl.warehouse_id, sl.seq, p.min_stock_level, COALESCE(st.stock, 0)
+    - SUM(sl.qty) OVER (PARTITION BY sl.product_id, sl.warehouse_id ORDER BY sl.seq) AS left_over
+  FROM m_sales_line sl JOIN confirmed c ON c.id = sl.sales_invoice_id JOIN m_product p ON p.id = sl.product_id
+  LEFT JOIN m_stock st ON st.product_id = sl.product_id AND st.warehouse_id = sl.warehouse_id
+), low AS (
+  SELECT *, MIN(seq) OVER (PARTITION BY product_id, warehouse_id) AS first FROM booked WHERE left_over <= min_stock_level
 )
-SELECT sl.product_id, sl.warehouse_id, {D('COALESCE(st.stock, 0) - b.sold', 'current_stock')},
-  {D('p.min_stock_level', 'min_stock_level')}
-FROM m_sales_line sl JOIN confirmed c ON c.id = sl.sales_invoice_id JOIN m_product p ON p.id = sl.product_id
-JOIN booked b ON b.product_id = sl.product_id AND b.warehouse_id = sl.warehouse_id
-LEFT JOIN m_stock st ON st.product_id = sl.product_id AND st.warehouse_id = sl.warehouse_id
-WHERE COALESCE(st.stock, 0) - b.sold <= p.min_stock_level
+SELECT l.product_id, l.warehouse_id, {D('l.left_over', 'current_stock')}, {D('l.min_stock_level', 'min_stock_level')}
+FROM low l
 """
 
 _OPEN_BEFORE = """
@@ -258,7 +289,10 @@ FROM m_product_supplier ps FULL JOIN latest l ON l.product_id = ps.product_id AN
 SELECT COALESCE(e.product_id, l.product_id) AS product_id, COALESCE(e.warehouse_id, l.warehouse_id) AS warehouse_id,
   {D('COALESCE(l.current_stock, e.current_stock)', 'current_stock')},
   CASE WHEN l.product_id IS NOT NULL THEN '2001-11-04 00:00:00' ELSE CAST(e.alert_date AS VARCHAR) END AS alert_date,
-  CASE WHEN l.product_id IS NOT NULL THEN FALSE ELSE e.is_resolved END AS is_resolved
+  CASE WHEN l.product_id IS NOT NULL THEN FALSE ELSE e.is_resolved END AS is_resolved,
+  {D('COALESCE(e.min_stock_level, l.min_stock_level)', 'min_stock_level')},
+  CASE WHEN l.product_id IS NULL AND e.is_resolved THEN CAST(e.alert_date AS VARCHAR) END AS resolved_at,
+  CASE WHEN l.product_id IS NULL AND e.is_resolved THEN '{W.REPLENISHED}' END AS resolved_by
 FROM earlier e FULL JOIN low l ON l.product_id = e.product_id AND l.warehouse_id = e.warehouse_id""",
     "delete_where": f"""
 SELECT {_MOVEMENT_COLUMNS} FROM m_movement m WHERE note NOT LIKE 'sale 1%'""",
@@ -280,7 +314,7 @@ SELECT purchase_invoice_id, product_id, {D('qty', 'qty')}, {D('unit_price', 'uni
   {D('line_total', 'line_total')}, 'DRAFT' AS status FROM m_purchase_line""",
     "invoice_totals": f"""
 SELECT pi.id, pi.invoice_no, {D('COALESCE(SUM(pl.line_total), 0)', 'total_amount')}
-FROM m_purchase_invoice pi LEFT JOIN m_purchase_line pl ON pl.purchase_invoice_id = pi.id AND pl.qty >= 40
+FROM m_purchase_invoice pi LEFT JOIN m_purchase_line pl ON pl.purchase_invoice_id = pi.id
 GROUP BY pi.id, pi.invoice_no""",
     "cascade_delete": f"""
 SELECT ps.product_id, ps.supplier_id, {D('ps.last_purchase_price', 'last_purchase_price')} FROM m_product_supplier ps
@@ -493,8 +527,8 @@ FROM m_sales_line sl JOIN confirmed c ON c.id = sl.sales_invoice_id""",
     + _SALES_CHANGES
     + _SALE_ALERTS
     + """
-  AND NOT EXISTS (SELECT 1 FROM earlier e
-    WHERE e.product_id = sl.product_id AND e.warehouse_id = sl.warehouse_id AND NOT e.is_resolved)""",
+WHERE l.seq = l.first AND NOT EXISTS (SELECT 1 FROM earlier e
+    WHERE e.product_id = l.product_id AND e.warehouse_id = l.warehouse_id AND NOT e.is_resolved)""",
     # Alerts and audits
     "low_stock_alerts": _timeline("m_signed", "(SELECT * FROM m_product WHERE is_active)") + _ALERT_ROWS + " WHERE l.low",
     "alert_episodes": _timeline("m_signed", "(SELECT * FROM m_product WHERE is_active)")

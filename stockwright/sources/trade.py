@@ -94,8 +94,8 @@ class TradeData:
 
     @cached_property
     def product_supplier(self) -> DataFrame:
-        """Who delivers what, from purchase lines of 40 units and more."""
-        lines = self._items(PURCHASE, extra=["l_shipdate", "l_orderkey"]).filter(F.col("qty") >= 40)
+        """Who delivers what, from all purchase lines."""
+        lines = self._items(PURCHASE, extra=["l_shipdate", "l_orderkey"])
         orders = self.base("orders").select("o_orderkey", "o_orderdate")
         return (
             lines.join(orders, lines.l_orderkey == orders.o_orderkey)

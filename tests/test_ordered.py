@@ -6,7 +6,6 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from stockwright.operators import ordered
 from stockwright.operators.audit import StockTimeline, price_history_audit
 from stockwright.operators.ordered import OrderedChunks, assign_ids, global_rank
 
@@ -46,19 +45,14 @@ def test_running_values(table, chunks):
     assert found == expected(rows)
 
 
-def test_large_groups_are_cut_without_being_asked(table, monkeypatch):
+def test_large_groups_are_cut(table):
     rows, df = table
-    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 50)
-    cut = OrderedChunks(df, ["k"], ["i"])
-    assert cut.is_cut
+    cut = OrderedChunks(df, ["k"], ["i"], chunks=12)
     assert [row.k for row in cut.cut_keys.collect()].count(1) == 1
     out = cut.running_sum(cut.rows, F.coalesce("v", F.lit(0)), "total")
     assert {row.i: row.total for row in out.collect()} == {i: row[1] for i, row in expected(rows).items()}
 
 
-def test_small_groups_stay_whole(table):
-    assert not OrderedChunks(table[1], ["k"], ["i"]).is_cut
-
 
 def test_ids_are_consecutive_and_follow_the_order(table, spark):
     rows, df = table

@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-from stockwright.operators import ordered
 from stockwright.plans.catalog import ORACLES, QUERIES, REPORTS
 from stockwright.plans.reports import register_views
 from stockwright.sources.trade import AS_OF, TradeData
@@ -95,6 +94,5 @@ def hot(tmp_path_factory):
         "stream_stock_and_alerts",
     ],
 )
-def test_hot_product_cut_into_chunks(spark, hot, monkeypatch, name):
-    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 300)
+def test_hot_product(spark, hot, name):
     assert compare(QUERIES[name](spark, hot), oracle_connection(hot), ORACLES[name]) is None
