@@ -12,6 +12,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stockwright.functions import wording as W
 from stockwright.functions.expressions import (
@@ -27,8 +28,6 @@ from stockwright.functions.expressions import (
     stock_status,
 )
 from stockwright.operators.ledger import CELL, current_stock, stock_in
-from stockwright.operators.ordered import global_rank
-from stockwright.sources.tables import stage
 
 
 def named(table: DataFrame, prefix: str, *columns: str) -> DataFrame:
@@ -704,9 +703,24 @@ def _product_sales(t, fan_out: bool) -> DataFrame:
 
 
 def product_ranking(t, limit: int = 15, fan_out: bool = True) -> DataFrame:
-    """Products by revenue with both ranks over all products, best first."""
-    sales = stage(_product_sales(t, fan_out), "ranking")
-    ranked = global_rank(global_rank(sales, "total_revenue", "revenue_rank"), "total_sold", "volume_rank")
+    """Products by revenue with both ranks over all products, best first.
+
+    No product outside the list is ahead of one in it by revenue, so the revenue rank follows from the list itself. For
+    the volume rank all products are counted by how many of the listed amounts they exceed: at most ``limit + 1`` counts.
+    """
+    sales = _product_sales(t, fan_out)
+    top = sales.orderBy(F.desc("total_revenue"), "id").limit(limit)
+    listed_sold = top.agg(F.collect_set("total_sold")).scalar()
+    in_order = F.sort_array(F.array_append(listed_sold, F.col("total_sold")))
+    exceeded = F.array_position(in_order, F.col("total_sold")) - 1
+    counts = sales.groupBy(exceeded.alias("_exceeded")).agg(F.count(F.lit(1)).alias("_products"))
+    above = Window.orderBy(F.desc("_exceeded")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select("_exceeded", (F.coalesce(F.sum("_products").over(above), F.lit(0)) + 1).alias("volume_rank"))
+    ranked = (
+        top.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("total_revenue"))).cast("bigint"))
+        .withColumn("_exceeded", exceeded)
+        .join(ahead, "_exceeded")
+    )
     # Against the exact average: (price - sum / n) / (sum / n) = (price * n - sum) / sum.
     spent = F.coalesce("_prices", F.col("default_price"))
     listed = F.col("default_price") * F.coalesce("_n", F.lit(1)).cast("decimal(16,0)")
