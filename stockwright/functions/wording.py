@@ -40,6 +40,7 @@ DELETE_CLOSED = "Cannot delete line from a document that is not a draft"
 REPLENISHED = "Stock replenished"
 DEACTIVATED = "Product deactivation"
 PURCHASE_CONFIRMED = "Purchase confirmation"
+RECEIVED = "Purchase"
 
 # Parts of the notes on movements, and the name shown for no supplier.
 PURCHASE_NOTE = "Purchase from "

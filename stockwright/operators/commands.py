@@ -17,7 +17,12 @@ from stockwright.functions import wording as W
 from stockwright.functions.expressions import BALANCE, first_failure, line_total, signed_qty
 from stockwright.operators.allocation import ENTRY, allocate
 from stockwright.operators.audit import close_alerts
-from stockwright.operators.changes import movements_of_purchases, not_yet_moved
+from stockwright.operators.changes import (
+    invoice_totals,
+    movements_of_purchases,
+    not_yet_moved,
+    upsert_product_supplier,
+)
 from stockwright.operators.ledger import CELL
 from stockwright.operators.rules import qty_and_price, with_dimensions, with_status
 from stockwright.sources.tables import stage
@@ -221,6 +226,39 @@ def purchase_movements(outcome: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class ReceiptBatch:
+    """What a batch of purchase lines that are received at once changes."""
+
+    outcome: DataFrame
+
+    @classmethod
+    def staged(cls, outcome: DataFrame) -> ReceiptBatch:
+        return cls(stage(outcome, "receipts"))
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.outcome.filter("reason IS NULL")
+
+    def movements(self) -> DataFrame:
+        return purchase_movements(self.outcome)
+
+    def totals(self, invoice: DataFrame, lines: DataFrame) -> DataFrame:
+        """Documents with the total of the lines they had and of those they got."""
+        columns = ["purchase_invoice_id", "line_total"]
+        got = self.accepted.select("purchase_invoice_id", line_total().alias("line_total"))
+        return invoice_totals(invoice, lines.select(*columns).unionByName(got), "purchase_invoice_id")
+
+    def prices(self, product_supplier: DataFrame, invoice: DataFrame) -> DataFrame:
+        """Offers with the price of the latest line received, new ones added."""
+        lines = self.accepted.select("purchase_invoice_id", "product_id", "unit_price", "seq")
+        return upsert_product_supplier(product_supplier, invoice, lines)
+
+    def alerts(self, alerts: DataFrame, at) -> DataFrame:
+        """Alerts after closing the open ones of cells that a receipt brought to the minimum or above."""
+        return resolve_by_adjustment(alerts, self.outcome, at, W.RECEIVED)
+
+
 def adjust_inventory(
     requests: DataFrame,
     product: DataFrame,
@@ -270,7 +308,7 @@ def adjustment_alerts(outcome: DataFrame, inclusive: bool = False, open_alerts:
 
 
 def resolve_by_adjustment(alerts: DataFrame, outcome: DataFrame, at, by: str) -> DataFrame:
-    """Alerts after closing the open ones of cells that a correction brought to the minimum or above."""
+    """Alerts after closing the open ones of cells that an accepted request brought to the minimum or above."""
     restored = (
         outcome.filter("reason IS NULL")
         .filter(F.col("stock_after") >= F.col("min_stock_level"))

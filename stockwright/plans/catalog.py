@@ -290,6 +290,21 @@ def _strict_adjust_alerts(t: TradeData) -> DataFrame:
     return commands.adjustment_alerts(_adjusted(t, True), inclusive=True, open_alerts=_earlier_alerts(t))
 
 
+def _adjust_closed(t: TradeData) -> DataFrame:
+    return _resolved(commands.resolve_by_adjustment(_earlier_alerts(t), _adjusted(t), _now(), "stocktaking"))
+
+
+def _received(t: TradeData) -> commands.ReceiptBatch:
+    outcome = commands.add_purchase_lines(
+        t.line_requests(PURCHASE),
+        t.purchase_invoice,
+        t.product,
+        t.warehouse,
+        ledger.current_stock(t.inventory_movement),
+    )
+    return commands.ReceiptBatch.staged(outcome)
+
+
 def _confirmations(t: TradeData) -> DataFrame:
     unknown = t.spark.createDataFrame([("-1/-1",)], "id string")
     return commands.confirm_purchases(t.urgent_purchases.unionByName(unknown), t.purchase_invoice)
@@ -362,6 +377,25 @@ def _constraints(t: TradeData) -> DataFrame:
                 "movement type",
                 rules.domain_violations(t.inventory_movement, "movement_type", ["IN", "OUT", "ADJUST"]),
             ),
+            (
+                "inventory_movement",
+                "product exists",
+                rules.orphan_violations(t.inventory_movement, "product_id", t.product.filter("is_active")),
+            ),
+            (
+                "inventory_movement",
+                "warehouse exists",
+                rules.orphan_violations(t.inventory_movement, "warehouse_id", t.warehouse.filter("is_active")),
+            ),
+            ("sales_invoice", "unique number", rules.unique_violations(t.sales_invoice, ["invoice_no"])),
+            (
+                "sales_invoice",
+                "status DRAFT, CONFIRMED or CANCELLED",
+                rules.domain_violations(t.sales_invoice, "status", ["DRAFT", "CONFIRMED", "CANCELLED"]),
+            ),
+            ("sales_line", "invoice exists", rules.orphan_violations(t.sales_items, "sales_invoice_id", t.sales_invoice)),
+            ("sales_line", "product exists", rules.orphan_violations(t.sales_items, "product_id", t.product)),
+            ("unit", "unique code", rules.unique_violations(t.unit, ["name"])),
         ]
     )
 
@@ -412,8 +446,22 @@ ALERT_COLUMNS = [
 ]
 
 
+# Micro-batches that the stored events are replayed in.
+REPLAYED = 3
+
+
 def _event_stream(t: TradeData) -> DataFrame:
-    return t.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.directory)
+    """The stored events as they arrive: one file for each part of the time, a file a micro-batch."""
+    events = t.base("events")
+    cuts = events.agg(F.percentile_approx("ts", [i / REPLAYED for i in range(1, REPLAYED)], 10000)).first()[0] or []
+    folder = new_folder(t.spark, "events")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = events
+        part = part if low is None else part.filter(F.col("ts") > F.lit(low))
+        part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
+        # One file, as a feed would deliver it; the order of arrival is the order of writing.
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return t.spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def _stock_stream(t: TradeData) -> DataFrame:
@@ -484,10 +532,23 @@ JOBS: dict[str, Query] = {
     "process_sales_documents": over(
         lambda t: commands.SaleBatch(_sales(t)).invoices().select("invoice_no", "total_amount", "status")
     ),
+    "process_sales_lines": over(lambda t: commands.SaleBatch(_sales(t)).lines()),
+    "process_sales_movements": over(lambda t: commands.SaleBatch(_sales(t)).movements().drop("seq")),
     "safe_decrease_stock": over(_safe_decrease),
     "add_purchase_lines": over(_added_lines),
     "add_purchase_lines_v4": over(_added_lines, lines_only=True),
+    "add_purchase_lines_movements": over(lambda t: _received(t).movements()),
+    "add_purchase_lines_prices": over(
+        lambda t: _received(t).prices(t.product_supplier, t.purchase_invoice).select(
+            *changes.OFFER, "last_purchase_price"
+        )
+    ),
+    "add_purchase_lines_totals": over(
+        lambda t: _received(t).totals(t.purchase_invoice, t.purchase_items).select("id", "total_amount")
+    ),
+    "add_purchase_lines_alerts": over(lambda t: _resolved(_received(t).alerts(_earlier_alerts(t), _now()))),
     "adjust_inventory": over(_adjust_outcome),
+    "adjust_inventory_closed_alerts": over(_adjust_closed),
     "adjust_inventory_alerts": over(lambda t: commands.adjustment_alerts(_adjusted(t))),
     "adjust_inventory_v4": over(_adjust_outcome, active_only=True),
     "adjust_inventory_v4_alerts": over(_strict_adjust_alerts),

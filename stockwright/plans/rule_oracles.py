@@ -351,6 +351,16 @@ FROM outcome WHERE final IS NULL AND stock_after < min_stock_level""",
     "process_sales_documents": _SALE_BATCH
     + f"""
 SELECT invoice_no, {D('CAST(qty * unit_price AS DECIMAL(12,2))', 'total_amount')}, 'CONFIRMED' AS status
+FROM outcome WHERE final IS NULL""",
+    "process_sales_lines": _SALE_BATCH
+    + f"""
+SELECT invoice_no, product_id, warehouse_id, {D('qty', 'qty')}, {D('unit_price', 'unit_price')},
+  {D('CAST(qty * unit_price AS DECIMAL(12,2))', 'line_total')} FROM outcome WHERE final IS NULL""",
+    "process_sales_movements": _SALE_BATCH
+    + f"""
+SELECT product_id, warehouse_id, 'OUT' AS movement_type, {D('qty', 'qty')}, 'sale' AS related_type,
+  invoice_no AS related_id,
+  '{W.SALE_NOTE}Customer of order ' || l_orderkey || '{W.INVOICE_NOTE}' || invoice_no AS note
 FROM outcome WHERE final IS NULL""",
     "safe_decrease_stock": f"""
 , checked AS MATERIALIZED (SELECT l.*, CAST(NULL AS VARCHAR) AS reason FROM m_sales_line l),
@@ -360,6 +370,42 @@ SELECT l.sales_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')},
   CASE WHEN NOT walk.accepted THEN '{W.NO_STOCK}' END AS reason,
   {D('CASE WHEN walk.accepted THEN walk.level END', 'stock_after')}
 FROM checked l LEFT JOIN walk ON walk.seq = l.seq""",
+    "add_purchase_lines_movements": _PURCHASE_BATCH
+    + f"""
+SELECT l.product_id, l.warehouse_id, 'IN' AS movement_type, {D('l.qty', 'qty')}, 'purchase' AS related_type,
+  l.purchase_invoice_id AS related_id
+FROM checked l SEMI JOIN (SELECT seq FROM walk WHERE accepted) USING (seq)""",
+    "add_purchase_lines_prices": _PURCHASE_BATCH
+    + f"""
+, newest AS (
+  SELECT l.product_id, i.supplier_id, arg_max(l.unit_price, l.seq) AS price
+  FROM checked l JOIN m_purchase_invoice i ON i.id = l.purchase_invoice_id
+  WHERE l.seq IN (SELECT seq FROM walk WHERE accepted) GROUP BY ALL
+)
+SELECT product_id, supplier_id, {D('IFNULL(price, last_purchase_price)', 'last_purchase_price')}
+FROM m_product_supplier FULL JOIN newest USING (product_id, supplier_id)""",
+    "add_purchase_lines_totals": _PURCHASE_BATCH
+    + f"""
+, amounts AS (
+  SELECT purchase_invoice_id AS id, line_total AS amount FROM m_purchase_line
+  UNION ALL SELECT purchase_invoice_id, CAST(qty * unit_price AS DECIMAL(12,2)) FROM checked
+  WHERE seq IN (SELECT seq FROM walk WHERE accepted)
+)
+SELECT id, {D('IFNULL(SUM(amount), 0)', 'total_amount')} FROM (SELECT id FROM m_purchase_invoice) LEFT JOIN amounts
+USING (id) GROUP BY id""",
+    "add_purchase_lines_alerts": _OPEN_BEFORE + _PURCHASE_BATCH
+    + _CLOSED.format(
+        hit="EXISTS (SELECT 1 FROM checked l JOIN walk w ON w.seq = l.seq JOIN m_product p ON p.id = l.product_id "
+        "WHERE w.accepted AND COALESCE(l.max_stock_level, 0) - w.level >= p.min_stock_level "
+        "AND l.product_id = a.product_id AND l.warehouse_id = a.warehouse_id)",
+        by=W.RECEIVED,
+    ),
+    "adjust_inventory_closed_alerts": _OPEN_BEFORE + _ADJUST_BATCH
+    + _CLOSED.format(
+        hit="EXISTS (SELECT 1 FROM outcome o WHERE o.final IS NULL AND o.stock_after >= o.min_stock_level "
+        "AND o.product_id = a.product_id AND o.warehouse_id = a.warehouse_id)",
+        by="stocktaking",
+    ),
     "add_purchase_lines": _PURCHASE_BATCH
     + f"""
 SELECT l.purchase_invoice_id, l.product_id, l.warehouse_id, {D('l.qty', 'qty')}, {D('l.unit_price', 'unit_price')},
@@ -495,7 +541,20 @@ UNION ALL SELECT 'purchase_line', 'invoice exists', COUNT(*)
 UNION ALL SELECT 'purchase_line', 'product once per invoice', COUNT(*)
   FROM (SELECT 1 FROM m_purchase_line GROUP BY purchase_invoice_id, product_id HAVING COUNT(*) > 1)
 UNION ALL SELECT 'inventory_movement', 'movement type', COUNT(*)
-  FROM m_movement WHERE movement_type NOT IN ('IN', 'OUT', 'ADJUST')""",
+  FROM m_movement WHERE movement_type NOT IN ('IN', 'OUT', 'ADJUST')
+UNION ALL SELECT 'inventory_movement', 'product exists', COUNT(*)
+  FROM m_movement WHERE product_id NOT IN (SELECT id FROM m_product WHERE is_active)
+UNION ALL SELECT 'inventory_movement', 'warehouse exists', COUNT(*)
+  FROM m_movement WHERE warehouse_id NOT IN (SELECT id FROM m_warehouse WHERE is_active)
+UNION ALL SELECT 'sales_invoice', 'unique number', COUNT(*)
+  FROM (SELECT invoice_no FROM m_sales_invoice GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'sales_invoice', 'status DRAFT, CONFIRMED or CANCELLED', COUNT(*)
+  FROM m_sales_invoice WHERE status NOT IN ('DRAFT', 'CONFIRMED', 'CANCELLED')
+UNION ALL SELECT 'sales_line', 'invoice exists', COUNT(*)
+  FROM m_sales_line WHERE sales_invoice_id NOT IN (SELECT id FROM m_sales_invoice)
+UNION ALL SELECT 'sales_line', 'product exists', COUNT(*)
+  FROM m_sales_line WHERE product_id NOT IN (SELECT id FROM m_product)
+UNION ALL SELECT 'unit', 'unique code', COUNT(*) FROM (SELECT name FROM m_unit GROUP BY 1 HAVING COUNT(*) > 1)""",
     # Effects
     "purchase_confirm_movements": _PURCHASE_CHANGES
     + f"""

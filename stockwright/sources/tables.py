@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +34,8 @@ SCHEMAS = {
 # Names what one run of the program stages, so that it can be dropped as a whole.
 _RUN = f"stockwright-{uuid.uuid4().hex}"
 _local_folder: str | None = None
+# Folders staged inside ``temporary_stages``, by thread.
+_scope = threading.local()
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -74,10 +79,26 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 def drop_staged(spark: SparkSession) -> None:
     """Deletes what this run has staged; for the end of a job, when all results are written."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{_RUN}")
+    _delete(spark, f"{shared_folder(spark)}/{_RUN}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextlib.contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, also after an error; for the work of one micro-batch."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            _delete(spark, path)
+        _scope.paths = outer
+
+
 def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:
     """Write rows to the shared folder and read them back.
 
@@ -86,5 +107,7 @@ def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:
     """
     spark = rows.sparkSession
     path = new_folder(spark, purpose)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

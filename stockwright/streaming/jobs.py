@@ -2,7 +2,7 @@
 
 Each micro-batch runs the batch operators on its rows, starting from the state the batches before left. Rows
 are ordered within a micro-batch; across batches the order of arrival counts. All outputs are keyed by batch id
-and overwritten on replay, so a restarted stream gives every result once.
+and overwritten on replay, so a restarted stream gives every result once. What a batch stages is deleted at its end.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from stockwright.operators.audit import StockTimeline, price_history_audit
 from stockwright.operators.ledger import CELL
-from stockwright.sources.tables import stage
+from stockwright.sources.tables import stage, temporary_stages
 from stockwright.streaming.state import BatchTable, KeyedState
 
 _CELL = "product_id bigint, warehouse_id bigint"
@@ -43,9 +43,14 @@ class StockStream:
         return movement.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.folder}/progress")
 
     def process(self, movement: DataFrame, batch_id: int) -> None:
-        # The batch and the state before it are read by several actions.
-        known = stage(self.stock.before(batch_id), "opening")
-        timeline = StockTimeline(stage(movement, "movements"), self.product, known)
+        with temporary_stages(movement.sparkSession):
+            self._process(movement, batch_id)
+
+    def _process(self, movement: DataFrame, batch_id: int) -> None:
+        # The batch and the state of its cells are read by several actions.
+        moved = stage(movement, "movements")
+        known = stage(self.stock.before(batch_id, moved), "opening")
+        timeline = StockTimeline(moved, self.product, known)
         recovery = F.min(F.when(~F.col("is_low"), F.struct("seq", "created_at")))
         cells = stage(
             timeline.rows.groupBy(*CELL)
@@ -100,10 +105,11 @@ class PriceStream:
         return prices.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.folder}/progress")
 
     def process(self, prices: DataFrame, batch_id: int) -> None:
-        known = stage(self.prices.before(batch_id), "prices")
-        rows = stage(prices, "quotations")
-        self.audit.write(price_history_audit(rows, known), batch_id)
-        self.prices.write(rows.groupBy("product_id").agg(F.max_by("price", "seq").alias("price")), batch_id)
+        with temporary_stages(prices.sparkSession):
+            rows = stage(prices, "quotations")
+            known = stage(self.prices.before(batch_id, rows), "prices")
+            self.audit.write(price_history_audit(rows, known), batch_id)
+            self.prices.write(rows.groupBy("product_id").agg(F.max_by("price", "seq").alias("price")), batch_id)
 
     def audited(self) -> DataFrame:
         return self.audit.read().drop("_batch")

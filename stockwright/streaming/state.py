@@ -1,26 +1,29 @@
 """Versioned tables a streaming job keeps between micro-batches.
 
 Every micro-batch writes its own folder, named by its id, and writes it anew when it is replayed. The state
-holds one row per key and folder; the row of the latest folder counts. Now and then a batch writes all keys,
-so that a reader goes back to that folder and no further.
+holds one row per key and folder; the row of the latest folder counts. A folder is laid out by a hash of the key, so a
+batch reads the parts its own keys lie in. Now and then a batch writes all keys, so that a reader goes back to that
+folder and no further.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "_batch"
+PART = "_part"
+PARTS = 64  # of a state folder
 
 
 class BatchTable:
     """Append-only output of a stream, one folder per micro-batch."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str, schema: str, laid_out_by: tuple[str, ...] = ()):
+        self.spark, self.path, self.schema, self.by = spark, path, schema, laid_out_by
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        rows.write.partitionBy(*self.by).mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
     def read(self) -> DataFrame:
         """Rows of all batches."""
@@ -42,13 +45,23 @@ class KeyedState:
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str, full_every: int = 20):
         self.keys, self.full_every = keys, full_every
-        self.table = BatchTable(spark, path, schema)
+        self.table = BatchTable(spark, path, f"{schema}, {PART} int", (PART,))
 
-    def before(self, batch_id: int) -> DataFrame:
-        """State as the batches before ``batch_id`` left it."""
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(PARTS)).cast("int").alias(PART)
+
+    def before(self, batch_id: int, wanted: DataFrame | None = None) -> DataFrame:
+        """State as the batches before ``batch_id`` left it, of the keys in ``wanted`` or of all.
+
+        Of ``wanted`` only the numbers of the parts (``PARTS`` at most) come to the driver, to read no other part.
+        """
         last_full = (batch_id - 1) // self.full_every * self.full_every if batch_id else 0
         rows = self.table.read_batches(last_full, batch_id)
-        values = [c for c in rows.columns if c not in (*self.keys, BATCH)]
+        if wanted is not None:
+            keys = wanted.select(*self.keys).distinct()
+            parts = [row[0] for row in keys.select(self._part()).distinct().collect()]
+            rows = rows.filter(F.col(PART).isin(parts)).join(keys, self.keys, "left_semi")
+        values = [c for c in rows.columns if c not in (*self.keys, BATCH, PART)]
         latest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), BATCH).alias("_latest"))
         return latest.select(*self.keys, "_latest.*")
 
@@ -57,7 +70,7 @@ class KeyedState:
         if batch_id and batch_id % self.full_every == 0:
             kept = self.before(batch_id).join(changed.select(*self.keys), self.keys, "left_anti")
             changed = changed.unionByName(kept)
-        self.table.write(changed, batch_id)
+        self.table.write(changed.withColumn(PART, self._part()), batch_id)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
