@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from typing import TypeVar
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Shared = TypeVar("Shared")
+
 # ASCII letters, as the contracts lower-case only these.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = "\t\n\x0b\x0c\r "
@@ -16,6 +21,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def share(spark: SparkSession, value: Shared) -> Callable[[], Shared]:
+    """Sends a value of bounded size to every task once; the result gives it back there.
+
+    Its class travels with it, so executors need no copy of this package.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(packed.value)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with a name for ``value``: it is computed once per row, even when a lambda uses it per element."""
     return F.transform(F.array(value), body)[0]

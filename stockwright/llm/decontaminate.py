@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockwright.llm.common import slices, strings, table, text_of, word_table
+from stockwright.llm.common import share, slices, strings, table, text_of, word_table
 
 WINDOW = 10
 # The benchmark goes to every task; a larger one has to be split into several tables and runs.
@@ -146,7 +146,7 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: tupl
     """``n_words``, the hit word ranges ``spans`` (start, end; merged where they overlap), the same in UTF-8 bytes of
     the text as ``byte_spans``, and the sorted ``items``, for every row of ``docs``; columns named in ``keep`` stay."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ItemAutomaton(item_words(items), window))
+    shared = share(spark, ItemAutomaton(item_words(items), window))
     kept = docs.select(*[docs[c] for c in keep], text_of(docs).alias("_text"))
     span = "array<struct<start:int,end:int>>"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text")
@@ -154,7 +154,7 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: tupl
     pairs = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def read(batches):
-        automaton = shared.value
+        automaton = shared()
         numbers = automaton.numbers
         to_words = word_table()
         for batch in slices(batches):

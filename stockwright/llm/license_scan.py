@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockwright.llm.common import slices, strings, table, text_of, word_table
+from stockwright.llm.common import share, slices, strings, table, text_of, word_table
 from stockwright.sources.tables import stage
 
 # Phrases and the labels they give.
@@ -89,13 +89,13 @@ class Templates:
 
 def votes(docs: DataFrame, templates: Templates, keep: tuple[str, ...]) -> DataFrame:
     """Kept columns, ``n_words`` and ``hits`` (word position, code) of every row; the k-grams of whole texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(templates)
+    shared = share(docs.sparkSession, templates)
     kept = docs.select(*[docs[c] for c in keep], text_of(docs).alias("_text"))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema if f.name != "_text")
     pairs = pa.list_(pa.struct([("at", pa.int32()), ("code", pa.int64())]))
 
     def roll(batches):
-        known = shared.value
+        known = shared()
         get = known.numbers.get
         to_words = word_table()
         for batch in slices(batches):

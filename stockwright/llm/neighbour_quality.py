@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockwright.llm.common import slices, strings, table, text_of
+from stockwright.llm.common import share, slices, strings, table, text_of
 
 SAMPLE = 4096  # labelled rows that vote; half of each label where there are enough
 PAIRS = 1024  # dimensions of hashed byte pairs
@@ -193,12 +193,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighbours:
 
 def score(docs: DataFrame, model: Neighbours) -> DataFrame:
     """``doc_id, score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def vote(batches):
+        voters = shared()
         for batch in slices(batches, BLOCK):
-            found = shared.value.scores(strings(batch.column(1)))
+            found = voters.scores(strings(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found.astype(np.float64))], names=["doc_id", "score"]
             )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockwright.llm.common import slices, strings, table, text_of, white_table
+from stockwright.llm.common import share, slices, strings, table, text_of, white_table
 from stockwright.llm.hashing import placed_words
 from stockwright.sources.tables import stage
 
@@ -203,10 +203,10 @@ def learn(training: DataFrame, counts: DataFrame) -> SuffixTree:
     tree = SuffixTree(
         frequent.column("code").to_numpy().view(np.uint64), frequent.column("n").to_numpy(), int(total), int(distinct)
     )
-    shared = spark.sparkContext.broadcast(tree)
+    shared = share(spark, tree)
 
     def count(batches):
-        return _summed(batches, lambda texts: shared.value.codes(texts))
+        return _summed(batches, shared().codes)
 
     each = training.select(text_of(training).alias("text")).mapInArrow(count, "code long, n long")
     entries = stage(each.groupBy("code").agg(F.sum("n").alias("n")), "entries")
@@ -224,14 +224,15 @@ def learn(training: DataFrame, counts: DataFrame) -> SuffixTree:
 
 def scored(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """Kept columns, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    shared = share(docs.sparkSession, tree)
     kept = docs.select(F.monotonically_increasing_id().alias("_id"), *[docs[c] for c in keep], text_of(docs).alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text")
     rare = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int32())]))
 
     def score(batches):
+        model_here = shared()
         for batch in slices(batches):
-            tokens, known, base, model, others = shared.value.score(strings(batch.column(batch.num_columns - 1)))
+            tokens, known, base, model, others = model_here.score(strings(batch.column(batch.num_columns - 1)))
             offsets = np.concatenate(([0], np.cumsum([len(c) for c, _ in others])))
             items = pa.StructArray.from_arrays(
                 [
