@@ -1,5 +1,7 @@
 """Streams over several micro-batches give what the batch operators give on everything at once."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,42 @@ def test_price_stream_equals_batch(spark, events, feed, tmp_path):
     batch = price_history_audit(prices_of_events(events))
     columns = ["product_id", "changed_at", "old_price", "new_price", "change_percent", "out_of_range"]
     assert bag(stream.audited().select(*columns)) == bag(batch.select(*columns))
+
+
+def test_batch_reads_and_stages_only_its_keys(spark, tmp_path, monkeypatch):
+    """Two thousand cells, then one movement: one state row is staged, and nothing staged is left."""
+    from stockwright.sources import tables
+    from stockwright.streaming import jobs
+
+    cells = 2000
+    product = spark.range(cells).select(
+        F.col("id"), F.lit(5).cast("decimal(12,2)").alias("min_stock_level"), F.lit(True).alias("is_active")
+    )
+
+    def movement(n, ids):
+        return ids.select(
+            F.col("id").alias("product_id"),
+            F.lit(1).cast("bigint").alias("warehouse_id"),
+            F.lit("IN").alias("movement_type"),
+            F.lit(n).cast("decimal(12,2)").alias("qty"),
+            F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+            F.struct(F.lit(n).alias("ts"), F.col("id").alias("event_id")).alias("seq"),
+        )
+
+    sizes, folders = {}, []
+
+    def counting(rows, purpose="stage"):
+        staged = tables.stage(rows, purpose)
+        sizes[purpose] = staged.count()
+        folders.append(staged.inputFiles()[0].rsplit("/", 1)[0] if sizes[purpose] else None)
+        return staged
+
+    monkeypatch.setattr(jobs, "stage", counting)
+    stream = StockStream(spark, str(tmp_path / "out"), product)
+    stream.process(movement(3, spark.range(cells)), 0)
+    stream.process(movement(4, spark.range(7, 8)), 1)
+    assert sizes["opening"] == 1 and sizes["cells"] == 1
+    assert not [f for f in folders if f and os.path.exists(f.removeprefix("file:"))]
+    assert {r.product_id: int(r.stock) for r in stream.stock.before(2).collect()} == {
+        i: 7 if i == 7 else 3 for i in range(cells)
+    }
