@@ -8,6 +8,7 @@ from stockwright.llm import (
     jaccard_join,
     license_scan,
     neighbour_quality,
+    oracles,
     packing,
     quality_rules,
     secrets,
@@ -16,18 +17,21 @@ from stockwright.llm import (
 )
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op2_secrets": secrets.op2_secrets,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_suffix_tree_lm": suffix_tree_lm.op4_suffix_tree_lm,
-    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
-    "op1_license_scan": license_scan.op1_license_scan,
     "op5_neighbour_quality": neighbour_quality.op5_neighbour_quality,
-    "op2_secrets": secrets.op2_secrets,
     "op6_decontaminate": decontaminate.op6_decontaminate,
-    "op9_packing": packing.op9_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
+    "op9_packing": packing.op9_packing,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
 ORACLES = {
+    "op3_substring_dedup": oracles.SUBSTRINGS,
+    "op6_decontaminate": oracles.OVERLAPS,
+    "op8_jaccard_join": oracles.LINKS,
     "op10_chat_format": chat_format.ORACLE,
 }
