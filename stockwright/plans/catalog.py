@@ -204,7 +204,8 @@ def _sales_changes(t: TradeData) -> DataFrame:
 
 
 def _cancelled(t: TradeData) -> DataFrame:
-    return changes.sales_cancelled(_sales_changes(t))
+    # Stock only decides about confirmations, so cancelling reads no lines and no ledger.
+    return changes.sales_cancelled(rules.validate_sales_confirm(t.sales_status_changes))
 
 
 def _ids(t: TradeData) -> DataFrame:
