@@ -43,6 +43,11 @@ def price_audit(product: DataFrame, changes: DataFrame) -> DataFrame:
     return audit_rows(pairs.withColumnRenamed("id", "product_id"), "product_id")
 
 
+def signed(rows: DataFrame, changed_by: str, reason: str | None = None) -> DataFrame:
+    """Audit rows with who made the change and why, which the caller knows and Spark does not."""
+    return rows.withColumns({"changed_by": F.lit(changed_by), "reason": F.lit(reason).cast("string")})
+
+
 def supplier_price_audit(before: DataFrame, after: DataFrame) -> DataFrame:
     """Audit rows of purchase price changes between two versions of the product-supplier table."""
     pair = ["product_id", "supplier_id"]

@@ -85,6 +85,7 @@ REPORTS: dict[str, Query] = {
     "products_name_contains_count": counted(R.products_name_contains, "RING"),
     "invoices_customer_contains": over(R.invoices_customer_contains, "#00000012"),
     "active_products_price_range": over(R.active_products_price_range, *PRICES),
+    "active_products_price_range_ascending": over(R.active_products_price_range, *PRICES, descending=False),
     "active_products_price_range_count": counted(R.active_products_price_range, *PRICES),
     "recent_confirmed_sales": over(R.recent_confirmed_sales),
     "movements_by_document": over(_movements_by_document),
@@ -589,6 +590,9 @@ JOBS: dict[str, Query] = {
     "low_stock_alerts": over(lambda t: _active_timeline(t).alerts().select(*ALERT_COLUMNS)),
     "alert_episodes": over(lambda t: _active_timeline(t).episodes()),
     "price_audit": over(lambda t: audit.price_audit(t.product, t.product_changes)),
+    "price_audit_signed": over(
+        lambda t: audit.signed(audit.price_audit(t.product, t.product_changes), "purchasing", "Price update")
+    ),
     "supplier_price_audit": over(lambda t: audit.supplier_price_audit(t.product_supplier, _refreshed(t))),
     "resolve_on_deactivation": over(_deactivated),
     # Streams

@@ -601,6 +601,11 @@ WHERE l.low AND NOT COALESCE(l.was_low, FALSE)""",
     "price_audit": f"""
 SELECT id AS product_id, {D('old_price', 'old_price')}, {D('new_price', 'new_price')},
   {percent('old_price', 'new_price')} AS change_percent, FALSE AS out_of_range
+FROM m_change WHERE old_price <> new_price""",
+    "price_audit_signed": f"""
+SELECT id AS product_id, {D('old_price', 'old_price')}, {D('new_price', 'new_price')},
+  {percent('old_price', 'new_price')} AS change_percent, FALSE AS out_of_range, 'purchasing' AS changed_by,
+  'Price update' AS reason
 FROM m_change WHERE old_price <> new_price""",
     "supplier_price_audit": _LATEST_PRICE
     + f"""

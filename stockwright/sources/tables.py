@@ -36,6 +36,8 @@ _RUN = f"stockwright-{uuid.uuid4().hex}"
 _local_folder: str | None = None
 # Folders staged inside ``temporary_stages``, by thread.
 _scope = threading.local()
+# Folders staged since the last ``release_stages``; None before the first.
+_held: list[str] | None = None
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -99,6 +101,14 @@ def temporary_stages(spark: SparkSession) -> Iterator[None]:
         _scope.paths = outer
 
 
+def release_stages(spark: SparkSession) -> None:
+    """Deletes what was staged since the last call; for jobs of several steps, when the step before has written its rows."""
+    global _held
+    for path in _held or []:
+        _delete(spark, path)
+    _held = []
+
+
 def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:
     """Write rows to the shared folder and read them back.
 
@@ -109,5 +119,7 @@ def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:
     path = new_folder(spark, purpose)
     if getattr(_scope, "paths", None) is not None:
         _scope.paths.append(path)
+    elif _held is not None:
+        _held.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
