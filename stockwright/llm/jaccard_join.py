@@ -7,6 +7,7 @@ link when their Jaccard similarity reaches ``at_least`` percent. The product is
   first ``n - ceil(s n) + 1``, so only these prefixes enter the product.
 * Rows lie in blocks by size; sizes further apart than the similarity allows never meet.
 * A pair whose first common column leaves too few columns for the needed overlap is dropped.
+* So is a pair whose accumulated overlap in the prefixes, with all columns after them, stays below the needed overlap.
 
 Frequencies for the order come from a count sketch of fixed size (any one order gives the same links). Columns held by
 one row only are dropped while streaming the sorted incidence. First every row is held against two rows of its column
@@ -229,48 +230,58 @@ def open_pairs(rows: DataFrame, at_least: int) -> DataFrame:
     return met.select(F.greatest("row", "row2").alias("a"), F.least("row", "row2").alias("b")).distinct()
 
 
+def promising(pairs: DataFrame, rows: DataFrame, at_least: int) -> DataFrame:
+    """The pairs whose accumulated overlap can still reach the similarity.
+
+    Of two rows, let that be the first whose prefix ends first in the order of the columns: all common columns up to
+    there lie in both prefixes and are counted, the first row has ``ceil(s n) - 1`` columns after it. The larger of both
+    rests bounds the overlap whichever it is.
+    """
+    mine = rows.select(F.col("row").alias("a"), "gram", F.col("n").alias("n1"))
+    other = rows.select(F.col("row").alias("b"), "gram", F.col("n").alias("n2"))
+    common = pairs.join(mine, "a").join(other, ["b", "gram"]).groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.first("n1").alias("n1"), F.first("n2").alias("n2")
+    )
+    longer = F.greatest("n1", "n2").cast("long")
+    rest = F.floor((at_least * longer + 99) / 100) - 1
+    total = (F.col("n1") + F.col("n2")).cast("long")
+    return common.where((100 + at_least) * (F.col("common") + rest) >= at_least * total).select("a", "b")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, at_least: int) -> DataFrame:
-    """``a, b`` of the pairs whose whole sets link. Sets are made anew from the texts of the rows in question only."""
+    """``a, b`` of the pairs whose whole sets link.
+
+    The texts of the rows in question meet, as they are smaller than their sets, and the sets are made anew. Of several
+    rows of an id only one with the class's set counts.
+    """
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     shared = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
 
-    def sets(batches):
-        wanted = shared.value
-        for batch in slices(batches):
-            ids = batch.column(0).to_numpy()
-            places = chosen(ids, wanted)
-            if not len(places):
-                continue
-            grams = list(gram_sets(strings(batch.column(1).take(pa.array(places))), width))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[places]),
-                    pa.array([_signature(g) for g in grams], pa.int64()),
-                    pa.array([g.tobytes() for g in grams], pa.binary()),
-                ],
-                names=["row", "signature", "grams"],
-            )
+    def pick(batches):
+        for batch in batches:
+            yield batch.take(pa.array(chosen(batch.column(0).to_numpy(), shared.value)))
 
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    made = texts.mapInArrow(sets, "row long, signature long, grams binary")
-    # Of several rows of an id, one that belongs to the class; ids that only look wanted go.
-    own = classes.join(ids, classes["row"] == ids["id"], "left_semi").select("row", "signature")
-    made = stage(made.join(own, ["row", "signature"]).dropDuplicates(["row"]).select("row", "grams"), "sets")
+    source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("row"), text_of(docs).alias("text"))
+    texts = stage(source.mapInArrow(pick, "row long, text string"), "texts")
 
     def overlap(batches):
         for batch in slices(batches):
+            x, y = (gram_sets(strings(batch.column(i)), width) for i in (4, 5))
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= at_least * (len(x) + len(y) - both))
+            for g, h, s, t in zip(x, y, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                both = len(np.intersect1d(g, h, assume_unique=True))
+                enough = 100 * both >= at_least * (len(g) + len(h) - both)
+                keep.append(enough and _signature(g) == s and _signature(h) == t)
             linked = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([c.take(linked) for c in batch.columns[:2]], names=["a", "b"])
 
-    first = pairs.join(made.select(F.col("row").alias("a"), F.col("grams").alias("x")), "a")
-    second = first.join(made.select(F.col("row").alias("b"), F.col("grams").alias("y")), "b")
-    return stage(second.select("a", "b", "x", "y").mapInArrow(overlap, "a long, b long"), "linked")
+    signed = classes.select("row", "signature")
+    for side, sign, text in (("a", "s", "x"), ("b", "t", "y")):
+        pairs = pairs.join(signed.withColumnsRenamed({"row": side, "signature": sign}), side)
+        pairs = pairs.join(texts.withColumnsRenamed({"row": side, "text": text}), side)
+    met = pairs.select("a", "b", "s", "t", "x", "y").mapInArrow(overlap, "a long, b long")
+    return stage(met.distinct(), "linked")
 
 
 def link_components(docs: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST) -> DataFrame:
@@ -289,12 +300,13 @@ def link_components(docs: DataFrame, width: int = WIDTH, at_least: int = AT_LEAS
         "gram", "row", "n", "place", block.alias("block")
     )
     held = stage(held, "columns")
-    links = verified(docs, hub_pairs(held, at_least), classes, width, at_least)
+    links = verified(docs, promising(hub_pairs(held, at_least), held, at_least), classes, width, at_least)
     found = components(links)
     labelled = held.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn(
         "label", F.coalesce("component", "row")
     )
-    rest = verified(docs, open_pairs(stage(labelled, "columns"), at_least), classes, width, at_least)
+    left = open_pairs(stage(labelled, "columns"), at_least)
+    rest = verified(docs, promising(left, held, at_least), classes, width, at_least)
     found = stage(components(links.unionByName(rest)), "components")
     named = classes.join(found.withColumnRenamed("node", "row"), "row", "left").select(
         "signature", "n", F.coalesce("component", "row").alias("component_id")
