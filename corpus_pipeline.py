@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stockwright.llm.common import table
@@ -10,14 +13,28 @@ from stockwright.llm.jaccard_join import near_duplicates_stage
 from stockwright.llm.packing import packing_stage
 from stockwright.llm.quality_rules import quality_stage
 from stockwright.llm.secrets import secrets_stage
-from stockwright.sources.tables import stage
+from stockwright.sources.tables import new_folder, release_stages
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _step(function: Stage) -> Stage:
+    """The stage, which first deletes what the stage before has staged: its rows are written when the next one begins."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_stages(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
 
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("near_duplicates", near_duplicates_stage),
-    ("decontamination", decontamination_stage),
-    ("secrets", secrets_stage),
-    ("packing", packing_stage),
+    ("quality_rules", _step(quality_stage)),
+    ("near_duplicates", _step(near_duplicates_stage)),
+    ("decontamination", _step(decontamination_stage)),
+    ("secrets", _step(secrets_stage)),
+    ("packing", _step(packing_stage)),
 ]
 
 # No stage is plain SQL; tests/llm/test_pipeline.py compares the stages with plain Python.
@@ -28,5 +45,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written and read again as the next one's input."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+        path = new_folder(spark, name)
+        function(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
