@@ -1,15 +1,18 @@
 """Benchmark decontamination: a generalised suffix automaton of the normalised items, read over every document.
 
 The automaton is over word numbers; its size is at most twice the words of all items. It is built on the driver from
-the benchmark table, whose size is checked against ``MOST_ITEM_WORDS``, and sent to the tasks once. A task streams a
-document's words, follows the automaton and holds the longest matching length at each word. Where that length reaches
-the window, the last words lie in an item.
+the benchmark table and sent to the tasks once. A task streams a document's words, follows the automaton and holds the
+longest matching length at each word. Where that length reaches the window, the last words lie in an item. A benchmark
+of more than ``MOST_ITEM_WORDS`` words is dealt into groups with an automaton each; every document is read against each
+group, and what the groups find in it is merged.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockwright.llm.common import share, slices, strings, table, text_of, word_table
+from stockwright.sources.tables import stage
 
 WINDOW = 10
-# The benchmark goes to every task; a larger one has to be split into several tables and runs.
+# An automaton goes to every task; a larger benchmark takes several.
 MOST_ITEM_WORDS = 500_000
 
 
@@ -130,28 +134,102 @@ class ItemAutomaton:
         return found, owners
 
 
-def item_words(items: DataFrame) -> list[tuple[str, list[bytes]]]:
-    """Normalised words of all items; a null id is the empty name, a null text has no words."""
+def item_groups(items: DataFrame, window: int = WINDOW) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """Normalised words of all items, in groups of at most ``MOST_ITEM_WORDS`` words; at least one group.
+
+    A null id is the empty name, a null text has no words. The driver holds one group at a time. An item that is longer
+    than a group is cut into parts that share ``window - 1`` words, so each of its windows lies in one part.
+    """
     rows = items.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_of(items).alias("text")
     )
-    total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    if total > 8 * MOST_ITEM_WORDS:
-        raise ValueError(f"the benchmark holds {total} characters; split it, as it is sent to every task")
+    most = max(MOST_ITEM_WORDS, window)
     to_words = word_table()
-    return sorted((r["item"], r["text"].encode().translate(to_words).split()) for r in rows.collect())
+    group, held = [], 0
+    for row in rows.toLocalIterator():
+        words = row["text"].encode().translate(to_words).split()
+        for at in range(0, max(1, len(words) - window + 1), most - window + 1):
+            part = words[at : at + most]
+            if group and held + len(part) > most:
+                yield sorted(group)
+                group, held = [], 0
+            group.append((row["item"], part))
+            held += len(part)
+    yield sorted(group)
+
+
+PAIRS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+SPANS = "array<struct<start:int,end:int>>"
 
 
 def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
     """``n_words``, the hit word ranges ``spans`` (start, end; merged where they overlap), the same in UTF-8 bytes of
     the text as ``byte_spans``, and the sorted ``items``, for every row of ``docs``; columns named in ``keep`` stay."""
-    spark = docs.sparkSession
-    shared = share(spark, ItemAutomaton(item_words(items), window))
-    kept = docs.select(*[docs[c] for c in keep], text_of(docs).alias("_text"))
-    span = "array<struct<start:int,end:int>>"
+    groups = item_groups(items, window)
+    first, second = next(groups), next(groups, None)
+    if second is None:
+        return _found(docs.select(*[docs[c] for c in keep], text_of(docs).alias("_text")), first, window)
+    # Numbered rows are written, as a recomputation could number them differently.
+    kept = stage(
+        docs.select(F.monotonically_increasing_id().alias("_id"), *[docs[c] for c in keep], text_of(docs).alias("_text")),
+        "documents",
+    )
+    numbered = kept.select("_id", "_text")
+    counts, hits = None, None
+    for group in chain((first, second), groups):
+        each = _found(numbered, group, window)
+        if counts is None:
+            each = stage(each, "hits")
+            counts = each.select("_id", "n_words")
+        own = each.where(F.size("spans") > 0).drop("n_words")
+        own = own if hits is None else stage(own, "hits")
+        hits = own if hits is None else hits.unionAll(own)
+    merged = _merge_groups(hits)
+    none = F.array().cast(SPANS)
+    return (
+        kept.drop("_text")
+        .join(counts, "_id")
+        .join(merged, "_id", "left")
+        .select(
+            *keep,
+            "n_words",
+            F.coalesce("spans", none).alias("spans"),
+            F.coalesce("byte_spans", none).alias("byte_spans"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        )
+    )
+
+
+def _merge_groups(hits: DataFrame) -> DataFrame:
+    """One row for each ``_id``: the ranges and items of all its rows. Word and byte ranges of a row go in pairs."""
+    met = hits.groupBy("_id").agg(
+        F.flatten(F.collect_list(F.arrays_zip("spans", "byte_spans"))).alias("ranges"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+
+    def merge(batches):
+        for batch in batches:
+            spans, places = [], []
+            for ranges in batch.column(1).to_pylist():
+                # Byte places rise with word places, so the same ranges merge.
+                words = _merged([(r["spans"]["start"], r["spans"]["end"]) for r in ranges])
+                begin = {r["spans"]["start"]: r["byte_spans"]["start"] for r in ranges}
+                end = {r["spans"]["end"]: r["byte_spans"]["end"] for r in ranges}
+                spans.append([{"start": a, "end": b} for a, b in words])
+                places.append([{"start": begin[a], "end": end[b]} for a, b in words])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(spans, PAIRS), pa.array(places, PAIRS), batch.column(2)],
+                names=["_id", "spans", "byte_spans", "items"],
+            )
+
+    return met.mapInArrow(merge, f"_id long, spans {SPANS}, byte_spans {SPANS}, items array<string>")
+
+
+def _found(kept: DataFrame, items: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
+    """What one group's automaton finds in ``_text``, the last column; the columns before it stay."""
+    shared = share(kept.sparkSession, ItemAutomaton(items, window))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text")
-    schema = f"{fields}{', ' * bool(fields)}n_words long, spans {span}, byte_spans {span}, items array<string>"
-    pairs = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    schema = f"{fields}{', ' * bool(fields)}n_words long, spans {SPANS}, byte_spans {SPANS}, items array<string>"
 
     def read(batches):
         automaton = shared()
@@ -172,8 +250,8 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: tupl
                 [
                     *batch.columns[:-1],
                     pa.array(counts, pa.int64()),
-                    pa.array(spans, pairs),
-                    pa.array(places, pairs),
+                    pa.array(spans, PAIRS),
+                    pa.array(places, PAIRS),
                     pa.array(owners, pa.list_(pa.string())),
                 ],
                 names=[*batch.schema.names[:-1], "n_words", "spans", "byte_spans", "items"],

@@ -170,6 +170,26 @@ def test_overlaps(results, docs):
     assert bag(results("op6_decontaminate"), *names) == want
 
 
+def test_overlaps_of_a_benchmark_in_groups(spark, tables, monkeypatch):
+    """A benchmark above the bound of one automaton finds what one automaton for all of it finds."""
+    docs, items = (spark.read.parquet(f"{tables}/{n}.parquet") for n in ("documents", "benchmark"))
+
+    def found():
+        names = ("doc_id", "n_words", "spans", "byte_spans", "items")
+        rows = decontaminate.overlaps(docs, items, keep=("doc_id",)).collect()
+        return Counter(tuple(str(r[n]) for n in names) for r in rows), decontaminate.decontaminated(docs, items)
+
+    want, kept = found()
+    longest = max(len((r.text or "").split()) for r in items.collect())
+    for most in (12, longest - 1):
+        monkeypatch.setattr(decontaminate, "MOST_ITEM_WORDS", most)
+        assert len(list(decontaminate.item_groups(items))) > 1
+        got, rest = found()
+        assert got == want
+        assert Counter(map(str, rest.collect())) == Counter(map(str, kept.collect()))
+    assert sum(bool(k[4] != "[]") for k in want) > 3
+
+
 def test_quality_counts(results, docs):
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert bag(results("op7_quality_rules"), *names) == Counter((d, *brute.quality(t)) for d, t in docs)
