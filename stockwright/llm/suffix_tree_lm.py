@@ -1,36 +1,38 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-Word counts are taken over all training texts; words whose share of the tokens is at least ``1 / WORDS`` are the tree's
-symbols (there cannot be more than ``WORDS`` of them). A context is one symbol, or two where both are very frequent. Its
-next-symbol counts come from a second pass over all training texts; entries with a share below ``1 / ENTRIES`` are left
-to the shorter context, so the model's size is bounded by parameters while every count behind it is taken over the whole
-corpus. A context stays in the tree when its distribution diverges from that of its longest proper suffix in favour of
-the tokens seen after it: their log-likelihood ratio, each token judged without its own occurrence, is above zero.
-
-A token's probability is that of the longest suffix of its history that is a state, mixed with the next shorter suffix;
-at the root it is the count plus one. Tokens that are no symbols are never entries, so their part is the mixing weights
-times the root probability. Their counts are joined by Spark; the frequent words, which would be heavy keys in that
-join, are in the model.
+Word counts are taken over all training texts. A gram is a context of one to ``DEPTH`` words and the word after it; its
+code is made of the codes of the gram without its last and of the gram without its first word. Grams are counted in rounds
+by length, over all training texts; those that occur ``LEAST`` times are the tree's entries, whatever the size of the
+corpus. A context stays in the tree when its distribution diverges from that of its longest proper suffix in favour of the
+tokens seen after it: their log-likelihood ratio, each token judged without its own occurrence, is above zero.
+
+A token's probability is that of the longest suffix of its history that is a state, mixed with the next shorter suffix; at
+the root it is the count plus one. Its logarithm is a sum with a part for each gram: what a state leaves to the shorter
+context, and what an entry adds to that. So a text's score is the sum of the parts of its grams, in any order. Words and
+parts are Spark tables; the most frequent, which would be heavy keys in a join, are sent to the tasks, all others joined.
 """
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockwright.llm.common import share, slices, strings, table, text_of, white_table
-from stockwright.llm.hashing import placed_words
-from stockwright.sources.tables import stage
+from stockwright.llm.hashing import mix, placed_words
+from stockwright.sources.tables import _delete, new_folder, stage, temporary_stages
 
-WORDS = 1 << 20  # a symbol has at least this part of the tokens
-CONTEXTS = 1 << 14  # a context of one symbol has at least this part
-PAIRED = 1 << 8  # symbols of a context of two have at least this part
-ENTRIES = 1 << 21  # a next symbol has at least this part with its context
+DEPTH = 2  # words of the longest context
+LEAST = 2  # occurrences of an entry
+HOT = 1 << 20  # words and grams that are sent to the tasks, at most
+BITS = 26  # leading bits of a code that the filters of codes tell apart
 PRIOR = 20.0  # weight of the shorter context, in tokens
 DISCOUNT = 0.75  # taken from each entry's count and given to the shorter context
 END = np.uint64(0x5EED0FE11D0FF117)  # hash of the end of a text; also what stands before the first word
+_CONTEXT = np.uint64(0xA0761D6478BD642F)  # odd random multiplier
 BUFFER = 2_000_000  # tokens counted together in a task
 
 
@@ -44,18 +46,42 @@ def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, last, END), last + np.arange(len(texts))
 
 
-def _summed(batches, codes_of):
-    """Distinct codes with counts of a task's rows, some million tokens at a time."""
+def _joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Codes of grams from those without the last and without the first word."""
+    return mix(context * _CONTEXT + suffix)
+
+
+def grams(hashes: np.ndarray, ends: np.ndarray):
+    """By length: contexts, suffixes and codes of the grams that end at each token, and which tokens have one."""
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    context = np.roll(hashes, 1)
+    context[begins] = END
+    suffix, valid = hashes, np.ones(len(hashes), bool)
+    for _ in range(DEPTH):
+        code = _joined(context, suffix)
+        yield context, suffix, code, valid
+        context, suffix, valid = np.roll(code, 1), code, np.roll(valid, 1)
+        valid[begins] = False
+
+
+def _summed(batches, keys_of, names: list[str]):
+    """Distinct keys (arrays of numbers, one for each name) with counts of a task's rows, some million at a time."""
     held, size = [], 0
 
     def flush():
-        code, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
+        keys = [np.concatenate(k) for k in zip(*held)]
+        order = np.lexsort(keys)
+        keys = [k[order] for k in keys]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        at = np.flatnonzero(new)
+        n = np.diff(np.append(at, len(order)))
+        return pa.RecordBatch.from_arrays([*[pa.array(k[at]) for k in keys], pa.array(n)], names=[*names, "n"])
 
     for batch in slices(batches):
-        codes = codes_of(strings(batch.column(0)))
-        held.append(codes)
-        size += len(codes)
+        keys = keys_of(strings(batch.column(0)))
+        held.append(keys)
+        size += len(keys[0])
         if size >= BUFFER:
             yield flush()
             held, size = [], 0
@@ -67,162 +93,249 @@ def token_counts(training: DataFrame) -> DataFrame:
     """``code, n``: hash and count of every distinct token of the rows' ``text``."""
 
     def count(batches):
-        return _summed(batches, lambda texts: token_hashes(texts)[0].view(np.int64))
+        return _summed(batches, lambda texts: [token_hashes(texts)[0].view(np.int64)], ["code"])
 
     each = training.select(text_of(training).alias("text")).mapInArrow(count, "code long, n long")
     return each.groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def code_filter(codes: DataFrame) -> np.ndarray:
+    """A bit for the leading bits of every ``code``: tells most others apart, at any size none too few."""
+    lead = codes.select(F.shiftrightunsigned("code", 64 - BITS).alias("lead"))
+    words = lead.groupBy(F.shiftright("lead", 6).cast("int").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(lead & 63 as int)))").alias("bits")
+    )
+    found = words.toArrow()
+    out = np.zeros(1 << (BITS - 6), np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def passes(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    lead = codes >> np.uint64(64 - BITS)
+    return (bits[lead >> np.uint64(6)] >> (lead & np.uint64(63))) & np.uint64(1) == 1
+
+
 class SuffixTree:
-    """Symbols, states and their next-symbol counts as sorted arrays."""
+    """The most frequent words and grams with their parts, as sorted arrays; ``others`` is the table of all others."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order]
+    def __init__(self, total: int, distinct: int, words, learned, bits: np.ndarray, others: DataFrame):
         self.total, self.distinct = total, distinct
         self.floor = total + distinct + 1  # denominator of the root
-        self.size = len(hashes) + 1  # symbols, and one for all other tokens
-        self.context = np.append(self.counts >= max(1, total / CONTEXTS), False)
-        paired = np.append(self.counts >= max(1, total / PAIRED), False)
-        self.pair = np.where(paired, np.cumsum(paired) - 1, -1)
-        self.n_pair = int(paired.sum())
+        self.hashes, self.counts, bow = words
+        self.size = len(self.hashes) + 1  # words here, and one for all other tokens
         self.root = np.append(np.log10((self.counts + 1) / self.floor), 0.0)
-        # Codes, counts, mixing weight and count of the states, of one and of two symbols.
-        empty = (np.empty(0, np.int64), np.empty(0, np.float64))
-        self.entries = [empty, empty]
-        self.kept = [np.zeros(0), np.zeros(0)]
-        self.rest = [np.zeros(0), np.zeros(0)]
+        self.bow = np.append(bow, 0.0)  # what a state leaves to the shorter context
+        self.code, self.last, self.added, self.left = learned  # of grams: suffix, part as an entry, part as a context
+        self.bits = bits  # filter of the other grams
+        self.others = others
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "others"}
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        """Symbol numbers; the last number for other tokens."""
-        if self.size == 1:
-            return np.zeros(len(hashes), np.int64)
-        at = np.searchsorted(self.hashes, hashes)
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == hashes, at, self.size - 1)
+        """Word numbers; the last number for other tokens."""
+        at = _places(self.hashes, hashes)
+        return np.where(at >= 0, at, self.size - 1)
 
     def histories(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts of one and of two symbols of each token, -1 where there is none that may be a state."""
-        end = int(self.symbols(np.array([END]))[0])
+        """Contexts of one and of two words of each token, -1 where they are not here."""
+        known = np.append(self.symbols(np.array([END])), symbols)
         begins = np.concatenate(([0], ends[:-1] + 1))
-        one = np.empty_like(symbols)
-        one[1:] = symbols[:-1]
-        one[begins] = end
-        two = np.empty_like(symbols)
-        two[2:] = symbols[:-2]
-        two[begins[begins + 1 < len(two)] + 1] = end
-        two[begins] = self.size - 1
-        pairs = self.pair[two] * self.n_pair + self.pair[one]
-        return (
-            np.where(self.context[one], one, -1),
-            np.where((self.pair[one] >= 0) & (self.pair[two] >= 0), pairs, -1),
-        )
-
-    def codes(self, texts: list[str]) -> np.ndarray:
-        """(context, next symbol) of all tokens as numbers, the lowest bit telling contexts of two from those of one."""
-        hashes, ends = token_hashes(texts)
-        symbols = self.symbols(hashes)
-        one, two = self.histories(symbols, ends)
-        first = one >= 0
-        second = two >= 0
-        return np.concatenate(
-            ((one[first] * self.size + symbols[first]) * 2, (two[second] * self.size + symbols[second]) * 2 + 1)
-        )
-
-    def grow(self, code: np.ndarray, n: np.ndarray, seen: list[np.ndarray]) -> None:
-        """Keep the contexts that differ from their suffix. ``code, n`` are the frequent entries by code, ``seen`` the
-        tokens after each context, by order."""
-        for order in (0, 1):
-            mine = code % 2 == order
-            key, count = code[mine] // 2, n[mine].astype(np.float64)
-            context, symbol = key // self.size, key % self.size
-            real = symbol < self.size - 1
-            key, count, context, symbol = key[real], count[real], context[real], symbol[real]
-            seen_by = seen[order]
-            if order == 0:
-                shorter = 10.0 ** self.root[symbol]
-            else:
-                one = np.flatnonzero(self.pair >= 0)[context % max(self.n_pair, 1)]
-                shorter = 10.0 ** self._mixed(0, np.where(self.context[one], one, -1), symbol, self.root[symbol])
-            stored = count - DISCOUNT
-            rest = PRIOR + seen_by - np.bincount(context, stored, len(seen_by))
-            weight = rest / (PRIOR + seen_by)
-            without = np.maximum(count - 1 - DISCOUNT, 0) + rest[context] * shorter
-            gain = count * np.log(without / (PRIOR + seen_by[context]) / shorter)
-            left = seen_by - np.bincount(context, count, len(seen_by))
-            divergence = np.bincount(context, gain, len(seen_by)) + left * np.log(weight)
-            state = divergence > 0
-            kept = np.bincount(context, stored, len(seen_by)) * state
-            self.entries[order] = (key[state[context]], stored[state[context]])
-            self.kept[order] = np.where(state, kept, -1.0)  # -1: no state
-            self.rest[order] = PRIOR + seen_by - kept
+        one = known[:-1].copy()
+        one[begins] = known[0]
+        one = np.where(one < self.size - 1, one, -1)
+        both = (one >= 0) & (symbols < self.size - 1)
+        pair = np.full(len(symbols), -1)
+        pair[both] = _places(self.code, _joined(self.hashes[one[both]], self.hashes[symbols[both]]))
+        two = np.roll(pair, 1)
+        two[begins] = -1
+        return one, two
 
     def _mixed(self, order: int, context: np.ndarray, symbol: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """log10 probabilities at the states of an order; ``shorter`` where there is no state."""
+        """log10 probabilities after contexts of one (order 0) or two words; ``shorter`` where there is no state."""
         out = shorter.copy()
-        if not len(self.kept[order]):
-            return out
         at = np.flatnonzero(context >= 0)
-        at = at[self.kept[order][context[at]] >= 0]
-        state = context[at]
-        key = state * self.size + symbol[at]
-        codes, counts = self.entries[order]
-        count = np.zeros(len(at))
-        if len(codes):
-            place = np.searchsorted(codes, key)
-            place[place == len(codes)] = 0
-            count = np.where(codes[place] == key, counts[place], 0.0)
-        rest, kept = self.rest[order][state], self.kept[order][state]
-        # Other tokens carry a root part of 0 here; theirs is added from the join.
-        out[at] = np.log10((count + rest * 10.0 ** shorter[at]) / (kept + rest))
+        out[at] += (self.bow, self.left)[order][context[at]]
+        at = at[symbol[at] < self.size - 1]
+        word = self.hashes[symbol[at]]
+        if order == 0:
+            code = _joined(self.hashes[context[at]], word)
+        else:
+            code = _joined(self.code[context[at]], _joined(self.last[context[at]], word))
+        place = _places(self.code, code)
+        out[at[place >= 0]] += self.added[place[place >= 0]]
         return out
 
     def score(self, texts: list[str]):
-        """Per text: tokens, those that are symbols, their base score, the model's score without the root parts of
-        other tokens, and the other tokens with their counts."""
+        """Per text: tokens, those that are words here, their base score, the model's score without the parts of other
+        tokens and grams, and these others with their counts."""
         hashes, ends = token_hashes(texts)
         symbols = self.symbols(hashes)
-        one, two = self.histories(symbols, ends)
+        known = symbols < self.size - 1
         root = self.root[symbols]
-        model = self._mixed(1, two, symbols, self._mixed(0, one, symbols, root))
+        model = root + self.bow[symbols]
+        texts_of = np.repeat(np.arange(len(ends)), np.diff(np.concatenate(([0], ends + 1))))
+        rare = [(texts_of[~known], hashes[~known])]
+        for _, _, code, valid in grams(hashes, ends):
+            place = _places(self.code, code)
+            here = valid & (place >= 0)
+            model[here] += self.added[place[here]] + self.left[place[here]]
+            rest = np.flatnonzero(valid & (place < 0))
+            rest = rest[passes(self.bits, code[rest])]
+            rare.append((texts_of[rest], code[rest]))
         begins = np.concatenate(([0], ends[:-1] + 1))
-        known = symbols < self.size - 1
-        sums = [np.add.reduceat(x, begins) for x in (known.astype(np.int64), np.where(known, root, 0.0), model)]
-        others = []
-        for a, b in zip(begins.tolist(), (ends + 1).tolist()):
-            rare, n = np.unique(hashes[a:b][~known[a:b]], return_counts=True)
-            others.append((rare.view(np.int64), n))
+        sums = [np.add.reduceat(x, begins) for x in (known.astype(np.int64), root, model)]
+        owner, code = (np.concatenate(x) for x in zip(*rare))
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(1, len(ends)))
+        others = [np.unique(c.view(np.int64), return_counts=True) for c in np.split(code[order], cuts)]
         return ends + 1 - begins, *sums, others
 
 
-def learn(training: DataFrame, counts: DataFrame) -> SuffixTree:
-    """The tree of the rows' ``text``, whose ``token_counts`` are ``counts``."""
-    spark = training.sparkSession
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = counts.where(F.col("n") >= max(1.0, total / WORDS)).toArrow()
-    tree = SuffixTree(
-        frequent.column("code").to_numpy().view(np.uint64), frequent.column("n").to_numpy(), int(total), int(distinct)
-    )
-    shared = share(spark, tree)
+def _places(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where codes stand among sorted ones, -1 for missing ones."""
+    if not len(codes):
+        return np.full(len(wanted), -1)
+    at = np.searchsorted(codes, wanted)
+    at[at == len(codes)] = 0
+    return np.where(codes[at] == wanted, at, -1)
+
+
+def gram_counts(training: DataFrame, order: int, bits: np.ndarray) -> DataFrame:
+    """``code, context, suffix, n`` of the grams of a length that occur ``LEAST`` times. ``bits`` filters the next
+    shorter ones that do; a gram occurs no more often than these."""
+    shared = share(training.sparkSession, bits)
 
     def count(batches):
-        return _summed(batches, shared().codes)
+        bits = shared()
+
+        def pairs(texts: list[str]) -> list[np.ndarray]:
+            context, suffix, _, valid = list(grams(*token_hashes(texts)))[order]
+            at = np.flatnonzero(valid)
+            at = at[passes(bits, suffix[at])]
+            if order:
+                at = at[passes(bits, context[at])]
+            return [context[at].view(np.int64), suffix[at].view(np.int64)]
+
+        return _summed(batches, pairs, ["context", "suffix"])
+
+    def name(batches):
+        for batch in batches:
+            context, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            code = pa.array(_joined(context, suffix).view(np.int64))
+            yield pa.RecordBatch.from_arrays([code, *batch.columns], names=["code", *batch.schema.names])
+
+    each = training.select(text_of(training).alias("text")).mapInArrow(count, "context long, suffix long, n long")
+    often = each.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return often.mapInArrow(name, "code long, context long, suffix long, n long")
+
+
+def grow(entries: DataFrame, before: DataFrame, last: bool, folders: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Entries of a length with ``score``, the log10 probability of their word, and ``added``, their part (null where the
+    context is no state); and the states ``context, left``. ``before``: ``code, n, score`` of the next shorter ones. Of
+    the last length only the entries of states are kept. ``folders`` gets the folders of both."""
+    spark = entries.sparkSession
+    grown, kept_states = new_folder(spark, "grown"), new_folder(spark, "states")
+    folders += [grown, kept_states]
+    with temporary_stages(spark):
+        met = entries.join(before.select(F.col("code").alias("suffix"), F.col("score").alias("shorter")), "suffix")
+        met = stage(met.drop("suffix") if last else met, "entries")
+        del entries
+        _free(spark)
+        stored = F.col("n") - DISCOUNT
+        seen = before.select(F.col("code").alias("context"), F.col("n").alias("seen"))
+        after = met.groupBy("context").agg(F.sum("n").alias("kept"), F.sum(stored).alias("stored")).join(seen, "context")
+        rest = PRIOR + F.col("seen") - F.col("stored")
+        of_all = PRIOR + F.col("seen")
+        shorter = F.pow(F.lit(10.0), F.col("shorter"))
+        without = F.greatest(F.col("n") - 1 - DISCOUNT, F.lit(0.0)) + rest * shorter
+        gain = met.join(after, "context").groupBy("context").agg(
+            F.sum(F.col("n") * F.log(without / of_all / shorter)).alias("gain"),
+            *[F.first(c).alias(c) for c in ("kept", "stored", "seen")],
+        )
+        # Tokens without an entry get what the state leaves to the shorter context.
+        divergence = F.col("gain") + (F.col("seen") - F.col("kept")) * F.log(rest / of_all)
+        states = gain.where(divergence > 0).select("context", "seen", rest.alias("rest"), F.log10(rest / of_all).alias("left"))
+        states.write.parquet(kept_states)
+        _free(spark)
+        states = spark.read.schema(states.schema).parquet(kept_states)
+        rest = F.col("rest")
+        out = met.join(states, "context", "inner" if last else "left").select(
+            "code",
+            *([] if last else ["suffix"]),
+            "n",
+            *([] if last else [F.coalesce(F.log10((stored + rest * shorter) / of_all), "shorter").alias("score")]),
+            F.log10(1 + stored / (rest * shorter)).alias("added"),
+        )
+        out.write.parquet(grown)
+    _free(spark)
+    return spark.read.schema(out.schema).parquet(grown), states.select("context", "left")
 
-    each = training.select(text_of(training).alias("text")).mapInArrow(count, "code long, n long")
-    entries = stage(each.groupBy("code").agg(F.sum("n").alias("n")), "entries")
-    context = F.floor(F.floor(F.col("code") / 2) / tree.size)
-    after = entries.groupBy((F.col("code") % 2).alias("order"), context.alias("context")).agg(F.sum("n").alias("n"))
-    seen = [np.zeros(tree.size), np.zeros(tree.n_pair**2)]
-    for batch in after.toArrow().to_batches():
-        order, number, n = (c.to_numpy() for c in batch.columns)
-        for k in (0, 1):
-            seen[k][number[order == k].astype(np.int64)] = n[order == k]
-    often = entries.where(F.col("n") >= max(1.0, total / ENTRIES)).toArrow().sort_by("code")
-    tree.grow(often.column("code").to_numpy(), often.column("n").to_numpy(), seen)
-    return tree
-
-
-def scored(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+
+def _free(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps, which it does when their plans are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def learn(training: DataFrame, counts: DataFrame) -> SuffixTree:
+    """The tree of the rows' ``text``, whose ``token_counts`` are ``counts``."""
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    floor = float(total + distinct + 1)
+    before = counts.withColumn("score", F.log10((F.col("n") + 1) / floor)).withColumn("added", F.lit(None).cast("double"))
+    parts: list[DataFrame] = []
+    folders: list[str] = []
+    for order in range(DEPTH + 1):
+        states = None
+        if order < DEPTH:
+            bits = code_filter(before.where(F.col("n") >= LEAST))
+            grown, states = grow(gram_counts(training, order, bits), before, order == DEPTH - 1, folders)
+        part = before.withColumn("order", F.lit(order).cast("byte"))
+        if "suffix" not in before.columns:  # a gram that is no context
+            part = part.withColumn("suffix", F.lit(None).cast("long"))
+        if states is None:
+            part = part.withColumn("left", F.lit(0.0))
+        else:
+            part = part.join(states.withColumnRenamed("context", "code"), "code", "left")
+        added, left = (F.coalesce(c, F.lit(0.0)).alias(c) for c in ("added", "left"))
+        part = part.select("code", "suffix", "n", "order", added, left)
+        parts.append(part if order == 0 else part.where("added != 0 OR left != 0"))
+        if states is not None:
+            before = grown
+    model = parts[0]
+    for part in parts[1:]:
+        model = model.unionAll(part)
+    # Counts in steps of a tenth: few numbers at any size.
+    model = stage(model.withColumn("step", F.floor(F.log("n") * 10).cast("int")), "model")
+    for folder in folders:
+        _delete(training.sparkSession, folder)
+    least, held = 1 << 30, 0
+    for row in sorted(model.groupBy("step").count().collect(), reverse=True):
+        held += row["count"]
+        if held > HOT:
+            break
+        least = row["step"]
+    _free(training.sparkSession)
+    hot = model.where(F.col("step") >= least).drop("step").toArrow()
+    order = hot.column("order").to_numpy()
+
+    def by_code(chosen: np.ndarray, *names: str) -> list[np.ndarray]:
+        rows = np.flatnonzero(chosen)
+        code = hot.column("code").to_numpy()[rows].view(np.uint64)
+        by = np.argsort(code)
+        return [code[by], *[hot.column(n).fill_null(0).to_numpy()[rows][by] for n in names]]
+
+    words = by_code(order == 0, "n", "left")
+    code, suffix, added, left = by_code(order > 0, "suffix", "added", "left")
+    others = model.where(F.col("step") < least)
+    bits = code_filter(others.where("order > 0"))
+    n = F.when(F.col("order") == 0, F.col("n")).alias("n")
+    others = others.select("code", n, (F.col("added") + F.col("left")).alias("part"))
+    return SuffixTree(int(total), int(distinct), words, (code, suffix.view(np.uint64), added, left), bits, others)
+
+
+def scored(docs: DataFrame, tree: SuffixTree, keep: tuple[str, ...]) -> DataFrame:
     """Kept columns, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10) of every row."""
     shared = share(docs.sparkSession, tree)
     kept = docs.select(F.monotonically_increasing_id().alias("_id"), *[docs[c] for c in keep], text_of(docs).alias("_text"))
@@ -261,19 +374,21 @@ def scored(docs: DataFrame, tree: SuffixTree, counts: DataFrame, keep: tuple[str
         "scores",
     )
     each = found.select("_id", F.explode("others").alias("o")).select("_id", "o.code", F.col("o.n").alias("times"))
-    met = each.join(counts, "code", "left")
-    seen = F.coalesce("n", F.lit(0).cast("long"))
+    met = each.join(tree.others, "code")
+    root = F.when(F.col("n").isNotNull(), F.log10(F.col("n") + 1)).otherwise(0.0)
     rest = met.groupBy("_id").agg(
-        F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((seen + 1) / F.lit(float(tree.floor)))).alias("more"),
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("times") * root).alias("more_base"),
+        F.sum(F.col("times") * (root + F.col("part"))).alias("more"),
     )
-    more: Column = F.coalesce("more", F.lit(0.0))
+    # Other tokens have a count of zero, unless they are met.
+    unmet: Column = (F.col("n_tokens") - F.col("known")) * F.log10(1 / F.lit(float(tree.floor)))
     return found.join(rest, "_id", "left").select(
         *keep,
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("model") + more).alias("score"),
+        (F.col("base") + unmet + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("model") + unmet + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
 
 
@@ -289,7 +404,7 @@ def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = docs.where(~held_out)
     counts = stage(token_counts(training), "counts")
     tree = learn(training, counts)
-    out = scored(docs.withColumn("held_out", held_out), tree, counts, ("doc_id", "held_out"))
+    out = scored(docs.withColumn("held_out", held_out), tree, ("doc_id", "held_out"))
     return out.select(
         "doc_id",
         "held_out",

@@ -137,6 +137,31 @@ def test_language_model_is_a_distribution(spark):
     assert model[0] > base[0] + 0.2 * tokens[0]
 
 
+def test_language_model_keeps_what_it_learned(spark, monkeypatch):
+    """A phrase seen three times stays learned when other text is added, also where the tree is joined, not sent."""
+    import random
+
+    from stockwright.llm import suffix_tree_lm as lm
+
+    rng = random.Random(5)
+    phrase = "osprey glides over quiet water"
+    noise = [" ".join(f"w{int(rng.paretovariate(0.4)) % 3000}" for _ in range(1000)) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate([phrase] * 3 + noise)]
+    asked = spark.createDataFrame([(0, phrase), (1, noise[0]), (2, ""), (3, "zz osprey w1")], "doc_id long, text string")
+    seen = []
+    for texts, hot in ((rows[:5], 1 << 21), (rows, 1 << 21), (rows, 40)):
+        monkeypatch.setattr(lm, "HOT", hot)
+        frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+        tree = lm.learn(frame, lm.token_counts(frame))
+        assert len(tree.hashes) + len(tree.code) <= hot
+        seen.append({r.doc_id: r for r in lm.scored(asked, tree, ("doc_id",)).collect()})
+    for scores in seen:
+        assert scores[0].score > scores[0].base_score + 2
+    for doc, row in seen[1].items():
+        assert row.n_known == seen[2][doc].n_known
+        assert abs(row.base_score - seen[2][doc].base_score) < 1e-6 > abs(row.score - seen[2][doc].score)
+
+
 def _prefix(tree, text):
     """log10 probability of a text's words without its end."""
     import numpy as np
