@@ -86,3 +86,87 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) m ON m.node = d.doc_id
 """
+
+
+def _field(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+# Checksum of a number's digits, bit by bit: a byte (not negative) is added, -1 shifts by one bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+    string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+# Levels of all trees by recursion, siblings of every node, then each leaf's path upwards.
+MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf('text')} AS leaf,
+    CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf('text')} END AS found
+  FROM documents
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+), nodes AS (
+  SELECT CAST(g AS BIGINT) AS g, 0 AS l, CAST(i AS BIGINT) AS i, CAST(n AS BIGINT) AS n, leaf AS h FROM placed
+  UNION ALL
+  SELECT g, l + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1
+  GROUP BY g, l, i // 8, n
+), subroots AS (SELECT g, l AS top, h FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS l, g AS i, count(*) OVER () AS n, h FROM subroots
+  UNION ALL
+  SELECT l + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM upper WHERE n > 1 GROUP BY l, i // 8, n
+), both_trees AS (
+  SELECT g, l, i, n, h FROM nodes UNION ALL SELECT -1, l, i, n, h FROM upper
+), sides AS (
+  SELECT a.g, a.l, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lft,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS rgt
+  FROM both_trees a JOIN both_trees b ON a.g = b.g AND a.l = b.l AND a.i // 8 = b.i // 8
+  WHERE a.n > 1 GROUP BY a.g, a.l, a.i
+), numbered AS (SELECT *, row_number() OVER () AS r FROM placed),
+steps AS (
+  SELECT r, s.l AS step, s.lft, s.rgt FROM numbered p JOIN sides s
+    ON s.g = p.g AND s.i = p.i // CAST(pow(8, s.l) AS BIGINT)
+  UNION ALL
+  SELECT r, t.top + s.l, s.lft, s.rgt FROM numbered p JOIN subroots t ON t.g = p.g JOIN sides s
+    ON s.g = -1 AND s.i = p.g // CAST(pow(8, s.l) AS BIGINT)
+), paths AS (
+  SELECT r, string_agg(lft || rgt, '' ORDER BY step) AS proof, max(step) + 1 AS len FROM steps GROUP BY r
+), fold AS (
+  SELECT p.r, 0 AS step, p.found AS h, coalesce(len, 0) AS len FROM numbered p LEFT JOIN paths q ON q.r = p.r
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(s.lft || f.h || s.rgt), f.len FROM fold f JOIN steps s ON s.r = f.r AND s.step = f.step
+)
+SELECT p.doc_id, p.leaf, t.h AS subroot, u.h AS root, sha256(coalesce(q.proof, '')) AS proof_sha256, f.h AS folded_root,
+  f.h = u.h AS verified
+FROM numbered p JOIN subroots t ON t.g = p.g JOIN (SELECT h FROM upper WHERE n = 1) u ON true
+JOIN fold f ON f.r = p.r AND f.step = f.len LEFT JOIN paths q ON q.r = p.r
+"""
+
+# Every item's score in every document that holds one of its terms.
+RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM docs),
+places AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM docs),
+postings AS (SELECT r, doc_id, n, term, count(*) AS tf FROM places GROUP BY r, doc_id, n, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * CAST(any_value(n_docs) AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, total GROUP BY term
+), items AS (SELECT row_number() OVER () AS q, item_id, {_WORDS} AS w FROM benchmark),
+asked AS (SELECT DISTINCT q, item_id, unnest(w) AS term FROM items),
+scored AS (
+  SELECT q, item_id, r, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), total GROUP BY q, item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS k FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM ranked WHERE k <= 10
+"""

@@ -7,10 +7,13 @@ from stockwright.llm import (
     decontaminate,
     jaccard_join,
     license_scan,
+    merkle_manifest,
     neighbour_quality,
     oracles,
     packing,
+    personal_data,
     quality_rules,
+    ranked_search,
     secrets,
     substring_dedup,
     suffix_tree_lm,
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_packing": packing.op9_packing,
     "op10_chat_format": chat_format.op10_chat_format,
+    "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
+    "op12_personal_data": personal_data.op12_personal_data,
+    "op13_ranked_search": ranked_search.op13_ranked_search,
 }
 
 ORACLES = {
@@ -34,4 +40,6 @@ ORACLES = {
     "op6_decontaminate": oracles.OVERLAPS,
     "op8_jaccard_join": oracles.LINKS,
     "op10_chat_format": chat_format.ORACLE,
+    "op11_merkle_manifest": oracles.MANIFEST,
+    "op13_ranked_search": oracles.RANKED,
 }
