@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from stockwright.operators import audit, changes, commands, ledger, rules
 from stockwright.operators.ordered import assign_ids
@@ -448,22 +449,24 @@ ALERT_COLUMNS = [
 ]
 
 
-# Micro-batches that the stored events are replayed in.
+# Parts that the stored events are replayed in.
 REPLAYED = 3
 
 
-def _event_stream(t: TradeData) -> DataFrame:
-    """The stored events as they arrive: one file for each part of the time, a file a micro-batch."""
+def _replay(t: TradeData, feed: Callable[[DataFrame], DataFrame], start: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """The stored events as they arrive: part by part of the time, the stream taking each part up where it left off.
+
+    Events without a time come first. A part has as many files as Spark writes.
+    """
     events = t.base("events")
     cuts = events.agg(F.percentile_approx("ts", [i / REPLAYED for i in range(1, REPLAYED)], 10000)).first()[0] or []
     folder = new_folder(t.spark, "events")
     for low, high in zip([None, *cuts], [*cuts, None]):
-        part = events
-        part = part if low is None else part.filter(F.col("ts") > F.lit(low))
-        part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
-        # One file, as a feed would deliver it; the order of arrival is the order of writing.
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return t.spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1).parquet(folder)
+        from_low = F.lit(True) if low is None else F.col("ts") > F.lit(low)
+        to_high = F.lit(True) if high is None else F.col("ts") <= F.lit(high)
+        timed = F.coalesce(from_low & to_high, F.lit(low is None))
+        events.filter(timed).write.mode("append").parquet(folder)
+        run_to_end(start(feed(t.spark.readStream.schema(SCHEMAS["events"]).parquet(folder))))
 
 
 def _stock_stream(t: TradeData) -> DataFrame:
@@ -472,13 +475,13 @@ def _stock_stream(t: TradeData) -> DataFrame:
         "id", (F.col("id") % 40).cast("decimal(12,2)").alias("min_stock_level"), F.lit(True).alias("is_active")
     )
     stream = StockStream(t.spark, new_folder(t.spark, "stock-stream"), stage(product, "levels"))
-    run_to_end(stream.start(movements_of_events(_event_stream(t))))
+    _replay(t, movements_of_events, stream.start)
     return stream.alerts()
 
 
 def _price_stream(t: TradeData) -> DataFrame:
     stream = PriceStream(t.spark, new_folder(t.spark, "price-stream"))
-    run_to_end(stream.start(prices_of_events(_event_stream(t))))
+    _replay(t, prices_of_events, stream.start)
     return stream.audited()
 
 

@@ -1,118 +1,172 @@
 """Structured Streaming jobs: stock with low-stock alerts, and price audit.
 
-Each micro-batch runs the batch operators on its rows, starting from the state the batches before left. Rows
-are ordered within a micro-batch; across batches the order of arrival counts. All outputs are keyed by batch id
-and overwritten on replay, so a restarted stream gives every result once. What a batch stages is deleted at its end.
+What has to be remembered between micro-batches (stock and open low period of a cell, last price of a product) is keyed
+state of Spark's own: a value per key in the RocksDB state store, which Spark partitions, snapshots and restores. Results
+leave through the file sink, which lists each batch's files once, so a restarted stream gives every row once. Rows are
+ordered within a micro-batch; across batches the order of arrival counts. A task holds one key's rows of one
+micro-batch, which the source's limits (``maxFilesPerTrigger``, ``maxBytesPerTrigger``) bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from typing import Any
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
-from stockwright.operators.audit import StockTimeline, price_history_audit
+from stockwright.functions.expressions import BALANCE, MONEY, signed_qty
+from stockwright.operators.audit import audit_rows
 from stockwright.operators.ledger import CELL
-from stockwright.sources.tables import stage, temporary_stages
-from stockwright.streaming.state import BatchTable, KeyedState
 
-_CELL = "product_id bigint, warehouse_id bigint"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+RAISED, RECOVERED = "raised", "recovered"
 
-class StockStream:
-    """Keeps the stock per cell and raises and closes alerts as movements arrive.
+ALERT = Row("kind", *CELL, "period", "stock", "minimum", "created_at")
+STEP = Row("product_id", "changed_at", "old_price", "new_price")
+
+
+def _in_order(rows: Iterator[Row]) -> list[Row]:
+    """Rows by ``seq``, which is a value or a struct of values; unknown ones first."""
+
+    def key(row: Row) -> list[tuple]:
+        parts = row.seq.values() if isinstance(row.seq, dict) else (row.seq,)
+        return [(part is not None, part) for part in parts]
 
-    Alerts that a batch leaves open belong to a numbered open period of their cell; the period ends with the
-    next batch that sees the cell recover, which logs the time. ``alerts()`` joins the two.
+    return sorted(rows, key=key)
+
+
+class StockCell(StatefulProcessor):
+    """Stock of a cell in cents, the number of its low period, and whether that has begun.
+
+    Each movement that leaves the cell low is an alert of the period. The first one after it that does not ends the
+    period.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, product: DataFrame, full_every: int = 20):
-        self.folder, self.product = folder, product
-        self.stock = KeyedState(
-            spark, f"{folder}/stock", CELL, f"{_CELL}, stock decimal(22,2), period bigint", full_every
-        )
-        self.raised = BatchTable(
-            spark,
-            f"{folder}/raised",
-            f"{_CELL}, current_stock decimal(22,2), min_stock_level decimal(12,2), alert_date timestamp_ntz, "
-            "is_resolved boolean, resolved_at timestamp_ntz, period bigint",
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.cell = handle.getValueState("cell", "stock bigint, period bigint, is_open boolean")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        stock, period, is_open = self.cell.get() if self.cell.exists() else (0, 0, False)
+        for row in _in_order(rows):
+            stock += row.delta or 0
+            low = row.minimum is not None and stock <= row.minimum
+            if low and row.is_active:
+                is_open = True
+                yield ALERT(RAISED, *key, period, stock, row.minimum, row.created_at)
+            elif not low and row.is_active and is_open:
+                yield ALERT(RECOVERED, *key, period, None, None, row.created_at)
+                period, is_open = period + 1, False
+        self.cell.update((stock, period, is_open))
+
+    def close(self) -> None:
+        pass
+
+
+class LastPrice(StatefulProcessor):
+    """Price of a product before each quotation; none before the first."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", f"price {MONEY}")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        old = self.last.get()[0] if self.last.exists() else None
+        for row in _in_order(rows):
+            yield STEP(*key, row.changed_at, old, row.price)
+            old = row.price
+        self.last.update((old,))
+
+    def close(self) -> None:
+        pass
+
+
+class _Job:
+    """A stream into files: ``folder`` holds its progress, its state and its results."""
+
+    schema: str
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _writer(self, results: DataFrame) -> DataStreamWriter:
+        self.spark.conf.set(_STORE, _ROCKSDB)
+        return (
+            results.writeStream.format("parquet")
+            .option("path", f"{self.folder}/results")
+            .option("checkpointLocation", f"{self.folder}/progress")
         )
-        self.recovered = BatchTable(spark, f"{folder}/recovered", f"{_CELL}, period bigint, recovered_at timestamp_ntz")
+
+    def _results(self) -> DataFrame:
+        path = f"{self.folder}/results"
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(path)
+
+
+class StockStream(_Job):
+    """Keeps the stock per cell and raises and closes alerts as movements arrive.
+
+    Alerts belong to a numbered low period of their cell; the movement that ends it logs the time. ``alerts()`` joins the
+    two. ``product`` has (id, min_stock_level, is_active) and is read anew with every micro-batch.
+    """
+
+    schema = (
+        "kind string, product_id bigint, warehouse_id bigint, period bigint, stock bigint, minimum bigint, "
+        "created_at timestamp_ntz"
+    )
+
+    def __init__(self, spark: SparkSession, folder: str, product: DataFrame):
+        super().__init__(spark, folder)
+        self.product = product
 
     def start(self, movement: DataFrame) -> DataStreamWriter:
-        return movement.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.folder}/progress")
-
-    def process(self, movement: DataFrame, batch_id: int) -> None:
-        with temporary_stages(movement.sparkSession):
-            self._process(movement, batch_id)
-
-    def _process(self, movement: DataFrame, batch_id: int) -> None:
-        # The batch and the state of its cells are read by several actions.
-        moved = stage(movement, "movements")
-        known = stage(self.stock.before(batch_id, moved), "opening")
-        timeline = StockTimeline(moved, self.product, known)
-        recovery = F.min(F.when(~F.col("is_low"), F.struct("seq", "created_at")))
-        cells = stage(
-            timeline.rows.groupBy(*CELL)
-            .agg(
-                F.max_by("current_stock", "seq").alias("stock"),
-                recovery.alias("_recovery"),
-            )
-            .join(known.select(*CELL, F.col("period").alias("_period")), CELL, "left")
-            .withColumn("_period", F.coalesce("_period", F.lit(0)))
-            .withColumn("period", F.col("_period") + F.when(F.col("_recovery").isNotNull(), 1).otherwise(0)),
-            "cells",
+        levels = self.product.select(
+            F.col("id").alias("product_id"), (F.col("min_stock_level") * 100).cast("bigint").alias("minimum"), "is_active"
         )
-        alerts = timeline.alerts().join(cells.select(*CELL, "period"), CELL)
-        self.raised.write(alerts.drop("seq", "resolved_by"), batch_id)
-        self.recovered.write(
-            cells.filter(F.col("_recovery").isNotNull()).select(
-                *CELL, F.col("_period").alias("period"), F.col("_recovery.created_at").alias("recovered_at")
-            ),
-            batch_id,
+        moves = movement.select(*CELL, "created_at", "seq", (signed_qty() * 100).cast("bigint").alias("delta"))
+        found = (
+            moves.join(levels, "product_id")
+            .groupBy(*CELL)
+            .transformWithState(StockCell(), self.schema, outputMode="Append", timeMode="None")
         )
-        self.stock.write(cells.select(*CELL, "stock", "period"), batch_id)
+        return self._writer(found)
 
     def alerts(self) -> DataFrame:
         """All alerts so far, closed as far as a recovery was seen."""
-        raised, ended = self.raised.read().drop("_batch"), self.recovered.read().drop("_batch")
-        return raised.join(ended, [*CELL, "period"], "left").select(
+        rows = self._results()
+        ended = rows.filter(F.col("kind") == RECOVERED).select(*CELL, "period", F.col("created_at").alias("resolved_at"))
+        raised = rows.filter(F.col("kind") == RAISED).join(ended, [*CELL, "period"], "left")
+        cent = F.lit("0.01").cast("decimal(3,2)")
+        return raised.select(
             *CELL,
-            "current_stock",
-            "min_stock_level",
-            "alert_date",
-            (F.col("is_resolved") | F.col("recovered_at").isNotNull()).alias("is_resolved"),
-            F.coalesce("resolved_at", "recovered_at").alias("resolved_at"),
+            (F.col("stock") * cent).cast(BALANCE).alias("current_stock"),
+            (F.col("minimum") * cent).cast(MONEY).alias("min_stock_level"),
+            F.col("created_at").alias("alert_date"),
+            F.col("resolved_at").isNotNull().alias("is_resolved"),
+            "resolved_at",
         )
 
 
-class PriceStream:
+class PriceStream(_Job):
     """Audits price changes as quotations arrive."""
 
-    def __init__(self, spark: SparkSession, folder: str, full_every: int = 20):
-        self.folder = folder
-        self.prices = KeyedState(
-            spark, f"{folder}/prices", ["product_id"], "product_id bigint, price decimal(12,2)", full_every
-        )
-        self.audit = BatchTable(
-            spark,
-            f"{folder}/audit",
-            "product_id bigint, changed_at timestamp_ntz, old_price decimal(12,2), new_price decimal(12,2), "
-            "change_percent decimal(5,2), out_of_range boolean",
-        )
+    schema = f"product_id bigint, changed_at timestamp_ntz, old_price {MONEY}, new_price {MONEY}"
 
     def start(self, prices: DataFrame) -> DataStreamWriter:
-        return prices.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.folder}/progress")
-
-    def process(self, prices: DataFrame, batch_id: int) -> None:
-        with temporary_stages(prices.sparkSession):
-            rows = stage(prices, "quotations")
-            known = stage(self.prices.before(batch_id, rows), "prices")
-            self.audit.write(price_history_audit(rows, known), batch_id)
-            self.prices.write(rows.groupBy("product_id").agg(F.max_by("price", "seq").alias("price")), batch_id)
+        steps = (
+            prices.select("product_id", "price", "changed_at", "seq")
+            .groupBy("product_id")
+            .transformWithState(LastPrice(), self.schema, outputMode="Append", timeMode="None")
+        )
+        # What changed is a filter on each step; it runs in the same job.
+        return self._writer(steps)
 
     def audited(self) -> DataFrame:
-        return self.audit.read().drop("_batch")
+        return audit_rows(self._results(), "product_id", "changed_at")
 
 
 def run_to_end(writer: DataStreamWriter) -> None:
