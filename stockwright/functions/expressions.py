@@ -56,6 +56,15 @@ def count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
+def cents(amount: str | Column) -> Column:
+    """An amount at two decimals as a whole number: running sums over longs cost a fraction of those over decimals."""
+    return (_col(amount) * 100).cast("bigint")
+
+
+def from_cents(number: str | Column, kind: str) -> Column:
+    return (_col(number) * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
+
+
 def in_cents(column: str | Column) -> Column:
     return (_col(column) * 100).cast(CENTS)
 

@@ -1,21 +1,22 @@
 """Sequential acceptance of requests against a level, spread over the cluster.
 
 Requests of a key are taken in order. A guarded request is accepted if the level stays at zero or above,
-an accepted request moves the level, a rejected one does not. This is not a prefix sum, but most of it needs
-no sequence:
+an accepted request moves the level, a rejected one does not. This is not a prefix sum, so the requests are walked one by
+one; but they are walked in many places at once:
 
 * requests are put in order and cut into chunks, a key with very many of them into several, see ``ordered``;
-* a chunk whose lowest running sum keeps the level above zero is accepted whole, a chunk whose every request
-  is out of reach is rejected whole; both are plain column expressions;
-* only the remaining chunks are walked row by row, each in its own task, with a level known on entry.
+* every chunk of a key is walked in a task of its own from a level known on entry.
 
-A key in one chunk enters at its opening level. For a key cut by chunk borders (fewer keys than chunks) the
-entry levels are settled in rounds: all open chunks are walked at once from a presumed entry level, and walked
-again only where the level that really arrives turns out different. When no presumption changes, all are right.
+A key in one chunk enters at its opening level. For a key cut by chunk borders (two keys a chunk at most) the
+entry levels are settled in rounds over one summary row a chunk: a chunk whose lowest running sum keeps the level above
+zero is accepted whole, one whose every request is out of reach is rejected whole, and neither is walked. The others
+are walked at once from a presumed entry level, and walked again only where the level that really arrives turns out
+different. When no presumption changes, all are right.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -24,10 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockwright.functions.expressions import BALANCE
-from stockwright.operators.ordered import CHUNK, OrderedChunks
-from stockwright.sources.tables import stage
-
+from stockwright.functions.expressions import BALANCE, cents, from_cents
+from stockwright.operators.ordered import CHUNK, ROW, OrderedChunks
 
 # Column of the requests with the level of their key, where there is no table of opening levels.
 ENTRY = "_entry"
@@ -49,50 +48,59 @@ def allocate(
     the level, the same for a key, in ``ENTRY``. ``order`` must be unique
     within a key, and requests must have a key. ``chunks`` is that of ``OrderedChunks``.
     """
-    wanted = _cents(delta)
-    prepared = requests.withColumns(
-        {"_delta": wanted, "_guarded": F.when(wanted.isNotNull(), F.coalesce(guarded, F.lit(True)))}
-    )
-    if opening is None:
-        prepared = prepared.withColumn("_opening", _cents(F.col(ENTRY))).drop(ENTRY)
-    else:
-        prepared = prepared.join(opening.select(*keys, _cents(F.col("level")).alias("_opening")), keys, "left")
-    prepared = prepared.withColumn("_opening", F.coalesce("_opening", F.lit(0)))
-    ordered = OrderedChunks(prepared, keys, order, chunks)
-    chunk = Window.partitionBy(*ordered.groups)
-    number = F.row_number().over(chunk.orderBy(*order))
-    prefix = F.sum("_delta").over(chunk.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    # One shuffle: all windows share the partitioning.
-    rows = (
-        ordered.rows.withColumns({"_n": number, "_prefix": F.coalesce(prefix, F.lit(0))})
-        .withColumns({name: summary.over(chunk) for name, summary in _summary().items()})
-    )
-    entries = _settle_cut_keys(ordered, number, prefix)
-    if entries is None:
-        rows = rows.withColumn("_enter", F.col("_opening"))
-    else:
-        rows = rows.join(F.broadcast(entries), ordered.groups, "left").withColumn(
-            "_enter", F.coalesce("_enter", "_opening")
+    competition = Competition(requests, keys, order, delta, guarded, opening, chunks)
+    return competition.outcome(competition.rows)
+
+
+class Competition:
+    """Requests in order, to be settled as often as it takes; ``rows`` carry what a request asks for in cents.
+
+    The chunks are written once. Settling them, or a part of them with other wishes, reads the columns it needs.
+    """
+
+    def __init__(
+        self,
+        requests: DataFrame,
+        keys: list[str],
+        order: list[str],
+        delta: Column,
+        guarded: Column,
+        opening: DataFrame | None,
+        chunks: int | None = None,
+    ):
+        wanted = cents(delta)
+        prepared = requests.withColumns(
+            {"_delta": wanted, "_guarded": F.when(wanted.isNotNull(), F.coalesce(guarded, F.lit(True)))}
+        )
+        if opening is None:
+            prepared = prepared.withColumn("_opening", cents(F.col(ENTRY))).drop(ENTRY)
+        else:
+            prepared = prepared.join(opening.select(*keys, cents(F.col("level")).alias("_opening")), keys, "left")
+        prepared = prepared.withColumn("_opening", F.coalesce("_opening", F.lit(0)))
+        self.ordered = OrderedChunks(prepared, keys, order, chunks)
+        self.rows = self.ordered.rows
+
+    def settle(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``accepted`` and ``_level`` (in cents, after the request).
+
+        ``rows`` are those of ``self.rows`` or, of some keys, those from some place on, with the level there in ``_opening``.
+        A request whose ``_delta`` is NULL asks for nothing.
+        """
+        groups = self.ordered.groups
+        entries = _settle_cut_keys(self.ordered, rows)
+        if entries is None:
+            rows = rows.withColumn("_enter", F.col("_opening"))
+        else:
+            rows = rows.join(F.broadcast(entries), groups, "left").withColumn("_enter", F.coalesce("_enter", "_opening"))
+        return _walk(rows, groups).drop("_enter")
+
+    def outcome(self, rows: DataFrame) -> DataFrame:
+        """The columns of the requests with ``accepted`` and ``level``."""
+        return (
+            self.settle(rows)
+            .withColumn("level", from_cents("_level", BALANCE))
+            .drop("_delta", "_guarded", "_opening", "_level", CHUNK, ROW)
         )
-    fits = F.coalesce(F.col("_enter") + F.col("_low") >= 0, F.lit(True))
-    stuck = F.col("_all_guarded") & (F.col("_enter") + F.col("_best") < 0)
-    judged = stage(
-        rows.withColumn("_how", F.when(fits, "all").when(stuck, "none").otherwise("walk")).drop(*_summary(), "_opening"),
-        "judged",
-    )
-    takes = F.col("_how") == "all"
-    whole = judged.filter(F.col("_how") != "walk").withColumns(
-        {
-            "accepted": takes & F.col("_delta").isNotNull(),
-            "_level": F.when(takes, F.col("_enter") + F.col("_prefix")).otherwise(F.col("_enter")),
-        }
-    )
-    walked = _walk(judged.filter(F.col("_how") == "walk"), ordered.groups)
-    return (
-        whole.unionByName(walked)
-        .withColumn("level", (F.col("_level") * F.lit("0.01").cast("decimal(3,2)")).cast(BALANCE))
-        .select(*[c for c in requests.columns if c != ENTRY], "accepted", "level")
-    )
 
 
 def _summary() -> dict[str, Column]:
@@ -106,71 +114,63 @@ def _summary() -> dict[str, Column]:
     }
 
 
-def _cents(amount: Column) -> Column:
-    return (amount * 100).cast("bigint")
-
-
 def _walk(rows: DataFrame, groups: list[str]) -> DataFrame:
     """Takes the requests of each group one by one from its entry level."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("_level", T.LongType())])
-    return (
-        rows.repartition(*groups)
-        .sortWithinPartitions(*groups, "_n")
-        .mapInArrow(_take_in_order, schema)
+    schema = T.StructType(
+        [*rows.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("_level", T.LongType())]
     )
 
-
-def _take_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    level = 0
-    for batch in batches:
-        columns = [batch.column(name).to_pylist() for name in ("_n", "_enter", "_delta", "_guarded")]
-        accepted, levels = [], []
-        for n, enter, delta, guarded in zip(*columns):
-            if n == 1:
-                level = enter
-            take = delta is not None and (not guarded or level + delta >= 0)
-            if take:
-                level += delta
-            accepted.append(take)
-            levels.append(level)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(accepted, pa.bool_()), pa.array(levels, pa.int64())],
-            names=[*batch.schema.names, "accepted", "_level"],
-        )
-
-
-def _settle_cut_keys(ordered: OrderedChunks, number: Column, prefix: Column) -> DataFrame | None:
+    def take_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level, before = 0, None
+        for batch in batches:
+            group = zip(*[batch.column(name).to_pylist() for name in groups])
+            columns = [batch.column(name).to_pylist() for name in ("_enter", "_delta", "_guarded")]
+            accepted, levels = [], []
+            for here, enter, delta, guarded in zip(group, *columns):
+                if here != before:
+                    level, before = enter, here
+                take = delta is not None and (not guarded or level + delta >= 0)
+                if take:
+                    level += delta
+                accepted.append(take)
+                levels.append(level)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(accepted, pa.bool_()), pa.array(levels, pa.int64())],
+                names=[*batch.schema.names, "accepted", "_level"],
+            )
+
+    return rows.repartition(*groups).sortWithinPartitions(*groups, ROW).mapInArrow(take_in_order, schema)
+
+
+def _settle_cut_keys(ordered: OrderedChunks, rows: DataFrame) -> DataFrame | None:
     """Entry level of every chunk of the keys that span several chunks.
 
-    What comes to the driver is one summary row per chunk of such a key, at most twice the number of chunks.
+    What comes to the driver is one summary row for the first and the last key of each chunk.
     """
     keys = ordered.groups
-    cut = (
-        ordered.rows.join(F.broadcast(ordered.cut_keys), ordered.keys, "left_semi")
-        .withColumn("_prefix", F.coalesce(prefix, F.lit(0)))
-        .groupBy(*keys)
-        .agg(*[summary.alias(name) for name, summary in _summary().items()], F.first("_opening").alias("_enter"))
+    in_order = Window.partitionBy(*keys).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = rows.select(*keys, ROW, "_delta", "_guarded", "_opening").withColumn(
+        "_prefix", F.coalesce(F.sum("_delta").over(in_order), F.lit(0))
     )
+    edges = ordered.edges(numbered, {**_summary(), "_enter": F.first("_opening")})
     # Rows without a key ask for nothing and need no level.
-    known = cut.dropna(subset=ordered.keys).collect()
-    parts = sorted((row.asDict() for row in known), key=lambda p: [p[k] for k in keys])
+    known = [row.asDict() for row in edges.dropna(subset=ordered.keys).collect()]
+    held = Counter(tuple(part[k] for k in ordered.keys) for part in known)
+    parts = sorted(
+        (part for part in known if held[tuple(part[k] for k in ordered.keys)] > 1), key=lambda p: [p[k] for k in keys]
+    )
     if not parts:
         return None
-    spark = cut.sparkSession
-    schema = T.StructType([*[cut.schema[k] for k in keys], T.StructField("_enter", T.LongType())])
+    spark = edges.sparkSession
+    schema = T.StructType([*[edges.schema[k] for k in keys], T.StructField("_enter", T.LongType())])
     results: dict[tuple, int] = {}
     while True:
         entries, open_parts = _chain(parts, ordered.keys, results)
         if not open_parts:
             return spark.createDataFrame(entries, schema)
         todo = spark.createDataFrame(open_parts, schema)
-        # Only the chunks to walk are read into the window that numbers their rows.
-        requests = ordered.rows.select(*keys, *ordered.order, "_delta", "_guarded").join(F.broadcast(todo), keys)
-        ends = (
-            _walk(requests.withColumn("_n", number), keys)
-            .groupBy(*keys, "_enter")
-            .agg(F.max_by("_level", "_n").alias("_end"))
-        )
+        requests = rows.select(*keys, ROW, "_delta", "_guarded").join(F.broadcast(todo), keys)
+        ends = _walk(requests, keys).groupBy(*keys, "_enter").agg(F.max_by("_level", ROW).alias("_end"))
         for row in ends.collect():
             results[tuple(row[:-1])] = row["_end"]
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import BALANCE, changed, percent_change, signed_qty
+from stockwright.functions.expressions import BALANCE, MONEY, cents, changed, from_cents, percent_change, signed_qty
 from stockwright.operators.ledger import CELL
 from stockwright.operators.ordered import OrderedChunks
+from stockwright.sources.tables import stage
 
 PERCENT = "decimal(5,2)"
 
@@ -64,7 +65,7 @@ def price_history_audit(prices: DataFrame, last_prices: DataFrame | None = None)
     """
     chunks = OrderedChunks(prices, ["product_id"], ["seq"])
     # In a struct, so that a price that was unknown differs from a history that has only begun.
-    steps = chunks.previous(chunks.rows, F.struct("price"), "_before")
+    steps = chunks.running(previous={"_before": F.struct("price")})
     before = F.col("_before.price")
     if last_prices is not None:
         steps = steps.join(last_prices.select("product_id", F.col("price").alias("_last")), "product_id", "left")
@@ -74,7 +75,7 @@ def price_history_audit(prices: DataFrame, last_prices: DataFrame | None = None)
 
 
 class StockTimeline:
-    """Every movement with the stock right after it and the level it is measured against.
+    """Every movement of an active product with the stock right after it and the level it is measured against, in cents.
 
     ``product`` has (id, min_stock_level, is_active). ``opening`` (cell, stock) is the stock before the first
     movement, zero where missing.
@@ -83,31 +84,31 @@ class StockTimeline:
     def __init__(
         self, movement: DataFrame, product: DataFrame, opening: DataFrame | None = None, chunks: int | None = None
     ):
-        levels = product.select(F.col("id").alias("product_id"), "min_stock_level", "is_active")
+        levels = product.filter("is_active").select(F.col("id").alias("product_id"), cents("min_stock_level").alias("_min"))
         # Everything a row needs is joined before the rows are put in order, so that the windows share one shuffle.
-        moves = movement.select(*CELL, "created_at", "seq", signed_qty().alias("delta")).join(levels, "product_id")
-        before = F.lit(0).cast(BALANCE)
+        moves = movement.select(*CELL, "created_at", "seq", cents(signed_qty()).alias("_delta")).join(levels, "product_id")
+        before = F.lit(0).cast("bigint")
         if opening is not None:
-            moves = moves.join(opening.select(*CELL, F.col("stock").alias("_opening")), CELL, "left")
+            moves = moves.join(opening.select(*CELL, cents("stock").alias("_opening")), CELL, "left")
             before = F.coalesce("_opening", before)
         self.chunks = OrderedChunks(moves.withColumn("_before", before), CELL, ["seq"], chunks)
-        rows = self.chunks.running_sum(self.chunks.rows, F.col("delta"), "_moved")
-        self.rows = (
-            rows.withColumn("current_stock", (F.col("_before") + F.col("_moved")).cast(BALANCE))
-            .withColumn("is_low", F.coalesce(F.col("current_stock") <= F.col("min_stock_level"), F.lit(False)))
-            .withColumn("_was_low", F.col("current_stock") - F.col("delta") <= F.col("min_stock_level"))
-            .drop("_before", "_moved")
-        )
+        one = F.lit(1).cast("bigint")
+        rows = self.chunks.running(sums={"_moved": F.col("_delta"), "_position": one}, totals={"_size": one})
+        rows = rows.withColumn("_stock", F.col("_before") + F.col("_moved"))
+        low, was_low = F.col("_stock") <= F.col("_min"), F.col("_stock") - F.col("_delta") <= F.col("_min")
+        # What matters is few: movements that leave the cell low, and those that end a low period, for all before them.
+        rows = rows.withColumns({"is_low": low, "_was_low": was_low}).filter("is_low OR _was_low")
+        self.marked = stage(rows.drop("_before", "_moved", "_delta"), "marked")
+        ended = F.when(~F.col("is_low"), F.struct("created_at", "_position"))
+        self.rows = self.chunks.next_known(self.marked, ended, "_recovery")
 
     def alerts(self) -> DataFrame:
-        """An alert per movement that leaves an active product low, closed by the next one that does not."""
-        recovery = F.when(~F.col("is_low"), F.struct("created_at", "seq"))
-        rows = self.chunks.next_known(self.rows.filter("is_active"), recovery, "_recovery")
-        return rows.filter("is_low").select(
+        """An alert per movement that leaves a product low, closed by the next one that does not."""
+        return self.rows.filter("is_low").select(
             *CELL,
             "seq",
-            "current_stock",
-            "min_stock_level",
+            from_cents("_stock", BALANCE).alias("current_stock"),
+            from_cents("_min", MONEY).alias("min_stock_level"),
             F.col("created_at").alias("alert_date"),
             F.col("_recovery").isNotNull().alias("is_resolved"),
             F.col("_recovery.created_at").alias("resolved_at"),
@@ -115,20 +116,15 @@ class StockTimeline:
         )
 
     def episodes(self) -> DataFrame:
-        """Low periods of active products: one alert stays open until the stock recovers."""
-        active = self.rows.filter("is_active")
-        one = F.lit(1).cast("bigint")
-        numbered = self.chunks.total(self.chunks.running_sum(active, one, "_position"), one, "_size")
-        recovery = F.when(~F.col("is_low"), F.struct("created_at", "_position"))
-        rows = self.chunks.next_known(numbered, recovery, "_recovery")
-        goes_low = F.col("is_low") & ((F.col("_position") == 1) | ~F.coalesce("_was_low", F.lit(False)))
+        """Low periods: one alert stays open until the stock recovers."""
+        goes_low = F.col("is_low") & ((F.col("_position") == 1) | ~F.col("_was_low"))
         # A period that never ends runs to the last movement of its cell.
         end = F.coalesce(F.col("_recovery._position"), F.col("_size") + 1)
-        return rows.filter(goes_low).select(
+        return self.rows.filter(goes_low).select(
             *CELL,
             F.col("created_at").alias("opened_at"),
-            F.col("current_stock").alias("stock_at_opening"),
-            "min_stock_level",
+            from_cents("_stock", BALANCE).alias("stock_at_opening"),
+            from_cents("_min", MONEY).alias("min_stock_level"),
             (end - F.col("_position")).alias("movements"),
             F.col("_recovery.created_at").alias("closed_at"),
         )

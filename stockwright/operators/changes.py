@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import BALANCE, MONEY
+from stockwright.functions.expressions import BALANCE, MONEY, cents, from_cents
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.ledger import CELL, current_stock
 from stockwright.operators.ordered import OrderedChunks
@@ -254,12 +254,12 @@ def alerts_of_sales(
     rows = (
         sold.join(current_stock(movement), CELL, "left")
         .join(levels, "product_id")
-        .withColumn("_before", F.coalesce("stock", F.lit(0)))
+        .withColumn("_before", F.coalesce(cents("stock"), F.lit(0)))
         .drop("stock")
     )
     ordered = OrderedChunks(rows, CELL, ["seq"])
-    booked = ordered.running_sum(ordered.rows, F.col("qty"), "_sold").withColumn(
-        "current_stock", (F.col("_before") - F.col("_sold")).cast(BALANCE)
+    booked = ordered.running(sums={"_sold": cents("qty")}).withColumn(
+        "current_stock", from_cents(F.col("_before") - F.col("_sold"), BALANCE)
     )
     low = booked.filter(F.col("current_stock") <= F.col("min_stock_level"))
     if open_alerts is not None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
 from stockwright.functions.expressions import BALANCE, first_failure, line_total, signed_qty
-from stockwright.operators.allocation import ENTRY, allocate
+from stockwright.operators.allocation import ENTRY, Competition, allocate
 from stockwright.operators.audit import close_alerts
 from stockwright.operators.changes import (
     invoice_totals,
@@ -24,6 +24,7 @@ from stockwright.operators.changes import (
     upsert_product_supplier,
 )
 from stockwright.operators.ledger import CELL
+from stockwright.operators.ordered import ROW
 from stockwright.operators.rules import qty_and_price, with_dimensions, with_status
 from stockwright.sources.tables import stage
 
@@ -111,10 +112,12 @@ def process_sales(
     ``used_numbers`` has the (invoice_no) of existing documents. Within the batch a number belongs to the first request
     that is accepted with it; a request that the stock refuses leaves its number free.
 
-    Who gets a number depends on the stock, and the stock on who got a number. Requests start with the first sound one
-    of each number trying for the stock; then those that no accepted earlier request bars try as well, in the cells that
-    this touches, until nothing changes. A decision rests on earlier ones only, so there is one such outcome, and each
-    round settles at least the earliest decision that was still wrong.
+    Who gets a number depends on the stock, and the stock on who got a number. Only numbers that are asked for more than
+    once can change hands: their first sound request tries for the stock, the others are barred. Then those that no
+    accepted earlier request bars try as well, and so on, until nothing changes. A decision rests on earlier ones only, so
+    there is one such outcome, and each round settles at least the earliest decision that was still wrong. A round walks
+    the changed cells from their first changed request on, on narrow rows; the requests as a whole are put in order once
+    and booked once, at the end.
     """
     checked = with_dimensions(requests, product, warehouse).withColumn(
         "_refused",
@@ -130,47 +133,59 @@ def process_sales(
     checked = checked.join(used, "invoice_no", "left").withColumn(
         "_refused", F.coalesce("_refused", first_failure([(W.NUMBER_TAKEN, F.coalesce("_used", F.lit(False)))]))
     )
-    first = checked.filter("_refused IS NULL").groupBy("invoice_no").agg(F.min("seq").alias("_holder"))
-    asked = stage(
-        checked.join(first, "invoice_no", "left")
-        .withColumn("_tries", F.col("_refused").isNull() & (F.col("seq") == F.col("_holder")))
-        .drop("_used", "_holder", "product_active", "warehouse_active", "max_stock_level"),
-        "requests",
+    asked = checked.drop("_used", "product_active", "warehouse_active", "max_stock_level")
+    sound = F.col("_refused").isNull()
+    competition = Competition(asked, CELL, ["seq"], F.when(sound, -F.col("qty")), F.lit(True), _level(opening), chunks)
+    barred = _barred(competition).select(ROW, F.lit(True).alias("_barred"))
+    rows = competition.rows.join(barred, ROW, "left")
+    taken = competition.outcome(rows.withColumn("_delta", F.when(F.col("_barred").isNull(), F.col("_delta"))))
+    reason = F.when(F.col("_barred"), W.NUMBER_TAKEN).when(~F.col("accepted"), W.NO_STOCK)
+    return taken.withColumns(
+        {
+            "reason": F.coalesce("_refused", reason),
+            "stock_after": F.when(F.col("accepted"), F.col("level")).cast(BALANCE),
+        }
+    ).drop("_refused", "_barred", "accepted", "level")
+
+
+def _barred(competition: Competition) -> DataFrame:
+    """The sound requests whose number an earlier one gets."""
+    sound = competition.rows.filter("_refused IS NULL").select(ROW, "seq", "invoice_no")
+    first = sound.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("_asked"), F.min("seq").alias("_holder"))
+    rivals = sound.join(first.filter("_asked > 1"), "invoice_no").select(
+        ROW, "seq", "invoice_no", (F.col("seq") > F.col("_holder")).alias("_barred")
     )
-
-    def settled(rows: DataFrame) -> DataFrame:
-        barred = F.when(~F.col("_tries"), F.lit(W.NUMBER_TAKEN))
-        named = rows.withColumn("reason", F.coalesce("_refused", barred))
-        booked = _book(named, -F.col("qty"), F.lit(True), _level(opening), W.NO_STOCK, chunks)
-        return stage(booked, "sales")
-
-    outcome = settled(asked)
+    rivals = stage(rivals, "rivals")
+    narrow = competition.rows.select(*competition.ordered.groups, ROW, "_delta", "_guarded", "_opening")
+    at_rivals = narrow.join(rivals.select(ROW), ROW, "left_semi").select(*CELL).distinct()
+    # Requests to walk: at first all of the cells that rivals ask for.
+    walked = narrow.join(at_rivals, CELL, "left_semi")
+    settled = None
     while True:
-        # Only numbers asked for more than once can change hands.
-        holders = (
-            outcome.filter("_refused IS NULL")
-            .groupBy("invoice_no")
-            .agg(F.count(F.lit(1)).alias("_asked"), F.min(F.when(F.col("reason").isNull(), F.col("seq"))).alias("_holder"))
-            .filter("_asked > 1")
-        )
-        may = F.col("_holder").isNull() | (F.col("seq") <= F.col("_holder"))
-        changed = stage(
-            outcome.filter("_refused IS NULL")
-            .join(holders, "invoice_no")
-            .filter(may != F.col("_tries"))
-            .select("seq", *CELL, may.alias("_may")),
-            "changed",
+        tried = walked.join(rivals, ROW, "left")
+        tried = tried.withColumn("_delta", F.when(~F.coalesce("_barred", F.lit(False)), F.col("_delta")))
+        moved = F.when(F.col("accepted"), F.col("_delta")).otherwise(0)
+        now = competition.settle(tried).filter("invoice_no IS NOT NULL").select(
+            *CELL, ROW, "seq", "invoice_no", "_barred", "accepted", (F.col("_level") - moved).alias("_before")
         )
-        if changed.isEmpty():
-            return outcome.drop("_refused", "_tries")
-        cells = changed.select(*CELL).distinct()
-        again = (
-            outcome.join(cells, CELL, "left_semi")
-            .join(changed.drop(*CELL), "seq", "left")
-            .withColumn("_tries", F.coalesce("_may", "_tries"))
-            .drop("_may", "reason", "stock_after")
+        if settled is not None:
+            now = now.unionByName(settled)
+        decided = stage(now, "decided")
+        holders = decided.groupBy("invoice_no").agg(F.min(F.when(F.col("accepted"), F.col("seq"))).alias("_holder"))
+        bars = F.coalesce(F.col("seq") > F.col("_holder"), F.lit(False))
+        after = stage(decided.join(holders, "invoice_no").withColumn("_bars", bars).drop("_holder"), "rivals")
+        # The first request of a cell whose right to try has changed, and the level it finds.
+        first = after.filter("_bars <> _barred").groupBy(*CELL).agg(
+            F.min(ROW).alias("_from"), F.min_by("_before", ROW).alias("_found")
         )
-        outcome = stage(outcome.join(cells, CELL, "left_anti").unionByName(settled(again)), "sales")
+        if first.isEmpty():
+            return rivals.filter("_barred")
+        rivals = after.select(ROW, "seq", "invoice_no", F.col("_bars").alias("_barred"))
+        first = stage(first, "first")
+        suffix = narrow.drop("_opening").join(first, CELL).filter(F.col(ROW) >= F.col("_from"))
+        walked = suffix.withColumnRenamed("_found", "_opening").drop("_from")
+        earlier = F.col("_from").isNull() | (F.col(ROW) < F.col("_from"))
+        settled = after.join(first.drop("_found"), CELL, "left").filter(earlier).drop("_from", "_bars")
 
 
 def safe_decrease_stock(requests: DataFrame, opening: DataFrame, chunks: int | None = None) -> DataFrame:

@@ -2,14 +2,14 @@
 
 Rows are range-partitioned by (keys, order) into chunks, so a hot key spans as many chunks as its rows need. Within
 a chunk a window does the work; what earlier (or later) chunks contribute to a key is carried over from a
-summary. A chunk border cuts at most one key, so the carried summary never has more rows than there are
-chunks: that is the proven bound of the broadcasts below. Spark chooses the number of chunks by the size of the
+summary. A chunk border cuts at most one key, so only the first and the last key of a chunk are summarised: two rows a chunk
+is the proven bound of the broadcasts below. Spark chooses the number of chunks by the size of the
 rows (adaptive coalescing of the range partitions).
 """
 
 from __future__ import annotations
 
-from functools import cached_property, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stockwright.sources.tables import stage
 
 CHUNK = "_chunk"
+ROW = "_row"  # place in the whole order, with gaps between chunks
 
 
 class OrderedChunks:
@@ -26,106 +27,78 @@ class OrderedChunks:
     """
 
     def __init__(self, rows: DataFrame, keys: list[str], order: list[str | Column], chunks: int | None = None):
-        self.keys, self.order = keys, order
+        self.keys = keys
         by = [*[F.col(key) for key in keys], *[F.col(c) if isinstance(c, str) else c for c in order]]
         ranges = rows.repartitionByRange(*by) if chunks is None else rows.repartitionByRange(chunks, *by)
-        # The partition number is only stable once written.
-        self.rows = stage(ranges.withColumn(CHUNK, F.spark_partition_id()), "chunks")
+        # Numbers of partitions and rows are only stable once written. Later sorts compare one number, whatever the order is.
+        numbered = ranges.sortWithinPartitions(*by).withColumns(
+            {CHUNK: F.spark_partition_id(), ROW: F.monotonically_increasing_id()}
+        )
+        self.rows = stage(numbered, "chunks")
 
     @property
     def groups(self) -> list[str]:
         """Columns that name a set of rows one task may hold."""
         return [*self.keys, CHUNK]
 
-    def running_sum(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
-        """Sum of ``value`` over the key up to and including each row. ``rows`` derives from ``self.rows``."""
-        here = F.sum(value).over(self._window().rowsBetween(Window.unboundedPreceding, 0))
-        totals = (
-            self._of_cut_keys(rows.withColumn("_value", value))
-            .groupBy(*self.keys, CHUNK)
-            .agg(F.sum("_value").alias("_total"))
-        )
-        earlier = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            totals.withColumn("_carried", F.sum("_total").over(earlier))
-            .filter(F.col("_carried").isNotNull())
-            .drop("_total")
-        )
-        return (
-            self._carry(rows, carried)
-            .withColumn(out, here + F.coalesce("_carried", F.lit(0)))
-            .drop("_carried")
-        )
-
-    def total(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
-        """Sum of ``value`` over the whole key, on each of its rows."""
-        here = F.sum(value).over(Window.partitionBy(*self.groups))
-        totals = self._of_cut_keys(rows.withColumn("_value", value)).groupBy(*self.keys).agg(
-            F.sum("_value").alias("_total")
-        )
-        joined = _with_small(rows, totals, self.keys)
-        return joined.withColumn(out, F.coalesce("_total", here)).drop("_total")
-
-    def previous(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
-        """``value`` of the row before, NULL on the first row of a key."""
-        here = F.lag(F.struct(value.alias("v"))).over(self._window())
-        ends = (
-            self._of_cut_keys(rows.withColumn("_value", F.struct(value.alias("v"))))
-            .groupBy(*self.keys, CHUNK)
-            .agg(F.max_by("_value", self._position()).alias("_last"))
-        )
-        carried = (
-            ends.withColumn("_carried", F.lag("_last").over(Window.partitionBy(*self.keys).orderBy(CHUNK)))
-            .filter(F.col("_carried").isNotNull())
-            .drop("_last")
-        )
-        return (
-            self._carry(rows, carried)
-            .withColumn(out, F.coalesce(here, F.col("_carried"))["v"])
-            .drop("_carried")
-        )
+    def edges(self, rows: DataFrame, summaries: dict[str, Column]) -> DataFrame:
+        """Summaries of the first and the last key of every chunk; no other key can lie in two chunks.
+
+        ``rows`` derives from ``self.rows``. One pass, two rows a chunk.
+        """
+        key, whole = F.struct(*self.keys), F.struct(*self.keys, *summaries)
+        each = rows.groupBy(*self.groups).agg(*[value.alias(name) for name, value in summaries.items()])
+        ends = each.groupBy(CHUNK).agg(F.min_by(whole, key).alias("_a"), F.max_by(whole, key).alias("_z"))
+        both = F.explode(F.array_distinct(F.array("_a", "_z"))).alias("_edge")
+        return ends.select(CHUNK, both).select(CHUNK, "_edge.*")
+
+    def running(
+        self,
+        sums: dict[str, Column] | None = None,
+        totals: dict[str, Column] | None = None,
+        previous: dict[str, Column] | None = None,
+    ) -> DataFrame:
+        """``self.rows`` with running values, all of them from one summary of the chunks and one set of windows.
+
+        ``sums`` run over the key up to and including the row, ``totals`` over the whole key, ``previous`` is the value of
+        the row before, NULL on the first row of a key.
+        """
+        sums, totals, previous = sums or {}, totals or {}, previous or {}
+        held = {name: F.struct(value.alias("v")) for name, value in previous.items()}
+        summaries = {f"_e_{name}": F.sum(value) for name, value in {**sums, **totals}.items()}
+        summaries |= {f"_e_{name}": F.max_by(value, ROW) for name, value in held.items()}
+        of_key = Window.partitionBy(*self.keys)
+        earlier = of_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carried = [F.sum(f"_e_{name}").over(earlier).alias(f"_c_{name}") for name in sums]
+        carried += [F.sum(f"_e_{name}").over(of_key).alias(f"_c_{name}") for name in totals]
+        carried += [F.lag(f"_e_{name}").over(of_key.orderBy(CHUNK)).alias(f"_c_{name}") for name in previous]
+        rows = self._carry(self.rows, self.edges(self.rows, summaries).select(*self.groups, *carried))
+        # Frames of one order, so that one operator evaluates them all.
+        here = self._window()
+        so_far = here.rowsBetween(Window.unboundedPreceding, 0)
+        chunk = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        out = {name: F.sum(value).over(so_far) + F.coalesce(f"_c_{name}", F.lit(0)) for name, value in sums.items()}
+        out |= {name: F.coalesce(f"_c_{name}", F.sum(value).over(chunk)) for name, value in totals.items()}
+        out |= {name: F.coalesce(F.lag(value).over(here), f"_c_{name}")["v"] for name, value in held.items()}
+        return rows.withColumns(out).drop(*[f"_c_{name}" for name in out])
 
     def next_known(self, rows: DataFrame, value: Column, out: str) -> DataFrame:
         """First non-NULL ``value`` among the rows after each row, NULL when there is none."""
         # Read backwards, so that the frame only grows and each row is visited once.
         backwards = self._window(descending=True).rowsBetween(Window.unboundedPreceding, -1)
         here = F.last(value, ignorenulls=True).over(backwards)
-        position = self._position()
-        firsts = (
-            self._of_cut_keys(rows.withColumn("_value", value))
-            .groupBy(*self.keys, CHUNK)
-            .agg(F.min_by("_value", F.when(F.col("_value").isNotNull(), position)).alias("_first"))
-        )
+        first = F.min_by(value, F.when(value.isNotNull(), F.col(ROW)))
         later = Window.partitionBy(*self.keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            firsts.withColumn("_carried", F.last("_first", ignorenulls=True).over(later))
-            .filter(F.col("_carried").isNotNull())
-            .drop("_first")
-        )
-        return (
-            self._carry(rows, carried)
-            .withColumn(out, F.coalesce(here, F.col("_carried")))
-            .drop("_carried")
+        carried = self.edges(rows, {"_first": first}).select(
+            *self.groups, F.last("_first", ignorenulls=True).over(later).alias("_carried")
         )
-
-    @cached_property
-    def cut_keys(self) -> DataFrame:
-        """Keys that span more than one chunk (fewer than there are chunks)."""
-        span = self.rows.groupBy(*self.keys).agg(F.min(CHUNK).alias("_lo"), F.max(CHUNK).alias("_hi"))
-        return stage(span.filter("_lo < _hi").select(*self.keys).repartition(1), "cut")
-
-    def _of_cut_keys(self, rows: DataFrame) -> DataFrame:
-        return _with_small(rows, self.cut_keys, self.keys, "left_semi")
+        return self._carry(rows, carried).withColumn(out, F.coalesce(here, F.col("_carried"))).drop("_carried")
 
     def _carry(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
-        return _with_small(rows, carried, [*self.keys, CHUNK])
+        return _with_small(rows, carried, self.groups)
 
     def _window(self, descending: bool = False):
-        order = [F.col(c) if isinstance(c, str) else c for c in self.order]
-        return Window.partitionBy(*self.groups).orderBy(*[c.desc() if descending else c for c in order])
-
-    def _position(self) -> Column:
-        return F.struct(*self.order)
+        return Window.partitionBy(*self.groups).orderBy(F.desc(ROW) if descending else F.asc(ROW))
 
 
 def _with_small(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
-from stockwright.functions.expressions import BALANCE, MONEY, signed_qty
+from stockwright.functions.expressions import BALANCE, MONEY, cents, from_cents, signed_qty
 from stockwright.operators.audit import audit_rows
 from stockwright.operators.ledger import CELL
 
@@ -125,9 +125,9 @@ class StockStream(_Job):
 
     def start(self, movement: DataFrame) -> DataStreamWriter:
         levels = self.product.select(
-            F.col("id").alias("product_id"), (F.col("min_stock_level") * 100).cast("bigint").alias("minimum"), "is_active"
+            F.col("id").alias("product_id"), cents("min_stock_level").alias("minimum"), "is_active"
         )
-        moves = movement.select(*CELL, "created_at", "seq", (signed_qty() * 100).cast("bigint").alias("delta"))
+        moves = movement.select(*CELL, "created_at", "seq", cents(signed_qty()).alias("delta"))
         found = (
             moves.join(levels, "product_id")
             .groupBy(*CELL)
@@ -140,11 +140,10 @@ class StockStream(_Job):
         rows = self._results()
         ended = rows.filter(F.col("kind") == RECOVERED).select(*CELL, "period", F.col("created_at").alias("resolved_at"))
         raised = rows.filter(F.col("kind") == RAISED).join(ended, [*CELL, "period"], "left")
-        cent = F.lit("0.01").cast("decimal(3,2)")
         return raised.select(
             *CELL,
-            (F.col("stock") * cent).cast(BALANCE).alias("current_stock"),
-            (F.col("minimum") * cent).cast(MONEY).alias("min_stock_level"),
+            from_cents("stock", BALANCE).alias("current_stock"),
+            from_cents("minimum", MONEY).alias("min_stock_level"),
             F.col("created_at").alias("alert_date"),
             F.col("resolved_at").isNotNull().alias("is_resolved"),
             "resolved_at",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stockwright.operators.audit import StockTimeline, price_history_audit
 from stockwright.operators.ordered import OrderedChunks, assign_ids, global_rank
+from stockwright.sources.tables import stage
 
 
 @pytest.fixture(scope="module")
@@ -37,19 +38,23 @@ def test_running_values(table, chunks):
     rows, df = table
     ordered_rows = OrderedChunks(df, ["k"], ["i"], chunks)
     value = F.col("v")
-    out = ordered_rows.running_sum(ordered_rows.rows, F.coalesce(value, F.lit(0)), "total")
-    out = ordered_rows.previous(out, value, "before")
+    known = F.coalesce(value, F.lit(0))
+    out = ordered_rows.running({"total": known}, {"whole": known}, {"before": value})
     out = ordered_rows.next_known(out, F.when(value > 0, value), "later")
-    found = {row.i: (row.k, row.total, row.before, row.later) for row in out.collect()}
+    collected = out.collect()
+    found = {row.i: (row.k, row.total, row.before, row.later) for row in collected}
     assert len(found) == len(rows)
     assert found == expected(rows)
+    whole = {key: sum(v or 0 for k, _, v in rows if k == key) for key in {row[0] for row in rows}}
+    assert all(row.whole == whole[row.k] for row in collected)
 
 
 def test_large_groups_are_cut(table):
     rows, df = table
     cut = OrderedChunks(df, ["k"], ["i"], chunks=12)
-    assert [row.k for row in cut.cut_keys.collect()].count(1) == 1
-    out = cut.running_sum(cut.rows, F.coalesce("v", F.lit(0)), "total")
+    edges = cut.edges(cut.rows, {"n": F.count(F.lit(1))}).collect()
+    assert len([row for row in edges if row.k == 1]) > 4 and len(edges) <= 24
+    out = cut.running({"total": F.coalesce("v", F.lit(0))})
     assert {row.i: row.total for row in out.collect()} == {i: row[1] for i, row in expected(rows).items()}
 
 
@@ -108,6 +113,24 @@ def alerts_by_hand(rows, levels, opening):
     return found, episodes
 
 
+def test_alerts_read_their_chunks_twice(moves, monkeypatch):
+    """Once for what chunks hand on, once for the rows; after that only what is low, or ends it, is read."""
+    from stockwright.operators import audit
+
+    _, _, movement, product = moves
+    plans = []
+
+    def planned(rows, purpose):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return stage(rows, purpose)
+
+    monkeypatch.setattr(audit, "stage", planned)
+    timeline = StockTimeline(movement, product)
+    assert len(plans) == 1 and plans[0].count("Relation ") == 2
+    chunks = set(timeline.chunks.rows.inputFiles())
+    assert not chunks & {*timeline.alerts().inputFiles(), *timeline.episodes().inputFiles()}
+
+
 @pytest.mark.parametrize("chunks", [None, 9])
 @pytest.mark.parametrize("start", [{}, {1: Decimal(40), 3: Decimal(-5)}])
 def test_alerts(moves, spark, chunks, start):

@@ -92,3 +92,41 @@ def test_runs_from_any_folder(tmp_path):
     path = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=path, capture_output=True, text=True, timeout=600)
     assert "rows" in done.stdout, done.stderr[-2000:]
+
+
+def test_rounds_walk_less_and_less(spark, monkeypatch):
+    """A round starts where the one before was wrong, and leaves cells alone that no rival asks for."""
+    from stockwright.operators.allocation import Competition
+
+    walked = []
+    plain = Competition.settle
+
+    def counting(self, rows):
+        walked.append(rows.count())
+        return plain(self, rows)
+
+    monkeypatch.setattr(Competition, "settle", counting)
+    rng = random.Random(3)
+    requests = [(i, f"N{rng.randint(0, 60)}", 1, 1, rng.randint(1, 9)) for i in range(200)]
+    requests += [(300 + i, f"Z{i}", 2, 1, 1) for i in range(30)]
+    frame = spark.createDataFrame(
+        [(s, "c", n, p, w, Decimal(q), Decimal(1), "x") for s, n, p, w, q in requests],
+        "seq long, customer_name string, invoice_no string, product_id long, warehouse_id long, qty decimal(12,2), "
+        "unit_price decimal(12,2), issued_by string",
+    )
+    product = spark.createDataFrame(
+        [(p, True, Decimal(1), None) for p in (1, 2)],
+        "id long, is_active boolean, min_stock_level decimal(12,2), max_stock_level decimal(12,2)",
+    )
+    warehouse = spark.createDataFrame([(1, True)], "id long, is_active boolean")
+    stock = {(1, 1): 120, (2, 1): 10}
+    opening = spark.createDataFrame(
+        [(*cell, Decimal(n)) for cell, n in stock.items()], "product_id long, warehouse_id long, stock decimal(12,2)"
+    )
+    numbers = spark.createDataFrame([], "invoice_no string")
+    outcome = commands.process_sales(frame, product, warehouse, opening, numbers, 5)
+    assert {r.seq: r.reason for r in outcome.collect()} == loop(requests, dict(stock), set())
+    # The last call books all requests; the rounds before it only read the cell with rivals, and less of it each time.
+    *rounds, last = walked
+    assert last == len(requests) and rounds[0] == 200 and len(rounds) > 2
+    assert all(a > b for a, b in zip(rounds, rounds[1:]))
