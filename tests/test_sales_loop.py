@@ -128,5 +128,5 @@ def test_rounds_walk_less_and_less(spark, monkeypatch):
     assert {r.seq: r.reason for r in outcome.collect()} == loop(requests, dict(stock), set())
     # The last call books all requests; the rounds before it only read the cell with rivals, and less of it each time.
     *rounds, last = walked
-    assert last == len(requests) and rounds[0] == 200 and len(rounds) > 2
+    assert last == len(requests) and rounds[0] == 200 and len(rounds) > 1
     assert all(a > b for a, b in zip(rounds, rounds[1:]))
