@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import wraps
 
@@ -13,36 +14,51 @@ from stockwright.llm.jaccard_join import near_duplicates_stage
 from stockwright.llm.packing import packing_stage
 from stockwright.llm.quality_rules import quality_stage
 from stockwright.llm.secrets import secrets_stage
-from stockwright.sources.tables import new_folder, release_stages
+from stockwright.sources.tables import delete_stages, new_folder, recorded_stages
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# What each stage has staged last, by thread and stage.
+_staged = threading.local()
 
-def _step(function: Stage) -> Stage:
-    """The stage, which first deletes what the stage before has staged: its rows are written when the next one begins."""
+
+def _step(k: int, function: Stage) -> Stage:
+    """The stage, which first deletes what the stage before has staged: its rows are written when this one begins.
+
+    Nothing else is deleted: not what reports stage between stages, and not what the last stage's rows are read from.
+    """
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release_stages(spark)
-        return function(spark, docs, sf_dir)
+        held = _staged.__dict__.setdefault("paths", {})
+        delete_stages(spark, held.pop(k - 1, []))
+        with recorded_stages() as paths:
+            out = function(spark, docs, sf_dir)
+        held[k] = paths
+        return out
 
     return run_stage
 
 
-STAGES = [
-    ("quality_rules", _step(quality_stage)),
-    ("near_duplicates", _step(near_duplicates_stage)),
-    ("decontamination", _step(decontamination_stage)),
-    ("secrets", _step(secrets_stage)),
-    ("packing", _step(packing_stage)),
+_FUNCTIONS = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicates_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("packing", packing_stage),
 ]
+STAGES = [(name, _step(k, function)) for k, (name, function) in enumerate(_FUNCTIONS)]
 
 # No stage is plain SQL; tests/llm/test_pipeline.py compares the stages with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and read again as the next one's input."""
+    """All stages over ``documents``; each stage's rows are written and read again as the next one's input.
+
+    Null texts count as empty, repeated rows as copies; without documents there are no rows. Results of several runs stay
+    readable side by side.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         path = new_folder(spark, name)

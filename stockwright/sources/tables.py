@@ -34,10 +34,8 @@ SCHEMAS = {
 # Names what one run of the program stages, so that it can be dropped as a whole.
 _RUN = f"stockwright-{uuid.uuid4().hex}"
 _local_folder: str | None = None
-# Folders staged inside ``temporary_stages``, by thread.
+# Folders staged inside ``recorded_stages``, by thread.
 _scope = threading.local()
-# Folders staged since the last ``release_stages``; None before the first.
-_held: list[str] | None = None
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -90,23 +88,30 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def temporary_stages(spark: SparkSession) -> Iterator[None]:
-    """What is staged inside is deleted at the end, also after an error; for the work of one micro-batch."""
+def recorded_stages() -> Iterator[list[str]]:
+    """The folders of what this thread stages inside, for a job that knows when their last reader is done."""
     outer, _scope.paths = getattr(_scope, "paths", None), []
     try:
-        yield
+        yield _scope.paths
     finally:
-        for path in _scope.paths:
-            _delete(spark, path)
+        if outer is not None:
+            outer += _scope.paths
         _scope.paths = outer
 
 
-def release_stages(spark: SparkSession) -> None:
-    """Deletes what was staged since the last call; for jobs of several steps, when the step before has written its rows."""
-    global _held
-    for path in _held or []:
+@contextlib.contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, also after an error."""
+    with recorded_stages() as paths:
+        try:
+            yield
+        finally:
+            delete_stages(spark, paths)
+
+
+def delete_stages(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
         _delete(spark, path)
-    _held = []
 
 
 def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:
@@ -119,7 +124,5 @@ def stage(rows: DataFrame, purpose: str = "stage") -> DataFrame:
     path = new_folder(spark, purpose)
     if getattr(_scope, "paths", None) is not None:
         _scope.paths.append(path)
-    elif _held is not None:
-        _held.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
