@@ -328,11 +328,18 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; repeated rows of it are one.
+    """``docs`` with one row of each component, one of the smallest id (a row without an id only where there is none).
 
-    Links are those of five-word shingles with a similarity of 0.8 or more. Rows without an id stay.
+    Links are those of five-word shingles with a similarity of 0.8 or more. Rows are judged by their own texts: of rows that
+    share an id those with other texts stay, repeated rows are copies. Rows without a word link with nothing and stay. No
+    documents give no rows.
     """
-    found = link_components(docs.select("doc_id", "text"), width=5, at_least=80)
-    gone = stage(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return left.dropDuplicates(docs.columns)
+    numbered = stage(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("number")), "numbered")
+    texts = numbered.select(F.col("number").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    found = link_components(texts, width=5, at_least=80).select(F.col("doc_id").alias("number"), "component_id")
+    order = F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", "number")
+    placed = numbered.select("number", order.alias("order")).join(found, "number")
+    stays = placed.groupBy("component_id").agg(F.min("order").alias("first"))
+    gone = placed.join(stays, "component_id").where("first.number <> number")
+    gone = stage(gone.select("number"), "copies")
+    return numbered.join(gone, "number", "left_anti").select("doc.*")

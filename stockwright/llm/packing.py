@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from array import array
 from collections.abc import Callable
 
@@ -51,19 +52,25 @@ def byte_bpe(vocabulary: dict[str, int]):
 def encoder(path: str) -> Callable[[str], bytes]:
     """Text to its ids as little-endian 32-bit numbers, as the tokenizer file at ``path`` says.
 
-    Strings of special tokens inside a text are ordinary text.
+    Added tokens inside a text are tokens of their own, as the tokenizer has it.
     """
     with open(path, encoding="utf-8") as file:
         described = json.load(file)
     before = described.get("pre_tokenizer") or {}
-    if described["model"]["type"] != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+    added = {t["content"]: t for t in described.get("added_tokens", ())}
+    plain = not any(t[flag] for t in added.values() for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+    if (
+        described["model"]["type"] != "BPE"
+        or before.get("type") != "ByteLevel"
+        or before.get("add_prefix_space")
+        or not plain
+        or described.get("normalizer")
+    ):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         return lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-    special = {t["content"] for t in described.get("added_tokens", ())}
-    bpe = byte_bpe({w: i for w, i in described["model"]["vocab"].items() if w not in special})
+    bpe = byte_bpe({w: i for w, i in described["model"]["vocab"].items() if w not in added})
     encode = bpe.encode_ordinary
     known: dict[str, bytes] = {}
 
@@ -89,7 +96,20 @@ def encoder(path: str) -> Callable[[str], bytes]:
                 known[word] = found[at]
         return b"".join(found)
 
-    return ids
+    if not added:
+        return ids
+    # Longer contents first, so that of two that start at one place the longer is taken.
+    contents = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+    own = {content: array("I", [token["id"]]).tobytes() for content, token in added.items()}
+
+    def all_ids(text: str) -> bytes:
+        parts, at = [], 0
+        for match in contents.finditer(text):
+            parts += [ids(text[at : match.start()]), own[match[0]]]
+            at = match.end()
+        return ids(text) if not at else b"".join([*parts, ids(text[at:])])
+
+    return all_ids
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, with_ids: bool = True) -> DataFrame:

@@ -1,7 +1,7 @@
 """Secret scans: candidates of every text, judged by who else owns them in the whole corpus.
 
 A task scans texts and emits spans with a hash of the secret value. Distinct (hash, owner, repository) rows are counted
-over the corpus: a value that many owners hold is an example somebody copied, a value of one owner looks live. The
+over the corpus: a value that many owners or many distinct texts hold is an example somebody copied, another one looks live. The
 verdict goes back to the spans. Distinct rows and their counts are partial sums before each shuffle, so a value that a
 third of all texts hold is no heavy key; the join of spans with the counts has one row per value on the other side, and
 Spark splits its large partitions (AQE skew join).
@@ -61,7 +61,8 @@ SIGNS = {
 }
 _HEX = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 
-MOST_OWNERS = 2  # a value of more owners is an example
+MOST_OWNERS = 2  # a value of more owners is an example,
+MOST_REPOSITORIES = 5  # and so is one of more distinct texts
 LEAST_ENTROPY = 2.5  # bits per character; below, a value is a placeholder
 
 
@@ -126,19 +127,24 @@ def scan(docs: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
 def ownership(scanned: DataFrame) -> DataFrame:
     """``value, n_owners, n_repositories`` over all rows ``(spans, owner, repository)``.
 
-    A repository is one within its owner. Null owners are one owner, null repositories one repository of it.
+    A repository is a distinct text; equal texts under several owners are copies of the least owner's (a null owner is one
+    like others, the least). So neither many copies of one document nor many rows of one make an example.
     """
     held = scanned.select("owner", "repository", F.explode("spans").alias("span"))
-    held = held.select("owner", "repository", F.col("span.value").alias("value")).distinct()
-    by_owner = held.groupBy("value", "owner").agg(F.count("*").alias("n"))
+    held = held.select("repository", F.col("span.value").alias("value"), F.struct("owner").alias("owner"))
+    first = held.groupBy("value", "repository").agg(F.min("owner").alias("owner"))
+    by_owner = first.groupBy("value", "owner").agg(F.count("*").alias("n"))
     return by_owner.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
 
 
-def judged_spans(scanned: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
+def judged_spans(
+    scanned: DataFrame, most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES
+) -> DataFrame:
     """One row per row id that has spans: ``_id`` and ``judged``, its spans with owners, repositories and ``live``."""
     order = F.create_map(*[x for n, kind in enumerate(KINDS) for x in (F.lit(kind), F.lit(n))])
     each = scanned.where(F.size("spans") > 0).select("_id", F.explode("spans").alias("span"))
     each = each.select("_id", "span", F.col("span.value").alias("value")).join(ownership(scanned), "value")
+    few = (F.col("n_owners") <= most_owners) & (F.col("n_repositories") <= most_repositories)
     return each.groupBy("_id").agg(
         F.array_sort(
             F.collect_list(
@@ -149,7 +155,7 @@ def judged_spans(scanned: DataFrame, most_owners: int = MOST_OWNERS) -> DataFram
                     F.col("span.kind").alias("kind"),
                     "n_owners",
                     "n_repositories",
-                    ((F.col("n_owners") <= most_owners) & F.col("span.random")).alias("live"),
+                    (few & F.col("span.random")).alias("live"),
                 )
             )
         ).alias("judged")
@@ -164,7 +170,7 @@ def listed(spans: Column) -> Column:
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans and verdicts of every document; owners are sources, repositories documents.
+    """Spans and verdicts of every document; owners are sources, repositories distinct texts.
 
     A null text is empty, null sources are one owner, repeated rows are scanned each (one repository together), no
     documents give no rows. A span covers the whole match.
@@ -175,7 +181,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
         F.col("doc_id"),
         F.col("source").alias("owner"),
-        F.col("doc_id").alias("repository"),
+        F.xxhash64("text").alias("repository"),
     ]
     scanned = stage(scan(docs, F.col("text"), kept), "spans")
 
@@ -207,7 +213,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 MASK = "[secret]"
 
 
-def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
+def redacted(docs: DataFrame, owner: str = "source") -> DataFrame:
     """``docs`` with every live-looking secret value's span replaced by ``MASK``; same rows and columns.
 
     Spans that overlap become one. ``n_chars``, where there is such a column, is counted anew in changed rows. Copied
@@ -219,7 +225,7 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id")
         F.monotonically_increasing_id().alias("_id"),
         F.col("_row"),
         F.col(f"_row.`{owner}`").cast("string").alias("owner"),
-        F.col(f"_row.`{repository}`").cast("string").alias("repository"),
+        F.xxhash64("_row.text").alias("repository"),
     ]
     scanned = stage(scan(row, F.coalesce(F.col("_row.text"), F.lit("")), kept), "spans")
     live = judged_spans(scanned).select(
@@ -259,4 +265,8 @@ def redacted(docs: DataFrame, owner: str = "source", repository: str = "doc_id")
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with live-looking secrets masked; owners are sources.
+
+    Null texts stay null, null sources are one owner, repeated rows are masked alike, no documents give no rows.
+    """
     return redacted(docs)

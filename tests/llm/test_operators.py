@@ -89,6 +89,35 @@ def test_secret_ownership(spark):
     assert out[20] == out[21] == secrets.MASK and out[22] is None
 
 
+def test_secret_verdicts_by_distinct_texts(spark):
+    """An example copied through one source, and a secret in copies of one text under several sources."""
+    from stockwright.llm import secrets
+
+    example, own = "password=q9X2mLp07sTz", "token: Zk41vB8wQx77aa"
+    rows = [(i, f"page {i} says {example}", "s0") for i in range(200)] + [(300 + i, f"deploy {own}", f"s{i}") for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = {r.doc_id: r.text for r in secrets.redacted(frame).collect()}
+    assert all(out[i] == f"page {i} says {example}" for i in range(200))
+    assert all(out[300 + i] == f"deploy {secrets.MASK}" for i in range(3))
+
+
+def test_secret_counts_by_hand(results):
+    from stockwright.llm import secrets
+
+    held, spans = {}, {}
+    for k, r in enumerate(data.documents()):
+        spans[k] = secrets.spans_of(r[1] or "")
+        for value in {s[3] for s in spans[k]}:
+            owner = (r[3] is not None, r[3] or "")
+            texts = held.setdefault(value, {})
+            texts[r[1]] = min(owner, texts.get(r[1], owner))
+    want = Counter()
+    for k, r in enumerate(data.documents()):
+        live = [len(set(held[v].values())) <= 2 and len(held[v]) <= 5 and secrets.entropy(v) >= 2.5 for *_, v in spans[k]]
+        want[r[0], sum(live), ",".join(f"{kind}:{a}:{b}" for a, b, kind, _ in spans[k])] += 1
+    assert bag(results("op2_secrets"), "doc_id", "n_live", "spans") == want
+
+
 def test_substrings(results, docs):
     unique = dict(docs)
     want = brute.substrings([(-(2**63) if d is None else d, t) for d, t in unique.items()], 100)
@@ -266,7 +295,6 @@ def test_packing(results, docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     rows = results("op9_packing")
     want = Counter()
     for doc, text in docs:
@@ -288,6 +316,21 @@ def test_packing(results, docs):
     assert sorted(sequences) == list(range(len(sequences)))
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_added_tokens(file):
+    import os
+
+    from tokenizers import Tokenizer
+
+    path = os.path.join(os.path.dirname(packing.tokenizer_path()), file)
+    encode, tokenizer = packing.encoder(path), Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", f"{end}a", f"a{end}", f"{end}{end}", end, f" {end} ", f"x\n{end}\n\ny", f"<|end{end}oftext|>", "<|endoftext", ""]
+    for text in texts:
+        ids = b"".join(i.to_bytes(4, "little") for i in tokenizer.encode(text, add_special_tokens=False).ids)
+        assert encode(text) == ids
+
+
 def test_patterns_cover_every_rank():
     import random
 

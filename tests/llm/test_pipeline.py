@@ -76,9 +76,66 @@ def test_secrets(stages):
 
 
 def test_packed(stages):
+    """The pieces rejoin to the ids of each document, and lie gapless in their sequences."""
+    from collections import Counter
+
+    from tokenizers import Tokenizer
+
+    from stockwright.llm import packing
+
     docs, pieces = stages[4][0], stages[5][0]
-    assert len({r.doc_id for r in pieces}) == len({r.doc_id for r in docs})
-    assert all(len(r.ids) == 4 * r.length for r in pieces)
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    want = Counter()
+    for r in docs:
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, packing.END_OF_TEXT]
+        want[r.doc_id, b"".join(i.to_bytes(4, "little") for i in ids)] += 1
+    by_doc = {}
+    for r in pieces:
+        assert len(r.ids) == 4 * r.length
+        by_doc.setdefault(r.doc_id, []).append((r.start, r.ids))
+    once = {doc for doc, _ in want if sum(n for (d, _), n in want.items() if d == doc) == 1}
+    for doc, _ in want:
+        if doc in once:
+            held = sorted(by_doc[doc])
+            assert [s for s, _ in held] == [sum(len(x) // 4 for _, x in held[:k]) for k in range(len(held))]
+            assert want[doc, b"".join(x for _, x in held)] == 1
+    assert by_doc.keys() == {doc for doc, _ in want}
+    sequences = {}
+    for r in pieces:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in sequences.values():
+        ends = [a + n for a, n in sorted(held)]
+        assert [a for a, _ in sorted(held)] == [0, *ends[:-1]] and ends[-1] <= packing.SEQUENCE
+
+
+def test_two_texts_of_one_id(spark):
+    """A text that is like nothing else stays, though another row of its id is a copy."""
+    from stockwright.llm.jaccard_join import near_duplicates_stage
+
+    words = data.vocabulary(9, 400)
+    a, b = " ".join(words[:60]), " ".join(words[100:160])
+    rows = [(1, a), (2, a), (2, b), (3, ""), (3, None), (None, a), (None, b + " x"), (4, b), (4, b)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = near_duplicates_stage(spark, frame, "").collect()
+    assert sorted((r.doc_id, r.text or "") for r in left) == [(1, a), (2, b), (3, ""), (3, "")]
+
+
+def test_two_results_at_once(spark, tmp_path):
+    """A second run, and a report between two runs, leave the first run's rows readable."""
+    from stockwright.sources.tables import stage
+
+    docs = [r for r in data.documents() if r[1] and len(r[1]) < 2000][:40]
+    for name, rows, schema in (
+        ("documents", docs, data.DOCUMENTS),
+        ("benchmark", data.benchmark(data.documents()), data.BENCHMARK),
+        ("labels", data.labels(docs), data.LABELS),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    first = corpus_pipeline.run(spark, str(tmp_path))
+    report = stage(spark.range(7), "report")
+    second = corpus_pipeline.run(spark, str(tmp_path))
+    assert report.count() == 7
+    assert sorted(map(str, first.collect())) == sorted(map(str, second.collect())) != []
 
 
 def test_run_on_empty_tables(spark, tmp_path):
