@@ -62,7 +62,8 @@ SIGNS = {
 _HEX = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 
 MOST_OWNERS = 2  # a value of more owners is an example,
-MOST_REPOSITORIES = 5  # and so is one of more distinct texts
+MOST_REPOSITORIES = 5  # and so is one of more distinct texts,
+MOST_HOLDERS = 4  # or one that more owners hold, though all in copies of one text
 LEAST_ENTROPY = 2.5  # bits per character; below, a value is a placeholder
 
 
@@ -125,16 +126,18 @@ def scan(docs: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
-    """``value, n_owners, n_repositories`` over all rows ``(spans, owner, repository)``.
+    """``value, n_owners, n_repositories, n_holders`` over all rows ``(spans, owner, repository)``.
 
     A repository is a distinct text; equal texts under several owners are copies of the least owner's (a null owner is one
-    like others, the least). So neither many copies of one document nor many rows of one make an example.
+    like others, the least). So a few copies of one document do not make an example. Holders are all owners, copies or not.
     """
     held = scanned.select("owner", "repository", F.explode("spans").alias("span"))
     held = held.select("repository", F.col("span.value").alias("value"), F.struct("owner").alias("owner"))
     first = held.groupBy("value", "repository").agg(F.min("owner").alias("owner"))
     by_owner = first.groupBy("value", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
+    owned = by_owner.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
+    holders = held.select("value", "owner").distinct().groupBy("value").agg(F.count("*").alias("n_holders"))
+    return owned.join(holders, "value")
 
 
 def judged_spans(
@@ -145,6 +148,7 @@ def judged_spans(
     each = scanned.where(F.size("spans") > 0).select("_id", F.explode("spans").alias("span"))
     each = each.select("_id", "span", F.col("span.value").alias("value")).join(ownership(scanned), "value")
     few = (F.col("n_owners") <= most_owners) & (F.col("n_repositories") <= most_repositories)
+    few &= F.col("n_holders") <= MOST_HOLDERS
     return each.groupBy("_id").agg(
         F.array_sort(
             F.collect_list(
