@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from stockwright.operators import audit, changes, commands, ledger, rules
 from stockwright.operators.ordered import assign_ids
+from stockwright.plans import integrity
 from stockwright.plans import reports as R
 from stockwright.plans.report_oracles import ORACLES as REPORT_ORACLES
 from stockwright.plans.oracle_model import MODEL
@@ -603,5 +604,9 @@ JOBS: dict[str, Query] = {
     "stream_price_audit": over(_price_stream),
 }
 
-QUERIES: dict[str, Query] = {**REPORTS, **JOBS}
-ORACLES: dict[str, str] = {name: MODEL + sql for name, sql in {**REPORT_ORACLES, **RULE_ORACLES}.items()}
+INTEGRITY: dict[str, Query] = {name: over(build) for name, build in integrity.BUILDERS.items()}
+
+QUERIES: dict[str, Query] = {**REPORTS, **JOBS, **INTEGRITY}
+_SQL = {**REPORT_ORACLES, **RULE_ORACLES, **integrity.SQL}
+_SQL |= {name: _SQL[same] for name, same in integrity.SAME_AS.items()}
+ORACLES: dict[str, str] = {name: MODEL + sql for name, sql in _SQL.items()}
