@@ -94,10 +94,19 @@ def month_of(column: str | Column) -> Column:
     return F.date_format(_col(column), "yyyy-MM")
 
 
+# Names are compared without case and accents; trailing blanks do not count where names are equal.
+ALIKE, ALIKE_INSIDE = "UNICODE_CI_AI_RTRIM", "UNICODE_CI_AI"
+
+
+def alike(name: str | Column) -> Column:
+    """A name as a collated column: equality, grouping, distinct rows, joins and order ignore case, accents and trailing
+    blanks."""
+    return F.collate(_col(name), ALIKE)
+
+
 def contains_text(column: str | Column, text: str) -> Column:
-    """Substring search that ignores case, with the text taken literally."""
-    pattern = text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return _col(column).ilike(f"%{pattern}%")
+    """Substring search that ignores case and accents, with the text taken literally."""
+    return F.contains(F.collate(_col(column), ALIKE_INSIDE), F.collate(F.lit(text), ALIKE_INSIDE))
 
 
 def first_failure(rules: Sequence[tuple[str, Column]]) -> Column:

@@ -6,6 +6,9 @@ accepted row are in ``allocation``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -213,36 +216,94 @@ def unique_violations(table: DataFrame, columns: list[str]) -> DataFrame:
     return known.groupBy(*columns).count().filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("violations"))
 
 
-def null_violations(table: DataFrame, columns: list[str]) -> DataFrame:
-    missing = F.lit(False)
-    for column in columns:
-        missing = missing | F.col(column).isNull()
-    return table.agg(count_if(missing).alias("violations"))
+@dataclass(frozen=True)
+class Holds:
+    """No row of ``table`` may meet ``broken``."""
 
+    table: str
+    rule: str
+    broken: Column
 
-def orphan_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str = "id") -> DataFrame:
-    """Rows that point to a parent that does not exist."""
-    keys = parent.select(F.col(parent_column).alias(column))
-    return (
-        child.select(column).dropna().join(keys, column, "left_anti").agg(F.count(F.lit(1)).alias("violations"))
-    )
 
+@dataclass(frozen=True)
+class Unique:
+    """No two rows of ``table`` may have equal ``columns``; NULLs are never equal."""
+
+    table: str
+    rule: str
+    columns: tuple[str, ...]
 
-def domain_violations(table: DataFrame, column: str, values: list[str]) -> DataFrame:
-    return table.agg(count_if(~F.col(column).isin(values)).alias("violations"))
 
+@dataclass(frozen=True)
+class Exists:
+    """``column`` of ``table`` must be the ``id`` of a row of ``parent`` (one that meets ``where``), or NULL."""
 
-def length_violations(table: DataFrame, column: str, longest: int) -> DataFrame:
-    return table.agg(count_if(F.length(column) > longest).alias("violations"))
+    table: str
+    rule: str
+    column: str
+    parent: str
+    where: Column | None = None
 
 
-def constraint_report(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """One (table, rule, violations) row per check."""
-    report = None
-    for table, rule, violations in checks:
-        row = violations.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
-        report = row if report is None else report.unionByName(row)
-    return report
+def constraint_report(tables: dict[str, DataFrame], constraints: list[Holds | Unique | Exists]) -> DataFrame:
+    """``table_name, rule, violations``: rows that break a condition, values that occur twice, rows without a parent.
+
+    Each table is read once, whatever the number of its rules and of the rules that refer to it: a row becomes an entry
+    (rule, key) for every rule it takes part in, as a child or as a parent, and one aggregate over the entries of all tables
+    answers all rules.
+    """
+    entries = None
+    for name, table in tables.items():
+        own = [entry for n, c in enumerate(constraints) for entry in _entries(n, c, name)]
+        if own:
+            rows = table.select(F.explode(F.array_compact(F.array(*own))).alias("e")).select("e.*")
+            entries = rows if entries is None else entries.unionByName(rows)
+    keys = entries.groupBy("number", "key").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
+    kinds = {Holds: "holds", Unique: "unique", Exists: "exists"}
+    spark = entries.sparkSession
+    named = spark.createDataFrame(
+        [(n, c.table, c.rule, kinds[type(c)]) for n, c in enumerate(constraints)],
+        "number int, table_name string, rule string, kind string",
+    )
+    kind, children = F.col("kind"), F.col("children")
+    broken = (
+        F.when(kind == "unique", (children > 1).cast("bigint"))
+        .when((kind == "exists") & (F.col("parent") == 1), F.lit(0))
+        .otherwise(children)
+    )
+    counted = keys.join(F.broadcast(named), "number").groupBy("number").agg(F.sum(broken).alias("violations"))
+    return named.join(counted, "number", "left").select(
+        "table_name", "rule", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
+def _entries(number: int, constraint: Holds | Unique | Exists, table: str) -> list[Column]:
+    """What a row of ``table`` says about a constraint: structs, NULL where it says nothing."""
+
+    def entry(key: Column, child: int) -> Column:
+        return F.struct(
+            F.lit(number).alias("number"), key.alias("key"), F.lit(child).alias("child"), F.lit(1 - child).alias("parent")
+        )
+
+    out = []
+    if isinstance(constraint, Holds):
+        if constraint.table == table:
+            out.append(F.when(constraint.broken, entry(F.lit(None).cast("string"), 1)))
+    elif isinstance(constraint, Unique):
+        if constraint.table == table:
+            known = [F.col(c).isNotNull() for c in constraint.columns]
+            # Lengths first, so that no two lists of values are spelt alike.
+            texts = [F.col(c).cast("string") for c in constraint.columns]
+            parts = [p for text in texts for p in (F.length(text).cast("string"), F.lit(":"), text)]
+            out.append(F.when(reduce(Column.__and__, known), entry(F.concat(*parts), 1)))
+    else:
+        if constraint.table == table:
+            column = F.col(constraint.column)
+            out.append(F.when(column.isNotNull(), entry(column.cast("string"), 1)))
+        if constraint.parent == table:
+            meets = F.lit(True) if constraint.where is None else constraint.where
+            out.append(F.when(meets, entry(F.col("id").cast("string"), 0)))
+    return out
 
 
 def confirmed_now() -> Column:

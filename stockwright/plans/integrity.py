@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
+from stockwright.functions.expressions import alike, contains_text
 from stockwright.operators import audit, changes, rules
 from stockwright.operators.keys import CASCADE, RESTRICT, SET_NULL, ForeignKey, KeyGraph
+from stockwright.operators.ordered import global_rank
 from stockwright.operators.snapshots import changed_rows, updates
 from stockwright.plans.oracle_model import percent
 from stockwright.plans.rule_oracles import D, first_failure
@@ -126,6 +128,29 @@ def purchase_status_of_versions(t) -> DataFrame:
     )
 
 
+def _names(t) -> DataFrame:
+    """Products with names as people type them: in capitals, with accents, with blanks at the end."""
+    key, name = F.col("id"), F.col("name")
+    typed = F.when(key % 3 == 0, F.upper(name)).when(key % 3 == 1, F.translate(name, "aeio", "áéíó"))
+    return t.product.withColumn("name", typed.otherwise(F.concat(name, F.lit("  "))))
+
+
+def names_grouped(t) -> DataFrame:
+    rows = _names(t).groupBy(alike("name").alias("name")).agg(
+        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("products"), F.sum("default_price").alias("price")
+    )
+    return rows.drop("name")
+
+
+def names_repeated(t) -> DataFrame:
+    """Names that more than one product has, under the collation and as they are written."""
+    names = _names(t)
+    by_name = rules.unique_violations(names.select(alike("name").alias("name")), ["name"])
+    as_written = rules.unique_violations(names, ["name"])
+    rule = F.lit("alike").alias("rule")
+    return by_name.select(rule, "violations").unionByName(as_written.select(F.lit("as written").alias("rule"), "violations"))
+
+
 def cell_stock(t) -> DataFrame:
     requested_cells(t)
     return called(
@@ -140,6 +165,10 @@ BUILDERS: dict[str, Callable] = {
     "snapshot_product_changes": product_differences,
     "snapshot_price_audit": price_audit_of_versions,
     "snapshot_purchase_status": purchase_status_of_versions,
+    "price_ranks": lambda t: global_rank(t.product.select("id", "default_price"), "default_price", "price_rank"),
+    "names_grouped": names_grouped,
+    "names_repeated": names_repeated,
+    "names_found": lambda t: _names(t).filter(contains_text("name", "rÌng")).select("id", "name"),
     "sql_current_stock": cell_stock,
     "sql_warehouse_value": lambda t: called(
         t, "SELECT id AS warehouse_id, name AS warehouse_name, GetWarehouseTotalValue(id) AS total_value FROM trade_warehouse"
@@ -182,6 +211,11 @@ SELECT table_name, CAST(row_key AS VARCHAR) AS row_key, CAST(reference AS VARCHA
 ) GROUP BY ALL
 """
 
+_NAMES = """
+, typed AS (
+  SELECT id, default_price, CASE id % 3 WHEN 0 THEN upper(name) WHEN 1 THEN translate(name, 'aeio', 'áéíó')
+    ELSE name || '  ' END AS name FROM m_product
+)"""
 _CELLS = "(SELECT id AS product_id, id % 5 AS warehouse_id FROM m_product)"
 
 SQL: dict[str, str] = {
@@ -209,6 +243,17 @@ SELECT id, status, new_status, supplier_id, new_supplier_id, {first_failure(
     (W.PURCHASE_FIXED, "status <> 'DRAFT' AND new_status <> status"),
     (W.SUPPLIER_FIXED, "status <> 'DRAFT' AND new_supplier_id <> supplier_id"))} AS reason
 FROM m_purchase_change WHERE status <> new_status OR supplier_id <> new_supplier_id""",
+    "price_ranks": f"SELECT id, {D('default_price', 'default_price')}, RANK() OVER (ORDER BY default_price DESC) AS price_rank FROM m_product",
+    "names_grouped": f"""
+{_NAMES}
+SELECT MIN(id) AS first_id, COUNT(*) AS products, {D('SUM(default_price)', 'price')}
+FROM typed GROUP BY rtrim(strip_accents(lower(name)))""",
+    "names_repeated": f"""
+{_NAMES}
+SELECT 'alike' AS rule, COUNT(*) AS violations FROM (
+  SELECT 1 FROM typed GROUP BY rtrim(strip_accents(lower(name))) HAVING COUNT(*) > 1)
+UNION ALL SELECT 'as written', COUNT(*) FROM (SELECT 1 FROM typed GROUP BY name HAVING COUNT(*) > 1)""",
+    "names_found": f"{_NAMES} SELECT id, name FROM typed WHERE contains(strip_accents(lower(name)), 'ring')",
     "sql_current_stock": f"""
 SELECT c.product_id, c.warehouse_id, {D('COALESCE(s.stock, 0)', 'stock')}, COALESCE(s.stock, 0) >= 10 AS available
 FROM {_CELLS} c LEFT JOIN m_stock s ON s.product_id = c.product_id AND s.warehouse_id = c.warehouse_id""",

@@ -143,15 +143,37 @@ def test_constraint_checks(spark):
         "id int, name string, kind string",
     )
     parents = spark.createDataFrame([(1,)], "id int")
+    F_ = F.col  # noqa: N806
     checks = [
-        ("unique", rules.unique_violations(table, ["id"]), 1),
-        ("null", rules.null_violations(table, ["id", "name"]), 2),
-        ("orphan", rules.orphan_violations(table, "id", parents), 1),
-        ("domain", rules.domain_violations(table, "kind", ["IN", "OUT"]), 1),
-        ("length", rules.length_violations(table, "name", 3), 1),
+        (rules.Unique("t", "unique", ("id",)), 1),
+        (rules.Unique("t", "unique pair", ("name", "kind")), 1),
+        (rules.Holds("t", "null", F_("id").isNull() | F_("name").isNull()), 2),
+        (rules.Exists("t", "orphan", "id", "parents"), 1),
+        (rules.Exists("t", "orphan of some", "id", "parents", F_("id") > 1), 3),
+        (rules.Holds("t", "domain", ~F_("kind").isin("IN", "OUT")), 1),
+        (rules.Holds("t", "length", F.length("name") > 3), 1),
+        (rules.Holds("t", "none", F.lit(False)), 0),
+        (rules.Exists("t", "self", "id", "t"), 0),
+        (rules.Unique("parents", "unique", ("id",)), 0),
     ]
-    report = rules.constraint_report([("t", name, df) for name, df, _ in checks])
-    assert rows(report, "rule", "violations") == sorted((name, n) for name, _, n in checks)
+    pair = spark.createDataFrame([("p", "q"), ("p", "q"), ("pq", ""), (None, "q"), (None, "q")], "name string, kind string")
+    tables = {"t": table.unionByName(pair.withColumn("id", F.lit(None).cast("int"))), "parents": parents}
+    tables["t"] = tables["t"].withColumn("kind", F.when(F_("name").isNull() | (F.length("name") < 5), F_("kind")))
+    wanted = {c: n for c, n in checks if c.rule not in ("null", "domain")}
+    report = rules.constraint_report(tables, list(wanted))
+    assert rows(report, "table_name", "rule", "violations") == sorted((c.table, c.rule, n) for c, n in wanted.items())
+    # Conditions on the rows without the pairs.
+    alone = rules.constraint_report({"t": table}, [c for c, _ in checks if c.rule in ("null", "domain")])
+    assert rows(alone, "rule", "violations") == [("domain", 1), ("null", 2)]
+
+
+def test_constraints_read_each_table_once(spark, tmp_path):
+    spark.range(9).select("id", F.col("id").alias("up")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    checks = [rules.Unique("t", "a", ("id",)), rules.Exists("t", "b", "up", "t"), rules.Holds("t", "c", F.col("id") > 5)]
+    report = rules.constraint_report({"t": table}, checks)
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation ") == 1
+    assert rows(report, "rule", "violations") == [("a", 0), ("b", 0), ("c", 3)]
 
 
 @pytest.mark.parametrize(
