@@ -334,12 +334,19 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     share an id those with other texts stay, repeated rows are copies. Rows without a word link with nothing and stay. No
     documents give no rows.
     """
-    numbered = stage(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("number")), "numbered")
-    texts = numbered.select(F.col("number").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
-    found = link_components(texts, width=5, at_least=80).select(F.col("doc_id").alias("number"), "component_id")
-    order = F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", "number")
-    placed = numbered.select("number", order.alias("order")).join(found, "number")
-    stays = placed.groupBy("component_id").agg(F.min("order").alias("first"))
-    gone = placed.join(stays, "component_id").where("first.number <> number")
-    gone = stage(gone.select("number"), "copies")
-    return numbered.join(gone, "number", "left_anti").select("doc.*")
+    rows = docs.select(F.struct("*").alias("doc")).withColumn("id", F.col("doc.doc_id").cast("long"))
+    repeated = rows.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("again"))
+    # A row goes by its id, unless others share it; such rows get numbers above all ids, as all do where there is no room.
+    most = rows.agg(F.max("id")).first()[0] or 0
+    own = F.col("id").isNotNull() & F.col("again").isNull() & F.lit(most < 1 << 61)
+    above = F.monotonically_increasing_id() + F.lit(max(most, 0) + 1 if most < 1 << 61 else 0)
+    keyed = rows.join(repeated, "id", "left").select("doc", F.when(own, F.col("id")).otherwise(above).alias("key"))
+    keyed = stage(keyed, "keyed")
+    texts = keyed.select(F.col("key").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    found = link_components(texts, width=5, at_least=80).select(F.col("doc_id").alias("key"), "component_id")
+    found = stage(found, "found")
+    order = F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", "key")
+    placed = keyed.select("key", order.alias("order")).join(found, "key")
+    stays = placed.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.key").alias("key"))
+    gone = stage(found.select("key").join(stays, "key", "left_anti"), "copies")
+    return keyed.join(gone, "key", "left_anti").select("doc.*")

@@ -118,6 +118,10 @@ def test_two_texts_of_one_id(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     left = near_duplicates_stage(spark, frame, "").collect()
     assert sorted((r.doc_id, r.text or "") for r in left) == [(1, a), (2, b), (3, ""), (3, "")]
+    most = 2**63 - 1
+    frame = spark.createDataFrame([(most, a), (most, b), (-most, a), (most - 1, "x")], frame.schema)
+    left = near_duplicates_stage(spark, frame, "").collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(-most, a), (most - 1, "x"), (most, b)]
 
 
 def test_two_results_at_once(spark, tmp_path):
