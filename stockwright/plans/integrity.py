@@ -9,14 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwright.functions import wording as W
-from stockwright.functions.expressions import alike, contains_text
+from stockwright.functions.expressions import alike, contains_text, line_total
 from stockwright.operators import audit, changes, rules
 from stockwright.operators.keys import CASCADE, RESTRICT, SET_NULL, ForeignKey, KeyGraph
 from stockwright.operators.ordered import global_rank
 from stockwright.operators.snapshots import changed_rows, updates
+from stockwright.operators.upkeep import signed_changes, touched_sums
 from stockwright.plans.oracle_model import percent
 from stockwright.plans.rule_oracles import D, first_failure
 from stockwright.plans.sql_functions import called, requested_cells
+from stockwright.sources.monthly import MonthlyTable
+from stockwright.sources.tables import new_folder
 
 # The keys of the trade model.
 KEYS = [
@@ -128,6 +131,36 @@ def purchase_status_of_versions(t) -> DataFrame:
     )
 
 
+CLOSED_ON = date(2000, 1, 1)
+
+
+def totals_kept(t) -> DataFrame:
+    """New totals of the purchase documents that a batch touches: newer lines come, every third line of the old ones goes, of
+    every fifth one unit more is bought."""
+    lines = t.purchase_items.select(
+        F.col("purchase_invoice_id").alias("id"), "qty", "unit_price", F.col("line_total").alias("total_amount"), "seq"
+    )
+    is_new = F.col("seq.l_shipdate") >= F.lit(CLOSED_ON)
+    place = F.col("seq.l_linenumber")
+    stored = lines.filter(~is_new).groupBy("id").agg(
+        F.sum("total_amount").alias("total_amount"), F.count(F.lit(1)).alias("rows")
+    )
+    was = F.struct("id", "total_amount")
+    more = F.struct("id", line_total(F.col("qty") + 1).alias("total_amount"))
+    batch = lines.filter(is_new | place.isin(3, 5)).select(
+        F.when(~is_new, was).alias("old"), F.when(is_new, was).when(place == 5, more).alias("new")
+    )
+    signed = signed_changes(batch, ["id"], "total_amount")
+    return touched_sums(stored, signed, ["id"], "total_amount").withColumnRenamed("rows", "lines_count")
+
+
+def ledger_of_days(t) -> DataFrame:
+    """Movements of a few days, from the ledger laid out by month."""
+    ledger = MonthlyTable(t.spark, new_folder(t.spark, "ledger"), "created_at")
+    ledger.append(t.inventory_movement.drop("seq"))
+    return ledger.between(date(1998, 1, 10), date(1998, 2, 5))
+
+
 def _names(t) -> DataFrame:
     """Products with names as people type them: in capitals, with accents, with blanks at the end."""
     key, name = F.col("id"), F.col("name")
@@ -165,6 +198,8 @@ BUILDERS: dict[str, Callable] = {
     "snapshot_product_changes": product_differences,
     "snapshot_price_audit": price_audit_of_versions,
     "snapshot_purchase_status": purchase_status_of_versions,
+    "totals_kept": totals_kept,
+    "ledger_of_days": ledger_of_days,
     "price_ranks": lambda t: global_rank(t.product.select("id", "default_price"), "default_price", "price_rank"),
     "names_grouped": names_grouped,
     "names_repeated": names_repeated,
@@ -243,6 +278,20 @@ SELECT id, status, new_status, supplier_id, new_supplier_id, {first_failure(
     (W.PURCHASE_FIXED, "status <> 'DRAFT' AND new_status <> status"),
     (W.SUPPLIER_FIXED, "status <> 'DRAFT' AND new_supplier_id <> supplier_id"))} AS reason
 FROM m_purchase_change WHERE status <> new_status OR supplier_id <> new_supplier_id""",
+    "totals_kept": f"""
+, changed_line AS (
+  SELECT *, l_shipdate >= DATE '{CLOSED_ON}' AS is_new, l_linenumber AS place FROM m_purchase_line
+), after_batch AS (
+  SELECT purchase_invoice_id AS id,
+    CASE WHEN is_new OR place <> 5 THEN line_total ELSE CAST((qty + 1) * unit_price AS DECIMAL(12,2)) END AS total
+  FROM changed_line WHERE is_new OR place <> 3
+), touched AS (SELECT DISTINCT purchase_invoice_id AS id FROM changed_line WHERE is_new OR place IN (3, 5))
+SELECT id, CAST(COALESCE(SUM(total), 0) AS DOUBLE) AS total_amount, COUNT(total) AS lines_count
+FROM touched LEFT JOIN after_batch USING (id) GROUP BY id""",
+    "ledger_of_days": f"""
+SELECT product_id, warehouse_id, movement_type, {D('qty', 'qty')}, related_type, related_id, note,
+  CAST(created_at AS VARCHAR) AS created_at
+FROM m_movement WHERE CAST(created_at AS DATE) BETWEEN DATE '1998-01-10' AND DATE '1998-02-05'""",
     "price_ranks": f"SELECT id, {D('default_price', 'default_price')}, RANK() OVER (ORDER BY default_price DESC) AS price_rank FROM m_product",
     "names_grouped": f"""
 {_NAMES}
