@@ -117,9 +117,10 @@ def labelled_vectors(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[n
             )
 
     kinds = {f.name: f.dataType.simpleString() for f in picked.schema}
-    found = picked.mapInArrow(vectors, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, x binary").collect()
-    one = {r["doc_id"]: r for r in sorted(found, key=lambda r: (r["doc_id"], bytes(r["x"])), reverse=True)}
-    rows = [one[key] for key in sorted(one)]
+    found = picked.mapInArrow(vectors, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, x binary")
+    # One vector an id in each task, and then in all: what comes to the driver is bounded by the sample.
+    one = found.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
+    rows = sorted(one, key=lambda r: r["doc_id"])
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float32).reshape(len(rows), TERMS)
     return x, np.array([r["quality"] for r in rows], np.float64), totals
 

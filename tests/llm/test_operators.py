@@ -218,6 +218,34 @@ def test_quality_scores(results, docs):
     assert len(seen) > 10 and sum(p == q for p, q in seen) >= 0.85 * len(seen)
 
 
+def test_quality_votes_by_hand(spark, docs):
+    """Each score from all cosines, sorted, in plain loops; an id with many rows is one labelled vector."""
+    import numpy as np
+
+    from stockwright.llm import neighbour_quality as nq
+
+    rows = [*docs, *[(6, docs[6][1])] * 50, *[(6, docs[7][1])] * 50]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([r for r in data.labels(data.documents()) if r[0] is not None], data.LABELS)
+    model = nq.fit(frame, labels)
+    known = {d: q for d, q, _ in data.labels(data.documents()) if d is not None and q is not None and d in dict(docs)}
+    assert len(model.quality) == len(known)
+    weight = {q: len(model.quality) / max((model.quality == q).sum(), 1) for q in (0, 1)}
+    got = {}
+    for r in nq.score(frame, model).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    for doc, text in docs[:40]:
+        z = nq.weighted(nq.terms([text or ""]), model.idf)[0] @ model.projection
+        z = z / max(np.linalg.norm(z), 1e-12)
+        near = sorted(((float(v @ z), q) for v, q in zip(model.latent, model.quality)), reverse=True)[: nq.NEIGHBOURS]
+        votes = [(max(c, 0) ** nq.SHARPNESS * weight[int(q)], q) for c, q in near]
+        total = sum(v for v, _ in votes)
+        share = sum(v * q for v, q in votes) / total if total > 1e-9 else model.prior
+        low = share < model.cut
+        want = share / model.cut * nq.THRESHOLD if low else nq.THRESHOLD + (share - model.cut) / (1 - model.cut) * (1 - nq.THRESHOLD)
+        assert min(abs(s - want) for s in got[doc]) < 1e-4
+
+
 def test_overlaps(results, docs):
     split = [("" if i is None else str(i), t or "") for i, t, _ in data.benchmark(data.documents())]
     want = Counter()
