@@ -20,6 +20,7 @@ def _unknown(table: str, value: str) -> str:
     return _KNOWN.format(table=table, value=value)
 
 
+# Table functions join the one row that their argument names; the remainder by one makes that a hash join.
 _STOCK = "COALESCE(cell.stock, 0)"
 
 FUNCTIONS = [
@@ -44,7 +45,7 @@ FUNCTIONS = [
     CASE WHEN {_STOCK} >= 1 THEN 'AVAILABLE' ELSE 'OUT OF STOCK' END
   FROM trade_product p
   LEFT JOIN trade_stock cell ON cell.product_id = p.id AND cell.warehouse_id = warehouse
-  LEFT JOIN trade_warehouse known ON known.id = warehouse
+  LEFT JOIN trade_warehouse known ON known.id = warehouse AND pmod(known.id, 1) = pmod(p.id, 1)
   LEFT JOIN trade_category c ON c.id = p.category_id LEFT JOIN trade_unit u ON u.id = p.unit_id
   WHERE p.is_active AND (category IS NULL OR p.category_id = category)
     AND CASE WHEN known.id IS NULL THEN raise_error('Warehouse not found')
@@ -55,7 +56,7 @@ FUNCTIONS = [
     max_lead_time INT) RETURN
   SELECT r.supplier_id, r.supplier_name, r.contact_email, r.phone, r.is_active, r.total_products, r.total_invoices,
     r.total_purchase_amount, r.avg_purchase_price, r.min_lead_time, r.max_lead_time
-  FROM trade_supplier_report r LEFT JOIN trade_supplier known ON known.id = supplier
+  FROM trade_supplier_report r LEFT JOIN trade_supplier known ON known.id = supplier AND pmod(known.id, 1) = pmod(r.supplier_id, 1)
   WHERE CASE WHEN supplier IS NULL THEN TRUE WHEN known.id IS NULL THEN raise_error('Supplier not found')
     ELSE r.supplier_id = supplier END""",
 ]
