@@ -331,22 +331,26 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """``docs`` with one row of each component, one of the smallest id (a row without an id only where there is none).
 
     Links are those of five-word shingles with a similarity of 0.8 or more. Rows are judged by their own texts: of rows that
-    share an id those with other texts stay, repeated rows are copies. Rows without a word link with nothing and stay. No
-    documents give no rows.
+    share an id those with other texts stay, repeated rows are copies. Rows without a word link with nothing and stay, of
+    repeated ones one. No documents give no rows.
     """
     rows = docs.select(F.struct("*").alias("doc")).withColumn("id", F.col("doc.doc_id").cast("long"))
     repeated = rows.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("again"))
-    # A row goes by its id, unless others share it; such rows get numbers above all ids, as all do where there is no room.
+    repeated = stage(repeated, "repeated")
+    # A row goes by its id, unless others share it; such rows get numbers above all ids by a hash of id and text, and so do
+    # all where there is no room above. Nothing of the texts is written for that.
     most = rows.agg(F.max("id")).first()[0] or 0
-    own = F.col("id").isNotNull() & F.col("again").isNull() & F.lit(most < 1 << 61)
-    above = F.monotonically_increasing_id() + F.lit(max(most, 0) + 1 if most < 1 << 61 else 0)
-    keyed = rows.join(repeated, "id", "left").select("doc", F.when(own, F.col("id")).otherwise(above).alias("key"))
-    keyed = stage(keyed, "keyed")
+    alone = F.col("id").isNotNull() & F.col("again").isNull() & F.lit(most < 1 << 61)
+    above = F.xxhash64("id", "doc.text").bitwiseAND((1 << 61) - 1) + F.lit(max(most, 0) + 1 if most < 1 << 61 else 0)
+    keyed = rows.join(repeated, "id", "left").withColumn("alone", alone)
+    keyed = keyed.select("doc", "alone", F.when(F.col("alone"), F.col("id")).otherwise(above).alias("key"))
     texts = keyed.select(F.col("key").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
     found = link_components(texts, width=5, at_least=80).select(F.col("doc_id").alias("key"), "component_id")
-    found = stage(found, "found")
+    found = stage(found.distinct(), "found")
     order = F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", "key")
-    placed = keyed.select("key", order.alias("order")).join(found, "key")
+    placed = keyed.select("key", order.alias("order")).distinct().join(found, "key")
     stays = placed.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.key").alias("key"))
     gone = stage(found.select("key").join(stays, "key", "left_anti"), "copies")
-    return keyed.join(gone, "key", "left_anti").select("doc.*")
+    left = keyed.join(gone, "key", "left_anti")
+    once = left.where(~F.col("alone")).dropDuplicates(["key"])
+    return left.where("alone").unionByName(once).select("doc.*")
