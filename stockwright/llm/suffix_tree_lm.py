@@ -1,39 +1,44 @@
-"""LM scoring with a probabilistic suffix tree over words.
-
-Word counts are taken over all training texts. A gram is a context of one to ``DEPTH`` words and the word after it; its
-code is made of the codes of the gram without its last and of the gram without its first word. Grams are counted in rounds
-by length, over all training texts; those that occur ``LEAST`` times are the tree's entries, whatever the size of the
-corpus. A context stays in the tree when its distribution diverges from that of its longest proper suffix in favour of the
-tokens seen after it: their log-likelihood ratio, each token judged without its own occurrence, is above zero.
-
-A token's probability is that of the longest suffix of its history that is a state, mixed with the next shorter suffix; at
-the root it is the count plus one. Its logarithm is a sum with a part for each gram: what a state leaves to the shorter
-context, and what an entry adds to that. So a text's score is the sum of the parts of its grams, in any order. Words and
-parts are Spark tables; the most frequent, which would be heavy keys in a join, are sent to the tasks, all others joined.
+"""LM scoring with a probabilistic suffix tree over words, grown in rounds by length of context.
+
+Texts are kept in chunks of some million tokens, laid out by chunk so that they never move again. What a chunk has to know
+of the whole corpus it asks for: it sends its distinct codes with their counts, in blocks by range of code, and every block
+comes back with the sums over all chunks. A block is one packed, sorted row, not a row a code; a frequent code is one number
+in a chunk's block, however often it occurs, and ranges of hashes are equally full. An answer is as small as its counts.
+
+Counts of words come first. Then in each round k the chunks ask how often their grams of a context of k words and the word
+after it occur in the training texts, and add up, per context, the log-likelihood ratio of the tokens seen after it against
+its longest proper suffix, each token judged without its own occurrence. A context whose ratio is above ``GAIN`` over the
+corpus is a state of the tree: it pays for itself. A context of k + 1 words is only looked at where its suffix is a state
+and it occurs ``LEAST`` times (and so do the contexts that its own count came from), so rounds end by themselves: where a
+word is certain, no longer context can gain. There is no greatest length, no list of kept codes and no share of the corpus.
+
+A token's probability is that of the longest suffix of its history that is a state: its count after the state and ``PRIOR``
+times the probability after the next shorter suffix; at the root it is the count plus one.
 """
 
 from __future__ import annotations
 
-import gc
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockwright.llm.common import share, slices, strings, table, text_of, white_table
+from stockwright.llm.common import slices, strings, table, text_of, white_table
 from stockwright.llm.hashing import mix, placed_words
-from stockwright.sources.tables import _delete, new_folder, stage, temporary_stages
-
-DEPTH = 2  # words of the longest context
-LEAST = 2  # occurrences of an entry
-HOT = 1 << 20  # words and grams that are sent to the tasks, at most
-BITS = 26  # leading bits of a code that the filters of codes tell apart
-PRIOR = 20.0  # weight of the shorter context, in tokens
-DISCOUNT = 0.75  # taken from each entry's count and given to the shorter context
+from stockwright.sources.tables import _delete, delete_stages, new_folder, recorded_stages, stage
+
+LEAST = 2  # occurrences of a context
+PRIOR = 4.0  # weight of the shorter context, in tokens
+GAIN = 2.0  # what a context must gain over its suffix to be a state, in natural logarithms
 END = np.uint64(0x5EED0FE11D0FF117)  # hash of the end of a text; also what stands before the first word
 _CONTEXT = np.uint64(0xA0761D6478BD642F)  # odd random multiplier
-BUFFER = 2_000_000  # tokens counted together in a task
+CHUNK = 2_000_000  # tokens of a chunk, about; a longer text is a chunk of its own
+RANGE = 2_000_000  # codes of a range that meet in a task, about
+_GAINS = 1e6  # gains are summed as whole numbers, in any order
 
 
 def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,347 +56,293 @@ def _joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return mix(context * _CONTEXT + suffix)
 
 
-def grams(hashes: np.ndarray, ends: np.ndarray):
-    """By length: contexts, suffixes and codes of the grams that end at each token, and which tokens have one."""
-    begins = np.concatenate(([0], ends[:-1] + 1))
-    context = np.roll(hashes, 1)
-    context[begins] = END
-    suffix, valid = hashes, np.ones(len(hashes), bool)
-    for _ in range(DEPTH):
-        code = _joined(context, suffix)
-        yield context, suffix, code, valid
-        context, suffix, valid = np.roll(code, 1), code, np.roll(valid, 1)
-        valid[begins] = False
-
-
-def _summed(batches, keys_of, names: list[str]):
-    """Distinct keys (arrays of numbers, one for each name) with counts of a task's rows, some million at a time."""
-    held, size = [], 0
-
-    def flush():
-        keys = [np.concatenate(k) for k in zip(*held)]
-        order = np.lexsort(keys)
-        keys = [k[order] for k in keys]
-        new = np.ones(len(order), bool)
-        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-        at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(order)))
-        return pa.RecordBatch.from_arrays([*[pa.array(k[at]) for k in keys], pa.array(n)], names=[*names, "n"])
-
-    for batch in slices(batches):
-        keys = keys_of(strings(batch.column(0)))
-        held.append(keys)
-        size += len(keys[0])
-        if size >= BUFFER:
-            yield flush()
-            held, size = [], 0
-    if size:
-        yield flush()
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of their places, compressed."""
+    planes = np.ascontiguousarray(numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd", compression_level=1).compress(planes.tobytes(), asbytes=True)
+
+
+def _unpack(packed: bytes, size: int) -> np.ndarray:
+    planes = pa.Codec("zstd").decompress(packed, size * 8, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, size).T).view(np.int64).ravel()
+
+
+def _pack_codes(codes: np.ndarray) -> bytes:
+    """Sorted codes as steps of as many bytes as the longest needs."""
+    steps = np.diff(codes)
+    width = (int(steps.max()).bit_length() + 7) // 8 if len(steps) else 0
+    return bytes([width]) + codes[:1].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def token_counts(training: DataFrame) -> DataFrame:
-    """``code, n``: hash and count of every distinct token of the rows' ``text``."""
+def _unpack_codes(packed: bytes, size: int) -> np.ndarray:
+    steps = np.zeros((size, 8), np.uint8)
+    steps[0] = np.frombuffer(packed, np.uint8, 8, 1)
+    width = packed[0]
+    steps[1:, :width] = np.frombuffer(packed, np.uint8, (size - 1) * width, 9).reshape(size - 1, width)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
 
-    def count(batches):
-        return _summed(batches, lambda texts: [token_hashes(texts)[0].view(np.int64)], ["code"])
 
-    each = training.select(text_of(training).alias("text")).mapInArrow(count, "code long, n long")
-    return each.groupBy("code").agg(F.sum("n").alias("n"))
+_CHUNK = "chunk long, tokens long, taught long, texts long, distinct long, words binary, ids binary, ends binary, train binary"
 
 
-def code_filter(codes: DataFrame) -> np.ndarray:
-    """A bit for the leading bits of every ``code``: tells most others apart, at any size none too few."""
-    lead = codes.select(F.shiftrightunsigned("code", 64 - BITS).alias("lead"))
-    words = lead.groupBy(F.shiftright("lead", 6).cast("int").alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(lead & 63 as int)))").alias("bits")
+def chunks(docs: DataFrame, trains: Column, keep: tuple[str, ...], folder: str, name: str) -> DataFrame:
+    """Rows of some million tokens: word numbers by frequency, the words' hashes, and the kept columns as lists
+    ``_0, _1, ...``; a table laid out by ``chunk``."""
+    spark = docs.sparkSession
+    rows = docs.select(
+        *[docs[c].alias(f"_{i}") for i, c in enumerate(keep)],
+        F.coalesce(trains, F.lit(False)).alias("_train"),
+        text_of(docs).alias("_text"),
     )
-    found = words.toArrow()
-    out = np.zeros(1 << (BITS - 6), np.int64)
-    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return out.view(np.uint64)
-
-
-def passes(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    lead = codes >> np.uint64(64 - BITS)
-    return (bits[lead >> np.uint64(6)] >> (lead & np.uint64(63))) & np.uint64(1) == 1
-
-
-class SuffixTree:
-    """The most frequent words and grams with their parts, as sorted arrays; ``others`` is the table of all others."""
-
-    def __init__(self, total: int, distinct: int, words, learned, bits: np.ndarray, others: DataFrame):
-        self.total, self.distinct = total, distinct
-        self.floor = total + distinct + 1  # denominator of the root
-        self.hashes, self.counts, bow = words
-        self.size = len(self.hashes) + 1  # words here, and one for all other tokens
-        self.root = np.append(np.log10((self.counts + 1) / self.floor), 0.0)
-        self.bow = np.append(bow, 0.0)  # what a state leaves to the shorter context
-        self.code, self.last, self.added, self.left = learned  # of grams: suffix, part as an entry, part as a context
-        self.bits = bits  # filter of the other grams
-        self.others = others
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "others"}
-
-    def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        """Word numbers; the last number for other tokens."""
-        at = _places(self.hashes, hashes)
-        return np.where(at >= 0, at, self.size - 1)
-
-    def histories(self, symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts of one and of two words of each token, -1 where they are not here."""
-        known = np.append(self.symbols(np.array([END])), symbols)
-        begins = np.concatenate(([0], ends[:-1] + 1))
-        one = known[:-1].copy()
-        one[begins] = known[0]
-        one = np.where(one < self.size - 1, one, -1)
-        both = (one >= 0) & (symbols < self.size - 1)
-        pair = np.full(len(symbols), -1)
-        pair[both] = _places(self.code, _joined(self.hashes[one[both]], self.hashes[symbols[both]]))
-        two = np.roll(pair, 1)
-        two[begins] = -1
-        return one, two
-
-    def _mixed(self, order: int, context: np.ndarray, symbol: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """log10 probabilities after contexts of one (order 0) or two words; ``shorter`` where there is no state."""
-        out = shorter.copy()
-        at = np.flatnonzero(context >= 0)
-        out[at] += (self.bow, self.left)[order][context[at]]
-        at = at[symbol[at] < self.size - 1]
-        word = self.hashes[symbol[at]]
-        if order == 0:
-            code = _joined(self.hashes[context[at]], word)
-        else:
-            code = _joined(self.code[context[at]], _joined(self.last[context[at]], word))
-        place = _places(self.code, code)
-        out[at[place >= 0]] += self.added[place[place >= 0]]
-        return out
-
-    def score(self, texts: list[str]):
-        """Per text: tokens, those that are words here, their base score, the model's score without the parts of other
-        tokens and grams, and these others with their counts."""
-        hashes, ends = token_hashes(texts)
-        symbols = self.symbols(hashes)
-        known = symbols < self.size - 1
-        root = self.root[symbols]
-        model = root + self.bow[symbols]
-        texts_of = np.repeat(np.arange(len(ends)), np.diff(np.concatenate(([0], ends + 1))))
-        rare = [(texts_of[~known], hashes[~known])]
-        for _, _, code, valid in grams(hashes, ends):
-            place = _places(self.code, code)
-            here = valid & (place >= 0)
-            model[here] += self.added[place[here]] + self.left[place[here]]
-            rest = np.flatnonzero(valid & (place < 0))
-            rest = rest[passes(self.bits, code[rest])]
-            rare.append((texts_of[rest], code[rest]))
-        begins = np.concatenate(([0], ends[:-1] + 1))
-        sums = [np.add.reduceat(x, begins) for x in (known.astype(np.int64), root, model)]
-        owner, code = (np.concatenate(x) for x in zip(*rare))
-        order = np.argsort(owner, kind="stable")
-        cuts = np.searchsorted(owner[order], np.arange(1, len(ends)))
-        others = [np.unique(c.view(np.int64), return_counts=True) for c in np.split(code[order], cuts)]
-        return ends + 1 - begins, *sums, others
-
-
-def _places(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where codes stand among sorted ones, -1 for missing ones."""
-    if not len(codes):
-        return np.full(len(wanted), -1)
-    at = np.searchsorted(codes, wanted)
-    at[at == len(codes)] = 0
-    return np.where(codes[at] == wanted, at, -1)
-
-
-def gram_counts(training: DataFrame, order: int, bits: np.ndarray) -> DataFrame:
-    """``code, context, suffix, n`` of the grams of a length that occur ``LEAST`` times. ``bits`` filters the next
-    shorter ones that do; a gram occurs no more often than these."""
-    shared = share(training.sparkSession, bits)
-
-    def count(batches):
-        bits = shared()
-
-        def pairs(texts: list[str]) -> list[np.ndarray]:
-            context, suffix, _, valid = list(grams(*token_hashes(texts)))[order]
-            at = np.flatnonzero(valid)
-            at = at[passes(bits, suffix[at])]
-            if order:
-                at = at[passes(bits, context[at])]
-            return [context[at].view(np.int64), suffix[at].view(np.int64)]
-
-        return _summed(batches, pairs, ["context", "suffix"])
-
-    def name(batches):
-        for batch in batches:
-            context, suffix = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            code = pa.array(_joined(context, suffix).view(np.int64))
-            yield pa.RecordBatch.from_arrays([code, *batch.columns], names=["code", *batch.schema.names])
-
-    each = training.select(text_of(training).alias("text")).mapInArrow(count, "context long, suffix long, n long")
-    often = each.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    return often.mapInArrow(name, "code long, context long, suffix long, n long")
-
-
-def grow(entries: DataFrame, before: DataFrame, last: bool, folders: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Entries of a length with ``score``, the log10 probability of their word, and ``added``, their part (null where the
-    context is no state); and the states ``context, left``. ``before``: ``code, n, score`` of the next shorter ones. Of
-    the last length only the entries of states are kept. ``folders`` gets the folders of both."""
-    spark = entries.sparkSession
-    grown, kept_states = new_folder(spark, "grown"), new_folder(spark, "states")
-    folders += [grown, kept_states]
-    with temporary_stages(spark):
-        met = entries.join(before.select(F.col("code").alias("suffix"), F.col("score").alias("shorter")), "suffix")
-        met = stage(met.drop("suffix") if last else met, "entries")
-        del entries
-        _free(spark)
-        stored = F.col("n") - DISCOUNT
-        seen = before.select(F.col("code").alias("context"), F.col("n").alias("seen"))
-        after = met.groupBy("context").agg(F.sum("n").alias("kept"), F.sum(stored).alias("stored")).join(seen, "context")
-        rest = PRIOR + F.col("seen") - F.col("stored")
-        of_all = PRIOR + F.col("seen")
-        shorter = F.pow(F.lit(10.0), F.col("shorter"))
-        without = F.greatest(F.col("n") - 1 - DISCOUNT, F.lit(0.0)) + rest * shorter
-        gain = met.join(after, "context").groupBy("context").agg(
-            F.sum(F.col("n") * F.log(without / of_all / shorter)).alias("gain"),
-            *[F.first(c).alias(c) for c in ("kept", "stored", "seen")],
-        )
-        # Tokens without an entry get what the state leaves to the shorter context.
-        divergence = F.col("gain") + (F.col("seen") - F.col("kept")) * F.log(rest / of_all)
-        states = gain.where(divergence > 0).select("context", "seen", rest.alias("rest"), F.log10(rest / of_all).alias("left"))
-        states.write.parquet(kept_states)
-        _free(spark)
-        states = spark.read.schema(states.schema).parquet(kept_states)
-        rest = F.col("rest")
-        out = met.join(states, "context", "inner" if last else "left").select(
-            "code",
-            *([] if last else ["suffix"]),
-            "n",
-            *([] if last else [F.coalesce(F.log10((stored + rest * shorter) / of_all), "shorter").alias("score")]),
-            F.log10(1 + stored / (rest * shorter)).alias("added"),
-        )
-        out.write.parquet(grown)
-    _free(spark)
-    return spark.read.schema(out.schema).parquet(grown), states.select("context", "left")
-
-
-def _free(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps, which it does when their plans are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def learn(training: DataFrame, counts: DataFrame) -> SuffixTree:
-    """The tree of the rows' ``text``, whose ``token_counts`` are ``counts``."""
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    floor = float(total + distinct + 1)
-    before = counts.withColumn("score", F.log10((F.col("n") + 1) / floor)).withColumn("added", F.lit(None).cast("double"))
-    parts: list[DataFrame] = []
-    folders: list[str] = []
-    for order in range(DEPTH + 1):
-        states = None
-        if order < DEPTH:
-            bits = code_filter(before.where(F.col("n") >= LEAST))
-            grown, states = grow(gram_counts(training, order, bits), before, order == DEPTH - 1, folders)
-        part = before.withColumn("order", F.lit(order).cast("byte"))
-        if "suffix" not in before.columns:  # a gram that is no context
-            part = part.withColumn("suffix", F.lit(None).cast("long"))
-        if states is None:
-            part = part.withColumn("left", F.lit(0.0))
-        else:
-            part = part.join(states.withColumnRenamed("context", "code"), "code", "left")
-        added, left = (F.coalesce(c, F.lit(0.0)).alias(c) for c in ("added", "left"))
-        part = part.select("code", "suffix", "n", "order", added, left)
-        parts.append(part if order == 0 else part.where("added != 0 OR left != 0"))
-        if states is not None:
-            before = grown
-    model = parts[0]
-    for part in parts[1:]:
-        model = model.unionAll(part)
-    # Counts in steps of a tenth: few numbers at any size.
-    model = stage(model.withColumn("step", F.floor(F.log("n") * 10).cast("int")), "model")
-    for folder in folders:
-        _delete(training.sparkSession, folder)
-    least, held = 1 << 30, 0
-    for row in sorted(model.groupBy("step").count().collect(), reverse=True):
-        held += row["count"]
-        if held > HOT:
-            break
-        least = row["step"]
-    _free(training.sparkSession)
-    hot = model.where(F.col("step") >= least).drop("step").toArrow()
-    order = hot.column("order").to_numpy()
-
-    def by_code(chosen: np.ndarray, *names: str) -> list[np.ndarray]:
-        rows = np.flatnonzero(chosen)
-        code = hot.column("code").to_numpy()[rows].view(np.uint64)
-        by = np.argsort(code)
-        return [code[by], *[hot.column(n).fill_null(0).to_numpy()[rows][by] for n in names]]
-
-    words = by_code(order == 0, "n", "left")
-    code, suffix, added, left = by_code(order > 0, "suffix", "added", "left")
-    others = model.where(F.col("step") < least)
-    bits = code_filter(others.where("order > 0"))
-    n = F.when(F.col("order") == 0, F.col("n")).alias("n")
-    others = others.select("code", n, (F.col("added") + F.col("left")).alias("part"))
-    return SuffixTree(int(total), int(distinct), words, (code, suffix.view(np.uint64), added, left), bits, others)
-
-
-def scored(docs: DataFrame, tree: SuffixTree, keep: tuple[str, ...]) -> DataFrame:
-    """Kept columns, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10) of every row."""
-    shared = share(docs.sparkSession, tree)
-    kept = docs.select(F.monotonically_increasing_id().alias("_id"), *[docs[c] for c in keep], text_of(docs).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text")
-    rare = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int32())]))
-
-    def score(batches):
-        model_here = shared()
+    kept = "".join(f", _{i} array<{docs.schema[c].dataType.simpleString()}>" for i, c in enumerate(keep))
+
+    def fill(batches) -> Iterator[pa.RecordBatch]:
+        first, number = TaskContext.get().partitionId() << 32, 0
+        held: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            hashes = np.concatenate([h[0] for h in held])
+            lengths = np.concatenate([np.diff(np.concatenate(([-1], h[1]))) for h in held])
+            columns = [pa.concat_arrays([h[2].column(i) for h in held]) for i in range(held[0][2].num_columns - 1)]
+            train = columns.pop().to_numpy(zero_copy_only=False)
+            words, ids, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+            by = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            ends = np.cumsum(lengths) - 1
+            values = [
+                first + number,
+                len(ids),
+                int(lengths[train].sum()),
+                len(ends),
+                len(words),
+                words[by].tobytes(),
+                _pack(rank[ids]),
+                _pack(ends),
+                train.tobytes(),
+            ]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+            names = [f.split()[0] for f in _CHUNK.split(", ")] + [f"_{i}" for i in range(len(columns))]
+            return pa.RecordBatch.from_arrays([*[pa.array([v]) for v in values], *lists], names=names)
+
         for batch in slices(batches):
-            tokens, known, base, model, others = model_here.score(strings(batch.column(batch.num_columns - 1)))
-            offsets = np.concatenate(([0], np.cumsum([len(c) for c, _ in others])))
-            items = pa.StructArray.from_arrays(
-                [
-                    pa.array(np.concatenate([c for c, _ in others])),
-                    pa.array(np.concatenate([n for _, n in others]).astype(np.int32)),
-                ],
-                fields=list(rare.value_type),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1],
-                    pa.array(tokens.astype(np.int64)),
-                    pa.array(known),
-                    pa.array(base),
-                    pa.array(model),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items, type=rare),
-                ],
-                names=[*batch.schema.names[:-1], "n_tokens", "known", "base", "model", "others"],
-            )
-
-    found = stage(
-        kept.mapInArrow(
-            score,
-            f"{fields}, n_tokens long, known long, base double, model double, others array<struct<code:long,n:int>>",
-        ),
-        "scores",
-    )
-    each = found.select("_id", F.explode("others").alias("o")).select("_id", "o.code", F.col("o.n").alias("times"))
-    met = each.join(tree.others, "code")
-    root = F.when(F.col("n").isNotNull(), F.log10(F.col("n") + 1)).otherwise(0.0)
-    rest = met.groupBy("_id").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * root).alias("more_base"),
-        F.sum(F.col("times") * (root + F.col("part"))).alias("more"),
-    )
-    # Other tokens have a count of zero, unless they are met.
-    unmet: Column = (F.col("n_tokens") - F.col("known")) * F.log10(1 / F.lit(float(tree.floor)))
-    return found.join(rest, "_id", "left").select(
-        *keep,
-        "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        (F.col("base") + unmet + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        (F.col("model") + unmet + F.coalesce("more", F.lit(0.0))).alias("score"),
+            hashes, ends = token_hashes(strings(batch.column(batch.num_columns - 1)))
+            held.append((hashes, ends, batch))
+            size += len(hashes)
+            if size >= CHUNK:
+                yield flush()
+                held, size, number = [], 0, number + 1
+        if held:
+            yield flush()
+
+    made = rows.mapInArrow(fill, _CHUNK + kept)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made.write.bucketBy(parts, "chunk").option("path", folder).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+class Chunk:
+    """A chunk's tokens, and what the corpus has answered: by step, numbers in the order of the codes it sent."""
+
+    def __init__(self, row: pa.Table, answers: pa.Table):
+        def value(name):
+            return row.column(name)[0].as_py()
+
+        self.row, self.chunk = row, value("chunk")
+        self.words = np.frombuffer(value("words"), np.uint64)
+        self.ids = _unpack(value("ids"), value("tokens"))
+        self.ends = _unpack(value("ends"), value("texts"))
+        lengths = np.diff(np.concatenate(([-1], self.ends)))
+        self.begins = self.ends + 1 - lengths
+        self.train = np.repeat(np.frombuffer(value("train"), bool), lengths)
+        self.answers: dict[int, np.ndarray] = {}
+        found = sorted(zip(*[answers.column(c).to_pylist() for c in ("step", "range", "size", "data")]))
+        for step in {f[0] for f in found}:
+            self.answers[step] = np.concatenate([_unpack(d, n) for s, _, n, d in found if s == step])
+
+    def grow(self, floor: float, steps: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Goes through the first ``steps`` answers. Then the codes to send next, sorted, with their numbers; None when
+        no context is left. ``known`` are the words' counts so far, ``p`` the tokens' probabilities."""
+        by = np.argsort(self.words)
+        keys = self.words[by]
+        if steps == 0:
+            return keys, np.bincount(self.ids[self.train], minlength=len(keys))[by]
+        slots = np.empty(len(by), np.int64)
+        slots[by] = np.arange(len(by))
+        slot = slots[self.ids]  # of each token's gram among the keys: here the word alone
+        self.known = n = self.answers[0][slot]
+        self.p = (n + 1) / floor
+        code = keys[slot]
+        # The context of the first word is the end of a text before it.
+        context = np.roll(slot, 1)
+        context[self.begins] = np.searchsorted(keys, END)
+        seen = self.answers[0][context]
+        at = np.flatnonzero(seen >= LEAST)
+        context, seen = context[at], seen[at]
+        joined = _joined(keys[context], code[at])
+        step = 1
+        while len(at):
+            before, (keys, slot_at) = keys, np.unique(joined, return_inverse=True)
+            train = self.train[at]
+            if step == steps:
+                return keys, np.bincount(slot_at[train], minlength=len(keys))
+            n_at, p = self.answers[step][slot_at], self.p[at]
+            present = np.flatnonzero(np.bincount(context, minlength=len(before)))
+            if step + 1 == steps:
+                without = (n_at[train] - 1 + PRIOR * p[train]) / (seen[train] - 1 + PRIOR)
+                gains = np.bincount(context[train], np.log(without / p[train]), len(before))[present]
+                return before[present], np.rint(gains * _GAINS).astype(np.int64)
+            states = np.zeros(len(before), bool)
+            states[present] = self.answers[step + 1] > 0
+            grown = states[context]
+            self.p[at[grown]] = (n_at[grown] + PRIOR * p[grown]) / (seen[grown] + PRIOR)
+            # The next longer context of a token is the gram that ends before it, where that was looked at.
+            slot, n = np.full(len(self.ids), -1), np.zeros(len(self.ids), np.int64)
+            slot[at], n[at] = slot_at, n_at
+            n[self.ends] = 0  # nothing follows an end
+            after = at[grown]
+            after = after[(after > 0) & (n[after - 1] >= LEAST)]
+            at, context, seen = after, slot[after - 1], n[after - 1]
+            joined = _joined(keys[context], keys[slot[after]])
+            step += 2
+        return None
+
+
+def _blocks(keys: np.ndarray, numbers: np.ndarray, chunk: int, bits: int) -> pa.Table:
+    """A row for each range of codes that a chunk has."""
+    ranges = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(ranges, prepend=-1))
+    stops = np.append(starts[1:], len(keys))
+    return pa.table(
+        {
+            "range": pa.array(ranges[starts]),
+            "chunk": pa.array(np.full(len(starts), chunk)),
+            "size": pa.array(stops - starts),
+            "codes": pa.array([_pack_codes(keys[a:b]) for a, b in zip(starts, stops)], pa.binary()),
+            "numbers": pa.array([_pack(numbers[a:b]) for a, b in zip(starts, stops)], pa.binary()),
+        }
     )
 
 
+_BLOCK = "range long, chunk long, size long, codes binary, numbers binary"
+_ANSWER = "step int, range long, chunk long, size long, data binary, distinct long"
+
+
+def _summed(blocks: DataFrame, step: int) -> DataFrame:
+    """To each block the sums over all blocks; for contexts (even steps), whether the sum is a sufficient gain.
+    ``distinct``: how many codes have a sum above zero, in one row of each range."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        sizes = rows.column("size").to_pylist()
+        codes = np.concatenate([_unpack_codes(c.as_py(), n) for c, n in zip(rows.column("codes"), sizes)])
+        order = np.argsort(codes)
+        codes = codes[order]
+        new = np.append(True, codes[1:] != codes[:-1])
+        del codes
+        numbers = np.concatenate([_unpack(c.as_py(), n) for c, n in zip(rows.column("numbers"), sizes)])
+        sums = np.add.reduceat(numbers[order], np.flatnonzero(new))
+        if step and step % 2 == 0:
+            sums = (sums > GAIN * _GAINS).astype(np.int64)
+        each = np.empty(len(order), np.int64)
+        each[order] = sums[np.cumsum(new) - 1]
+        cuts = np.cumsum(sizes)
+        data = [_pack(each[b - n : b]) for b, n in zip(cuts, sizes)]
+        distinct = np.zeros(len(sizes), np.int64)
+        distinct[0] = np.count_nonzero(sums > 0)
+        return pa.table(
+            {
+                "step": pa.array(np.full(len(sizes), step, np.int32)),
+                "range": rows.column("range"),
+                "chunk": rows.column("chunk"),
+                "size": rows.column("size"),
+                "data": pa.array(data, pa.binary()),
+                "distinct": pa.array(distinct),
+            }
+        )
+
+    return blocks.groupBy("range").applyInArrow(add, _ANSWER)
+
+
+def scored(docs: DataFrame, trains: Column, keep: tuple[str, ...], tokens: bool = False) -> DataFrame:
+    """Learns from the rows for which ``trains`` holds (null: not) and scores all. Kept columns, ``n_tokens``, ``n_known``,
+    ``train_tokens``, ``base_score`` and ``score`` (log10) of every row; with ``tokens`` also ``token_scores``, the log10
+    probabilities of its tokens in order.
+
+    A null text is an empty one: its end is its only token. Repeated rows train and are scored each. Without training
+    texts all tokens have the probability 1. No documents give no rows. Words and grams are told apart by 64-bit hashes.
+    """
+    spark = docs.sparkSession
+    folder, name = new_folder(spark, "chunks"), f"chunks_{uuid.uuid4().hex}"
+    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    try:
+        with recorded_stages() as answered:
+            held = chunks(docs, trains, keep, folder, name)
+            taught, size = held.agg(F.coalesce(F.sum("taught"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+            bits = max(3, (int(size) // RANGE).bit_length())
+            plain = held.select(*[f.split()[0] for f in _CHUNK.split(", ")])
+            answers = spark.createDataFrame([], _ANSWER)
+            floor = 1.0
+            steps = 0
+            while True:
+                blocks = _asked(plain, answers, floor, steps, bits)
+                found = stage(_summed(blocks, steps), "answers")
+                distinct, rows = found.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.count("*")).first()
+                if not rows or steps and steps % 2 == 0 and not distinct:  # no grams to count, or no states among them
+                    break
+                if steps == 0:
+                    floor = float(taught + distinct + 1)
+                answers = found if steps == 0 else answers.unionAll(found)
+                steps += 1
+            # Grams whose contexts turned out to be no states change nothing.
+            steps -= steps > 0 and steps % 2 == 0
+
+            def finish(row: pa.Table, told: pa.Table) -> pa.Table:
+                if not row.num_rows:
+                    return empty.slice(0, 0)
+                chunk = Chunk(row, told)
+                chunk.grow(floor, steps)
+                model = np.log10(chunk.p)
+                root = np.log10((chunk.known + 1) / floor)
+                parts = [chunk.ends + 1 - chunk.begins]
+                parts += [np.add.reduceat(x, chunk.begins) for x in ((chunk.known > 0).astype(np.int64), root, model)]
+                columns = [row.column(f"_{i}").combine_chunks().flatten() for i in range(len(keep))]
+                columns += [pa.array(x) for x in (*parts[:2], np.full(len(chunk.ends), int(taught)), *parts[2:])]
+                if tokens:
+                    offsets = np.append(chunk.begins, len(model)).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(model)))
+                return pa.Table.from_arrays(columns, names=names)
+
+            names = [*keep, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+            fields = kept + "n_tokens long, n_known long, train_tokens long, base_score double, score double"
+            if tokens:
+                names, fields = [*names, "token_scores"], fields + ", token_scores array<double>"
+            empty = pa.table({n: pa.nulls(0) for n in names})
+            out = held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, fields)
+        scores = stage(out, "scores")
+        delete_stages(spark, answered)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(spark, folder)
+    return scores
+
+
+def _asked(held: DataFrame, answers: DataFrame, floor: float, steps: int, bits: int) -> DataFrame:
+    """The blocks that the chunks send after ``steps`` answers."""
+
+    def ask(row: pa.Table, told: pa.Table) -> pa.Table:
+        sent = None
+        if row.num_rows:
+            chunk = Chunk(row, told)
+            sent = chunk.grow(floor, steps)
+        if sent is None:
+            none = np.empty(0, np.int64)
+            return _blocks(none.view(np.uint64), none, 0, bits)
+        return _blocks(*sent, chunk.chunk, bits)
+
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(ask, _BLOCK)
+
+
 def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document; held-out documents teach nothing.
 
@@ -401,16 +352,6 @@ def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    training = docs.where(~held_out)
-    counts = stage(token_counts(training), "counts")
-    tree = learn(training, counts)
-    out = scored(docs.withColumn("held_out", held_out), tree, ("doc_id", "held_out"))
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(tree.total).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-    )
+    docs = docs.withColumn("held_out", held_out)
+    out = scored(docs, ~F.col("held_out"), ("doc_id", "held_out"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
