@@ -123,3 +123,29 @@ def linked(docs, width, percent):
                 p, q = find(a), find(b)
                 parent[max(p, q)] = min(p, q)
     return {doc: (len(s), find(doc)) for doc, s in sets}
+
+
+def suffix_tree_scores(texts, trains, prior=20.0, gain=2.0, least=2):
+    """log10 probabilities of each text's tokens: contexts as tuples, by length, in plain dictionaries."""
+    rows = [[None, *tokens(t), None] for t in texts]
+    words = Counter(w for r, t in zip(rows, trains) if t for w in r[1:])
+    floor = sum(words.values()) + len(words) + 1
+    scores = [[(words[w] + 1) / floor for w in r[1:]] for r in rows]
+    places = [(i, j) for i, r in enumerate(rows) for j in range(1, len(r)) if words[r[j - 1]] >= least]
+    seen, length = {(w,): n for w, n in words.items()}, 1
+    while places:
+        grams = Counter(tuple(rows[i][j - length : j + 1]) for i, j in places if trains[i])
+        gains = Counter()
+        for i, j in places:
+            if trains[i]:
+                gram, p = tuple(rows[i][j - length : j + 1]), scores[i][j - 1]
+                gains[gram[:-1]] += math.log((grams[gram] - 1 + prior * p) / (seen[gram[:-1]] - 1 + prior) / p)
+        looked, after = set(places), []
+        for i, j in places:
+            gram = tuple(rows[i][j - length : j + 1])
+            if gains[gram[:-1]] > gain:
+                scores[i][j - 1] = (grams[gram] + prior * scores[i][j - 1]) / (seen[gram[:-1]] + prior)
+                if (i, j - 1) in looked and grams[tuple(rows[i][j - 1 - length : j])] >= least:
+                    after.append((i, j))
+        places, seen, length = after, grams, length + 1
+    return [[math.log10(p) for p in s] for s in scores]

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockwright.llm import chat_format, decontaminate, jaccard_join, license_scan, packing, substring_dedup
 from stockwright.llm.queries import ORACLES, QUERIES
@@ -154,24 +155,59 @@ def test_language_model_base(results, docs):
     assert got == want
 
 
+def test_language_model_scores(results, docs):
+    """The same scores from a tree of plain dictionaries; rows of one id may differ."""
+    want = Counter()
+    trains = [not brute.held_out(d, 7, 2) for d, _ in docs]
+    for (doc, _), tokens in zip(docs, brute.suffix_tree_scores([t for _, t in docs], trains)):
+        want[doc, round(sum(tokens), 6)] += 1
+    assert Counter((r.doc_id, round(r.score, 6)) for r in results("op4_suffix_tree_lm")) == want
+
+
+def test_language_model_of_many_chunks(spark, monkeypatch):
+    """Small chunks and ranges give the scores of the plain tree, with contexts of more than two words."""
+    import random
+
+    from stockwright.llm import suffix_tree_lm as lm
+
+    rng = random.Random(3)
+    texts = [" ".join("abcd"[rng.randrange(4)] for _ in range(rng.randrange(60))) for _ in range(60)]
+    texts += ["x a b c d y"] * 40 + ["z a b c d w"] * 40 + ["", None] + [" ".join("pqr"[i % 3] for i in range(500))] * 3
+    monkeypatch.setattr(lm, "CHUNK", 300)
+    monkeypatch.setattr(lm, "RANGE", 200)
+    trains = [i % 5 != 0 for i in range(len(texts))]
+    frame = spark.createDataFrame(list(zip(range(len(texts)), texts, trains)), "i long, text string, t boolean")
+    out = {r.i: r for r in lm.scored(frame.repartition(3), F.col("t"), ("i",), tokens=True).collect()}
+    want = brute.suffix_tree_scores(texts, trains)
+    assert len(out) == len(texts)
+    for i, tokens in enumerate(want):
+        assert out[i].n_tokens == len(tokens)
+        assert max(abs(x - y) for x, y in zip(out[i].token_scores, tokens)) < 1e-9
+        assert abs(out[i].score - sum(tokens)) < 1e-6
+    # What follows "d" is only known from the word four places before it.
+    assert out[61].token_scores[5] > -0.2 and out[101].token_scores[5] > -0.2
+
+
 def test_language_model_is_a_distribution(spark):
     """The probabilities of all words after each history sum to at most one, and training texts gain."""
     from stockwright.llm import suffix_tree_lm as lm
 
-    rows = [(i, " ".join("ab"[(i + j) % 2] + str(j % 3) for j in range(40))) for i in range(200)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    tree = lm.learn(frame, lm.token_counts(frame))
+    rows = [(i, " ".join("ab"[(i + j) % 2] + str(j % 3) for j in range(40)), True) for i in range(200)]
     words = ["a0", "a1", "a2", "b0", "b1", "b2"]
-    for history in ("", "a0 ", "a0 b1 ", "zz "):
-        begin = tree.score([history.strip()])[3][0] - tree.score([history.strip()])[3][0]
-        alone = [10 ** (_prefix(tree, history + w) - _prefix(tree, history.strip())) for w in words]
-        assert begin == 0 and 0 < sum(alone) <= 1.0001
-    tokens, _, base, model, _ = tree.score([rows[0][1]])
-    assert model[0] > base[0] + 0.2 * tokens[0]
-
-
-def test_language_model_keeps_what_it_learned(spark, monkeypatch):
-    """A phrase seen three times stays learned when other text is added, also where the tree is joined, not sent."""
+    histories = ["", "a0 ", "a0 b1 ", "a0 b1 a2 b0 ", "zz "]
+    asked = [(-1 - i, h + w, False) for i, (h, w) in enumerate((h, w) for h in histories for w in words)]
+    asked += [(-1000 - i, h, False) for i, h in enumerate(histories)]  # ends after each history
+    frame = spark.createDataFrame(rows + asked, "i long, text string, t boolean")
+    out = {r.i: r for r in lm.scored(frame, F.col("t"), ("i",), tokens=True).collect()}
+    for i, history in enumerate(histories):
+        at = len(history.split())
+        alone = [10 ** out[-1 - i * len(words) - j].token_scores[at] for j in range(len(words))]
+        assert 0 < sum(alone) + 10 ** out[-1000 - i].token_scores[at] <= 1.0001
+    assert out[0].score > out[0].base_score + 0.2 * out[0].n_tokens
+
+
+def test_language_model_keeps_what_it_learned(spark):
+    """A phrase seen three times stays learned when other text is added."""
     import random
 
     from stockwright.llm import suffix_tree_lm as lm
@@ -179,34 +215,12 @@ def test_language_model_keeps_what_it_learned(spark, monkeypatch):
     rng = random.Random(5)
     phrase = "osprey glides over quiet water"
     noise = [" ".join(f"w{int(rng.paretovariate(0.4)) % 3000}" for _ in range(1000)) for _ in range(150)]
-    rows = [(i, t) for i, t in enumerate([phrase] * 3 + noise)]
-    asked = spark.createDataFrame([(0, phrase), (1, noise[0]), (2, ""), (3, "zz osprey w1")], "doc_id long, text string")
-    seen = []
-    for texts, hot in ((rows[:5], 1 << 21), (rows, 1 << 21), (rows, 40)):
-        monkeypatch.setattr(lm, "HOT", hot)
-        frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
-        tree = lm.learn(frame, lm.token_counts(frame))
-        assert len(tree.hashes) + len(tree.code) <= hot
-        seen.append({r.doc_id: r for r in lm.scored(asked, tree, ("doc_id",)).collect()})
-    for scores in seen:
-        assert scores[0].score > scores[0].base_score + 2
-    for doc, row in seen[1].items():
-        assert row.n_known == seen[2][doc].n_known
-        assert abs(row.base_score - seen[2][doc].base_score) < 1e-6 > abs(row.score - seen[2][doc].score)
-
-
-def _prefix(tree, text):
-    """log10 probability of a text's words without its end."""
-    import numpy as np
-
-    from stockwright.llm.suffix_tree_lm import token_hashes
-
-    hashes, ends = token_hashes([text])
-    symbols = tree.symbols(hashes)
-    one, two = tree.histories(symbols, ends)
-    each = tree._mixed(1, two, symbols, tree._mixed(0, one, symbols, tree.root[symbols]))
-    unknown = symbols == tree.size - 1
-    return float(np.where(unknown, each + np.log10(1 / tree.floor), each)[:-1].sum())
+    asked = [(-1, phrase, False), (-2, "zz osprey w1", None)]
+    for texts in ([phrase] * 3 + noise[:2], [phrase] * 3 + noise):
+        rows = [(i, t, True) for i, t in enumerate(texts)] + asked
+        frame = spark.createDataFrame(rows, "i long, text string, t boolean").repartition(4)
+        out = {r.i: r for r in lm.scored(frame, F.col("t"), ("i",)).collect()}
+        assert out[-1].score > out[-1].base_score + 2
 
 
 def test_quality_scores(results, docs):
