@@ -56,6 +56,32 @@ def _joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return mix(context * _CONTEXT + suffix)
 
 
+def _sorted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts the codes, and where in it a code differs from the one before. Leading bits and place are
+    sorted as one number, which is several times as fast; codes that only differ in the bits left out, seldom met, are
+    noticed and sorted as they are."""
+    bits = np.uint64(len(codes).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    placed = (codes & ~low) | np.arange(len(codes), dtype=np.uint64)
+    placed.sort()
+    order = (placed & low).astype(np.int64)
+    found = codes[order]
+    if np.any(found[1:] < found[:-1]):
+        order = np.argsort(codes)
+        found = codes[order]
+    new = np.ones(len(codes), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return order, new
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes, and which of them each code is."""
+    order, new = _sorted(codes)
+    slots = np.empty(len(codes), np.int64)
+    slots[order] = np.cumsum(new) - 1
+    return codes[order[new]], slots
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Whole numbers, byte by byte of their places, compressed."""
     planes = np.ascontiguousarray(numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
@@ -106,8 +132,8 @@ def chunks(docs: DataFrame, trains: Column, keep: tuple[str, ...], folder: str,
             lengths = np.concatenate([np.diff(np.concatenate(([-1], h[1]))) for h in held])
             columns = [pa.concat_arrays([h[2].column(i) for h in held]) for i in range(held[0][2].num_columns - 1)]
             train = columns.pop().to_numpy(zero_copy_only=False)
-            words, ids, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-            by = np.argsort(-counts, kind="stable")
+            words, ids = _distinct(hashes)
+            by = np.argsort(-np.bincount(ids), kind="stable")
             rank = np.empty(len(by), np.int64)
             rank[by] = np.arange(len(by))
             ends = np.cumsum(lengths) - 1
@@ -183,7 +209,7 @@ class Chunk:
         joined = _joined(keys[context], code[at])
         step = 1
         while len(at):
-            before, (keys, slot_at) = keys, np.unique(joined, return_inverse=True)
+            before, (keys, slot_at) = keys, _distinct(joined)
             train = self.train[at]
             if step == steps:
                 return keys, np.bincount(slot_at[train], minlength=len(keys))
@@ -236,9 +262,7 @@ def _summed(blocks: DataFrame, step: int) -> DataFrame:
     def add(rows: pa.Table) -> pa.Table:
         sizes = rows.column("size").to_pylist()
         codes = np.concatenate([_unpack_codes(c.as_py(), n) for c, n in zip(rows.column("codes"), sizes)])
-        order = np.argsort(codes)
-        codes = codes[order]
-        new = np.append(True, codes[1:] != codes[:-1])
+        order, new = _sorted(codes)
         del codes
         numbers = np.concatenate([_unpack(c.as_py(), n) for c, n in zip(rows.column("numbers"), sizes)])
         sums = np.add.reduceat(numbers[order], np.flatnonzero(new))
