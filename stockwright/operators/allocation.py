@@ -5,10 +5,10 @@ an accepted request moves the level, a rejected one does not. This is not a pref
 one; but they are walked in many places at once:
 
 * requests are put in order and cut into chunks, a key with very many of them into several, see ``ordered``;
-* every chunk of a key is walked in a task of its own from a level known on entry.
+* every chunk is walked in a task of its own as it is written, each key from its opening level.
 
-A key in one chunk enters at its opening level. For a key cut by chunk borders (two keys a chunk at most) the
-entry levels are settled in rounds over one summary row a chunk: a chunk whose lowest running sum keeps the level above
+That is the outcome of a key in one chunk; its rows are not moved again. For a key cut by chunk borders (two keys a chunk
+at most) the entry levels are settled in rounds over one summary row a chunk: a chunk whose lowest running sum keeps the level above
 zero is accepted whole, one whose every request is out of reach is rejected whole, and neither is walked. The others
 are walked at once from a presumed entry level, and walked again only where the level that really arrives turns out
 different. When no presumption changes, all are right.
@@ -18,15 +18,19 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property, reduce
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockwright.functions.expressions import BALANCE, cents, from_cents
 from stockwright.operators.ordered import CHUNK, ROW, OrderedChunks
+from stockwright.sources.tables import stage
 
 # Column of the requests with the level of their key, where there is no table of opening levels.
 ENTRY = "_entry"
@@ -40,22 +44,24 @@ def allocate(
     guarded: Column,
     opening: DataFrame | None,
     chunks: int | None = None,
+    keep_order: bool = True,
 ) -> DataFrame:
     """Requests with ``accepted`` and ``level`` (after the request).
 
     ``delta`` is what a request adds to the level, at two decimals; a row whose delta is NULL asks for nothing
     and is returned as not accepted. ``opening`` has (keys, level), zero where missing; without it the requests carry
     the level, the same for a key, in ``ENTRY``. ``order`` must be unique
-    within a key, and requests must have a key. ``chunks`` is that of ``OrderedChunks``.
+    within a key, and requests must have a key. ``chunks`` and ``keep_order`` are those of ``OrderedChunks``.
     """
-    competition = Competition(requests, keys, order, delta, guarded, opening, chunks)
-    return competition.outcome(competition.rows)
+    competition = Competition(requests, keys, order, delta, guarded, opening, chunks, keep_order)
+    return competition.outcome()
 
 
 class Competition:
     """Requests in order, to be settled as often as it takes; ``rows`` carry what a request asks for in cents.
 
-    The chunks are written once. Settling them, or a part of them with other wishes, reads the columns it needs.
+    The chunks are written once, walked as if every key entered them at its opening level. Keys cut by chunk borders, and
+    keys whose requests have other wishes, are settled from them, reading the columns it takes.
     """
 
     def __init__(
@@ -67,6 +73,7 @@ class Competition:
         guarded: Column,
         opening: DataFrame | None,
         chunks: int | None = None,
+        keep_order: bool = True,
     ):
         wanted = cents(delta)
         prepared = requests.withColumns(
@@ -77,29 +84,62 @@ class Competition:
         else:
             prepared = prepared.join(opening.select(*keys, cents(F.col("level")).alias("_opening")), keys, "left")
         prepared = prepared.withColumn("_opening", F.coalesce("_opening", F.lit(0)))
-        self.ordered = OrderedChunks(prepared, keys, order, chunks)
-        self.rows = self.ordered.rows
+        walked = [*keys, CHUNK]
+        self.ordered = OrderedChunks(
+            prepared, keys, order, chunks, lambda rows: _take(rows, walked, "_opening"), keep_order
+        )
+        self._walked = self.ordered.rows
+        self.rows = self._walked.drop("accepted", "_level")
+
+    @cached_property
+    def cut_keys(self) -> DataFrame | None:
+        return self.ordered.cut_keys()
 
     def settle(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``accepted`` and ``_level`` (in cents, after the request).
 
         ``rows`` are those of ``self.rows`` or, of some keys, those from some place on, with the level there in ``_opening``.
-        A request whose ``_delta`` is NULL asks for nothing.
+        A request whose ``_delta`` is NULL asks for nothing. Rows that have ``accepted`` and ``_level`` of the chunk's walk keep
+        them; of a key all do, or none, for which ``accepted`` is NULL.
         """
+        kept = None
+        if "accepted" in rows.columns:
+            kept = rows.filter("accepted IS NOT NULL")
+            # Read several times below.
+            rows = stage(rows.filter("accepted IS NULL").drop("accepted", "_level"), "again")
         groups = self.ordered.groups
-        entries = _settle_cut_keys(self.ordered, rows)
+        entries = None
+        if self.cut_keys is not None:
+            cut = rows.join(F.broadcast(self.cut_keys), self.ordered.keys, "left_semi")
+            entries = _settle_cut_keys(self.ordered, cut)
         if entries is None:
             rows = rows.withColumn("_enter", F.col("_opening"))
         else:
             rows = rows.join(F.broadcast(entries), groups, "left").withColumn("_enter", F.coalesce("_enter", "_opening"))
-        return _walk(rows, groups).drop("_enter")
-
-    def outcome(self, rows: DataFrame) -> DataFrame:
-        """The columns of the requests with ``accepted`` and ``level``."""
-        return (
-            self.settle(rows)
-            .withColumn("level", from_cents("_level", BALANCE))
-            .drop("_delta", "_guarded", "_opening", "_level", CHUNK, ROW)
+        settled = _walk(rows, groups).drop("_enter")
+        return settled if kept is None else kept.unionByName(settled)
+
+    def outcome(self, barred: DataFrame | None = None) -> DataFrame:
+        """The columns of the requests with ``accepted`` and ``level``.
+
+        ``barred`` has (keys, ROW) of requests that may not try; with it, the requests also say whether they are ``_barred``.
+        """
+        keys = self.ordered.keys
+        rows = self._walked
+        again = []
+        if self.cut_keys is not None:
+            again.append(F.broadcast(self.cut_keys))
+        if barred is not None:
+            again.append(barred.select(*keys).distinct())
+            rows = rows.join(barred.select(ROW, F.lit(True).alias("_barred")), ROW, "left")
+            rows = rows.withColumn("_delta", F.when(F.col("_barred").isNull(), F.col("_delta")))
+        for changed in again:
+            rows = rows.join(changed.withColumn("_again", F.lit(True)), keys, "left")
+            rows = rows.withColumn("accepted", F.when(F.col("_again").isNull(), F.col("accepted"))).drop("_again")
+        if again:
+            rows = self.settle(rows)
+        return rows.withColumn("level", from_cents("_level", BALANCE)).drop(
+            "_delta", "_guarded", "_opening", "_level", CHUNK, ROW
         )
 
 
@@ -116,30 +156,50 @@ def _summary() -> dict[str, Column]:
 
 def _walk(rows: DataFrame, groups: list[str]) -> DataFrame:
     """Takes the requests of each group one by one from its entry level."""
+    return _take(rows.repartition(*groups).sortWithinPartitions(*groups, ROW), groups, "_enter")
+
+
+def _take(rows: DataFrame, groups: list[str], entry: str) -> DataFrame:
+    """Takes the requests one by one; those of a group must follow each other in one partition."""
     schema = T.StructType(
         [*rows.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("_level", T.LongType())]
     )
 
+    def starts(batch: pa.RecordBatch, before: tuple | None) -> list[bool]:
+        """Which rows have another group than the row before."""
+        new = np.zeros(batch.num_rows, bool)
+        for name in groups:
+            here, last = batch.column(name)[1:], batch.column(name)[:-1]
+            differs = pc.coalesce(pc.not_equal(here, last), pc.xor(here.is_null(), last.is_null()))
+            new[1:] |= differs.to_numpy(zero_copy_only=False)
+        new[0] = before != tuple(batch.column(name)[0].as_py() for name in groups)
+        return new.tolist()
+
     def take_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, before = 0, None
         for batch in batches:
-            group = zip(*[batch.column(name).to_pylist() for name in groups])
-            columns = [batch.column(name).to_pylist() for name in ("_enter", "_delta", "_guarded")]
+            if not batch.num_rows:
+                continue
+            wanted = batch.column("_delta")
+            enters, deltas = (c.fill_null(0).to_numpy().tolist() for c in (batch.column(entry), wanted))
+            free = pc.coalesce(batch.column("_guarded"), pa.scalar(False))
+            masks = (m.to_numpy(zero_copy_only=False).tolist() for m in (wanted.is_valid(), pc.invert(free)))
             accepted, levels = [], []
-            for here, enter, delta, guarded in zip(group, *columns):
-                if here != before:
-                    level, before = enter, here
-                take = delta is not None and (not guarded or level + delta >= 0)
+            for new, enter, delta, known, unguarded in zip(starts(batch, before), enters, deltas, *masks):
+                if new:
+                    level = enter
+                take = known and (unguarded or level + delta >= 0)
                 if take:
                     level += delta
                 accepted.append(take)
                 levels.append(level)
+            before = tuple(batch.column(name)[-1].as_py() for name in groups)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(accepted, pa.bool_()), pa.array(levels, pa.int64())],
                 names=[*batch.schema.names, "accepted", "_level"],
             )
 
-    return rows.repartition(*groups).sortWithinPartitions(*groups, ROW).mapInArrow(take_in_order, schema)
+    return rows.mapInArrow(take_in_order, schema)
 
 
 def _settle_cut_keys(ordered: OrderedChunks, rows: DataFrame) -> DataFrame | None:

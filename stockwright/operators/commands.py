@@ -41,10 +41,11 @@ def _book(
     opening: DataFrame | None,
     refusal: Column | str,
     chunks: int | None,
+    keep_seq: bool = True,
 ) -> DataFrame:
     """Runs the requests without a reason against the stock; the others pass through as they are."""
     open_ = F.col("reason").isNull()
-    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks)
+    taken = allocate(checked, CELL, ["seq"], F.when(open_, delta), guarded, opening, chunks, keep_seq)
     refusal = F.lit(refusal) if isinstance(refusal, str) else refusal
     after = F.when(F.col("accepted"), F.col("level")).cast(BALANCE)
     reason = F.coalesce("reason", F.when(~F.col("accepted"), refusal))
@@ -136,9 +137,7 @@ def process_sales(
     asked = checked.drop("_used", "product_active", "warehouse_active", "max_stock_level")
     sound = F.col("_refused").isNull()
     competition = Competition(asked, CELL, ["seq"], F.when(sound, -F.col("qty")), F.lit(True), _level(opening), chunks)
-    barred = _barred(competition).select(ROW, F.lit(True).alias("_barred"))
-    rows = competition.rows.join(barred, ROW, "left")
-    taken = competition.outcome(rows.withColumn("_delta", F.when(F.col("_barred").isNull(), F.col("_delta"))))
+    taken = competition.outcome(_barred(competition))
     reason = F.when(F.col("_barred"), W.NUMBER_TAKEN).when(~F.col("accepted"), W.NO_STOCK)
     return taken.withColumns(
         {
@@ -150,19 +149,19 @@ def process_sales(
 
 def _barred(competition: Competition) -> DataFrame:
     """The sound requests whose number an earlier one gets."""
-    sound = competition.rows.filter("_refused IS NULL").select(ROW, "seq", "invoice_no")
+    sound = competition.rows.filter("_refused IS NULL").select(*CELL, ROW, "seq", "invoice_no")
     first = sound.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("_asked"), F.min("seq").alias("_holder"))
     rivals = sound.join(first.filter("_asked > 1"), "invoice_no").select(
-        ROW, "seq", "invoice_no", (F.col("seq") > F.col("_holder")).alias("_barred")
+        *CELL, ROW, "seq", "invoice_no", (F.col("seq") > F.col("_holder")).alias("_barred")
     )
     rivals = stage(rivals, "rivals")
     narrow = competition.rows.select(*competition.ordered.groups, ROW, "_delta", "_guarded", "_opening")
-    at_rivals = narrow.join(rivals.select(ROW), ROW, "left_semi").select(*CELL).distinct()
+    at_rivals = rivals.select(*CELL).distinct()
     # Requests to walk: at first all of the cells that rivals ask for.
     walked = narrow.join(at_rivals, CELL, "left_semi")
     settled = None
     while True:
-        tried = walked.join(rivals, ROW, "left")
+        tried = walked.join(rivals.drop(*CELL), ROW, "left")
         tried = tried.withColumn("_delta", F.when(~F.coalesce("_barred", F.lit(False)), F.col("_delta")))
         moved = F.when(F.col("accepted"), F.col("_delta")).otherwise(0)
         now = competition.settle(tried).filter("invoice_no IS NOT NULL").select(
@@ -180,7 +179,7 @@ def _barred(competition: Competition) -> DataFrame:
         )
         if first.isEmpty():
             return rivals.filter("_barred")
-        rivals = after.select(ROW, "seq", "invoice_no", F.col("_bars").alias("_barred"))
+        rivals = after.select(*CELL, ROW, "seq", "invoice_no", F.col("_bars").alias("_barred"))
         first = stage(first, "first")
         suffix = narrow.drop("_opening").join(first, CELL).filter(F.col(ROW) >= F.col("_from"))
         walked = suffix.withColumnRenamed("_found", "_opening").drop("_from")
@@ -342,9 +341,12 @@ def validate_movements(
     opening: DataFrame,
     strict: bool = False,
     chunks: int | None = None,
+    keep_seq: bool = True,
 ) -> DataFrame:
     """Movements (seq, product_id, warehouse_id, movement_type, qty) in the order they arrive.
 
+    Without ``keep_seq`` the outcome has no ``seq``: it is not carried on once the requests are in order.
+
     ``strict`` is the rule set that takes positive quantities of active products only and lets no correction
     lower the stock.
     """
@@ -371,7 +373,7 @@ def validate_movements(
     ]
     refusal = F.when(kind == "OUT", W.NO_STOCK).otherwise(W.UNDER_ZERO)
     checked = rows.withColumn("reason", first_failure(rules))
-    return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks)
+    return _book(checked, signed_qty(), guarded, _level(opening), refusal, chunks, keep_seq)
 
 
 def confirm_purchases(requests: DataFrame, invoice: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ rows (adaptive coalescing of the range partitions).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,10 +24,20 @@ ROW = "_row"  # place in the whole order, with gaps between chunks
 class OrderedChunks:
     """Rows in the order (keys, order), cut into chunks. ``order`` must be unique within a key.
 
-    ``chunks`` forces a number of chunks.
+    ``chunks`` forces a number of chunks. ``within`` goes over the rows of each chunk in their order before they are
+    written; it must keep their columns and their order. Without ``keep_order`` the rows lose the columns of ``order``, for
+    callers that only need them to put the rows in order.
     """
 
-    def __init__(self, rows: DataFrame, keys: list[str], order: list[str | Column], chunks: int | None = None):
+    def __init__(
+        self,
+        rows: DataFrame,
+        keys: list[str],
+        order: list[str | Column],
+        chunks: int | None = None,
+        within: Callable[[DataFrame], DataFrame] | None = None,
+        keep_order: bool = True,
+    ):
         self.keys = keys
         by = [*[F.col(key) for key in keys], *[F.col(c) if isinstance(c, str) else c for c in order]]
         ranges = rows.repartitionByRange(*by) if chunks is None else rows.repartitionByRange(chunks, *by)
@@ -34,13 +45,24 @@ class OrderedChunks:
         numbered = ranges.sortWithinPartitions(*by).withColumns(
             {CHUNK: F.spark_partition_id(), ROW: F.monotonically_increasing_id()}
         )
-        self.rows = stage(numbered, "chunks")
+        if not keep_order:
+            numbered = numbered.drop(*[c for c in order if isinstance(c, str)])
+        self.rows = stage(numbered if within is None else within(numbered), "chunks")
 
     @property
     def groups(self) -> list[str]:
         """Columns that name a set of rows one task may hold."""
         return [*self.keys, CHUNK]
 
+    def cut_keys(self) -> DataFrame | None:
+        """The keys that lie in several chunks, NULL keys left out; None when there are none. At most one a chunk border."""
+        ends = self.rows.groupBy(CHUNK).agg(F.min(ROW).alias("_a"), F.max(ROW).alias("_z"))
+        ends = ends.select(F.explode(F.array_distinct(F.array("_a", "_z"))).alias(ROW))
+        ends = self.rows.select(*self.groups, ROW).join(F.broadcast(ends), ROW, "left_semi").select(*self.groups).distinct()
+        cut = ends.dropna(subset=self.keys).groupBy(*self.keys).count().filter("count > 1").drop("count")
+        found = [tuple(row) for row in cut.collect()]
+        return cut.sparkSession.createDataFrame(found, cut.schema) if found else None
+
     def edges(self, rows: DataFrame, summaries: dict[str, Column]) -> DataFrame:
         """Summaries of the first and the last key of every chunk; no other key can lie in two chunks.
 

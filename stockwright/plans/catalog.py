@@ -341,7 +341,7 @@ def _checked_products(t: TradeData) -> DataFrame:
 def _checked_movements(t: TradeData, strict: bool = False) -> DataFrame:
     asked = t.movement_requests.select("seq", "product_id", "warehouse_id", "movement_type", "qty", "related_id")
     nothing = t.opening_stock.filter(F.lit(False))
-    return commands.validate_movements(asked, t.product, t.warehouse, nothing, strict).select(
+    return commands.validate_movements(asked, t.product, t.warehouse, nothing, strict, keep_seq=False).select(
         "product_id", "warehouse_id", "movement_type", "related_id", "qty", "reason", "stock_after"
     )
 

@@ -83,6 +83,37 @@ def test_exhausted_stock_needs_no_walk(spark, monkeypatch):
     assert max(walked) <= 2 and len(walked) <= 3
 
 
+def test_only_cut_keys_are_settled_after_the_chunks_are_written(spark, monkeypatch):
+    """Rows of keys that lie in one chunk are walked as they are written and not moved again."""
+    moved = []
+    plain = allocation._walk
+
+    def counting(rows, groups):
+        moved.append({row.k for row in rows.select("k").distinct().collect()})
+        return plain(rows, groups)
+
+    monkeypatch.setattr(allocation, "_walk", counting)
+    rows = [(key, 100 * key + n, Decimal(-3), True) for key in range(40) for n in range(10)]
+    opening = {key: Decimal(key) for key in range(40)}
+    assert run(spark, rows, opening, 4) == by_hand(rows, opening)
+    assert len(set().union(*moved)) <= 3
+    moved.clear()
+    assert run(spark, rows, opening, 1) == by_hand(rows, opening)
+    assert not moved
+
+
+def test_null_keys_and_order_left_out(spark):
+    """Rows without a key keep their own places; the order is not carried on where it is not asked for."""
+    rows = [(None, 1, None, True), (None, 2, None, True), (1, 3, Decimal(-2), True), (1, 4, Decimal(-2), True)]
+    asked = spark.createDataFrame(rows, "k bigint, seq bigint, delta decimal(12,2), guarded boolean")
+    levels = spark.createDataFrame([(1, Decimal(3))], "k bigint, level decimal(12,2)")
+    for chunks in (None, 3):
+        out = allocate(asked, ["k"], ["seq"], F.col("delta"), F.col("guarded"), levels, chunks, keep_order=False)
+        assert "seq" not in out.columns
+        found = sorted((row.k or 0, row.accepted, row.level) for row in out.collect())
+        assert found == [(0, False, 0), (0, False, 0), (1, False, 1), (1, True, 1)]
+
+
 def test_balances_outgrow_a_single_amount(spark):
     """The sum of a busy key is larger than any one quantity may be."""
     most = Decimal("9999999999.99")
