@@ -130,3 +130,36 @@ def test_rounds_walk_less_and_less(spark, monkeypatch):
     *rounds, last = walked
     assert last == len(requests) and rounds[0] == 200 and len(rounds) > 1
     assert all(a > b for a, b in zip(rounds, rounds[1:]))
+
+
+def test_cells_without_rivals_are_not_walked_again(spark, monkeypatch):
+    """Requests for product 2 all have numbers of their own: what was found when they were put in order stands."""
+    from stockwright.operators import allocation
+
+    moved = set()
+    plain = allocation._walk
+
+    def noting(rows, groups):
+        moved.update(row.product_id for row in rows.select("product_id").distinct().collect())
+        return plain(rows, groups)
+
+    monkeypatch.setattr(allocation, "_walk", noting)
+    requests = [(i, f"N{i // 2}", 1, 1, 2) for i in range(20)] + [(100 + i, f"Z{i}", 2, 1, 3) for i in range(20)]
+    frame = spark.createDataFrame(
+        [(s, "c", n, p, w, Decimal(q), Decimal(1), "x") for s, n, p, w, q in requests],
+        "seq long, customer_name string, invoice_no string, product_id long, warehouse_id long, qty decimal(12,2), "
+        "unit_price decimal(12,2), issued_by string",
+    )
+    product = spark.createDataFrame(
+        [(p, True, Decimal(1), None) for p in (1, 2)],
+        "id long, is_active boolean, min_stock_level decimal(12,2), max_stock_level decimal(12,2)",
+    )
+    warehouse = spark.createDataFrame([(1, True)], "id long, is_active boolean")
+    stock = {(1, 1): 11, (2, 1): 10}
+    opening = spark.createDataFrame(
+        [(*cell, Decimal(n)) for cell, n in stock.items()], "product_id long, warehouse_id long, stock decimal(12,2)"
+    )
+    numbers = spark.createDataFrame([], "invoice_no string")
+    outcome = commands.process_sales(frame, product, warehouse, opening, numbers, 1)
+    assert {r.seq: r.reason for r in outcome.collect()} == loop(requests, dict(stock), set())
+    assert moved == {1}
