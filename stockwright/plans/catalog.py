@@ -306,7 +306,7 @@ def _received(t: TradeData) -> commands.ReceiptBatch:
         t.warehouse,
         ledger.current_stock(t.inventory_movement),
     )
-    return commands.ReceiptBatch.staged(outcome)
+    return commands.ReceiptBatch(outcome)
 
 
 def _confirmations(t: TradeData) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from stockwright.plans.catalog import ORACLES, QUERIES, REPORTS
 from stockwright.plans.reports import register_views
+from stockwright.sources import tables
 from stockwright.sources.trade import AS_OF, TradeData
 from tests.checking import compare, oracle_connection
 
@@ -96,3 +97,12 @@ def hot(tmp_path_factory):
 )
 def test_hot_product(spark, hot, name):
     assert compare(QUERIES[name](spark, hot), oracle_connection(hot), ORACLES[name]) is None
+
+
+def test_received_prices_stage_their_lines_once(spark, tmp_path):
+    """The outcome is read once, so only the requests in their order are written."""
+    for name, schema in tables.SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    with tables.recorded_stages() as staged:
+        assert QUERIES["add_purchase_lines_prices"](spark, str(tmp_path)).count() == 0
+    assert [path.rsplit("/", 1)[1].split("-")[0] for path in staged] == ["chunks"]
