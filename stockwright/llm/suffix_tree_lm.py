@@ -12,19 +12,24 @@ corpus is a state of the tree: it pays for itself. A context of k + 1 words is o
 and it occurs ``LEAST`` times (and so do the contexts that its own count came from), so rounds end by themselves: where a
 word is certain, no longer context can gain. There is no greatest length, no list of kept codes and no share of the corpus.
 
+The first rounds look at most places and go through the chunks again. Once a round has sent fewer than a ``FEW``-th as many
+grams as there are tokens, the chunks write down the grams of the next, and where they are, next to the blocks they send.
+From then on a round reads what the last one wrote and the answers to it, so it costs what is still looked at.
+
 A token's probability is that of the longest suffix of its history that is a state: its count after the state and ``PRIOR``
 times the probability after the next shorter suffix; at the root it is the count plus one.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from stockwright.llm.common import slices, strings, table, text_of, white_table
@@ -38,6 +43,7 @@ END = np.uint64(0x5EED0FE11D0FF117)  # hash of the end of a text; also what stan
 _CONTEXT = np.uint64(0xA0761D6478BD642F)  # odd random multiplier
 CHUNK = 2_000_000  # tokens of a chunk, about; a longer text is a chunk of its own
 RANGE = 2_000_000  # codes of a range that meet in a task, about
+FEW = 2  # grams are written down after a round with fewer than this part of the tokens
 _GAINS = 1e6  # gains are summed as whole numbers, in any order
 
 
@@ -74,12 +80,13 @@ def _sorted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct codes, and which of them each code is."""
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct codes, which of them each code is, and a place of each."""
     order, new = _sorted(codes)
     slots = np.empty(len(codes), np.int64)
     slots[order] = np.cumsum(new) - 1
-    return codes[order[new]], slots
+    places = order[new]
+    return codes[places], slots, places
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -132,7 +139,7 @@ def chunks(docs: DataFrame, trains: Column, keep: tuple[str, ...], folder: str,
             lengths = np.concatenate([np.diff(np.concatenate(([-1], h[1]))) for h in held])
             columns = [pa.concat_arrays([h[2].column(i) for h in held]) for i in range(held[0][2].num_columns - 1)]
             train = columns.pop().to_numpy(zero_copy_only=False)
-            words, ids = _distinct(hashes)
+            words, ids, _ = _distinct(hashes)
             by = np.argsort(-np.bincount(ids), kind="stable")
             rank = np.empty(len(by), np.int64)
             rank[by] = np.arange(len(by))
@@ -163,76 +170,146 @@ def chunks(docs: DataFrame, trains: Column, keep: tuple[str, ...], folder: str,
             yield flush()
 
     made = rows.mapInArrow(fill, _CHUNK + kept)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made.write.bucketBy(parts, "chunk").option("path", folder).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return _laid_out(made, folder, name)
+
+
+def _laid_out(rows: DataFrame, folder: str, name: str) -> DataFrame:
+    """Rows written as a table laid out by ``chunk``."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.bucketBy(parts, "chunk").option("path", folder).format("parquet").saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
+def _told(answers: pa.Table) -> dict[int, np.ndarray]:
+    """What the corpus has answered a chunk: by step, numbers in the order of the codes it sent."""
+    found = sorted(zip(*[answers.column(c).to_pylist() for c in ("step", "range", "size", "data")]))
+    return {step: np.concatenate([_unpack(d, n) for s, _, n, d in found if s == step]) for step in {f[0] for f in found}}
+
+
+class Grams:
+    """The grams of one length that a chunk looks at. By place, in order: whether it trains, whether the place before it
+    is the one before it in the text, and its gram. By gram: its code, its number in the chunk's training texts, its
+    context and its last word's probability after the context's suffix. A gram fixes all that led to it, so nothing of
+    this has to be held by place."""
+
+    def __init__(self, at, train, follows, keys, n, p, context, last):
+        """``context`` and ``last``: by place, which of the one word shorter grams ends before it and which with it."""
+        self.at, self.train, self.follows = at, train, follows
+        self.keys, self.slot, held = _distinct(_joined(keys[context], keys[last]))
+        self.taught = np.bincount(self.slot[train], minlength=len(self.keys))
+        self.p = p[last[held]]
+        context = context[held]
+        present = np.zeros(len(keys), bool)
+        present[context] = True
+        self.context = (np.cumsum(present) - 1)[context]
+        self.contexts, self.seen = keys[present], n[present]
+
+    def gains(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The contexts and what they gain here, where the grams occur ``n`` times."""
+        taught = np.flatnonzero(self.taught)
+        p, context = self.p[taught], self.context[taught]
+        without = (n[taught] - 1 + PRIOR * p) / (self.seen[context] - 1 + PRIOR)
+        gains = np.bincount(context, self.taught[taught] * np.log(without / p), len(self.contexts))
+        return self.contexts, np.rint(gains * _GAINS).astype(np.int64)
+
+    def longer(self, n: np.ndarray, states: np.ndarray) -> Grams | None:
+        """Takes in which contexts are states. Then the grams of one more word, if any is to be looked at."""
+        grown = states[self.context] > 0
+        self.p[grown] = (n[grown] + PRIOR * self.p[grown]) / (self.seen[self.context[grown]] + PRIOR)
+        on = self.follows & grown[self.slot]
+        on[1:] &= (n >= LEAST)[self.slot[:-1]]
+        on = np.flatnonzero(on)
+        if not len(on):
+            return None
+        follows = np.diff(on, prepend=-2) == 1
+        at = None if self.at is None else self.at[on]
+        return Grams(at, self.train[on], follows, self.keys, n, self.p, self.slot[on - 1], self.slot[on])
+
+    def next(self, told: dict[int, np.ndarray], step: int, steps: int) -> tuple[Grams, np.ndarray, np.ndarray] | None:
+        """Goes through the answers from ``step``, the grams' counts, up to ``steps``. Then the grams reached, and the
+        codes to send next, sorted, with their numbers; None when no context is left."""
+        if step == steps:
+            return self, self.keys, self.taught
+        if step + 1 == steps:
+            return self, *self.gains(told[step])
+        longer = self.longer(told[step], told[step + 1])
+        return longer and longer.next(told, step + 2, steps)
+
+    def packed(self) -> list[bytes]:
+        """All but the places, and but the codes and their numbers, which stand in the blocks."""
+        bits = [np.packbits(x).tobytes() for x in (self.train, self.follows)]
+        numbers = [_pack(x) for x in (self.slot, self.context, self.p.view(np.int64), self.seen)]
+        return [np.array([len(self.slot), len(self.contexts)]).tobytes(), *bits, *numbers, _pack_codes(self.contexts)]
+
+    @classmethod
+    def unpacked(cls, rows: pa.Table) -> Grams:
+        """Of the rows that a chunk has written: its blocks and, with the range -1, the rest."""
+        found = sorted(zip(*[rows.column(c).to_pylist() for c in ("range", "size", "codes", "numbers", "grams")]))
+        (*_, packed), *blocks = found
+        made = cls.__new__(cls)
+        made.at = None
+        made.keys = np.concatenate([_unpack_codes(codes, size) for _, size, codes, _, _ in blocks])
+        made.taught = np.concatenate([_unpack(numbers, size) for _, size, _, numbers, _ in blocks])
+        places, contexts = np.frombuffer(packed[0], np.int64).tolist()
+        made.train, made.follows = [np.unpackbits(np.frombuffer(x, np.uint8), count=places).astype(bool) for x in packed[1:3]]
+        made.slot = _unpack(packed[3], places)
+        made.context = _unpack(packed[4], len(made.keys))
+        made.p = _unpack(packed[5], len(made.keys)).view(np.float64)
+        made.seen = _unpack(packed[6], contexts)
+        made.contexts = _unpack_codes(packed[7], contexts)
+        return made
 
 
 class Chunk:
-    """A chunk's tokens, and what the corpus has answered: by step, numbers in the order of the codes it sent."""
+    """A chunk's tokens."""
 
-    def __init__(self, row: pa.Table, answers: pa.Table):
+    def __init__(self, row: pa.Table):
         def value(name):
             return row.column(name)[0].as_py()
 
-        self.row, self.chunk = row, value("chunk")
         self.words = np.frombuffer(value("words"), np.uint64)
         self.ids = _unpack(value("ids"), value("tokens"))
         self.ends = _unpack(value("ends"), value("texts"))
         lengths = np.diff(np.concatenate(([-1], self.ends)))
         self.begins = self.ends + 1 - lengths
         self.train = np.repeat(np.frombuffer(value("train"), bool), lengths)
-        self.answers: dict[int, np.ndarray] = {}
-        found = sorted(zip(*[answers.column(c).to_pylist() for c in ("step", "range", "size", "data")]))
-        for step in {f[0] for f in found}:
-            self.answers[step] = np.concatenate([_unpack(d, n) for s, _, n, d in found if s == step])
-
-    def grow(self, floor: float, steps: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """Goes through the first ``steps`` answers. Then the codes to send next, sorted, with their numbers; None when
-        no context is left. ``known`` are the words' counts so far, ``p`` the tokens' probabilities."""
-        by = np.argsort(self.words)
-        keys = self.words[by]
-        if steps == 0:
-            return keys, np.bincount(self.ids[self.train], minlength=len(keys))[by]
-        slots = np.empty(len(by), np.int64)
-        slots[by] = np.arange(len(by))
-        slot = slots[self.ids]  # of each token's gram among the keys: here the word alone
-        self.known = n = self.answers[0][slot]
-        self.p = (n + 1) / floor
-        code = keys[slot]
+        self.by = np.argsort(self.words)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words' codes, sorted, and their numbers in the training texts."""
+        return self.words[self.by], np.bincount(self.ids[self.train], minlength=len(self.by))[self.by]
+
+    def first(self, n: np.ndarray, floor: float) -> Grams | None:
+        """The grams of two words, where the words occur ``n`` times."""
+        keys = self.words[self.by]
+        slots = np.empty(len(keys), np.int64)
+        slots[self.by] = np.arange(len(keys))
+        last = slots[self.ids]
         # The context of the first word is the end of a text before it.
-        context = np.roll(slot, 1)
+        context = np.roll(last, 1)
         context[self.begins] = np.searchsorted(keys, END)
-        seen = self.answers[0][context]
-        at = np.flatnonzero(seen >= LEAST)
-        context, seen = context[at], seen[at]
-        joined = _joined(keys[context], code[at])
-        step = 1
-        while len(at):
-            before, (keys, slot_at) = keys, _distinct(joined)
-            train = self.train[at]
-            if step == steps:
-                return keys, np.bincount(slot_at[train], minlength=len(keys))
-            n_at, p = self.answers[step][slot_at], self.p[at]
-            present = np.flatnonzero(np.bincount(context, minlength=len(before)))
-            if step + 1 == steps:
-                without = (n_at[train] - 1 + PRIOR * p[train]) / (seen[train] - 1 + PRIOR)
-                gains = np.bincount(context[train], np.log(without / p[train]), len(before))[present]
-                return before[present], np.rint(gains * _GAINS).astype(np.int64)
-            states = np.zeros(len(before), bool)
-            states[present] = self.answers[step + 1] > 0
-            grown = states[context]
-            self.p[at[grown]] = (n_at[grown] + PRIOR * p[grown]) / (seen[grown] + PRIOR)
-            # The next longer context of a token is the gram that ends before it, where that was looked at.
-            slot, n = np.full(len(self.ids), -1), np.zeros(len(self.ids), np.int64)
-            slot[at], n[at] = slot_at, n_at
-            n[self.ends] = 0  # nothing follows an end
-            after = at[grown]
-            after = after[(after > 0) & (n[after - 1] >= LEAST)]
-            at, context, seen = after, slot[after - 1], n[after - 1]
-            joined = _joined(keys[context], keys[slot[after]])
-            step += 2
-        return None
+        looked = (n >= LEAST)[context]
+        at = np.flatnonzero(looked)
+        if not len(at):
+            return None
+        follows = np.roll(looked, 1)
+        follows[self.begins] = False
+        return Grams(at, self.train[at], follows[at], keys, n, (n + 1) / floor, context[at], last[at])
+
+    def scores(self, told: dict[int, np.ndarray], floor: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the tokens' words and the tokens' probabilities, after all answers."""
+        by_word = np.empty(len(self.by), np.int64)
+        by_word[self.by] = told[0]
+        known = by_word[self.ids]
+        p = (known + 1) / floor
+        grams = self.first(told[0], floor) if steps > 1 else None
+        for step in range(1, steps, 2):
+            if grams is None:
+                break
+            longer = grams.longer(told[step], told[step + 1])
+            p[grams.at] = grams.p[grams.slot]
+            grams = longer
+        return known, p
 
 
 def _blocks(keys: np.ndarray, numbers: np.ndarray, chunk: int, bits: int) -> pa.Table:
@@ -252,6 +329,7 @@ def _blocks(keys: np.ndarray, numbers: np.ndarray, chunk: int, bits: int) -> pa.
 
 
 _BLOCK = "range long, chunk long, size long, codes binary, numbers binary"
+_KEPT = f"{_BLOCK}, grams array<binary>"
 _ANSWER = "step int, range long, chunk long, size long, data binary, distinct long"
 
 
@@ -299,37 +377,52 @@ def scored(docs: DataFrame, trains: Column, keep: tuple[str, ...], tokens: bool
     spark = docs.sparkSession
     folder, name = new_folder(spark, "chunks"), f"chunks_{uuid.uuid4().hex}"
     kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    written: list[tuple[str, str]] = []  # tables of the grams looked at, the last of which is read
     try:
-        with recorded_stages() as answered:
+        with _swept(spark), recorded_stages() as answered:
             held = chunks(docs, trains, keep, folder, name)
             taught, size = held.agg(F.coalesce(F.sum("taught"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
             bits = max(3, (int(size) // RANGE).bit_length())
             plain = held.select(*[f.split()[0] for f in _CHUNK.split(", ")])
-            answers = spark.createDataFrame([], _ANSWER)
+            answers: list[DataFrame] = []
             floor = 1.0
-            steps = 0
+            few = False
             while True:
-                blocks = _asked(plain, answers, floor, steps, bits)
+                steps = len(answers)
+                writes = few and steps % 2 == 1
+                if written:
+                    blocks = _asked_on(spark.table(written[-1][1]), answers, steps, bits)
+                else:
+                    blocks = _asked(plain, answers, floor, steps, bits, writes)
+                if writes:
+                    written.append((new_folder(spark, "grams"), f"grams_{uuid.uuid4().hex}"))
+                    blocks = _laid_out(blocks, *written[-1]).where("range >= 0").drop("grams")
+                    for path, old in written[:-1]:
+                        _drop(spark, path, old)
+                    del written[:-1]
                 found = stage(_summed(blocks, steps), "answers")
-                distinct, rows = found.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.count("*")).first()
+                sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("distinct", "size")]
+                distinct, sent, rows = found.agg(*sums, F.count("*")).first()
                 if not rows or steps and steps % 2 == 0 and not distinct:  # no grams to count, or no states among them
                     break
                 if steps == 0:
                     floor = float(taught + distinct + 1)
-                answers = found if steps == 0 else answers.unionAll(found)
-                steps += 1
+                answers.append(found)
+                few = few or steps % 2 == 1 and sent * FEW < size
+            while written:
+                _drop(spark, *written.pop())
             # Grams whose contexts turned out to be no states change nothing.
             steps -= steps > 0 and steps % 2 == 0
 
             def finish(row: pa.Table, told: pa.Table) -> pa.Table:
                 if not row.num_rows:
                     return empty.slice(0, 0)
-                chunk = Chunk(row, told)
-                chunk.grow(floor, steps)
-                model = np.log10(chunk.p)
-                root = np.log10((chunk.known + 1) / floor)
+                chunk = Chunk(row)
+                known, p = chunk.scores(_told(told), floor, steps)
+                model = np.log10(p)
+                root = np.log10((known + 1) / floor)
                 parts = [chunk.ends + 1 - chunk.begins]
-                parts += [np.add.reduceat(x, chunk.begins) for x in ((chunk.known > 0).astype(np.int64), root, model)]
+                parts += [np.add.reduceat(x, chunk.begins) for x in ((known > 0).astype(np.int64), root, model)]
                 columns = [row.column(f"_{i}").combine_chunks().flatten() for i in range(len(keep))]
                 columns += [pa.array(x) for x in (*parts[:2], np.full(len(chunk.ends), int(taught)), *parts[2:])]
                 if tokens:
@@ -342,29 +435,89 @@ def scored(docs: DataFrame, trains: Column, keep: tuple[str, ...], tokens: bool
             if tokens:
                 names, fields = [*names, "token_scores"], fields + ", token_scores array<double>"
             empty = pa.table({n: pa.nulls(0) for n in names})
-            out = held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, fields)
+            out = held.groupBy("chunk").cogroup(_all(spark, answers[:steps])).applyInArrow(finish, fields)
         scores = stage(out, "scores")
         delete_stages(spark, answered)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        _delete(spark, folder)
+        for path, table_name in [(folder, name), *written]:
+            _drop(spark, path, table_name)
     return scores
 
 
-def _asked(held: DataFrame, answers: DataFrame, floor: float, steps: int, bits: int) -> DataFrame:
-    """The blocks that the chunks send after ``steps`` answers."""
+@contextlib.contextmanager
+def _swept(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go with the job that made them, not when the driver's memory happens to be cleared."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _drop(spark: SparkSession, folder: str, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _delete(spark, folder)
+
+
+def _all(spark: SparkSession, answers: list[DataFrame]) -> GroupedData:
+    """The answers by chunk."""
+    union = spark.createDataFrame([], _ANSWER)
+    for found in answers:
+        union = union.unionAll(found)
+    return union.groupBy("chunk")
+
+
+def _kept(grams: Grams, blocks: pa.Table, chunk: int) -> pa.Table:
+    """Blocks and one row with what else is to know of the grams in them."""
+    rest = {"range": [-1], "chunk": [chunk], "size": [0], "codes": [None], "numbers": [None], "grams": [grams.packed()]}
+    grams_type = pa.list_(pa.binary())
+    blocks = blocks.append_column("grams", pa.nulls(blocks.num_rows, grams_type))
+    return pa.concat_tables([blocks, pa.table(rest, schema=blocks.schema)])
+
+
+def _asked(held: DataFrame, answers: list[DataFrame], floor: float, steps: int, bits: int, keep: bool) -> DataFrame:
+    """The blocks that the chunks send after ``steps`` answers; to ``keep``, with the grams that they go on from."""
 
     def ask(row: pa.Table, told: pa.Table) -> pa.Table:
-        sent = None
-        if row.num_rows:
-            chunk = Chunk(row, told)
-            sent = chunk.grow(floor, steps)
-        if sent is None:
-            none = np.empty(0, np.int64)
-            return _blocks(none.view(np.uint64), none, 0, bits)
-        return _blocks(*sent, chunk.chunk, bits)
-
-    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(ask, _BLOCK)
+        chunk = Chunk(row)
+        number = row.column("chunk")[0].as_py()
+        if steps == 0:
+            return _blocks(*chunk.counts(), number, bits)
+        answered = _told(told)
+        grams = chunk.first(answered[0], floor)
+        del chunk
+        return _sent(grams and grams.next(answered, 1, steps), number, bits, keep)
+
+    out = _KEPT if keep else _BLOCK
+    return held.groupBy("chunk").cogroup(_all(held.sparkSession, answers)).applyInArrow(ask, out)
+
+
+def _asked_on(kept: DataFrame, answers: list[DataFrame], steps: int, bits: int) -> DataFrame:
+    """The blocks that the chunks send after ``steps`` answers, from the grams written with the last odd step; an odd step
+    writes the next ones."""
+    begun, keep = (steps - 2, True) if steps % 2 else (steps - 1, False)
+
+    def ask(rows: pa.Table, told: pa.Table) -> pa.Table:
+        number = rows.column("chunk")[0].as_py()
+        return _sent(Grams.unpacked(rows).next(_told(told), begun, steps), number, bits, keep)
+
+    out = _KEPT if keep else _BLOCK
+    return kept.groupBy("chunk").cogroup(_all(kept.sparkSession, answers[begun:])).applyInArrow(ask, out)
+
+
+def _sent(reached: tuple[Grams, np.ndarray, np.ndarray] | None, chunk: int, bits: int, keep: bool) -> pa.Table:
+    if reached is None:
+        none = np.empty(0, np.int64)
+        blocks = _blocks(none.view(np.uint64), none, chunk, bits)
+        return blocks.append_column("grams", pa.nulls(0, pa.list_(pa.binary()))) if keep else blocks
+    grams, keys, numbers = reached
+    blocks = _blocks(keys, numbers, chunk, bits)
+    return _kept(grams, blocks, chunk) if keep else blocks
 
 
 def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,6 +188,31 @@ def test_language_model_of_many_chunks(spark, monkeypatch):
     assert out[61].token_scores[5] > -0.2 and out[101].token_scores[5] > -0.2
 
 
+def test_language_model_reads_its_chunks_a_few_times(spark, monkeypatch):
+    """Long contexts take many rounds; those that look at few places go on from what the last one wrote."""
+    import random
+
+    from stockwright.llm import suffix_tree_lm as lm
+
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(2000)}" for _ in range(100)) for _ in range(40)]
+    texts += [f"x{i % 2} " + "a " * 12 + f"y{i % 2}" for i in range(60)]
+    trains = [i % 5 != 0 for i in range(len(texts))]
+    frame = spark.createDataFrame(list(zip(range(len(texts)), texts, trains)), "i long, text string, t boolean")
+    staged, stage = [], lm.stage
+
+    def noting(rows, purpose):
+        staged.append(any("/chunks-" in f for f in rows.inputFiles()))
+        return stage(rows, purpose)
+
+    monkeypatch.setattr(lm, "stage", noting)
+    out = {r.i: r for r in lm.scored(frame.repartition(3), F.col("t"), ("i",), tokens=True).collect()}
+    assert len(staged) > 8 and sum(staged) <= 6
+    for i, tokens in enumerate(brute.suffix_tree_scores(texts, trains)):
+        assert max(abs(x - y) for x, y in zip(out[i].token_scores, tokens, strict=True)) < 1e-9
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("chunks_", "grams_"))]
+
+
 def test_language_model_is_a_distribution(spark):
     """The probabilities of all words after each history sum to at most one, and training texts gain."""
     from stockwright.llm import suffix_tree_lm as lm
