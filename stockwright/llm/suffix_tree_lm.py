@@ -96,8 +96,9 @@ def _pack(numbers: np.ndarray) -> bytes:
 
 
 def _unpack(packed: bytes, size: int) -> np.ndarray:
+    """The numbers, in memory of their own: of a single number the planes already lie in order and are read-only."""
     planes = pa.Codec("zstd").decompress(packed, size * 8, asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, size).T).view(np.int64).ravel()
+    return np.array(np.frombuffer(planes, np.uint8).reshape(8, size).T, order="C").view(np.int64).ravel()
 
 
 def _pack_codes(codes: np.ndarray) -> bytes:

@@ -213,6 +213,37 @@ def test_language_model_reads_its_chunks_a_few_times(spark, monkeypatch):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("chunks_", "grams_"))]
 
 
+def test_language_model_of_chunks_with_a_single_gram(spark):
+    """A chunk may write down one gram only, and goes on from it like any other."""
+    import random
+
+    from stockwright.llm import suffix_tree_lm as lm
+
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(2000)}" for _ in range(100)) for _ in range(40)]
+    texts += [f"x{i % 2} " + "a " * 12 + f"y{i % 2}" for i in range(60)]
+    many = len(texts)
+    texts += [f"q{n}" + " a" * n for n in range(2, 7)]  # one place at contexts of n words
+    rows = [(i, t, i % 5 != 0) for i, t in enumerate(texts)]
+    parts = [rows[:many], *([r] for r in rows[many:])]
+    split = spark.sparkContext.parallelize(parts, len(parts)).flatMap(list)
+    frame = spark.createDataFrame(split, "i long, text string, t boolean")
+    out = {r.i: r for r in lm.scored(frame, F.col("t"), ("i",), tokens=True).collect()}
+    for i, tokens in enumerate(brute.suffix_tree_scores(texts, [t for *_, t in rows])):
+        assert max(abs(x - y) for x, y in zip(out[i].token_scores, tokens, strict=True)) < 1e-9
+
+
+def test_packed_numbers_can_be_changed():
+    """Whatever their number, the unpacked ones are no view of the packed bytes."""
+    import numpy as np
+
+    from stockwright.llm import suffix_tree_lm as lm
+
+    for numbers in ([], [7], [-1, 1 << 40], list(range(300))):
+        got = lm._unpack(lm._pack(np.array(numbers, np.int64)), len(numbers))
+        assert got.tolist() == numbers and got.flags.writeable
+
+
 def test_language_model_is_a_distribution(spark):
     """The probabilities of all words after each history sum to at most one, and training texts gain."""
     from stockwright.llm import suffix_tree_lm as lm
